@@ -13,9 +13,10 @@ sorts a third of the data alone. Instead:
    over that small table: at most ``num_partitions`` rows per key);
 5. join it back and add: number = position - first + 1 + earlier rows.
 
-The range exchange uses an explicit partition count, so AQE neither
-coalesces nor re-plans it, and both readers of it (steps 3 and 5) see the
-same partitions; the exchange is reused rather than recomputed.
+Steps 1-2 are written once as a table under ``spark.checkpoint.dir``
+(steps 3 and 5 both read it). Without that, column pruning gives the two
+readers different plans, Spark recomputes the input twice, and each copy
+samples its own range bounds -- the tags would not be guaranteed to agree.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from callweave.session import materialize
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -41,10 +44,12 @@ def number_within(df: DataFrame, key: str, order: Sequence[Column], out: str,
     sort = [F.col(key).asc_nulls_first(), *order]
     ranged = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
     rid = F.monotonically_increasing_id()
-    tagged = (ranged.withColumn("_rid", rid)
-              .withColumns({"_pid": F.shiftright(F.col("_rid"), 33),
-                            "_pos": F.col("_rid").bitwiseAND(F.lit(_LOW_BITS))})
-              .drop("_rid"))
+    tagged = materialize(
+        ranged.withColumn("_rid", rid)
+        .withColumns({"_pid": F.shiftright(F.col("_rid"), 33),
+                      "_pos": F.col("_rid").bitwiseAND(F.lit(_LOW_BITS))})
+        .drop("_rid"),
+        f"numbered-{out}")
 
     stats = (tagged.groupBy(F.col(key).alias("_k"), F.col("_pid").alias("_p"))
              .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")))

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job relies on. AQE re-plans joins at runtime: a side
-# whose *measured* shuffle output is under the adaptive broadcast threshold
-# becomes a broadcast, everything else stays a sort-merge join, and skewed
-# join partitions are split.
+# Settings every job relies on.
+#
+# Broadcast size checks: at planning time a side is broadcast only when its
+# estimate is under 16MB, and file-based estimates are inflated 4x so that
+# well-compressed text columns cannot slip under the bound on their
+# compressed size. At runtime AQE measures the actual shuffle output and
+# broadcasts a side under 64MB; everything else stays a sort-merge join,
+# whose skewed partitions AQE splits.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.autoBroadcastJoinThreshold": "16MB",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -58,11 +64,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as parquet under the checkpoint folder.
 
-    Used between plan stages that are read more than once, so a lost
-    executor recomputes from the written table instead of from the sources.
+    Used where a plan reads an intermediate result more than once and both
+    readers must see the very same rows: they read the written table, and a
+    lost executor re-reads it instead of recomputing from the sources.
+    Each call writes a fresh folder, so concurrent runs never collide.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "callweave", name)
-    df.write.mode("overwrite").parquet(path)
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/callweave/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
