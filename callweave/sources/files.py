@@ -43,9 +43,8 @@ def read_keyed_texts(spark: SparkSession, folder: str, key: str = "key",
 
     Newlines are normalised to ``\\n`` as a text-mode read would do.
     """
-    raw = (spark.read.option("wholetext", True)
-           .option("pathGlobFilter", f"*{ext}")
-           .text(folder)
+    raw = (spark.read.option("pathGlobFilter", f"*{ext}")
+           .text(folder, wholetext=True)
            .select(F.col("value"), F.col("_metadata.file_name").alias("_fname")))
     return raw.select(strip_extension(F.col("_fname"), ext).alias(key),
                       normalize_newlines(F.col("value")).alias("text"))
