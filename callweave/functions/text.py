@@ -12,15 +12,22 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# The characters of Java's \s class: space, tab, LF, VT, FF, CR.
+ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
+
+
 def strip_whitespace(col, unicode: bool = False) -> Column:
     """Remove leading and trailing whitespace (spaces, tabs, newlines...).
 
-    ``trim`` only strips spaces. The default is the ASCII ``\\s`` class, the
-    same in Java and DuckDB; ``unicode=True`` also strips e.g. NBSP.
+    ``trim`` alone strips only spaces. The default strips the ASCII
+    whitespace set with ``btrim``, which touches only the two ends of the
+    string (no regex scan over long texts). ``unicode=True`` also strips
+    Unicode spaces such as NBSP, like Python's ``str.strip``, via a regex.
     """
-    ws = r"(?U)\s" if unicode else r"\s"
-    inner = F.regexp_replace(_c(col), rf"^{ws}+", "")
-    return F.regexp_replace(inner, rf"{ws}+$", "")
+    if unicode:
+        inner = F.regexp_replace(_c(col), r"^(?U)\s+", "")
+        return F.regexp_replace(inner, r"(?U)\s+$", "")
+    return F.btrim(_c(col), F.lit(ASCII_WHITESPACE))
 
 
 def normalize_newlines(col) -> Column:

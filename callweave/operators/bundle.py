@@ -56,7 +56,7 @@ def ordered_bundle(pieces: DataFrame, key: str, seq: str, piece: str,
     key in ``part_no`` order gives the whole text. ``listagg ... WITHIN
     GROUP`` aggregates partially on the map side.
     """
-    part = F.floor((F.col(seq) - 1) / F.lit(per_part)).cast("bigint")
+    part = F.expr(f"(`{seq}` - 1) div {int(per_part)}").cast("bigint")
     grouped = pieces.groupBy(F.col(key).alias(key_alias or key), part.alias("part_no"))
     return grouped.agg(
         F.count(F.lit(1)).alias("n_calls"),

@@ -49,6 +49,7 @@ HISTORY = T.StructType([
 ])
 
 # CRM inputs.
+# --- fixed values: the task table's field names, as the CRM names them ------
 TASK_COLUMNS = [
     "Id", "WhoId", "WhatId", "AccountId", "OwnerId", "Subject",
     "aircall__Country__c", "aircall__Call_Recording__c", "CallDisposition",
@@ -56,6 +57,7 @@ TASK_COLUMNS = [
     "aircall__Answered_by__c", "CompletedDateTime", "CallDurationInSeconds",
     "CallType", "CreatedDate",
 ]
+# ---------------------------------------------------------------------------
 TASK = T.StructType(
     [_f(c, _S) for c in TASK_COLUMNS[:12]]
     + [_f("CompletedDateTime", _TS), _f("CallDurationInSeconds", _L),
