@@ -46,3 +46,12 @@ def write_keyed_texts(df: DataFrame, path: str, fmt: str = "parquet",
     (df.write.format(fmt).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).save(path))
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int,
+                  fmt: str = "parquet") -> None:
+    """Store a large keyed table (e.g. transcripts by ``call_id``) bucketed
+    and sorted on its key, so later joins on that key shuffle only the
+    other side."""
+    (df.write.format(fmt).mode("overwrite")
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
