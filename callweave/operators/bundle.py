@@ -95,6 +95,12 @@ def account_name(calls: DataFrame) -> DataFrame:
     return calls.groupBy("AccountId").agg(F.min_by("ds_account", first_key).alias("ds_account"))
 
 
+def names_from_numbered(numbered: DataFrame) -> DataFrame:
+    """Account name from already-numbered calls: the row numbered 1 is the
+    first call in call order, so no second pass over the calls is needed."""
+    return numbered.where(F.col("call_no") == 1).select("AccountId", "ds_account")
+
+
 def account_pairs(calls: DataFrame) -> DataFrame:
     """Distinct (AccountId, ds_account) pairs (PRJ-7, AG-2)."""
     return calls.select("AccountId", "ds_account").dropDuplicates()

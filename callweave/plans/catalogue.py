@@ -153,7 +153,9 @@ def transcribe_requests(spark, sf_dir):
 
 
 def translate_requests(spark, sf_dir):
-    return inference.translate_requests(account_bundle(spark, sf_dir), account_name(spark, sf_dir))
+    headed = _headed(spark, sf_dir)
+    bundles = bundle.account_bundle(headed, overlay.transcripts(spark, sf_dir))
+    return inference.translate_requests(bundles, bundle.names_from_numbered(headed))
 
 
 def summary_requests(spark, sf_dir):

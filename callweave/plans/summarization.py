@@ -37,7 +37,7 @@ def build_bundles(tasks: DataFrame, opportunities: DataFrame, accounts: DataFram
     status = worklist.artifact_status(calls, artifacts)
     headed = bundle.call_headers(bundle.number_calls(calls))
     bundles = bundle.account_bundle(headed, transcripts, on_missing, per_part)
-    names = bundle.account_name(calls)
+    names = bundle.names_from_numbered(headed)
     return Bundled(calls, status, inference.transcribe_requests(status, audio_folder),
                    bundles, inference.translate_requests(bundles, names))
 

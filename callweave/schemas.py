@@ -81,3 +81,24 @@ ACCOUNT_BUNDLE = T.StructType([
 ACCOUNT_DIM = T.StructType([
     _f("AccountId", _S), _f("ds_account", _S), _f("translation", _S), _f("summary", _S),
 ])
+
+# The driver's test tables read by the overlay, declared so that a read
+# needs no schema-inference job.
+_I, _D = T.IntegerType(), T.DoubleType()
+DRIVER_TABLES = {
+    "orders": T.StructType([_f("o_orderkey", _L), _f("o_custkey", _L), _f("o_orderstatus", _S),
+                            _f("o_totalprice", _D), _f("o_orderdate", _TS),
+                            _f("o_orderpriority", _S)]),
+    "customer": T.StructType([_f("c_custkey", _L), _f("c_name", _S), _f("c_nationkey", _I),
+                              _f("c_acctbal", _D), _f("c_mktsegment", _S)]),
+    "supplier": T.StructType([_f("s_suppkey", _L), _f("s_name", _S), _f("s_nationkey", _I),
+                              _f("s_acctbal", _D)]),
+    "events": T.StructType([_f("event_id", _L), _f("ts", _TS), _f("user_id", _L),
+                            _f("event_type", _S), _f("value", _D), _f("props", _S)]),
+    "documents": T.StructType([_f("doc_id", _L), _f("text", _S), _f("lang", _S),
+                               _f("source", _S), _f("n_chars", _L)]),
+    "labels": T.StructType([_f("doc_id", _L), _f("quality", _I), _f("toxic", _I)]),
+    "conversations": T.StructType([_f("conv_id", _L), _f("turn", _L), _f("role", _S),
+                                   _f("text", _S)]),
+    "pages": T.StructType([_f("page_id", _L), _f("url", _S), _f("html", _S)]),
+}

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from callweave.constants import AUDIO_EXT, PAGE_SIZE, TEXT_EXT
 from callweave.functions.time import timestamp_to_epoch
+from callweave.schemas import DRIVER_TABLES
 
 # Run date of the overlay's stand-in model responses.
 RUN_DATE = _dt.date(2025, 1, 6)
@@ -38,7 +39,10 @@ URL_HOST = "https://host.example"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in DRIVER_TABLES:
+        reader = reader.schema(DRIVER_TABLES[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(col: str) -> Column:
