@@ -53,3 +53,26 @@ def icp_calls(tasks: DataFrame, users: DataFrame, cohort: DataFrame) -> DataFram
     with_acc = calls.join(acc, calls["AccountId"] == acc["pk_account"], "inner")
     with_usr = with_acc.join(usr, with_acc["OwnerId"] == usr["pk_user"], "left")
     return with_usr.select(*[calls[c] for c in TASK_COLUMNS], usr["ds_full_name"], acc["ds_account"])
+
+
+ICP_CALLS_SQL = """
+SELECT {task_columns}, u.ds_full_name, a.ds_account
+FROM {tasks} t
+JOIN {accounts} a ON a.pk_account = t.AccountId
+LEFT JOIN {users} u ON u.pk_user = t.OwnerId
+WHERE t.aircall__Call_Recording__c <> '{sentinel}'
+  AND a.ts_created_at >= TIMESTAMP_NTZ '{cutoff}'
+  AND EXISTS (SELECT 1 FROM {opportunities} o
+              WHERE o.fk_account = a.pk_account AND o.flg_is_from_pro_form)
+"""
+
+
+def icp_calls_sql(spark, tasks: str, opportunities: str, accounts: str, users: str,
+                  cutoff: str = COHORT_CUTOFF, sentinel: str = NULL_SENTINEL) -> DataFrame:
+    """The cohort calls as one SQL statement over catalog tables or temp
+    views (PRJ-6), for callers who keep their queries as SQL text. Catalyst
+    plans it like :func:`icp_calls`; the EXISTS becomes a left-semi join."""
+    text = ICP_CALLS_SQL.format(task_columns=", ".join(f"t.{c}" for c in TASK_COLUMNS), tasks=tasks,
+                                opportunities=opportunities, accounts=accounts, users=users,
+                                cutoff=cutoff, sentinel=sentinel)
+    return spark.sql(text)

@@ -1,9 +1,9 @@
 """DuckDB formulations of the registered queries (the correctness oracle).
 
 Written independently of the Spark code: the overlay formulas are restated
-as SQL views over the driver tables, and the cohort query keeps the shape
-of the original CTE chain. Each query selects the same column names as its
-Spark twin.
+as SQL views over the driver tables and each query is phrased in plain SQL
+(window functions, EXISTS, string_agg). Each query selects the same column
+names as its Spark twin.
 """
 
 from __future__ import annotations
@@ -97,23 +97,23 @@ accts AS (
          TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST((c_custkey * 7) % 365 AS INTEGER)) AS ts_created_at
   FROM customer),
 dim_user AS (SELECT CAST(s_suppkey AS VARCHAR) AS pk_user, s_name AS ds_full_name FROM supplier),
-calls AS (
+rec_tasks AS (
   SELECT Id, WhoId, WhatId, AccountId, OwnerId, Subject, aircall__Country__c,
          aircall__Call_Recording__c, CallDisposition, aircall__Detailed_type__c,
          aircall__Connection_status__c, aircall__Answered_by__c, CompletedDateTime,
          CallDurationInSeconds, CallType, CreatedDate
   FROM tasks
   WHERE aircall__Call_Recording__c != 'null'),
-inbound_accts AS (SELECT DISTINCT fk_account FROM opps WHERE flg_is_from_pro_form = true),
+flagged_accts AS (SELECT fk_account FROM opps WHERE flg_is_from_pro_form GROUP BY fk_account),
 cohort AS (
-  SELECT pk_account, ds_account FROM accts
-  WHERE ts_created_at >= {CUT}
-    AND pk_account IN (SELECT fk_account FROM inbound_accts)),
+  SELECT a.pk_account, a.ds_account FROM accts a
+  WHERE a.ts_created_at >= {CUT}
+    AND EXISTS (SELECT 1 FROM opps o WHERE o.flg_is_from_pro_form AND o.fk_account = a.pk_account)),
 icp AS (
-  SELECT calls.*, dim_user.ds_full_name, cohort.ds_account
-  FROM calls
-  LEFT JOIN dim_user ON calls.OwnerId = dim_user.pk_user
-  INNER JOIN cohort ON calls.AccountId = cohort.pk_account),
+  SELECT r.*, u.ds_full_name, c.ds_account
+  FROM rec_tasks r
+  JOIN cohort c ON c.pk_account = r.AccountId
+  LEFT JOIN dim_user u ON u.pk_user = r.OwnerId),
 icp_ids AS (
   SELECT *, NULLIF(regexp_extract(aircall__Call_Recording__c, 'calls/(\\d+)', 1), '') AS call_id
   FROM icp),
@@ -187,14 +187,14 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT count(*) AS n_recorded, "
         "count(*) FILTER (WHERE CAST(id AS VARCHAR) NOT IN (SELECT call_id FROM held_audio)) "
         "AS n_to_download FROM recorded"),
-    "recorded_tasks": _crm("SELECT * FROM calls"),
-    "inbound_accounts": _crm("SELECT * FROM inbound_accts"),
+    "recorded_tasks": _crm("SELECT * FROM rec_tasks"),
+    "inbound_accounts": _crm("SELECT * FROM flagged_accts"),
     "cohort_accounts": _crm("SELECT * FROM cohort"),
     "icp_calls": _crm("SELECT * FROM icp"),
     "call_id_extract": _crm(
         "SELECT Id, aircall__Call_Recording__c, "
         "NULLIF(regexp_extract(aircall__Call_Recording__c, 'calls/(\\d+)', 1), '') AS call_id "
-        "FROM calls"),
+        "FROM rec_tasks"),
     "page_call_ids": (
         "SELECT page_id, url, NULLIF(regexp_extract(url, 'calls/(\\d+)', 1), '') AS call_id "
         "FROM pages"),
@@ -220,7 +220,7 @@ ORACLE_SQL: dict[str, str] = {
         f"'{AUDIO_DIR}/' || coalesce(call_id, 'None') || '.mp3' AS audio_path, "
         f"'{TEXT_DIR}/' || coalesce(call_id, 'None') || '.txt' AS transcript_path "
         "FROM (SELECT Id, NULLIF(regexp_extract(aircall__Call_Recording__c, 'calls/(\\d+)', 1), '') "
-        "AS call_id FROM calls)"),
+        "AS call_id FROM rec_tasks)"),
     "artifact_status": _crm(
         "SELECT Id, AccountId, call_id, "
         "EXISTS (SELECT 1 FROM labels l WHERE CAST(l.doc_id AS VARCHAR) = i.call_id) AS has_audio, "
