@@ -34,7 +34,7 @@ def run(spark, name, sf_dir):
 
 
 def main():
-    spark = build_session(f"local[{CPUS}]", "callweave-bench", shuffle_partitions=2 * CPUS,
+    spark = build_session(f"local[{CPUS}]", "callweave-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * CPUS)),
                           extra={"spark.driver.memory": "16g"})
     if os.path.isdir(WARMUP_DIR):
         run(spark, "flatten_calls", WARMUP_DIR)

@@ -2,15 +2,16 @@
 
 The remote calls themselves are out of scope: these functions build the
 table that goes to a batch-inference step and merge what comes back, by
-key. Responses are a keyed table ``(account_id, kind, run_date, part_no,
-text)``; ``kind`` is ``translation`` or ``summary``.
+key. Responses are a keyed table ``(account_id, part_no, kind, run_date,
+text)``; ``kind`` is ``translation`` or ``summary``, ``part_no`` the bundle
+part the request was made for.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.constants import (AUDIO_EXT, CHAT_MODEL, CHAT_SEED, SUMMARY_TEMPLATE,
@@ -54,30 +55,25 @@ def _run_rows(responses: DataFrame, run_date: _dt.date) -> DataFrame:
     rows = responses.where(F.col("run_date") == F.lit(run_date))
     if "part_no" not in rows.columns:
         rows = rows.withColumn("part_no", F.lit(0).cast("bigint"))
-    return rows.select("account_id", "kind", "part_no", strip_whitespace("text").alias("_s"))
-
-
-def _parts_joined(kind: str) -> Column:
-    """Stripped texts of one kind, joined in part order (NULL if none)."""
-    return F.expr(f"listagg(CASE WHEN kind = '{kind}' THEN _s END, '\\n\\n') "
-                  "WITHIN GROUP (ORDER BY part_no)")
+    return rows.select("account_id", "part_no", "kind", strip_whitespace("text").alias("text"))
 
 
 def current_texts(responses: DataFrame, kind: str, run_date: _dt.date) -> DataFrame:
-    """(account_id, text): the run's stripped response of one kind."""
-    rows = _run_rows(responses, run_date).where(F.col("kind") == kind)
-    return rows.groupBy("account_id").agg(_parts_joined(kind).alias("text"))
+    """(account_id, part_no, text): the run's stripped responses of one kind.
+    Responses stay per bundle part -- nothing concatenates an account's
+    parts, so no value or group grows with an account's history."""
+    return _run_rows(responses, run_date).where(F.col("kind") == kind).drop("kind")
 
 
 def summary_requests(responses: DataFrame, accounts: DataFrame, run_date: _dt.date,
                      template: str = SUMMARY_TEMPLATE) -> DataFrame:
-    """Second-stage request per account: user = the stripped stage-1 output
-    of that account (INF-4, FN-7)."""
+    """Second-stage request per bundle part: user = the stripped stage-1
+    output of that part (INF-4, FN-7), for the accounts of the cohort."""
     tr = current_texts(responses, "translation", run_date)
     keys = accounts.select(F.col("AccountId").alias("_aid"))
     mine = tr.join(keys, tr["account_id"] == keys["_aid"], "left_semi")
     return mine.select(
-        "account_id", F.lit(CHAT_MODEL).alias("model"),
+        "account_id", "part_no", F.lit(CHAT_MODEL).alias("model"),
         F.lit(CHAT_SEED).cast("bigint").alias("seed"),
         F.lit(template).alias("system"), F.col("text").alias("user"),
     )
@@ -90,19 +86,20 @@ def strip_responses(responses: DataFrame) -> DataFrame:
 
 def account_dim(pairs: DataFrame, responses: DataFrame, run_date: _dt.date,
                 strict: bool = False) -> DataFrame:
-    """(AccountId, ds_account, translation, summary) (JN-8, INF-5, PRJ-7).
+    """(AccountId, part_no, ds_account, translation, summary) (JN-8, INF-5, PRJ-7).
 
-    Both texts come from one pivot of the run's responses (one row per
-    account), so the account pairs are joined once, not once per kind.
-    ``strict=True`` fails when an account lacks either text, as a missing
-    file did in the original workflow.
+    The run's responses are pivoted once to one row per (account, part) --
+    a group of at most one text per kind -- and joined to the account pairs
+    once, instead of once per kind. An account without any response keeps
+    one row with NULL texts; ``strict=True`` fails on it instead, as a
+    missing file did in the original workflow.
     """
     rows = _run_rows(responses, run_date).where(F.col("kind").isin("translation", "summary"))
-    both = rows.groupBy(F.col("account_id").alias("_aid")).agg(
-        _parts_joined("translation").alias("translation"),
-        _parts_joined("summary").alias("summary"))
+    both = rows.groupBy(F.col("account_id").alias("_aid"), "part_no").agg(
+        F.max(F.when(F.col("kind") == "translation", F.col("text"))).alias("translation"),
+        F.max(F.when(F.col("kind") == "summary", F.col("text"))).alias("summary"))
     joined = pairs.join(both, pairs["AccountId"] == both["_aid"], "left")
-    out = joined.select("AccountId", "ds_account", "translation", "summary")
+    out = joined.select("AccountId", "part_no", "ds_account", "translation", "summary")
     if strict:
         bad = F.col("translation").isNull() | F.col("summary").isNull()
         out = out.withColumn("translation", F.when(bad, F.raise_error(F.concat(

@@ -141,19 +141,20 @@ names AS (
     FROM icp) WHERE rn = 1),
 pairs AS (SELECT DISTINCT AccountId, ds_account FROM icp),
 resp AS (
-  SELECT CAST(doc_id AS VARCHAR) AS account_id, 'translation' AS kind, {DAY} AS run_date,
+  SELECT CAST(doc_id AS VARCHAR) AS account_id, CAST(0 AS BIGINT) AS part_no,
+         'translation' AS kind, {DAY} AS run_date,
          chr(10) || chr(9) || ' ' || text || ' ' || chr(10) || chr(10) AS text
   FROM documents
   UNION ALL
-  SELECT CAST(doc_id AS VARCHAR), 'summary', {DAY},
+  SELECT CAST(doc_id AS VARCHAR), 0, 'summary', {DAY},
          '  ' || lang || ' summary, ' || CAST(n_chars AS VARCHAR) || ' chars' || chr(9) || chr(10)
   FROM documents
   UNION ALL
-  SELECT CAST(doc_id AS VARCHAR), 'summary', {DAY} - INTERVAL 1 DAY,
+  SELECT CAST(doc_id AS VARCHAR), 0, 'summary', {DAY} - INTERVAL 1 DAY,
          chr(9) || 'stale summary' || chr(10)
   FROM documents),
 resp_clean AS (
-  SELECT account_id, kind, CAST(run_date AS DATE) AS run_date,
+  SELECT account_id, part_no, kind, CAST(run_date AS DATE) AS run_date,
          regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS text
   FROM resp)
 """
@@ -238,7 +239,7 @@ ORACLE_SQL: dict[str, str] = {
         "b.bundle AS user "
         "FROM bundles b LEFT JOIN names n ON b.account_id = n.AccountId"),
     "summary_requests": _crm(
-        f"SELECT account_id, '{CHAT_MODEL}' AS model, CAST({CHAT_SEED} AS BIGINT) AS seed, "
+        f"SELECT account_id, part_no, '{CHAT_MODEL}' AS model, CAST({CHAT_SEED} AS BIGINT) AS seed, "
         f"{_lit(SUMMARY_TEMPLATE)} AS system, text AS user "
         f"FROM resp_clean WHERE kind = 'translation' AND run_date = {DAY} "
         "AND account_id IN (SELECT AccountId FROM pairs)"),
@@ -248,8 +249,11 @@ ORACLE_SQL: dict[str, str] = {
         f"'{SUMMARY_DIR}/' || strftime(run_date, '%Y-%m-%d') || '/' || account_id || '.txt' AS path "
         "FROM resp_clean WHERE kind = 'summary'"),
     "account_dim": _crm(
-        "SELECT p.AccountId, p.ds_account, t.text AS translation, s.text AS summary "
-        "FROM pairs p "
-        f"LEFT JOIN resp_clean t ON t.account_id = p.AccountId AND t.kind = 'translation' AND t.run_date = {DAY} "
-        f"LEFT JOIN resp_clean s ON s.account_id = p.AccountId AND s.kind = 'summary' AND s.run_date = {DAY}"),
+        "SELECT p.AccountId, x.part_no, p.ds_account, x.translation, x.summary "
+        "FROM pairs p LEFT JOIN ("
+        "  SELECT account_id, part_no, "
+        "         max(CASE WHEN kind = 'translation' THEN text END) AS translation, "
+        "         max(CASE WHEN kind = 'summary' THEN text END) AS summary "
+        f"  FROM resp_clean WHERE run_date = {DAY} GROUP BY account_id, part_no) x "
+        "ON x.account_id = p.AccountId"),
 }

@@ -71,7 +71,8 @@ USER_DIM = T.StructType([_f("pk_user", _S), _f("ds_full_name", _S)])
 ARTIFACT = T.StructType([_f("kind", _S), _f("name", _S), _f("call_id", _S)])
 TRANSCRIPT = T.StructType([_f("call_id", _S), _f("text", _S), _f("language", _S)])
 RESPONSE = T.StructType([
-    _f("account_id", _S), _f("kind", _S), _f("run_date", T.DateType()), _f("text", _S),
+    _f("account_id", _S), _f("part_no", _L), _f("kind", _S), _f("run_date", T.DateType()),
+    _f("text", _S),
 ])
 
 # Outputs.
@@ -79,7 +80,8 @@ ACCOUNT_BUNDLE = T.StructType([
     _f("account_id", _S), _f("part_no", _L), _f("n_calls", _L), _f("bundle", _S),
 ])
 ACCOUNT_DIM = T.StructType([
-    _f("AccountId", _S), _f("ds_account", _S), _f("translation", _S), _f("summary", _S),
+    _f("AccountId", _S), _f("part_no", _L), _f("ds_account", _S), _f("translation", _S),
+    _f("summary", _S),
 ])
 
 # The driver's test tables read by the overlay, declared so that a read

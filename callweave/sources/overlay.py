@@ -171,19 +171,21 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str, run_date: _dt.date = RUN_DATE) -> DataFrame:
-    """Stand-in model responses keyed by account, padded with whitespace so
-    that stripping matters; summaries also exist for the previous run date."""
+    """Stand-in model responses keyed by (account, part), padded with
+    whitespace so that stripping matters; summaries also exist for the
+    previous run date. Every account has one part (0)."""
     d = _read(spark, sf_dir, "documents")
     key = _s("doc_id")
     today = F.lit(run_date)
     yesterday = F.lit(run_date - _dt.timedelta(days=1))
-    translation = d.select(key.alias("account_id"), F.lit("translation").alias("kind"),
+    part = F.lit(0).cast("bigint").alias("part_no")
+    translation = d.select(key.alias("account_id"), part, F.lit("translation").alias("kind"),
                            today.alias("run_date"),
                            F.concat(F.lit("\n\t "), F.col("text"), F.lit(" \n\n")).alias("text"))
-    summary = d.select(key.alias("account_id"), F.lit("summary").alias("kind"),
+    summary = d.select(key.alias("account_id"), part, F.lit("summary").alias("kind"),
                        today.alias("run_date"),
                        F.concat(F.lit("  "), F.col("lang"), F.lit(" summary, "),
                                 _s("n_chars"), F.lit(" chars\t\n")).alias("text"))
-    stale = d.select(key.alias("account_id"), F.lit("summary").alias("kind"),
+    stale = d.select(key.alias("account_id"), part, F.lit("summary").alias("kind"),
                      yesterday.alias("run_date"), F.lit("\tstale summary\n").alias("text"))
     return translation.unionByName(summary).unionByName(stale)

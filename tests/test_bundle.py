@@ -120,18 +120,20 @@ def test_keyed_texts_normalise_newlines(spark, tmp_path):
 def test_responses_strip_and_run_date(spark):
     day = dt.date(2025, 1, 6)
     resp = spark.createDataFrame([
-        ("A", "translation", day, "\n\t hello world \n"),
-        ("A", "summary", day, "  key points\t\n"),
-        ("A", "summary", day - dt.timedelta(days=1), "stale"),
-        ("B", "translation", day, "only translation"),
+        ("A", 0, "translation", day, "\n\t hello world \n"),
+        ("A", 0, "summary", day, "  key points\t\n"),
+        ("A", 0, "summary", day - dt.timedelta(days=1), "stale"),
+        ("A", 1, "translation", day, "part two "),
+        ("B", 0, "translation", day, "only translation"),
     ], schemas.RESPONSE)
     pairs = spark.createDataFrame([("A", "Acme"), ("B", "Beta"), ("C", "Gamma")],
                                   "AccountId string, ds_account string")
-    dim = {r.AccountId: (r.translation, r.summary)
+    dim = {(r.AccountId, r.part_no): (r.translation, r.summary)
            for r in inference.account_dim(pairs, resp, day).collect()}
-    assert dim == {"A": ("hello world", "key points"), "B": ("only translation", None),
-                   "C": (None, None)}
+    assert dim == {("A", 0): ("hello world", "key points"), ("A", 1): ("part two", None),
+                   ("B", 0): ("only translation", None), ("C", None): (None, None)}
     with pytest.raises(Exception):
         inference.account_dim(pairs, resp, day, strict=True).collect()
-    req = {r.account_id: r.user for r in inference.summary_requests(resp, pairs, day).collect()}
-    assert req == {"A": "hello world", "B": "only translation"}
+    req = {(r.account_id, r.part_no): r.user
+           for r in inference.summary_requests(resp, pairs, day).collect()}
+    assert req == {("A", 0): "hello world", ("A", 1): "part two", ("B", 0): "only translation"}

@@ -71,7 +71,7 @@ def test_keyed_texts_keep_earlier_dates(spark, tmp_path):
     path = str(tmp_path / "store")
     d1, d2 = dt.date(2025, 1, 5), dt.date(2025, 1, 6)
     rows = lambda day, txt: spark.createDataFrame(                          # noqa: E731
-        [("A", "summary", day, txt)], schemas.RESPONSE)
+        [("A", 0, "summary", day, txt)], schemas.RESPONSE)
     sinks.write_keyed_texts(rows(d1, "old"), path)
     sinks.write_keyed_texts(rows(d2, "new"), path)
     sinks.write_keyed_texts(rows(d2, "newer"), path)                      # replaces d2 only
