@@ -68,3 +68,18 @@ def complete_ingestion(spark: SparkSession, new_rows: DataFrame, results: DataFr
     rows = worklist.attach_language(new_rows, results)
     sinks.append_table(rows, history_table, fmt)
     return rows
+
+
+def store_transcripts(spark: SparkSession, results: DataFrame, table: str,
+                      fmt: str = "parquet") -> DataFrame:
+    """Keep transcription results per call (SNK-4): ``(call_id, text,
+    language)`` rows for calls not stored yet, appended -- a retried call
+    whose transcript is already held is not written twice. Returns the
+    appended rows."""
+    rows = results.select("call_id", "text", "language").where(F.col("text").isNotNull())
+    if spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)
+        rows = rows.join(spark.table(table).select("call_id"), "call_id", "left_anti")
+    rows = rows.dropDuplicates(["call_id"])
+    sinks.append_table(rows, table, fmt)
+    return rows
