@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from callweave.constants import BLOCK_SEP
 from callweave.functions.ids import extract_call_id
 from callweave.functions.text import call_header
-from callweave.operators.numbering import number_within
+from callweave.operators.numbering import MAX_GROUP_ROWS, number_within
 
 # A bundle is stored as ordered parts of at most this many calls, so that no
 # single value (or aggregation group) grows with an account's history.
@@ -29,9 +29,12 @@ def with_call_id(calls: DataFrame) -> DataFrame:
     return calls.withColumn("call_id", extract_call_id("aircall__Call_Recording__c"))
 
 
-def number_calls(calls: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Add ``call_no`` = 1..n per account in call order (SRT-1, WN-1)."""
-    return number_within(calls, "AccountId", call_order(), "call_no", num_partitions)
+def number_calls(calls: DataFrame, num_partitions: int | None = None,
+                 max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """Add ``call_no`` = 1..n per account in call order (SRT-1, WN-1);
+    accounts larger than ``max_group_rows`` are split across tasks."""
+    return number_within(calls, "AccountId", call_order(), "call_no", num_partitions,
+                         max_group_rows)
 
 
 def call_headers(numbered: DataFrame) -> DataFrame:
@@ -107,11 +110,12 @@ def account_pairs(calls: DataFrame) -> DataFrame:
 
 
 def turn_bundle(turns: DataFrame, key: str = "conv_id", order: Sequence[Column] | None = None,
-                per_part: int = CALLS_PER_PART, num_partitions: int | None = None) -> DataFrame:
+                per_part: int = CALLS_PER_PART, num_partitions: int | None = None,
+                max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """The same ordered bundle over a turn table (conv_id, turn, role, text):
     ``Turn #<n> - <role>`` headers, bodies in turn order."""
     order = list(order) if order else [F.col("turn").asc_nulls_last()]
-    numbered = number_within(turns, key, order, "turn_no", num_partitions)
+    numbered = number_within(turns, key, order, "turn_no", num_partitions, max_group_rows)
     piece = F.concat(F.lit("Turn #"), F.col("turn_no").cast("string"), F.lit(" - "),
                      F.coalesce(F.col("role"), F.lit("None")), F.lit(BLOCK_SEP),
                      F.coalesce(F.col("text"), F.lit("")), F.lit(BLOCK_SEP))

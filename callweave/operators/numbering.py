@@ -2,7 +2,11 @@
 
 ``row_number() OVER (PARTITION BY key ORDER BY ...)`` shuffles every row of
 a key to one task; if one account holds a third of all calls, that task
-sorts a third of the data alone. Instead:
+sorts a third of the data alone. So the size of the largest group is
+measured first (one partial aggregate, a single number back to the driver,
+the same kind of runtime check AQE makes before a broadcast). When no key
+holds more than ``max_group_rows`` rows, the plain window is used: one
+shuffle, bounded groups. Otherwise the hot keys are split:
 
 1. range-partition and sort by ``(key, order...)`` into a fixed number of
    partitions -- the sampled bounds split a hot key over many partitions;
@@ -30,15 +34,36 @@ from callweave.session import materialize
 
 _LOW_BITS = (1 << 33) - 1
 
+# Largest group one window task may number on its own (lean call rows:
+# a few hundred MB at most, and the window buffer spills).
+MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Row count of the biggest ``key`` group (0 for an empty frame)."""
+    top = df.groupBy(key).count().agg(F.max("count").alias("m")).first()
+    return int(top["m"] or 0)
+
 
 def number_within(df: DataFrame, key: str, order: Sequence[Column], out: str,
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None,
+                  max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Add ``out`` = 1, 2, ... within each ``key`` following ``order``.
 
     ``order`` are sort-order columns (e.g. ``F.col("ts").asc_nulls_last()``)
     and should make the order total (end with a unique column). NULL keys
-    form one group, like ``PARTITION BY``.
+    form one group, like ``PARTITION BY``. ``max_group_rows=None`` always
+    takes the split path.
     """
+    if max_group_rows is not None and largest_group(df, key) <= max_group_rows:
+        w = Window.partitionBy(key).orderBy(*order)
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    return _number_split(df, key, order, out, num_partitions)
+
+
+def _number_split(df: DataFrame, key: str, order: Sequence[Column], out: str,
+                  num_partitions: int | None) -> DataFrame:
+    """Steps 1-5 above: range split, tag, per-partition stats, offsets."""
     spark = df.sparkSession
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(key).asc_nulls_first(), *order]

@@ -56,6 +56,8 @@ def test_cohort_and_numbering(spark, crm):
     assert calls.count() == 5
     headed = bundle.call_headers(bundle.number_calls(calls, num_partitions=3))
     got = {r.Id: (r.call_no, r.call_id, r.header) for r in headed.collect()}
+    split = bundle.call_headers(bundle.number_calls(calls, num_partitions=3, max_group_rows=1))
+    assert {r.Id: (r.call_no, r.call_id, r.header) for r in split.collect()} == got
     assert [got[i][0] for i in ("t3", "t0", "t1", "t2")] == [1, 2, 3, 4]
     assert got["t3"][1] is None                                     # no calls/<digits>
     assert got["t0"][2] == "Call #2 - 2024-08-02 00:00:00, duration 60 seconds with Uma"
@@ -88,7 +90,9 @@ def test_numbering_hot_key_matches_row_number(spark):
     rows += [(None, 5, 3000 + i) for i in range(20)]                   # NULL key group
     df = spark.createDataFrame(rows, "k string, ts int, id int")
     order = [F.col("ts").asc_nulls_last(), F.col("id").asc()]
-    ours = number_within(df, "k", order, "n", num_partitions=8)
+    ours = number_within(df, "k", order, "n", num_partitions=8, max_group_rows=100)
+    plan = ours._jdf.queryExecution().executedPlan().toString()
+    assert "numbered-n-" in plan                  # split path: reads the written, tagged table
     ref = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
     as_map = lambda d: {r.id: (r.k, r.n) for r in d.collect()}        # noqa: E731
     assert as_map(ours) == as_map(ref)

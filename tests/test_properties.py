@@ -32,11 +32,13 @@ def test_bundle_has_one_header_per_call(spark):
         assert [int(h) for h in headers] == list(range(1, r.n_calls + 1))
 
 
-@pytest.mark.parametrize("parts", [1, 3, 13])
-def test_bundle_invariant_to_partitioning(spark, parts):
+@pytest.mark.parametrize("parts,split", [(1, False), (3, True), (13, True), (13, False)])
+def test_bundle_invariant_to_partitioning(spark, parts, split):
     calls = bundle.with_call_id(catalogue.icp_calls(spark, SF)).repartition(parts)
     texts = overlay.transcripts(spark, SF)
-    headed = bundle.call_headers(bundle.number_calls(calls, num_partitions=parts))
+    limit = 2 if split else bundle.MAX_GROUP_ROWS
+    headed = bundle.call_headers(bundle.number_calls(calls, num_partitions=parts,
+                                                     max_group_rows=limit))
     got = {(r.account_id, r.part_no): r.bundle for r in bundle.account_bundle(headed, texts).collect()}
     base = {(r.account_id, r.part_no): r.bundle for r in catalogue.account_bundle(spark, SF).collect()}
     assert got == base
