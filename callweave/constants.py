@@ -17,6 +17,8 @@ AUDIO_EXT = ".mp3"
 TEXT_EXT = ".txt"
 # Call id embedded in a CRM recording URL.
 CALL_ID_PATTERN = r"calls/(\d+)"
+# Header line written before each call's transcript in a bundle.
+CALL_HEADER_FORMAT = "Call #{call_no} - {created}, duration {duration} seconds with {agent}"
 # Separator after a header and after a transcript inside a bundle.
 BLOCK_SEP = "\n\n"
 # Speech-to-text request.

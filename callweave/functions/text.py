@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from callweave.constants import MISSING_DATE, MISSING_NAME, MISSING_NUMBER, NULL_SENTINEL
+from callweave.constants import (CALL_HEADER_FORMAT, MISSING_DATE, MISSING_NAME, MISSING_NUMBER,
+                                 NULL_SENTINEL)
 
 
 def _c(col) -> Column:
@@ -39,17 +42,30 @@ def null_to_sentinel(col, sentinel: str = NULL_SENTINEL) -> Column:
     return F.coalesce(_c(col).cast("string"), F.lit(sentinel))
 
 
-def call_header(call_no, created, duration, agent) -> Column:
-    """``Call #<n> - <created>, duration <secs> seconds with <agent>``.
+def render(fmt: str, **values) -> Column:
+    """Fill a fixed ``{name}`` format with columns: the format is split once
+    on the driver into literal pieces and placeholders, and the row value is
+    a single ``concat`` (no per-row parsing, no chained replaces)."""
+    parts = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", fmt)):
+        if i % 2 == 0:
+            if piece:
+                parts.append(F.lit(piece))
+        else:
+            parts.append(values[piece])
+    return F.concat(*parts)
 
-    Every part is cast and coalesced so a missing value prints a
-    placeholder instead of nulling the whole header.
-    """
-    return F.concat(
-        F.lit("Call #"), _c(call_no).cast("string"),
-        F.lit(" - "), F.coalesce(_c(created).cast("string"), F.lit(MISSING_DATE)),
-        F.lit(", duration "), F.coalesce(_c(duration).cast("string"), F.lit(MISSING_NUMBER)),
-        F.lit(" seconds with "), F.coalesce(_c(agent).cast("string"), F.lit(MISSING_NAME)),
+
+def call_header(call_no, created, duration, agent) -> Column:
+    """The per-call header line (``CALL_HEADER_FORMAT``). Every value is
+    cast and coalesced, so a missing one prints a placeholder instead of
+    nulling the whole header."""
+    return render(
+        CALL_HEADER_FORMAT,
+        call_no=_c(call_no).cast("string"),
+        created=F.coalesce(_c(created).cast("string"), F.lit(MISSING_DATE)),
+        duration=F.coalesce(_c(duration).cast("string"), F.lit(MISSING_NUMBER)),
+        agent=F.coalesce(_c(agent).cast("string"), F.lit(MISSING_NAME)),
     )
 
 

@@ -50,10 +50,16 @@ def save_bundles(b: Bundled, texts_path: str, run_date: _dt.date) -> None:
     sinks.write_keyed_texts(rows, texts_path)
 
 
+def account_dim(calls: DataFrame, responses: DataFrame, run_date: _dt.date,
+                strict: bool = False) -> DataFrame:
+    """The account dimension of the cohort calls from this run's responses."""
+    return inference.account_dim(bundle.account_pairs(calls), responses, run_date, strict)
+
+
 def publish_dim(calls: DataFrame, responses: DataFrame, run_date: _dt.date, table: str,
                 strict: bool = False, fmt: str = "parquet") -> DataFrame:
-    """Replace the account dimension from this run's responses (SNK-3)."""
-    dim = inference.account_dim(bundle.account_pairs(calls), responses, run_date, strict)
+    """Replace the account dimension table (SNK-3)."""
+    dim = account_dim(calls, responses, run_date, strict)
     sinks.replace_table(dim, table, fmt)
     return dim
 
