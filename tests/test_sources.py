@@ -50,3 +50,18 @@ def test_bucketed_transcripts_shuffle_only_the_call_side(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16MB")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
+
+
+def test_task_scan_prunes_columns_and_pushes_the_sentinel_filter(spark, tmp_path):
+    from callweave.operators import cohort
+    from callweave.sources import crm, overlay
+    from conftest import SF_SMALL
+
+    wide = overlay.tasks(spark, SF_SMALL).withColumn("Description", F.lit("x" * 50))
+    wide.write.mode("overwrite").saveAsTable("t_crm_task")
+    calls = cohort.recorded_tasks(crm.read_tasks(spark, "t_crm_task"))
+    plan = calls._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
+    assert "Description" not in scan.split("ReadSchema")[-1]
+    assert "IsNotNull(aircall__Call_Recording__c)" in scan
+    assert "Not(EqualTo(aircall__Call_Recording__c,null))" in scan
