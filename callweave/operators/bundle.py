@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from callweave.constants import BLOCK_SEP
 from callweave.functions.ids import extract_call_id
 from callweave.functions.text import call_header
+from callweave.operators.joins import restrict_to_keys
 from callweave.operators.numbering import MAX_GROUP_ROWS, number_within
 
 # A bundle is stored as ordered parts of at most this many calls, so that no
@@ -72,13 +73,16 @@ def account_bundle(headed: DataFrame, transcripts: DataFrame, on_missing: str =
     """``header + sep + transcript + sep`` per call, concatenated per account
     in call order (JN-7, AG-5) -> (account_id, part_no, n_calls, bundle).
 
+    Only the transcripts of these calls are read into the join (see
+    ``joins.restrict_to_keys``), so the transcript store is not shuffled.
     ``on_missing``: ``empty`` -- a call without transcript (or without call
     id) contributes an empty body; ``drop`` -- it is left out but keeps its
     number; ``fail`` -- the job fails on a call id without transcript.
     """
     if on_missing not in ON_MISSING:
         raise ValueError(f"on_missing must be one of {ON_MISSING}")
-    body = transcripts.select(F.col("call_id").alias("_cid"), F.col("text").alias("_body"))
+    needed = restrict_to_keys(transcripts, "call_id", headed, "call_id")
+    body = needed.select(F.col("call_id").alias("_cid"), F.col("text").alias("_body"))
     how = "inner" if on_missing == "drop" else "left"
     joined = headed.join(body, headed["call_id"] == body["_cid"], how)
     text = F.coalesce(F.col("_body"), F.lit(""))

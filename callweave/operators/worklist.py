@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.constants import NULL_SENTINEL
+from callweave.operators.joins import restrict_to_keys
 
 
 def held_keys(artifacts: DataFrame, kind: str) -> DataFrame:
@@ -19,19 +20,23 @@ def download_worklist(recorded: DataFrame, artifacts: DataFrame) -> DataFrame:
 
     A hash left-anti join instead of a per-row list scan; a NULL id has no
     match and is kept, as a membership test on the string would keep it.
+    The manifest is first cut to the ids of this pull (see ``joins``).
     """
-    held = artifacts.where(F.col("kind") == "audio").select("call_id")
-    return recorded.join(held, recorded["id"].cast("string") == held["call_id"], "left_anti")
+    rid = recorded["id"].cast("string")
+    held = restrict_to_keys(artifacts.where(F.col("kind") == "audio").select("call_id"),
+                            "call_id", recorded, rid)
+    return recorded.join(held, rid == held["call_id"], "left_anti")
 
 
 def artifact_status(calls: DataFrame, artifacts: DataFrame, key: str = "call_id") -> DataFrame:
     """Add ``has_audio`` / ``has_transcript`` flags per call (JN-5).
 
-    The manifest is folded to one row per call id first (partial aggregate,
-    so a hot id costs one row per map task), then joined once -- instead of
-    one join per artifact kind.
+    The manifest is cut to the calls' ids, folded to one row per call id
+    (partial aggregate, so a hot id costs one row per map task), then joined
+    once -- instead of one join per artifact kind.
     """
-    flags = (artifacts.groupBy(F.col("call_id").alias("_fk"))
+    relevant = restrict_to_keys(artifacts, "call_id", calls, key)
+    flags = (relevant.groupBy(F.col("call_id").alias("_fk"))
              .agg(F.max(F.col("kind") == "audio").alias("_a"),
                   F.max(F.col("kind") == "transcript").alias("_t")))
     joined = calls.join(flags, calls[key] == flags["_fk"], "left")
@@ -44,9 +49,12 @@ def artifact_status(calls: DataFrame, artifacts: DataFrame, key: str = "call_id"
 def attach_language(new_rows: DataFrame, results: DataFrame,
                     sentinel: str = NULL_SENTINEL) -> DataFrame:
     """Attach the detected language by call id; ``sentinel`` when the
-    transcription produced none (JN-6, INF-2). Keyed, not positional."""
+    transcription produced none (JN-6, INF-2). Keyed, not positional.
+    ``results`` are the outputs of this run's transcription step -- as small
+    as the new rows themselves -- so they are joined directly."""
+    rid = new_rows["id"].cast("string")
     res = results.select(F.col("call_id").alias("_cid"), F.col("language").alias("_lang"))
-    joined = new_rows.join(res, new_rows["id"].cast("string") == res["_cid"], "left")
+    joined = new_rows.join(res, rid == res["_cid"], "left")
     return joined.withColumn("language", F.coalesce(F.col("_lang"), F.lit(sentinel))) \
                  .drop("_cid", "_lang")
 
@@ -60,14 +68,17 @@ def append_history(history: DataFrame, new_rows: DataFrame,
     that overlaps the last one appends nothing twice.
     """
     if dedupe_on:
-        new_rows = new_rows.join(history.select(dedupe_on), dedupe_on, "left_anti")
+        seen = restrict_to_keys(history.select(dedupe_on), dedupe_on, new_rows, dedupe_on)
+        new_rows = new_rows.join(seen, dedupe_on, "left_anti")
     return history.unionByName(new_rows, allowMissingColumns=True)
 
 
 def run_counts(recorded: DataFrame, artifacts: DataFrame) -> DataFrame:
     """One row: recorded calls and how many of them need a download (AG-4)."""
-    held = held_keys(artifacts, "audio").withColumn("_held", F.lit(True))
-    flagged = recorded.join(held, recorded["id"].cast("string") == held["call_id"], "left")
+    rid = recorded["id"].cast("string")
+    audio = restrict_to_keys(artifacts, "call_id", recorded, rid)
+    held = held_keys(audio, "audio").withColumn("_held", F.lit(True))
+    flagged = recorded.join(held, rid == held["call_id"], "left")
     return flagged.agg(
         F.count(F.lit(1)).alias("n_recorded"),
         F.count_if(F.col("_held").isNull()).alias("n_to_download"),
