@@ -107,3 +107,22 @@ def test_plan_guards(spark, name):
         assert node not in plan, f"{name} plans {node}"
     if "FileScan parquet" in plan:
         assert "ReadSchema" in plan
+
+
+def _final_plan(df):
+    qe = df._jdf.queryExecution()
+    qe.executedPlan().execute().count()            # run this plan so AQE finalises it
+    return qe.executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_bundle_final_plan_shape(spark):
+    from conftest import SF_ORACLE
+
+    plan = _final_plan(QUERIES["account_bundle"](spark, SF_ORACLE))
+    # one account-keyed exchange: the window's partitioning also serves the aggregation
+    assert plan.count("Exchange hashpartitioning(AccountId") == 1
+    # the transcript store is filtered by broadcast keys inside its scan stage, not shuffled
+    lines = plan.splitlines()
+    semi = next(i for i, ln in enumerate(lines) if "LeftSemi" in ln and "_rk" in ln)
+    scan = next(i for i in range(semi, len(lines)) if "documents" in lines[i])
+    assert not any("Exchange hashpartitioning" in ln for ln in lines[semi:scan])
