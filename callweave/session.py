@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 # well-compressed text columns cannot slip under the bound on their
 # compressed size. At runtime AQE measures the actual shuffle output and
 # broadcasts a side under 64MB; everything else stays a sort-merge join,
-# whose skewed partitions AQE splits.
+# whose skewed partitions AQE splits -- also when the split costs one more
+# shuffle downstream (a key holding a third of the rows is worth it).
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.autoBroadcastJoinThreshold": "16MB",
     "spark.sql.sources.fileCompressionFactor": "4.0",

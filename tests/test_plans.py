@@ -126,3 +126,37 @@ def test_bundle_final_plan_shape(spark):
     semi = next(i for i, ln in enumerate(lines) if "LeftSemi" in ln and "_rk" in ln)
     scan = next(i for i in range(semi, len(lines)) if "documents" in lines[i])
     assert not any("Exchange hashpartitioning" in ln for ln in lines[semi:scan])
+
+
+def test_hot_account_join_is_split(spark):
+    """A cohort join where one account holds 40% of the calls: with the skew
+    thresholds scaled down to this data, AQE splits the hot partition."""
+    from callweave import schemas
+    from callweave.operators import cohort
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = [(f"t{i}", "HOT" if i % 5 < 2 else f"a{i % 400}", f"https://h/calls/{i}/r")
+                for i in range(20000)]
+        tasks = spark.createDataFrame(rows, "Id string, AccountId string, rec string").select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("Id", "AccountId")
+              else F.col(f.name) for f in schemas.TASK.fields[:7]],
+            F.col("rec").alias("aircall__Call_Recording__c"),
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.TASK.fields[8:]])
+        accounts = spark.createDataFrame([("HOT", "Hot")] + [(f"a{i}", f"A{i}") for i in range(400)],
+                                         "pk_account string, ds_account string")
+        users = spark.createDataFrame([("u", "U")], schemas.USER_DIM)
+        calls = cohort.icp_calls(tasks, users, accounts)
+        plan = _final_plan(calls)
+        assert "isSkew=true" in plan or "skew=true" in plan
+        assert calls.count() == 20000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
