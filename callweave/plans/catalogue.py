@@ -36,7 +36,7 @@ def recorded_calls(spark, sf_dir):
 
 
 def lookback_calls(spark, sf_dir):
-    newest = overlay._read(spark, sf_dir, "events").select(F.max("ts")).scalar()
+    newest = overlay.read_table(spark, sf_dir, "events").select(F.max("ts")).scalar()
     return ingest.lookback_calls(flatten_calls(spark, sf_dir), as_of=newest)
 
 
@@ -94,7 +94,7 @@ def call_id_extract(spark, sf_dir):
 
 
 def page_call_ids(spark, sf_dir):
-    pages = overlay._read(spark, sf_dir, "pages")
+    pages = overlay.read_table(spark, sf_dir, "pages")
     return pages.select("page_id", "url", extract_call_id("url").alias("call_id"))
 
 
@@ -128,7 +128,7 @@ def account_pairs(spark, sf_dir):
 
 
 def conversation_bundle(spark, sf_dir):
-    return bundle.turn_bundle(overlay._read(spark, sf_dir, "conversations"))
+    return bundle.turn_bundle(overlay.read_table(spark, sf_dir, "conversations"))
 
 
 # ------------------------------------------------------------- artifacts

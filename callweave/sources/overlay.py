@@ -38,7 +38,8 @@ ACCOUNT_EPOCH = "2024-01-01 00:00:00"
 URL_HOST = "https://host.example"
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table, read with its declared schema (no inference job)."""
     reader = spark.read
     if name in DRIVER_TABLES:
         reader = reader.schema(DRIVER_TABLES[name])
@@ -52,7 +53,7 @@ def _s(col: str) -> Column:
 # --------------------------------------------------------------------- feed
 def feed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested call struct per event (column ``call``) plus its page no."""
-    ev = _read(spark, sf_dir, "events")
+    ev = read_table(spark, sf_dir, "events")
     start = timestamp_to_epoch(F.col("ts"))
     number_id = (F.col("user_id") / 25).cast("bigint")
     user = F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.struct(
@@ -92,7 +93,7 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------------- CRM
 def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders")
     key = _s("o_orderkey")
     recording = (F.when(F.col("o_orderstatus") == "P", F.lit("null"))
                  .when(F.col("o_orderstatus") == "F", F.lit(None).cast("string"))
@@ -123,13 +124,13 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders")
     return o.select(_s("o_custkey").alias("fk_account"),
                     (F.col("o_orderpriority") == "1-URGENT").alias("flg_is_from_pro_form"))
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _read(spark, sf_dir, "customer")
+    c = read_table(spark, sf_dir, "customer")
     created = F.timestamp_add("DAY", ((F.col("c_custkey") * 7) % 365).cast("int"),
                               F.lit(ACCOUNT_EPOCH).cast("timestamp_ntz"))
     return c.select(_s("c_custkey").alias("pk_account"), F.col("c_name").alias("ds_account"),
@@ -137,21 +138,21 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _read(spark, sf_dir, "supplier")
+    s = read_table(spark, sf_dir, "supplier")
     return s.select(_s("s_suppkey").alias("pk_user"), F.col("s_name").alias("ds_full_name"))
 
 
 # ------------------------------------------------------------- keyed stores
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _read(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents")
     return d.select(_s("doc_id").alias("call_id"), F.col("text"), F.col("lang").alias("language"))
 
 
 def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of held files: audio <- labels, transcripts <- documents."""
-    audio = _read(spark, sf_dir, "labels").select(
+    audio = read_table(spark, sf_dir, "labels").select(
         F.lit("audio").alias("kind"), F.concat(_s("doc_id"), F.lit(AUDIO_EXT)).alias("name"))
-    text = _read(spark, sf_dir, "documents").select(
+    text = read_table(spark, sf_dir, "documents").select(
         F.lit("transcript").alias("kind"), F.concat(_s("doc_id"), F.lit(TEXT_EXT)).alias("name"))
     both = audio.unionByName(text)
     ext = F.when(F.col("kind") == "audio", F.lit(AUDIO_EXT)).otherwise(F.lit(TEXT_EXT))
@@ -174,7 +175,7 @@ def responses(spark: SparkSession, sf_dir: str, run_date: _dt.date = RUN_DATE) -
     """Stand-in model responses keyed by (account, part), padded with
     whitespace so that stripping matters; summaries also exist for the
     previous run date. Every account has one part (0)."""
-    d = _read(spark, sf_dir, "documents")
+    d = read_table(spark, sf_dir, "documents")
     key = _s("doc_id")
     today = F.lit(run_date)
     yesterday = F.lit(run_date - _dt.timedelta(days=1))
