@@ -20,6 +20,7 @@ from callweave import sinks
 from callweave.constants import AUDIO_EXT, LOOKBACK_DAYS, TRANSCRIBE_FORMAT, TRANSCRIBE_MODEL
 from callweave.functions.ids import artifact_path
 from callweave.operators import ingest, worklist
+from callweave.operators.joins import restrict_to_keys
 from callweave.session import materialize
 from callweave.sources.feed import read_pages
 
@@ -48,7 +49,8 @@ def prepare_ingestion(spark: SparkSession, pages_path: str, artifacts: DataFrame
     if history_table and spark.catalog.tableExists(history_table):
         # A call that stays inside the overlapping look-back window is not
         # appended twice (D3): drop ids the history already has.
-        new_rows = new_rows.join(spark.table(history_table).select("id"), "id", "left_anti")
+        seen = restrict_to_keys(spark.table(history_table).select("id"), "id", new_rows, "id")
+        new_rows = new_rows.join(seen, "id", "left_anti")
     new_rows = materialize(new_rows, "ingest-new-rows")
     requests = new_rows.select(
         F.col("id").cast("string").alias("call_id"),
@@ -79,7 +81,8 @@ def store_transcripts(spark: SparkSession, results: DataFrame, table: str,
     rows = results.select("call_id", "text", "language").where(F.col("text").isNotNull())
     if spark.catalog.tableExists(table):
         spark.catalog.refreshTable(table)
-        rows = rows.join(spark.table(table).select("call_id"), "call_id", "left_anti")
+        held = restrict_to_keys(spark.table(table).select("call_id"), "call_id", rows, "call_id")
+        rows = rows.join(held, "call_id", "left_anti")
     rows = rows.dropDuplicates(["call_id"])
     sinks.append_table(rows, table, fmt)
     return rows

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from callweave import sinks
 from callweave.operators import ingest, worklist
+from callweave.operators.joins import restrict_to_keys
 from callweave.sources.feed import read_pages_stream
 
 
@@ -37,7 +38,8 @@ def start_landing_ingest(spark: SparkSession, landing_dir: str, artifacts: DataF
         rows = pending_rows(batch, artifacts).dropDuplicates(["id"])
         if session.catalog.tableExists(pending_table):
             session.catalog.refreshTable(pending_table)
-            rows = rows.join(session.table(pending_table).select("id"), "id", "left_anti")
+            seen = restrict_to_keys(session.table(pending_table).select("id"), "id", rows, "id")
+            rows = rows.join(seen, "id", "left_anti")
         sinks.append_table(rows, pending_table, fmt)
 
     stream = read_pages_stream(spark, landing_dir)
