@@ -141,3 +141,32 @@ def test_responses_strip_and_run_date(spark):
     req = {(r.account_id, r.part_no): r.user
            for r in inference.summary_requests(resp, pairs, day).collect()}
     assert req == {("A", 0): "hello world", ("A", 1): "part two", ("B", 0): "only translation"}
+
+
+def test_hot_account_bundle_matches_brute_force(spark):
+    """One account with 3,000 calls (plus small ones), split numbering path,
+    parts of 256: the parts in order equal the whole bundle built in Python."""
+    rnd = random.Random(3)
+    rows = []
+    for i in range(3000):
+        day = rnd.randrange(1, 28)
+        rows.append(task(f"h{i:05d}", "HOT", f"https://h/calls/{i}/r", TS(2024, 8, day), duration=i))
+    for i in range(40):
+        rows.append(task(f"s{i:03d}", f"S{i % 4}", f"https://h/calls/{9000 + i}/r", TS(2024, 9, 1)))
+    calls = bundle.with_call_id(spark.createDataFrame(rows, schemas.TASK)
+                                .withColumn("ds_full_name", F.lit("Uma"))
+                                .withColumn("ds_account", F.lit("Acme")))
+    texts = spark.createDataFrame([(str(i), f"text {i}", "de") for i in range(0, 3000, 3)],
+                                  schemas.TRANSCRIPT)
+    headed = bundle.call_headers(bundle.number_calls(calls, num_partitions=6, max_group_rows=500))
+    parts = sorted((r.part_no, r.n_calls, r.bundle)
+                   for r in bundle.account_bundle(headed, texts).collect() if r.account_id == "HOT")
+    assert [p[0] for p in parts] == list(range(12)) and sum(p[1] for p in parts) == 3000
+    assert max(p[1] for p in parts) == 256
+
+    order = sorted(rows[:3000], key=lambda t: (t[15], t[0]))          # CreatedDate, Id
+    body = {str(i): f"text {i}" for i in range(0, 3000, 3)}
+    expect = "".join(
+        f"Call #{n} - {t[15]:%Y-%m-%d %H:%M:%S}, duration {t[13]} seconds with Uma\n\n"
+        f"{body.get(t[7].split('/')[4], '')}\n\n" for n, t in enumerate(order, 1))
+    assert "".join(p[2] for p in parts) == expect
