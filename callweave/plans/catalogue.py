@@ -164,13 +164,14 @@ def summary_requests(spark, sf_dir):
 
 
 def strip_text(spark, sf_dir):
-    return inference.strip_responses(overlay.responses(spark, sf_dir))
+    stripped = inference.strip_responses(overlay.responses(spark, sf_dir))
+    return stripped.select("account_id", "part_no", "kind", "text")
 
 
 def run_date(spark, sf_dir):
     r = overlay.responses(spark, sf_dir).where(F.col("kind") == "summary")
     day = run_date_string("run_date")
-    return r.select("account_id", "run_date", day.alias("run_dir"),
+    return r.select("account_id", day.alias("run_dir"),
                     F.concat(F.lit(SUMMARY_DIR + "/"), day, F.lit("/"),
                              F.col("account_id"), F.lit(TEXT_EXT)).alias("path"))
 

@@ -243,9 +243,9 @@ ORACLE_SQL: dict[str, str] = {
         f"{_lit(SUMMARY_TEMPLATE)} AS system, text AS user "
         f"FROM resp_clean WHERE kind = 'translation' AND run_date = {DAY} "
         "AND account_id IN (SELECT AccountId FROM pairs)"),
-    "strip_text": _crm("SELECT * FROM resp_clean"),
+    "strip_text": _crm("SELECT account_id, part_no, kind, text FROM resp_clean"),
     "run_date": _crm(
-        "SELECT account_id, run_date, strftime(run_date, '%Y-%m-%d') AS run_dir, "
+        "SELECT account_id, strftime(run_date, '%Y-%m-%d') AS run_dir, "
         f"'{SUMMARY_DIR}/' || strftime(run_date, '%Y-%m-%d') || '/' || account_id || '.txt' AS path "
         "FROM resp_clean WHERE kind = 'summary'"),
     "account_dim": _crm(
