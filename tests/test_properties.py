@@ -75,3 +75,16 @@ def test_cohort_sql_form_matches_dataframe_form(spark):
 def test_lookback_default_is_now(spark):
     flat = spark.createDataFrame([(1, 0)], "id bigint, started_at bigint")
     assert ingest.lookback_calls(flat).count() == 0          # 1970 is outside any window
+
+
+def test_dimension_keys_unique_so_joins_do_not_fan_out(spark):
+    """D8: duplicate user or account keys would duplicate calls and inflate
+    call numbers; the dimensions are unique and the cohort join keeps each
+    recorded task of a cohort account exactly once."""
+    users, accounts = overlay.users(spark, SF), overlay.accounts(spark, SF)
+    assert users.groupBy("pk_user").count().where("count > 1").count() == 0
+    assert accounts.groupBy("pk_account").count().where("count > 1").count() == 0
+    icp = catalogue.icp_calls(spark, SF)
+    cohort_ids = catalogue.cohort_accounts(spark, SF).select(F.col("pk_account").alias("AccountId"))
+    expected = catalogue.recorded_tasks(spark, SF).join(cohort_ids, "AccountId", "left_semi")
+    assert icp.count() == expected.count() == icp.select("Id").distinct().count()
