@@ -58,7 +58,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="callweave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        # lets callers use DataFrame.checkpoint(); the library itself writes
+        # parquet there (materialize). Not available over Spark Connect.
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001
+        pass
     return path
 
 
