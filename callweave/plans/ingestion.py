@@ -49,6 +49,7 @@ def prepare_ingestion(spark: SparkSession, pages_path: str, artifacts: DataFrame
     if history_table and spark.catalog.tableExists(history_table):
         # A call that stays inside the overlapping look-back window is not
         # appended twice (D3): drop ids the history already has.
+        spark.catalog.refreshTable(history_table)
         seen = restrict_to_keys(spark.table(history_table).select("id"), "id", new_rows, "id")
         new_rows = new_rows.join(seen, "id", "left_anti")
     new_rows = materialize(new_rows, "ingest-new-rows")
@@ -83,6 +84,8 @@ def store_transcripts(spark: SparkSession, results: DataFrame, table: str,
         spark.catalog.refreshTable(table)
         held = restrict_to_keys(spark.table(table).select("call_id"), "call_id", rows, "call_id")
         rows = rows.join(held, "call_id", "left_anti")
-    rows = rows.dropDuplicates(["call_id"])
+    # written first: the returned rows must not be re-derived from the
+    # table they are appended to
+    rows = materialize(rows.dropDuplicates(["call_id"]), "transcripts-new")
     sinks.append_table(rows, table, fmt)
     return rows

@@ -23,8 +23,9 @@ def test_list_artifacts_reads_names_only(spark, tmp_path):
 def test_store_transcripts_appends_once(spark):
     res = spark.createDataFrame([("1", "hallo", "de"), ("2", None, None), ("1", "hallo", "de")],
                                 schemas.TRANSCRIPT)
-    ingestion.store_transcripts(spark, res, "t_transcripts")
-    ingestion.store_transcripts(spark, res, "t_transcripts")
+    first = ingestion.store_transcripts(spark, res, "t_transcripts")
+    again = ingestion.store_transcripts(spark, res, "t_transcripts")
+    assert first.count() == 1 and again.count() == 0
     spark.catalog.refreshTable("t_transcripts")
     assert [(r.call_id, r.text) for r in spark.table("t_transcripts").collect()] == [("1", "hallo")]
 
