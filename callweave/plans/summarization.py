@@ -30,13 +30,16 @@ def build_bundles(tasks: DataFrame, opportunities: DataFrame, accounts: DataFram
                   users: DataFrame, transcripts: DataFrame, artifacts: DataFrame,
                   cutoff: str = COHORT_CUTOFF, per_part: int = bundle.CALLS_PER_PART,
                   on_missing: str = "empty", audio_folder: str = "audio") -> Bundled:
-    """The cohort calls are read by four consumers (numbering, names,
-    artifact status, pairs), so they are written once and read back."""
+    """The cohort calls (read by numbering, artifact status and the account
+    pairs) and the bundles (read by the translation requests and by
+    ``save_bundles``) are each written once and read back, so neither the
+    cohort joins nor the numbering and ordered concatenation run twice."""
     accs = cohort.cohort_accounts(accounts, opportunities, cutoff)
     calls = materialize(bundle.with_call_id(cohort.icp_calls(tasks, users, accs)), "icp-calls")
     status = worklist.artifact_status(calls, artifacts)
     headed = bundle.call_headers(bundle.number_calls(calls))
-    bundles = bundle.account_bundle(headed, transcripts, on_missing, per_part)
+    bundles = materialize(bundle.account_bundle(headed, transcripts, on_missing, per_part),
+                          "bundles")
     names = bundle.names_from_numbered(headed)
     return Bundled(calls, status, inference.transcribe_requests(status, audio_folder),
                    bundles, inference.translate_requests(bundles, names))
