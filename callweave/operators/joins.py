@@ -9,7 +9,8 @@ the store rows whose key the driving side needs.
 
 The decision is made on a measured size, before the store is touched: the
 distinct keys of the driving side (a partial aggregate) are written once
-under ``spark.checkpoint.dir`` and counted from the written files. Up to
+under ``spark.checkpoint.dir`` and counted while they are written (an
+observed metric of that same job). Up to
 ``MAX_BROADCAST_KEYS`` keys they are broadcast -- a proven bound -- and the
 store is filtered inside its own scan, never shuffled. Beyond it the store
 is returned whole and the real join shuffles it once, as it would anyway.
@@ -20,7 +21,7 @@ key side turns out small.)
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from callweave.session import materialize
@@ -43,9 +44,11 @@ def restrict_to_keys(store: DataFrame, store_key, driving: DataFrame, driving_ke
     Keys may be column names or expressions over each frame (e.g. a cast).
     NULL keys never match and are not shipped.
     """
+    seen = Observation("join-keys")
     keys = (driving.select(_col(driving, driving_key).alias("_rk"))
-            .where(F.col("_rk").isNotNull()).distinct())
+            .where(F.col("_rk").isNotNull()).distinct()
+            .observe(seen, F.count(F.lit(1)).alias("n")))
     keys = materialize(keys, "join-keys")
-    if keys.count() > max_keys:
+    if seen.get["n"] > max_keys:
         return store
     return store.join(F.broadcast(keys), _col(store, store_key) == keys["_rk"], "left_semi")

@@ -79,4 +79,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/callweave/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # read back with the schema just written: no footer-inference job
+    return spark.read.schema(df.schema).parquet(path)
