@@ -16,6 +16,9 @@ shuffle, bounded groups. Otherwise the hot keys are split:
 4. per key, the running sum of counts over earlier partitions (a window
    over that small table: at most ``num_partitions`` rows per key);
 5. join it back and add: number = position - first + 1 + earlier rows.
+   The offsets are written once and counted while written; up to
+   ``MAX_BROADCAST_KEYS`` rows they are broadcast (a proven bound), so the
+   tagged rows are not shuffled again; beyond it the join is sort-merge.
 
 Steps 1-2 are written once as a table under ``spark.checkpoint.dir``
 (steps 3 and 5 both read it). Without that, column pruning gives the two
@@ -27,9 +30,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from callweave.operators.joins import MAX_BROADCAST_KEYS
 from callweave.session import materialize
 
 _LOW_BITS = (1 << 33) - 1
@@ -81,6 +85,10 @@ def _number_split(df: DataFrame, key: str, order: Sequence[Column], out: str,
     earlier = Window.partitionBy("_k").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.select("_k", "_p", (F.coalesce(F.sum("_n").over(earlier), F.lit(0))
                                       - F.col("_first")).alias("_base"))
+    counted = Observation("numbering-offsets")
+    stats = materialize(stats.observe(counted, F.count(F.lit(1)).alias("n")), f"offsets-{out}")
+    if counted.get["n"] <= MAX_BROADCAST_KEYS:
+        stats = F.broadcast(stats)
 
     cond = tagged[key].eqNullSafe(stats["_k"]) & (tagged["_pid"] == stats["_p"])
     joined = tagged.join(stats, cond, "inner")
