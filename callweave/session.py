@@ -48,16 +48,25 @@ def build_session(master: str = "local[*]", app: str = "callweave",
     return spark
 
 
+_PRIVATE_DIRS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names shared storage and is only read here.
-    Only when it is unset (local tests) do we pick a private folder.
+    Only when it is unset (local tests) is a private folder used, one per
+    application; the setting itself is a startup option and is not changed.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="callweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            app = spark.sparkContext.applicationId
+        except Exception:  # noqa: BLE001  (no SparkContext over Spark Connect)
+            app = str(id(spark))
+        if app not in _PRIVATE_DIRS:
+            _PRIVATE_DIRS[app] = tempfile.mkdtemp(prefix="callweave-ckpt-")
+        path = _PRIVATE_DIRS[app]
     try:
         # lets callers use DataFrame.checkpoint(); the library itself writes
         # parquet there (materialize). Not available over Spark Connect.

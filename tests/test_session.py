@@ -1,20 +1,74 @@
 """Intermediate tables go to the folder the session names in spark.checkpoint.dir."""
 
+from callweave import session
 from callweave.session import ensure_checkpoint_dir, materialize
 
 
-def test_materialize_uses_the_session_checkpoint_dir(spark, tmp_path):
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    shared = str(tmp_path / "shared-ckpt")
-    try:
-        spark.conf.set("spark.checkpoint.dir", shared)
-        assert ensure_checkpoint_dir(spark) == shared          # read, not replaced
-        df = materialize(spark.range(5).withColumnRenamed("id", "x"), "probe")
-        files = df.inputFiles()
-        assert files and all(shared in f for f in files)
-        assert sorted(r.x for r in df.collect()) == [0, 1, 2, 3, 4]
-        again = materialize(spark.range(1), "probe")            # a fresh folder each time
-        assert set(again.inputFiles()).isdisjoint(files)
-    finally:
-        if old is not None:
-            spark.conf.set("spark.checkpoint.dir", old)
+def test_materialize_uses_the_session_checkpoint_dir(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    base = ensure_checkpoint_dir(spark)
+    if configured:
+        assert base == configured                               # read, never replaced
+    df = materialize(spark.range(5).withColumnRenamed("id", "x"), "probe")
+    files = df.inputFiles()
+    assert files and all(base.rstrip("/") in f for f in files)
+    assert sorted(r.x for r in df.collect()) == [0, 1, 2, 3, 4]
+    again = materialize(spark.range(1), "probe")                # a fresh folder each time
+    assert set(again.inputFiles()).isdisjoint(files)
+
+
+class _Conf:
+    def __init__(self):
+        self.writes = []
+
+    def get(self, key, default=None):
+        return default
+
+    def set(self, key, value):                                  # pragma: no cover
+        self.writes.append((key, value))
+
+
+class _Ctx:
+    applicationId = "app-test"
+
+    def setCheckpointDir(self, path):
+        self.path = path
+
+
+class _Session:
+    def __init__(self):
+        self.conf, self.sparkContext = _Conf(), _Ctx()
+
+
+def test_unset_checkpoint_dir_uses_a_private_folder_without_changing_config():
+    s = _Session()
+    first = ensure_checkpoint_dir(s)
+    assert first == ensure_checkpoint_dir(s)                    # stable per application
+    assert s.conf.writes == [] and s.sparkContext.path == first
+    session._PRIVATE_DIRS.pop("app-test", None)
+
+
+def test_split_numbering_runs_when_checkpoint_dir_is_unset(tmp_path):
+    """A fresh Spark without any spark-defaults (so spark.checkpoint.dir is
+    unset) still runs the paths that write intermediate tables."""
+    import os
+    import subprocess
+    import sys
+
+    conf_dir = tmp_path / "empty-conf"
+    conf_dir.mkdir()
+    script = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession, functions as F\n"
+        "from callweave.operators.numbering import number_within\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".getOrCreate()\n"
+        "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+        "df = s.range(0, 500).select((F.col('id') %% 3).alias('k'), F.col('id').alias('o'))\n"
+        "out = number_within(df, 'k', [F.col('o').asc()], 'n', num_partitions=4, max_group_rows=1)\n"
+        "assert out.agg(F.max('n')).first()[0] == 167\n"
+        "print('ok')\n" % os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = dict(os.environ, SPARK_CONF_DIR=str(conf_dir))
+    res = subprocess.run([sys.executable, "-c", script], env=env, capture_output=True, text=True,
+                         timeout=300)
+    assert res.returncode == 0 and res.stdout.strip().endswith("ok"), res.stderr[-2000:]
