@@ -88,3 +88,40 @@ def test_dimension_keys_unique_so_joins_do_not_fan_out(spark):
     cohort_ids = catalogue.cohort_accounts(spark, SF).select(F.col("pk_account").alias("AccountId"))
     expected = catalogue.recorded_tasks(spark, SF).join(cohort_ids, "AccountId", "left_semi")
     assert icp.count() == expected.count() == icp.select("Id").distinct().count()
+
+
+def test_split_numbering_on_real_hot_keys(spark):
+    """orders numbered within o_orderpriority: five keys of ~20% of all rows
+    each, forced onto the split path, equal the plain window."""
+    from pyspark.sql import Window
+
+    from callweave.operators.numbering import number_within
+
+    orders = overlay.read_table(spark, SF, "orders").select("o_orderkey", "o_orderpriority",
+                                                            "o_orderdate")
+    order = [F.col("o_orderdate").asc_nulls_last(), F.col("o_orderkey").asc()]
+    ours = number_within(orders, "o_orderpriority", order, "n", num_partitions=11,
+                         max_group_rows=1000)
+    ref = orders.withColumn("n", F.row_number().over(
+        Window.partitionBy("o_orderpriority").orderBy(*order)).cast("bigint"))
+    assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+
+
+def test_ordered_bundle_on_real_hot_groups_matches_pandas(spark):
+    """conversations concatenated per role (three groups holding all rows) in
+    (conv_id, turn) order, in parts of 50: parts joined in order equal a
+    brute-force pandas build of the same text."""
+    from callweave.operators.numbering import number_within
+
+    conv = overlay.read_table(spark, SF, "conversations")
+    order = [F.col("conv_id").asc(), F.col("turn").asc()]
+    numbered = number_within(conv, "role", order, "seq", num_partitions=7, max_group_rows=100)
+    pieces = numbered.select("role", "seq", F.concat(F.coalesce("text", F.lit("")),
+                                                     F.lit("|")).alias("p"))
+    parts = bundle.ordered_bundle(pieces, "role", "seq", "p", per_part=50).collect()
+    got = {}
+    for r in sorted(parts, key=lambda r: (r.role, r.part_no)):
+        got[r.role] = got.get(r.role, "") + r.bundle
+    pdf = conv.toPandas().sort_values(["conv_id", "turn"])
+    want = {role: "".join((t or "") + "|" for t in g["text"]) for role, g in pdf.groupby("role")}
+    assert got == want
