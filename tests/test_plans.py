@@ -160,3 +160,21 @@ def test_hot_account_join_is_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name,table,columns,pushed", [
+    ("inbound_accounts", "orders", {"o_custkey", "o_orderpriority"},
+     "EqualTo(o_orderpriority,1-URGENT)"),
+    ("cohort_accounts", "customer", {"c_custkey", "c_name"}, None),
+    ("page_call_ids", "pages", {"page_id", "url"}, None),
+    ("run_counts", "labels", {"doc_id"}, None),
+])
+def test_scans_read_only_used_columns(spark, name, table, columns, pushed):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and f"/{table}.parquet" in ln]
+    assert scans
+    for scan in scans:
+        read = scan.split("ReadSchema: struct<")[1].split(">")[0]
+        assert {c.split(":")[0] for c in read.split(",")} <= columns
+    if pushed:
+        assert any(pushed in scan for scan in scans)
