@@ -27,148 +27,148 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 # ------------------------------------------------------------- ingestion
-def flatten_calls(spark, sf_dir):
+def flatten_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.flatten_calls(overlay.feed_pages(spark, sf_dir))
 
 
-def recorded_calls(spark, sf_dir):
+def recorded_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.recorded_calls(flatten_calls(spark, sf_dir))
 
 
-def lookback_calls(spark, sf_dir):
+def lookback_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = overlay.read_table(spark, sf_dir, "events").select(F.max("ts")).scalar()
     return ingest.lookback_calls(flatten_calls(spark, sf_dir), as_of=newest)
 
 
-def call_timestamps(spark, sf_dir):
+def call_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.call_timestamps(recorded_calls(spark, sf_dir))
 
 
-def download_worklist(spark, sf_dir):
+def download_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.download_worklist(call_timestamps(spark, sf_dir),
                                       overlay.artifacts(spark, sf_dir))
 
 
-def new_call_rows(spark, sf_dir):
+def new_call_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.history_rows(download_worklist(spark, sf_dir))
 
 
-def language_attach(spark, sf_dir):
+def language_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.attach_language(new_call_rows(spark, sf_dir), overlay.transcripts(spark, sf_dir))
 
 
-def history_append(spark, sf_dir):
+def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.append_history(overlay.history(spark, sf_dir), language_attach(spark, sf_dir))
 
 
-def run_counts(spark, sf_dir):
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.run_counts(recorded_calls(spark, sf_dir), overlay.artifacts(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- cohort
-def recorded_tasks(spark, sf_dir):
+def recorded_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort.recorded_tasks(overlay.tasks(spark, sf_dir))
 
 
-def inbound_accounts(spark, sf_dir):
+def inbound_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort.inbound_accounts(overlay.opportunities(spark, sf_dir))
 
 
-def cohort_accounts(spark, sf_dir):
+def cohort_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort.cohort_accounts(overlay.accounts(spark, sf_dir), overlay.opportunities(spark, sf_dir))
 
 
-def icp_calls(spark, sf_dir):
+def icp_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort.icp_calls(overlay.tasks(spark, sf_dir), overlay.users(spark, sf_dir),
                             cohort_accounts(spark, sf_dir))
 
 
-def _icp_with_ids(spark, sf_dir):
+def _icp_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.with_call_id(icp_calls(spark, sf_dir))
 
 
-def call_id_extract(spark, sf_dir):
+def call_id_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = recorded_tasks(spark, sf_dir)
     return t.select("Id", "aircall__Call_Recording__c",
                     extract_call_id("aircall__Call_Recording__c").alias("call_id"))
 
 
-def page_call_ids(spark, sf_dir):
+def page_call_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = overlay.read_table(spark, sf_dir, "pages")
     return pages.select("page_id", "url", extract_call_id("url").alias("call_id"))
 
 
 # ---------------------------------------------------------------- bundle
-def call_numbers(spark, sf_dir):
+def call_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.number_calls(_icp_with_ids(spark, sf_dir))
 
 
-def first_calls(spark, sf_dir):
+def first_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.first_calls(_icp_with_ids(spark, sf_dir))
 
 
-def _headed(spark, sf_dir):
+def _headed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.call_headers(call_numbers(spark, sf_dir))
 
 
-def call_headers(spark, sf_dir):
+def call_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _headed(spark, sf_dir).select("AccountId", "Id", "call_id", "call_no", "header")
 
 
-def account_bundle(spark, sf_dir):
+def account_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.account_bundle(_headed(spark, sf_dir), overlay.transcripts(spark, sf_dir))
 
 
-def account_name(spark, sf_dir):
+def account_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.account_name(icp_calls(spark, sf_dir))
 
 
-def account_pairs(spark, sf_dir):
+def account_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.account_pairs(icp_calls(spark, sf_dir))
 
 
-def conversation_bundle(spark, sf_dir):
+def conversation_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.turn_bundle(overlay.read_table(spark, sf_dir, "conversations"))
 
 
 # ------------------------------------------------------------- artifacts
-def artifact_paths(spark, sf_dir):
+def artifact_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = bundle.with_call_id(recorded_tasks(spark, sf_dir))
     return t.select("Id", "call_id",
                     artifact_path(AUDIO_DIR, F.col("call_id"), ".mp3").alias("audio_path"),
                     artifact_path(TEXT_DIR, F.col("call_id"), TEXT_EXT).alias("transcript_path"))
 
 
-def _status(spark, sf_dir):
+def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.artifact_status(_icp_with_ids(spark, sf_dir), overlay.artifacts(spark, sf_dir))
 
 
-def artifact_status(spark, sf_dir):
+def artifact_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _status(spark, sf_dir).select("Id", "AccountId", "call_id", "has_audio", "has_transcript")
 
 
 # ------------------------------------------------------------- inference
-def transcribe_requests(spark, sf_dir):
+def transcribe_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inference.transcribe_requests(_status(spark, sf_dir), AUDIO_DIR)
 
 
-def translate_requests(spark, sf_dir):
+def translate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     headed = _headed(spark, sf_dir)
     bundles = bundle.account_bundle(headed, overlay.transcripts(spark, sf_dir))
     return inference.translate_requests(bundles, bundle.names_from_numbered(headed))
 
 
-def summary_requests(spark, sf_dir):
+def summary_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inference.summary_requests(overlay.responses(spark, sf_dir),
                                       account_pairs(spark, sf_dir), RUN_DATE)
 
 
-def strip_text(spark, sf_dir):
+def strip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     stripped = inference.strip_responses(overlay.responses(spark, sf_dir))
     return stripped.select("account_id", "part_no", "kind", "text")
 
 
-def run_date(spark, sf_dir):
+def run_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = overlay.responses(spark, sf_dir).where(F.col("kind") == "summary")
     day = run_date_string("run_date")
     return r.select("account_id", day.alias("run_dir"),
@@ -176,7 +176,7 @@ def run_date(spark, sf_dir):
                              F.col("account_id"), F.lit(TEXT_EXT)).alias("path"))
 
 
-def account_dim(spark, sf_dir):
+def account_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inference.account_dim(account_pairs(spark, sf_dir), overlay.responses(spark, sf_dir),
                                  RUN_DATE)
 
