@@ -1,4 +1,7 @@
-"""Every registered query against its DuckDB oracle at sf0.01 (the gate)."""
+"""Every registered query against its DuckDB oracle at sf0.01 (the gate).
+``ORACLE_SF_DIR=/root/testdata/sf0.1`` runs the same comparison at another scale."""
+
+import os
 
 import pytest
 
@@ -11,9 +14,12 @@ QUERIES = entry_mod.queries()
 ORACLE = entry_mod.oracle_sql()
 
 
+SF = os.environ.get("ORACLE_SF_DIR", SF_ORACLE)
+
+
 @pytest.fixture(scope="module")
 def con():
-    c = duck(SF_ORACLE)
+    c = duck(SF)
     yield c
     c.close()
 
@@ -24,7 +30,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    s_cols, s_rows = spark_rows(QUERIES[name](spark, SF_ORACLE))
+    s_cols, s_rows = spark_rows(QUERIES[name](spark, SF))
     d_cols, d_rows = duck_rows(con, ORACLE[name])
     assert s_cols == d_cols
     assert len(s_rows) == len(d_rows), f"{len(s_rows)} vs {len(d_rows)}"
