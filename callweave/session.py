@@ -35,11 +35,45 @@ DEFAULT_CONF = {
 }
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def sizing_conf(shuffle_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES,
+                max_partitions: int = MAX_SHUFFLE_PARTITIONS) -> dict[str, str]:
+    """Partition sizing for an expected shuffle volume.
+
+    AQE can merge small shuffle partitions but cannot split large ones
+    (outside skewed joins), so the *initial* count must be sized for the
+    largest shuffle: about ``shuffle_bytes / target_bytes``, coalesced at
+    runtime to the same target. The count is capped (the driver tracks map
+    outputs per map task and reduce partition); past the cap the target
+    size grows instead. The range split of the numbering uses this count.
+    """
+    n = max(1, -(-int(shuffle_bytes) // int(target_bytes)))
+    if n > max_partitions:
+        n = max_partitions
+        target_bytes = -(-int(shuffle_bytes) // n)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+    }
+
+
 def build_session(master: str = "local[*]", app: str = "callweave",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  shuffle_bytes: int | None = None) -> SparkSession:
+    """Session with ``DEFAULT_CONF``; ``shuffle_bytes`` (expected size of the
+    largest shuffle) sizes partitions via :func:`sizing_conf`, an explicit
+    ``shuffle_partitions`` overrides the count."""
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
+    if shuffle_bytes is not None:
+        conf.update(sizing_conf(shuffle_bytes))
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -72,3 +72,15 @@ def test_split_numbering_runs_when_checkpoint_dir_is_unset(tmp_path):
     res = subprocess.run([sys.executable, "-c", script], env=env, capture_output=True, text=True,
                          timeout=300)
     assert res.returncode == 0 and res.stdout.strip().endswith("ok"), res.stderr[-2000:]
+
+
+def test_sizing_conf_targets_partition_size():
+    from callweave.session import sizing_conf
+
+    c = sizing_conf(1024 ** 4)                                   # 1 TB shuffle
+    assert int(c["spark.sql.shuffle.partitions"]) == 8192
+    assert c["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(128 * 1024 ** 2)
+    big = sizing_conf(100 * 1024 ** 4)                           # 100 TB: capped count
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) * 100_000 >= 100 * 1024 ** 4
+    assert sizing_conf(1)["spark.sql.shuffle.partitions"] == "1"
