@@ -66,3 +66,17 @@ def test_task_scan_prunes_columns_and_pushes_the_sentinel_filter(spark, tmp_path
     assert "Description" not in scan.split("ReadSchema")[-1]
     assert "IsNotNull(aircall__Call_Recording__c)" in scan
     assert "Not(EqualTo(aircall__Call_Recording__c,null))" in scan
+
+
+def test_listing_skips_zero_byte_files_so_held_ness_needs_a_manifest(spark, tmp_path):
+    """Spark's file scans drop zero-byte files; an empty artifact therefore
+    counts as held only through the manifest table, as documented."""
+    (tmp_path / "1.mp3").write_bytes(b"x")
+    (tmp_path / "2.mp3").write_bytes(b"")
+    listed = {r.call_id for r in list_artifacts(spark, str(tmp_path), "audio").collect()}
+    assert listed == {"1"}
+    manifest = spark.createDataFrame([("audio", "1.mp3", "1"), ("audio", "2.mp3", "2")],
+                                     schemas.ARTIFACT)
+    recorded = spark.createDataFrame([(1,), (2,)], "id bigint")
+    from callweave.operators import worklist
+    assert worklist.download_worklist(recorded, manifest).count() == 0
