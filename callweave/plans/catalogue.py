@@ -119,6 +119,12 @@ def account_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.account_bundle(_headed(spark, sf_dir), overlay.transcripts(spark, sf_dir))
 
 
+def account_bundle_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bundle with ``on_missing="drop"`` (D13): calls without a transcript
+    are left out but keep their numbers."""
+    return bundle.account_bundle(_headed(spark, sf_dir), overlay.transcripts(spark, sf_dir), "drop")
+
+
 def account_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.account_name(icp_calls(spark, sf_dir))
 
@@ -201,6 +207,7 @@ QUERIES: dict[str, Query] = {
     "first_calls": first_calls,
     "call_headers": call_headers,
     "account_bundle": account_bundle,
+    "account_bundle_drop": account_bundle_drop,
     "account_name": account_name,
     "account_pairs": account_pairs,
     "conversation_bundle": conversation_bundle,

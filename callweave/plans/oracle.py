@@ -205,6 +205,11 @@ ORACLE_SQL: dict[str, str] = {
         "ORDER BY AccountId ASC NULLS LAST, CreatedDate ASC NULLS LAST, Id ASC NULLS LAST LIMIT 5"),
     "call_headers": _crm("SELECT AccountId, Id, call_id, call_no, header FROM headed"),
     "account_bundle": _crm("SELECT * FROM bundles"),
+    "account_bundle_drop": _crm(
+        f"SELECT h.AccountId AS account_id, (h.call_no - 1) // {CALLS_PER_PART} AS part_no, "
+        "count(*) AS n_calls, "
+        f"string_agg(h.header || {NL2} || d.text || {NL2}, '' ORDER BY h.call_no) AS bundle "
+        "FROM headed h JOIN documents d ON h.call_id = CAST(d.doc_id AS VARCHAR) GROUP BY 1, 2"),
     "account_name": _crm("SELECT * FROM names"),
     "account_pairs": _crm("SELECT * FROM pairs"),
     "conversation_bundle": f"""
