@@ -61,6 +61,13 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.append_history(overlay.history(spark, sf_dir), language_attach(spark, sf_dir))
 
 
+def history_append_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History append with the keyed de-dup option (D3): new rows whose id the
+    history already holds are not appended again."""
+    return worklist.append_history(overlay.history(spark, sf_dir), language_attach(spark, sf_dir),
+                                   dedupe_on="id")
+
+
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.run_counts(recorded_calls(spark, sf_dir), overlay.artifacts(spark, sf_dir))
 
@@ -196,6 +203,7 @@ QUERIES: dict[str, Query] = {
     "new_call_rows": new_call_rows,
     "language_attach": language_attach,
     "history_append": history_append,
+    "history_append_keyed": history_append_keyed,
     "run_counts": run_counts,
     "recorded_tasks": recorded_tasks,
     "inbound_accounts": inbound_accounts,

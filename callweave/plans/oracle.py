@@ -184,6 +184,9 @@ ORACLE_SQL: dict[str, str] = {
     "new_call_rows": _feed("SELECT * FROM new_rows"),
     "language_attach": _feed("SELECT * FROM with_lang"),
     "history_append": _feed("SELECT * FROM old_hist UNION ALL SELECT * FROM with_lang"),
+    "history_append_keyed": _feed(
+        "SELECT * FROM old_hist UNION ALL "
+        "SELECT * FROM with_lang w WHERE NOT EXISTS (SELECT 1 FROM old_hist o WHERE o.id = w.id)"),
     "run_counts": _feed(
         "SELECT count(*) AS n_recorded, "
         "count(*) FILTER (WHERE CAST(id AS VARCHAR) NOT IN (SELECT call_id FROM held_audio)) "
