@@ -45,6 +45,23 @@ def flatten_calls(pages: DataFrame, null_sentinel: str | None = NULL_SENTINEL,
     return flat.dropDuplicates(["id"]) if dedupe_on_id else flat
 
 
+def recent_pages(pages: DataFrame, as_of: Column | None = None,
+                 days: int = LOOKBACK_DAYS) -> DataFrame:
+    """Pages holding at least one call inside the look-back window.
+
+    A page-level pre-filter (JVM-side ``exists`` over the calls array) so
+    pages entirely outside the window are dropped before ``explode``; the
+    per-call filter of :func:`lookback_calls` still applies afterwards.
+    """
+    if as_of is None:
+        as_of = F.current_timestamp().cast("timestamp_ntz")
+    # the bound is a column of its own: a scalar subquery may not sit inside
+    # the lambda, but the lambda may read an outer column
+    bounded = pages.withColumn("_lb_start", lookback_start_epoch(as_of, days))
+    return (bounded.where(F.exists("calls", lambda c: c["started_at"] >= F.col("_lb_start")))
+            .drop("_lb_start"))
+
+
 def recorded_calls(flat: DataFrame) -> DataFrame:
     """Keep calls that have a recording (FLT-2)."""
     return flat.where(F.col("recording").isNotNull())

@@ -37,7 +37,8 @@ def recorded_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookback_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = overlay.read_table(spark, sf_dir, "events").select(F.max("ts")).scalar()
-    return ingest.lookback_calls(flatten_calls(spark, sf_dir), as_of=newest)
+    pages = ingest.recent_pages(overlay.feed_pages(spark, sf_dir), as_of=newest)
+    return ingest.lookback_calls(ingest.flatten_calls(pages), as_of=newest)
 
 
 def call_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,10 @@ def prepare_ingestion(spark: SparkSession, pages_path: str, artifacts: DataFrame
                       as_of: Column | None = None, days: int | None = LOOKBACK_DAYS,
                       audio_folder: str = "audio", fmt: str = "parquet",
                       dedupe_on_id: bool = False) -> Prepared:
-    flat = ingest.flatten_calls(read_pages(spark, pages_path), dedupe_on_id=dedupe_on_id)
+    pages = read_pages(spark, pages_path)
+    if days is not None:
+        pages = ingest.recent_pages(pages, as_of=as_of, days=days)
+    flat = ingest.flatten_calls(pages, dedupe_on_id=dedupe_on_id)
     if days is not None:
         flat = ingest.lookback_calls(flat, as_of=as_of, days=days, newest_first=False)
     recorded = ingest.call_timestamps(ingest.recorded_calls(flat))

@@ -118,3 +118,18 @@ def test_lookback_window(spark):
     as_of = F.lit("1970-01-12 13:46:40").cast("timestamp_ntz")     # epoch 1_000_000
     got = [r.id for r in ingest.lookback_calls(df, as_of=as_of, days=15).collect()]
     assert got == [1, 2]
+
+
+def test_recent_pages_drops_only_pages_outside_the_window(spark, tmp_path):
+    now = 1_000_000
+    old, new = now - 86400 * 30, now - 60
+    pages = [[call(1, started=old), call(2, started=old)],          # entirely outside
+             [call(3, started=old), call(4, started=new)],          # mixed
+             [call(5, started=new)]]
+    raw = read_pages(spark, land(tmp_path, pages))
+    as_of = F.lit("1970-01-12 13:46:40").cast("timestamp_ntz")      # epoch 1_000_000
+    kept = ingest.recent_pages(raw, as_of=as_of, days=15)
+    assert kept.count() == 2
+    with_pre = ingest.lookback_calls(ingest.flatten_calls(kept), as_of=as_of, days=15)
+    without = ingest.lookback_calls(ingest.flatten_calls(raw), as_of=as_of, days=15)
+    assert [r.id for r in with_pre.collect()] == [r.id for r in without.collect()] == [4, 5]   # same start: by id
