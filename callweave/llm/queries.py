@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import mixing, warc
 from .common import table
 
 
@@ -15,6 +16,14 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_warc(spark, warc.write_warc(table(spark, sf_dir, "pages")))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import read_token_files, write_token_files
 
@@ -23,7 +32,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op4_warc": op4_warc,
+    "op8_mixing": op8_mixing,
     "op9_token_files": op9_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc": warc.ORACLE,
+    "op8_mixing": mixing.ORACLE,
+}
