@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, warc
+from . import mixing, quality, warc
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, warc.write_warc(table(spark, sf_dir, "pages")))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -33,11 +37,13 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_warc": op4_warc,
+    "op5_quality": op5_quality,
     "op8_mixing": op8_mixing,
     "op9_token_files": op9_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_warc": warc.ORACLE,
+    "op5_quality": quality.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }
