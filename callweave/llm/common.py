@@ -39,19 +39,19 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def range_shards(df: DataFrame, key: str, weight: Column, target: int, cells: int = 4096) -> DataFrame:
-    """``df`` with ``shard`` (long): ascending ranges of the integer ``key`` of about ``target`` weight.
+def range_shards(df: DataFrame, key: str, weight: Column, target: int, cells: int = 4096) -> tuple[DataFrame, int]:
+    """``df`` with ``shard`` (int), and the number of shards: ascending ranges of the integer ``key`` of about ``target`` weight.
 
     The key's span is cut into ``cells`` equal cells; their weights, at most
     ``cells + 1`` rows, give the shards, so the same rows always get the same
     shards. Null keys come first. A single cell is never divided.
     """
-    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    lo, hi, total = df.agg(F.min(key), F.max(key), F.sum(weight.cast("long"))).first()
     if lo is None:
-        return df.withColumn("shard", F.lit(0).cast("long"))
+        return df.withColumn("shard", F.lit(0)), 1
     width = max(1.0, (int(hi) - int(lo) + 1) / cells)
     cell = F.coalesce(F.floor((F.col(key).cast("double") - F.lit(float(lo))) / F.lit(width)), F.lit(-1)).cast("long")
     weights = df.groupBy(cell.alias("_cell")).agg(F.sum(weight.cast("long")).alias("_w"))
     before = F.sum("_w").over(Window.orderBy("_cell")) - F.col("_w")
-    shards = weights.select("_cell", F.floor(before / F.lit(target)).cast("long").alias("shard"))
-    return df.withColumn("_cell", cell).join(F.broadcast(shards), "_cell").drop("_cell")
+    shards = weights.select("_cell", F.floor(before / F.lit(target)).cast("int").alias("shard"))
+    return df.withColumn("_cell", cell).join(F.broadcast(shards), "_cell").drop("_cell"), int(total) // target + 1

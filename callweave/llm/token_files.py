@@ -42,7 +42,7 @@ BLOCK = 2048
 PERCENTILES = (90, 95, 98, 100)
 SHARD_BYTES = 8 << 20
 FILE_IDS = 1 << 24
-MANIFEST = "shard long, part int, path string, n_docs long, n_ids long, n_bytes long"
+MANIFEST = "shard int, part int, path string, n_docs long, n_ids long, n_bytes long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -162,7 +162,7 @@ def read_file(path: str) -> Iterator[tuple[int | None, np.ndarray]]:
 
 def _writer(folder: str, vocabulary_path: str, end_id: int | None, file_ids: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())])
+        schema = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())])
         file, shard, part, rows = None, None, 0, []
 
         def close() -> None:
@@ -194,8 +194,8 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocabulary_pat
     spark = docs.sparkSession
     workers_import(spark)
     folder = folder or shared_folder(spark, "token-files")
-    rows = range_shards(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)) + 16, shard_bytes)
-    dealt = rows.select("shard", "doc_id", "text").repartition(F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
+    rows, shards = range_shards(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)) + 16, shard_bytes)
+    dealt = rows.select("shard", "doc_id", "text").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
     return materialize(dealt.mapInArrow(_writer(folder, vocabulary_path or vocabulary(), end_id, file_ids), MANIFEST), "token-manifest")
 
 
@@ -215,4 +215,4 @@ def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     workers_import(spark)
     order = Window.orderBy("shard", "part")  # one row per file
     files = manifest.select("path", (F.sum("n_ids").over(order) - F.col("n_ids")).alias("start"))
-    return files.repartition(F.col("path")).mapInArrow(_reader, READ)
+    return files.repartition(max(1, manifest.count()), "path").mapInArrow(_reader, READ)

@@ -37,7 +37,7 @@ from .common import filesystem, range_shards, shared_folder, workers_import
 SHARD_BYTES = 16 << 20
 FILE_BYTES = 32 << 20
 DATE = "2024-01-01T00:00:00Z"
-MANIFEST = "shard long, part int, path string, n_records long, n_bytes long"
+MANIFEST = "shard int, part int, path string, n_records long, n_bytes long"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -98,7 +98,7 @@ def _writer(folder: str, file_bytes: int, date: str):
     """Rows come sorted by shard and id; the notes of an id (payload digest in ``url``, refers_to) come before its records."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("path", pa.string()), ("n_records", pa.int64()), ("n_bytes", pa.int64())])
+        schema = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("path", pa.string()), ("n_records", pa.int64()), ("n_bytes", pa.int64())])
         archive, shard, part, rows, noted, notes = None, None, 0, [], None, {}
         for batch in batches:
             html = batch.column(4)
@@ -145,8 +145,8 @@ def write_warc(pages: DataFrame, folder: str | None = None, min_revisit: int = 0
     none = F.lit(None)
     both = rows.select("page_id", F.lit(True).alias("is_record"), "url", "html", none.cast("long").alias("refers_to")).unionByName(
         notes.select("page_id", F.lit(False).alias("is_record"), F.col("sha").alias("url"), none.cast("string").alias("html"), "refers_to"))
-    cut = range_shards(both, "page_id", F.coalesce(F.octet_length("html"), F.lit(0)) + 64, shard_bytes)
-    dealt = cut.select("shard", "page_id", "is_record", "url", "html", "refers_to").repartition(F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "is_record", "url", "html", "refers_to")
+    cut, shards = range_shards(both, "page_id", F.coalesce(F.octet_length("html"), F.lit(0)) + 64, shard_bytes)
+    dealt = cut.select("shard", "page_id", "is_record", "url", "html", "refers_to").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "is_record", "url", "html", "refers_to")
     return materialize(dealt.mapInArrow(_writer(folder, file_bytes, date), MANIFEST), "warc-manifest")
 
 
@@ -194,7 +194,7 @@ def _reader(batches):
 def read_warc(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """Per record of the manifest's files: ``RECORDS``. Every block's digest is checked."""
     workers_import(spark)
-    return manifest.select("path").repartition(F.col("path")).mapInArrow(_reader, RECORDS)
+    return manifest.select("path").repartition(max(1, manifest.count()), "path").mapInArrow(_reader, RECORDS)
 
 
 ORACLE = r"""
