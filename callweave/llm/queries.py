@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, warc
+from . import jaccard, mixing, quality, warc
 from .common import table
 
 
@@ -24,6 +24,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -38,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_warc": op4_warc,
     "op5_quality": op5_quality,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_mixing": op8_mixing,
     "op9_token_files": op9_token_files,
 }
@@ -45,5 +52,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op4_warc": warc.ORACLE,
     "op5_quality": quality.ORACLE,
+    "op6_jaccard_join": jaccard.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }
