@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, langid, mixing, quality, warc
+from . import jaccard, langid, mixing, pii, quality, warc
 from .common import table
 
 
@@ -44,6 +44,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, write_token_files(table(spark, sf_dir, "documents")))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_warc": op4_warc,
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_mixing": op8_mixing,
     "op9_token_files": op9_token_files,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {
