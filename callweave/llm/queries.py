@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert, jaccard, langid, mixing, pii, quality, warc
+from . import hilbert, jaccard, langid, mixing, pii, quality, template, warc
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op2_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op3_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, warc.write_warc(table(spark, sf_dir, "pages")))
 
@@ -55,6 +59,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_hilbert": op2_hilbert,
+    "op3_template": op3_template,
     "op4_warc": op4_warc,
     "op5_quality": op5_quality,
     "op6_jaccard_join": op6_jaccard_join,
