@@ -7,8 +7,8 @@ bundles their transcripts into ordered per-account texts, builds the
 model-request tables for translation and summary, merges the responses
 back by key and publishes a per-account dimension table.
 
-Every step is a pure ``DataFrame -> DataFrame`` function; nothing is
-collected to the driver.
+Every operator takes and returns DataFrames and runs nothing by itself;
+the end-to-end plans write the tables that several steps read.
 """
 
 __version__ = "0.1.0"

@@ -1,28 +1,43 @@
-"""Per-account call numbering, headers and ordered transcript bundles."""
+"""Per-account call numbering, headers and ordered transcript bundles.
+
+*Part contract.* An account's bundle is one text, stored in parts that are
+cut between calls: the calls are laid end to end in call order, each
+``CALL_CHARS`` plus its transcript's characters long (at most
+``part_chars``), and part ``p`` holds the calls that begin in
+``[p * part_chars, (p + 1) * part_chars)``. Parts are numbered 0, 1, ...
+without gaps, every row says how many there are (``n_parts``), and the parts
+of an account in ``part_no`` order are its whole bundle. The default keeps
+one bundle per account, one translation and one summary, up to 64 million
+characters.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callweave.constants import BLOCK_SEP
 from callweave.functions.ids import extract_call_id
 from callweave.functions.text import call_header
-from callweave.operators.joins import restrict_to_keys
-from callweave.operators.numbering import MAX_GROUP_ROWS, number_within
+from callweave.operators.joins import match_key
+from callweave.operators.numbering import number_within
 
-# A bundle is stored as ordered parts of at most this many calls, so that no
-# single value (or aggregation group) grows with an account's history.
-CALLS_PER_PART = 256
+PART_CHARS = 1 << 26
+CALL_CHARS = 64
 
 ON_MISSING = ("empty", "drop", "fail")
 
+# Calls in creation order, missing dates last, ties broken by Id; the bucket
+# is the day, and a stretch of ids where there is no date.
+CALL_ORDER = ["CreatedDate ASC NULLS LAST", "Id ASC NULLS LAST"]
+CALL_BUCKET = ("struct(CreatedDate IS NULL AS a, coalesce(to_date(CreatedDate), DATE'1970-01-01') AS b, "
+               "CreatedDate IS NULL AND Id IS NULL AS c, IF(CreatedDate IS NULL, coalesce(substr(Id, 1, 6), ''), '') AS d)")
+TURN_ORDER = ["turn ASC NULLS LAST", "role ASC NULLS LAST", "text ASC NULLS LAST"]
+TURN_BUCKET = "struct(turn IS NULL AS a, coalesce(floor(turn / 1024), 0) AS b)"
+
 
 def call_order() -> list[Column]:
-    """Calls in creation order, missing dates last, ties broken by Id."""
-    return [F.col("CreatedDate").asc_nulls_last(), F.col("Id").asc_nulls_last()]
+    return [F.expr("CreatedDate").asc_nulls_last(), F.expr("Id").asc_nulls_last()]
 
 
 def with_call_id(calls: DataFrame) -> DataFrame:
@@ -30,12 +45,9 @@ def with_call_id(calls: DataFrame) -> DataFrame:
     return calls.withColumn("call_id", extract_call_id("aircall__Call_Recording__c"))
 
 
-def number_calls(calls: DataFrame, num_partitions: int | None = None,
-                 max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Add ``call_no`` = 1..n per account in call order (SRT-1, WN-1);
-    accounts larger than ``max_group_rows`` are split across tasks."""
-    return number_within(calls, "AccountId", call_order(), "call_no", num_partitions,
-                         max_group_rows)
+def number_calls(calls: DataFrame, weight: str | None = None) -> DataFrame:
+    """Add ``call_no`` = 1..n per account in call order (SRT-1, WN-1)."""
+    return number_within(calls, "AccountId", CALL_ORDER, CALL_BUCKET, "call_no", weight)
 
 
 def call_headers(numbered: DataFrame) -> DataFrame:
@@ -50,79 +62,83 @@ def first_calls(calls: DataFrame, n: int = 5) -> DataFrame:
     return calls.orderBy(F.col("AccountId").asc_nulls_last(), *call_order()).limit(n)
 
 
-def ordered_bundle(pieces: DataFrame, key: str, seq: str, piece: str,
-                   per_part: int = CALLS_PER_PART, key_alias: str | None = None) -> DataFrame:
-    """Concatenate ``piece`` in ``seq`` order per key, in parts (AG-5).
+def _chars(store: DataFrame) -> Column:
+    return F.col("n_chars") if "n_chars" in store.columns else F.length("text")
 
-    ``seq`` must be 1..n within the key. Part ``p`` holds pieces
-    ``p*per_part+1 .. (p+1)*per_part``, so each aggregation group and each
-    output value is bounded whatever the key's size; reading the parts of a
-    key in ``part_no`` order gives the whole text. ``listagg ... WITHIN
-    GROUP`` aggregates partially on the map side.
-    """
-    part = F.expr(f"(`{seq}` - 1) div {int(per_part)}").cast("bigint")
-    grouped = pieces.groupBy(F.col(key).alias(key_alias or key), part.alias("part_no"))
-    return grouped.agg(
+
+def parted_calls(calls: DataFrame, transcripts: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
+    """Numbered calls with ``part_no`` and ``n_parts``. Only the transcripts'
+    lengths are read here (their ``n_chars`` column where the store has one)."""
+    size = transcripts.select(F.col("call_id").alias("_sid"), _chars(transcripts).alias("_chars"))
+    sized = calls.join(size, match_key(calls["call_id"], calls["Id"]) == size["_sid"], "left").drop("_sid")
+    numbered = number_calls(sized, f"least({CALL_CHARS} + coalesce(_chars, 0), {int(part_chars)})")
+    return (numbered.withColumn("part_no", F.expr(f"call_no_before div {int(part_chars)}"))
+            .withColumn("n_parts", F.expr(f"call_no_before_last div {int(part_chars)} + 1"))
+            .drop("_chars", "call_no_before", "call_no_before_last"))
+
+
+def account_parts(parted: DataFrame) -> DataFrame:
+    """One row per (account, part) without the texts: what must be answered."""
+    return parted.groupBy(F.col("AccountId").alias("account_id"), "part_no", "n_parts").agg(
+        F.min_by("ds_account", "call_no").alias("ds_account"))
+
+
+def ordered_bundle(pieces: DataFrame, keys: list[str], seq: str, piece: str, *carried: Column) -> DataFrame:
+    """Concatenate ``piece`` in ``seq`` order per ``keys`` (AG-5); a group is
+    bounded by the part contract."""
+    return pieces.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_calls"),
-        F.expr(f"listagg(`{piece}`, '') WITHIN GROUP (ORDER BY `{seq}`)").alias("bundle"),
-    )
+        F.expr(f"listagg(`{piece}`, '') WITHIN GROUP (ORDER BY `{seq}`)").alias("bundle"), *carried)
 
 
-def account_bundle(headed: DataFrame, transcripts: DataFrame, on_missing: str = "empty",
-                   per_part: int = CALLS_PER_PART) -> DataFrame:
+def account_bundle(calls: DataFrame, transcripts: DataFrame, on_missing: str = "empty",
+                   part_chars: int = PART_CHARS) -> DataFrame:
     """``header + sep + transcript + sep`` per call, concatenated per account
-    in call order (JN-7, AG-5) -> (account_id, part_no, n_calls, bundle).
+    in call order (JN-7, AG-5) -> (account_id, part_no, n_parts, n_calls,
+    bundle, ds_account).
 
-    Only the transcripts of these calls are read into the join (see
-    ``joins.restrict_to_keys``), so the transcript store is not shuffled.
     ``on_missing``: ``empty`` -- a call without transcript (or without call
     id) contributes an empty body; ``drop`` -- it is left out but keeps its
     number; ``fail`` -- the job fails on a call id without transcript.
     """
     if on_missing not in ON_MISSING:
         raise ValueError(f"on_missing must be one of {ON_MISSING}")
-    needed = restrict_to_keys(transcripts, "call_id", headed, "call_id")
-    body = needed.select(F.col("call_id").alias("_cid"), F.col("text").alias("_body"))
+    headed = call_headers(parted_calls(calls, transcripts, part_chars))
+    body = transcripts.select(F.col("call_id").alias("_cid"), F.col("text").alias("_body"))
     how = "inner" if on_missing == "drop" else "left"
-    joined = headed.join(body, headed["call_id"] == body["_cid"], how)
+    lean = headed.select(F.col("AccountId").alias("account_id"), "part_no", "n_parts", "call_no", "header", "ds_account",
+                         "call_id", match_key("call_id", "Id").alias("_key"))
+    joined = lean.join(body, lean["_key"] == body["_cid"], how)
     text = F.coalesce(F.col("_body"), F.lit(""))
     if on_missing == "fail":
         missing = F.col("call_id").isNotNull() & F.col("_body").isNull()
         text = F.when(missing, F.raise_error(F.concat(
             F.lit("missing transcript for call "), F.col("call_id")))).otherwise(text)
-    pieces = joined.select("AccountId", "call_no", F.concat(
-        F.col("header"), F.lit(BLOCK_SEP), text, F.lit(BLOCK_SEP)).alias("_piece"))
-    return ordered_bundle(pieces, "AccountId", "call_no", "_piece", per_part, "account_id")
+    pieces = joined.withColumn("_piece", F.concat(F.col("header"), F.lit(BLOCK_SEP), text, F.lit(BLOCK_SEP)))
+    return ordered_bundle(pieces, ["account_id", "part_no", "n_parts"], "call_no", "_piece",
+                          F.min_by("ds_account", "call_no").alias("ds_account"))
 
 
 def account_name(calls: DataFrame) -> DataFrame:
     """Account name taken from the account's first call in call order (AG-6).
     ``min_by`` is a partial aggregate: one candidate per map task and key."""
-    first_key = F.struct(F.col("CreatedDate").isNull(), F.col("CreatedDate"), F.col("Id"))
+    first_key = F.struct(F.col("CreatedDate").isNull(), F.col("CreatedDate"), F.col("Id").isNull(), F.col("Id"))
     return calls.groupBy("AccountId").agg(F.min_by("ds_account", first_key).alias("ds_account"))
 
 
-def names_from_numbered(numbered: DataFrame) -> DataFrame:
-    """Account name from already-numbered calls: the row numbered 1 is the
-    first call in call order, so no second pass over the calls is needed."""
-    return numbered.where(F.col("call_no") == 1).select("AccountId", "ds_account")
-
-
 def account_pairs(calls: DataFrame) -> DataFrame:
     """Distinct (AccountId, ds_account) pairs (PRJ-7, AG-2)."""
     return calls.select("AccountId", "ds_account").dropDuplicates()
 
 
-def turn_bundle(turns: DataFrame, key: str = "conv_id", order: Sequence[Column] | None = None,
-                per_part: int = CALLS_PER_PART, num_partitions: int | None = None,
-                max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+def turn_bundle(turns: DataFrame, key: str = "conv_id", part_chars: int = PART_CHARS) -> DataFrame:
     """The same ordered bundle over a turn table (conv_id, turn, role, text):
-    ``Turn #<n> - <role>`` headers, bodies in turn order."""
-    order = list(order) if order else [F.col("turn").asc_nulls_last()]
-    numbered = number_within(turns, key, order, "turn_no", num_partitions, max_group_rows)
+    ``Turn #<n> - <role>`` headers, bodies in the order of turn, role, text."""
+    numbered = number_within(turns.select(key, "turn", "role", "text"), key, TURN_ORDER, TURN_BUCKET, "turn_no",
+                             f"least({CALL_CHARS} + coalesce(length(text), 0), {int(part_chars)})")
     piece = F.concat(F.lit("Turn #"), F.col("turn_no").cast("string"), F.lit(" - "),
                      F.coalesce(F.col("role"), F.lit("None")), F.lit(BLOCK_SEP),
                      F.coalesce(F.col("text"), F.lit("")), F.lit(BLOCK_SEP))
-    pieces = numbered.select(key, "turn_no", piece.alias("_piece"))
-    return ordered_bundle(pieces, key, "turn_no", "_piece", per_part) \
-        .withColumnRenamed("n_calls", "n_turns")
+    pieces = numbered.select(key, "turn_no", F.expr(f"turn_no_before div {int(part_chars)}").alias("part_no"),
+                             F.expr(f"turn_no_before_last div {int(part_chars)} + 1").alias("n_parts"), piece.alias("_piece"))
+    return ordered_bundle(pieces, [key, "part_no", "n_parts"], "turn_no", "_piece").withColumnRenamed("n_calls", "n_turns")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.constants import COHORT_CUTOFF, NULL_SENTINEL
+from callweave.operators.joins import match_key
 from callweave.schemas import TASK_COLUMNS
 
 
@@ -51,7 +52,7 @@ def icp_calls(tasks: DataFrame, users: DataFrame, cohort: DataFrame) -> DataFram
     acc = cohort.select(F.col("pk_account"), F.col("ds_account"))
     usr = users.select(F.col("pk_user"), F.col("ds_full_name"))
     with_acc = calls.join(acc, calls["AccountId"] == acc["pk_account"], "inner")
-    with_usr = with_acc.join(usr, with_acc["OwnerId"] == usr["pk_user"], "left")
+    with_usr = with_acc.join(usr, match_key(with_acc["OwnerId"], with_acc["Id"]) == usr["pk_user"], "left")
     return with_usr.select(*[calls[c] for c in TASK_COLUMNS], usr["ds_full_name"], acc["ds_account"])
 
 

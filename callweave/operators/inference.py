@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callweave.constants import (AUDIO_EXT, CHAT_MODEL, CHAT_SEED, SUMMARY_TEMPLATE,
@@ -19,6 +19,7 @@ from callweave.constants import (AUDIO_EXT, CHAT_MODEL, CHAT_SEED, SUMMARY_TEMPL
                                  TRANSLATE_TEMPLATE)
 from callweave.functions.ids import artifact_path
 from callweave.functions.text import fill_template, strip_whitespace
+from callweave.operators.joins import match_key
 
 
 def transcribe_requests(status: DataFrame, audio_folder: str = "audio") -> DataFrame:
@@ -34,48 +35,54 @@ def transcribe_requests(status: DataFrame, audio_folder: str = "audio") -> DataF
     )
 
 
-def translate_requests(bundles: DataFrame, names: DataFrame,
-                       template: str = TRANSLATE_TEMPLATE) -> DataFrame:
+def translate_requests(bundles: DataFrame, template: str = TRANSLATE_TEMPLATE) -> DataFrame:
     """One chat request per bundle part: system = template filled with the
     account name, user = the bundle text (INF-3, FN-6)."""
-    nm = names.select(F.col("AccountId").alias("_aid"), F.col("ds_account").alias("_name"))
-    joined = bundles.join(nm, bundles["account_id"] == nm["_aid"], "left")
-    return joined.select(
-        "account_id", "part_no",
+    return bundles.select(
+        "account_id", "part_no", "n_parts",
         F.lit(CHAT_MODEL).alias("model"), F.lit(CHAT_SEED).cast("bigint").alias("seed"),
-        fill_template(template, account_name=F.col("_name")).alias("system"),
+        fill_template(template, account_name=F.col("ds_account")).alias("system"),
         F.col("bundle").alias("user"),
     )
 
 
-def _run_rows(responses: DataFrame, run_date: _dt.date) -> DataFrame:
-    """The run's responses, stripped, with a part number (0 when absent).
+def current_texts(responses: DataFrame, kind: str, run_date: _dt.date) -> DataFrame:
+    """(account_id, part_no, text): the run's stripped responses of one kind.
+
     Filtering on ``run_date`` prunes to that partition when stored
-    partitioned (D2: summaries are read from the run they were written in)."""
-    rows = responses.where(F.col("run_date") == F.lit(run_date))
+    partitioned (D2: summaries are read from the run they were written in).
+    Two responses for one key stop the job: neither is known to be right.
+    """
+    rows = responses.where((F.col("run_date") == F.lit(run_date)) & (F.col("kind") == kind))
     if "part_no" not in rows.columns:
         rows = rows.withColumn("part_no", F.lit(0).cast("bigint"))
-    return rows.select("account_id", "part_no", "kind", strip_whitespace("text").alias("text"))
+    n = F.count(F.lit(1)).over(Window.partitionBy("account_id", "part_no"))
+    text = F.when(F.col("_n") > 1, F.raise_error(F.concat(
+        F.lit(f"more than one {kind} for account "), F.coalesce(F.col("account_id"), F.lit("NULL"))))).otherwise(strip_whitespace("text"))
+    return rows.withColumn("_n", n).select("account_id", "part_no", text.alias("text"))
 
 
-def current_texts(responses: DataFrame, kind: str, run_date: _dt.date) -> DataFrame:
-    """(account_id, part_no, text): the run's stripped responses of one kind.
-    Responses stay per bundle part -- nothing concatenates an account's
-    parts, so no value or group grows with an account's history."""
-    return _run_rows(responses, run_date).where(F.col("kind") == kind).drop("kind")
+def _answers(parts: DataFrame, responses: DataFrame, kind: str, run_date: _dt.date, strict: bool) -> DataFrame:
+    """``parts`` with the run's text of one kind, every part kept; NULL where
+    there is none, or the job fails if ``strict``."""
+    rows = current_texts(responses, kind, run_date).withColumnsRenamed({"account_id": "_aid", "part_no": "_part", "text": kind})
+    joined = parts.join(rows, (match_key(parts["account_id"], parts["part_no"]) == rows["_aid"]) & (parts["part_no"] == rows["_part"]), "left").drop("_aid", "_part")
+    if strict:
+        name = F.concat(F.lit(f"missing {kind} for account "), F.coalesce(F.col("account_id"), F.lit("NULL")), F.lit(", part "), F.col("part_no").cast("string"))
+        joined = joined.withColumn(kind, F.coalesce(F.col(kind), F.raise_error(name).cast("string")))
+    return joined
 
 
-def summary_requests(responses: DataFrame, accounts: DataFrame, run_date: _dt.date,
-                     template: str = SUMMARY_TEMPLATE) -> DataFrame:
+def summary_requests(parts: DataFrame, responses: DataFrame, run_date: _dt.date,
+                     template: str = SUMMARY_TEMPLATE, strict: bool = False) -> DataFrame:
     """Second-stage request per bundle part: user = the stripped stage-1
-    output of that part (INF-4, FN-7), for the accounts of the cohort."""
-    tr = current_texts(responses, "translation", run_date)
-    keys = accounts.select(F.col("AccountId").alias("_aid"))
-    mine = tr.join(keys, tr["account_id"] == keys["_aid"], "left_semi")
-    return mine.select(
-        "account_id", "part_no", F.lit(CHAT_MODEL).alias("model"),
+    output of that part (INF-4, FN-7). ``parts`` says which parts there are
+    (``bundle.account_parts`` or the bundles), so a part without a stage-1
+    answer is seen: its ``user`` is NULL, or the job fails if ``strict``."""
+    return _answers(parts, responses, "translation", run_date, strict).select(
+        "account_id", "part_no", "n_parts", F.lit(CHAT_MODEL).alias("model"),
         F.lit(CHAT_SEED).cast("bigint").alias("seed"),
-        F.lit(template).alias("system"), F.col("text").alias("user"),
+        F.lit(template).alias("system"), F.col("translation").alias("user"),
     )
 
 
@@ -84,25 +91,11 @@ def strip_responses(responses: DataFrame) -> DataFrame:
     return responses.withColumn("text", strip_whitespace("text"))
 
 
-def account_dim(pairs: DataFrame, responses: DataFrame, run_date: _dt.date,
+def account_dim(parts: DataFrame, responses: DataFrame, run_date: _dt.date,
                 strict: bool = False) -> DataFrame:
-    """(AccountId, part_no, ds_account, translation, summary) (JN-8, INF-5, PRJ-7).
-
-    The run's responses are pivoted once to one row per (account, part) --
-    a group of at most one text per kind -- and joined to the account pairs
-    once, instead of once per kind. An account without any response keeps
-    one row with NULL texts; ``strict=True`` fails on it instead, as a
-    missing file did in the original workflow.
-    """
-    rows = _run_rows(responses, run_date).where(F.col("kind").isin("translation", "summary"))
-    both = rows.groupBy(F.col("account_id").alias("_aid"), "part_no").agg(
-        F.max(F.when(F.col("kind") == "translation", F.col("text"))).alias("translation"),
-        F.max(F.when(F.col("kind") == "summary", F.col("text"))).alias("summary"))
-    joined = pairs.join(both, pairs["AccountId"] == both["_aid"], "left")
-    out = joined.select("AccountId", "part_no", "ds_account", "translation", "summary")
-    if strict:
-        bad = F.col("translation").isNull() | F.col("summary").isNull()
-        out = out.withColumn("translation", F.when(bad, F.raise_error(F.concat(
-            F.lit("missing response for account "), F.coalesce(F.col("AccountId"), F.lit("NULL")))))
-            .otherwise(F.col("translation")))
-    return out
+    """(AccountId, part_no, n_parts, ds_account, translation, summary) (JN-8,
+    INF-5, PRJ-7): one row per bundle part, by two keyed joins. A part
+    without a response has NULL there; ``strict=True`` fails on it instead,
+    as a missing file did in the original workflow."""
+    both = _answers(_answers(parts, responses, "translation", run_date, strict), responses, "summary", run_date, strict)
+    return both.select(F.col("account_id").alias("AccountId"), "part_no", "n_parts", "ds_account", "translation", "summary")

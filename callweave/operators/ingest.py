@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callweave.constants import LOOKBACK_DAYS, NULL_SENTINEL
+from callweave.constants import (AUDIO_EXT, LOOKBACK_DAYS, NULL_SENTINEL, TRANSCRIBE_FORMAT,
+                                 TRANSCRIBE_MODEL, TRANSCRIBE_TEMPERATURE)
+from callweave.functions.ids import artifact_path
 from callweave.functions.time import epoch_to_timestamp, lookback_start_epoch
 
 _USER_FIELDS = [("id", "user_id"), ("name", "user_name"), ("email", "user_email"),
@@ -82,7 +84,7 @@ def lookback_calls(flat: DataFrame, as_of: Column | None = None,
 
     ``as_of`` defaults to the current timestamp; any column expression,
     including a scalar subquery (``df.select(max(..)).scalar()``), works.
-    The bound is evaluated once and pushed to the scan as a literal.
+    The bound is evaluated once per run, before the calls are filtered.
     """
     if as_of is None:
         as_of = F.current_timestamp().cast("timestamp_ntz")
@@ -106,3 +108,13 @@ def history_rows(recorded_ts: DataFrame) -> DataFrame:
         F.col("ended_at_ts").alias("ended_at"),
         "direction", F.col("user_available").alias("available"),
     )
+
+
+def transcribe_requests(new_rows: DataFrame, audio_folder: str = "audio") -> DataFrame:
+    """One transcription request per call without audio (INF-1), asked again
+    on every run until the audio is held."""
+    return new_rows.select(
+        F.col("id").cast("string").alias("call_id"),
+        artifact_path(audio_folder, F.col("id"), AUDIO_EXT).alias("audio_path"),
+        F.lit(TRANSCRIBE_MODEL).alias("model"), F.lit(TRANSCRIBE_FORMAT).alias("response_format"),
+        F.lit(TRANSCRIBE_TEMPERATURE).alias("temperature"))

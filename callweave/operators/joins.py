@@ -1,54 +1,22 @@
-"""Joining a small driving set against a large keyed store.
+"""Join keys that do not gather NULLs.
 
-The stores here (transcripts, the artifact manifest, the history) hold every
-call ever seen and keep growing, while one run touches a few of their keys.
-A left or anti join from the small side can only build its hash table on
-the store side, so once the store is past the broadcast bound Spark would
-shuffle the whole store on every run. ``restrict_to_keys`` first keeps only
-the store rows whose key the driving side needs.
-
-The decision is made on a measured size, before the store is touched: the
-distinct keys of the driving side (a partial aggregate) are written once
-under ``spark.checkpoint.dir`` and counted while they are written (an
-observed metric of that same job). Up to
-``MAX_BROADCAST_KEYS`` keys they are broadcast -- a proven bound -- and the
-store is filtered inside its own scan, never shuffled. Beyond it the store
-is returned whole and the real join shuffles it once, as it would anyway.
-(Leaving the choice to AQE alone is not enough: AQE starts shuffling both
-join sides at once, so the store would already be shuffled by the time the
-key side turns out small.)
+A sort-merge join hashes every row with a NULL key to one partition even
+though none of them can match. :func:`match_key` gives such rows a key of
+their own that matches nothing, dealt by a salt, so an outer or anti join
+keeps them where they are spread. Nothing else about a join is decided
+here: Spark picks the strategy from the sizes it sees at run time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from callweave.session import materialize
-
-# Most distinct keys broadcast to every task: short string ids, a few tens
-# of MB as a hash relation.
-MAX_BROADCAST_KEYS = 1_000_000
-
-
-def _col(df: DataFrame, key) -> Column:
-    return df[key] if isinstance(key, str) else key
-
+# U+0000 cannot occur in a call, account or user id.
+_NO_KEY = "\x00"
 
-def restrict_to_keys(store: DataFrame, store_key, driving: DataFrame, driving_key,
-                     max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
-    """Rows of ``store`` whose key occurs in ``driving`` (semi-join reduction),
-    or all of ``store`` when the driving side has more than ``max_keys``
-    distinct keys. Either way every row the caller's join can match is kept.
 
-    Keys may be column names or expressions over each frame (e.g. a cast).
-    NULL keys never match and are not shipped.
-    """
-    seen = Observation("join-keys")
-    keys = (driving.select(_col(driving, driving_key).alias("_rk"))
-            .where(F.col("_rk").isNotNull()).distinct()
-            .observe(seen, F.count(F.lit(1)).alias("n")))
-    keys = materialize(keys, "join-keys")
-    if seen.get["n"] > max_keys:
-        return store
-    return store.join(F.broadcast(keys), _col(store, store_key) == keys["_rk"], "left_semi")
+def match_key(key, *salt) -> Column:
+    """``key`` as a string; NULL becomes a string no id equals, one of many by ``salt``."""
+    c = F.col(key) if isinstance(key, str) else key
+    return F.coalesce(c.cast("string"), F.concat(F.lit(_NO_KEY), F.xxhash64(*salt).cast("string")))

@@ -1,96 +1,62 @@
-"""Per-key running numbers that do not put a hot key into one task.
-
-``row_number() OVER (PARTITION BY key ORDER BY ...)`` shuffles every row of
-a key to one task; if one account holds a third of all calls, that task
-sorts a third of the data alone. So the size of the largest group is
-measured first (one partial aggregate, a single number back to the driver,
-the same kind of runtime check AQE makes before a broadcast). When no key
-holds more than ``max_group_rows`` rows, the plain window is used: one
-shuffle, bounded groups. Otherwise the hot keys are split:
-
-1. range-partition and sort by ``(key, order...)`` into a fixed number of
-   partitions -- the sampled bounds split a hot key over many partitions;
-2. tag each row with ``monotonically_increasing_id`` = (partition, position);
-3. per (key, partition): first position and row count -- a small table,
-   at most one row per key plus one per partition;
-4. per key, the running sum of counts over earlier partitions (a window
-   over that small table: at most ``num_partitions`` rows per key);
-5. join it back and add: number = position - first + 1 + earlier rows.
-   The offsets are written once and counted while written; up to
-   ``MAX_BROADCAST_KEYS`` rows they are broadcast (a proven bound), so the
-   tagged rows are not shuffled again; beyond it the join is sort-merge.
-
-Steps 1-2 are written once as a table under ``spark.checkpoint.dir``
-(steps 3 and 5 both read it). Without that, column pruning gives the two
-readers different plans, Spark recomputes the input twice, and each copy
-samples its own range bounds -- the tags would not be guaranteed to agree.
+"""Running numbers per key in one lazy plan at every size.
+
+``row_number() OVER (PARTITION BY key ORDER BY ...)`` would put all rows of a
+key into one task. Here the order is cut into buckets that follow it (a day
+of the call date, a range of the turn number):
+
+1. each row is numbered inside its ``(key, bucket)`` -- the windows that
+   hold whole rows are as small as the buckets;
+2. rows (and their weight) are counted per ``(key, bucket)`` by a partial
+   aggregate, and a running sum over a key's buckets, one lean row each,
+   gives what came before;
+3. the two are joined on ``(key, bucket)``.
+
+Both branches read the same rows. They are a CTE with a random column, which
+Spark must evaluate once and share (a deterministic CTE would be inlined
+twice), so the input is neither scanned twice nor written out, and building
+the plan runs nothing. The random shuffle behind it also deals a hot key
+evenly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Observation, Window
-from pyspark.sql import functions as F
-
-from callweave.operators.joins import MAX_BROADCAST_KEYS
-from callweave.session import materialize
-
-_LOW_BITS = (1 << 33) - 1
-
-# Largest group one window task may number on its own (lean call rows:
-# a few hundred MB at most, and the window buffer spills).
-MAX_GROUP_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, key: str) -> int:
-    """Row count of the biggest ``key`` group (0 for an empty frame)."""
-    top = df.groupBy(key).count().agg(F.max("count").alias("m")).first()
-    return int(top["m"] or 0)
+from pyspark.sql import DataFrame
+
+_SQL = """
+WITH rows AS (
+  SELECT *, {key} IS NULL AS _null, coalesce(CAST({key} AS STRING), '') AS _key, {bucket} AS _bucket,
+         CAST({weight} AS BIGINT) AS _weight, rand() AS _once
+  FROM {{df}}),
+buckets AS (
+  SELECT _null, _key, _bucket, count(*) AS _n, sum(_weight) AS _sum, max_by(_weight, struct({reversed})) AS _last
+  FROM rows GROUP BY _null, _key, _bucket),
+before AS (
+  SELECT _null, _key, _bucket, sum(_n) OVER (earlier) - _n AS _rows_before, sum(_sum) OVER (earlier) - _sum AS _weight_before,
+         sum(_sum) OVER (whole) - last_value(_last) OVER (PARTITION BY _null, _key ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS _weight_before_last
+  FROM buckets
+  WINDOW earlier AS (PARTITION BY _null, _key ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         whole AS (PARTITION BY _null, _key)),
+numbered AS (
+  SELECT rows.*, row_number() OVER (inside) AS _n, sum(_weight) OVER (PARTITION BY _null, _key, _bucket ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - _weight AS _w
+  FROM rows WINDOW inside AS (PARTITION BY _null, _key, _bucket ORDER BY {order}))
+SELECT numbered.* EXCEPT (_null, _key, _bucket, _weight, _once, _n, _w), CAST(_n + _rows_before AS BIGINT) AS {out}{extra}
+FROM numbered JOIN before USING (_null, _key, _bucket)
+"""
 
 
-def number_within(df: DataFrame, key: str, order: Sequence[Column], out: str,
-                  num_partitions: int | None = None,
-                  max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Add ``out`` = 1, 2, ... within each ``key`` following ``order``.
+def number_within(df: DataFrame, key: str, order: list[str], bucket: str, out: str,
+                  weight: str | None = None) -> DataFrame:
+    """Add ``out`` = 1, 2, ... within each ``key`` (NULL keys form one group).
 
-    ``order`` are sort-order columns (e.g. ``F.col("ts").asc_nulls_last()``)
-    and should make the order total (end with a unique column). NULL keys
-    form one group, like ``PARTITION BY``. ``max_group_rows=None`` always
-    takes the split path.
+    ``order``: ``(column expression, direction)`` strings such as ``"Id ASC
+    NULLS LAST"``, together a total order. ``bucket``: a SQL expression,
+    never NULL, whose ascending order agrees with ``order``. With ``weight``
+    two columns more: ``<out>_before``, the weight of a key's earlier rows,
+    and ``<out>_before_last``, that of all but its last row.
     """
-    if max_group_rows is not None and largest_group(df, key) <= max_group_rows:
-        w = Window.partitionBy(key).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    return _number_split(df, key, order, out, num_partitions)
-
-
-def _number_split(df: DataFrame, key: str, order: Sequence[Column], out: str,
-                  num_partitions: int | None) -> DataFrame:
-    """Steps 1-5 above: range split, tag, per-partition stats, offsets."""
-    spark = df.sparkSession
-    n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    sort = [F.col(key).asc_nulls_first(), *order]
-    ranged = df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
-    rid = F.monotonically_increasing_id()
-    tagged = materialize(
-        ranged.withColumn("_rid", rid)
-        .withColumns({"_pid": F.shiftright(F.col("_rid"), 33),
-                      "_pos": F.col("_rid").bitwiseAND(F.lit(_LOW_BITS))})
-        .drop("_rid"),
-        f"numbered-{out}")
-
-    stats = (tagged.groupBy(F.col(key).alias("_k"), F.col("_pid").alias("_p"))
-             .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")))
-    earlier = Window.partitionBy("_k").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.select("_k", "_p", (F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-                                      - F.col("_first")).alias("_base"))
-    counted = Observation("numbering-offsets")
-    stats = materialize(stats.observe(counted, F.count(F.lit(1)).alias("n")), f"offsets-{out}")
-    if counted.get["n"] <= MAX_BROADCAST_KEYS:
-        stats = F.broadcast(stats)
-
-    cond = tagged[key].eqNullSafe(stats["_k"]) & (tagged["_pid"] == stats["_p"])
-    joined = tagged.join(stats, cond, "inner")
-    return (joined.withColumn(out, (F.col("_pos") + F.col("_base") + 1).cast("bigint"))
-            .drop("_k", "_p", "_base", "_pid", "_pos"))
+    # the last row of a bucket in `order` is the largest (null flag, value) struct of an ascending order
+    last = ", ".join(f"{c.split()[0]} IS NULL, {c.split()[0]}" for c in order)
+    extra = f", CAST(_w + _weight_before AS BIGINT) AS {out}_before, CAST(_weight_before_last AS BIGINT) AS {out}_before_last" if weight else ""
+    text = _SQL.format(key=f"`{key}`", bucket=bucket, weight=weight or "0", reversed=last,
+                       order=", ".join(order), out=f"`{out}`", extra=extra)
+    return df.sparkSession.sql(text, df=df)

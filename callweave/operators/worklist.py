@@ -6,55 +6,64 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callweave.constants import NULL_SENTINEL
-from callweave.operators.joins import restrict_to_keys
+from callweave.operators.joins import match_key
+
+
+def _others(df: DataFrame, key: str) -> list:
+    """Columns that tell rows without a key apart."""
+    return [df[c] for c in df.columns if c != key][:3] or [df[key]]
 
 
 def held_keys(artifacts: DataFrame, kind: str) -> DataFrame:
-    """Distinct call ids held for one artifact kind (a bounded-size key set
-    per call, de-duplicated with a map-side partial aggregate)."""
-    return artifacts.where(F.col("kind") == kind).select("call_id").distinct()
+    """Call ids held for one artifact kind."""
+    return artifacts.where(F.col("kind") == kind).select(F.col("call_id").alias("_held"))
 
 
 def download_worklist(recorded: DataFrame, artifacts: DataFrame) -> DataFrame:
     """Recorded calls whose string id has no audio file (JN-1, FLT-8).
 
-    A hash left-anti join instead of a per-row list scan; a NULL id has no
-    match and is kept, as a membership test on the string would keep it.
-    The manifest is first cut to the ids of this pull (see ``joins``).
+    A left-anti join instead of a per-row list scan; a NULL id has no match
+    and is kept, as a membership test on the string would keep it.
     """
-    rid = recorded["id"].cast("string")
-    held = restrict_to_keys(artifacts.where(F.col("kind") == "audio").select("call_id"),
-                            "call_id", recorded, rid)
-    return recorded.join(held, rid == held["call_id"], "left_anti")
+    held = held_keys(artifacts, "audio")
+    key = match_key(recorded["id"], *_others(recorded, "id"))
+    return recorded.join(held, key == held["_held"], "left_anti")
 
 
 def artifact_status(calls: DataFrame, artifacts: DataFrame, key: str = "call_id") -> DataFrame:
     """Add ``has_audio`` / ``has_transcript`` flags per call (JN-5).
 
-    The manifest is cut to the calls' ids, folded to one row per call id
-    (partial aggregate, so a hot id costs one row per map task), then joined
-    once -- instead of one join per artifact kind.
+    The manifest is folded to one row per call id (partial aggregate, so a
+    hot id costs one row per map task), then joined once -- instead of one
+    join per artifact kind.
     """
-    relevant = restrict_to_keys(artifacts, "call_id", calls, key)
-    flags = (relevant.groupBy(F.col("call_id").alias("_fk"))
+    flags = (artifacts.groupBy(F.col("call_id").alias("_fk"))
              .agg(F.max(F.col("kind") == "audio").alias("_a"),
                   F.max(F.col("kind") == "transcript").alias("_t")))
-    joined = calls.join(flags, calls[key] == flags["_fk"], "left")
+    joined = calls.join(flags, match_key(calls[key], *_others(calls, key)) == flags["_fk"], "left")
     return joined.withColumns({
         "has_audio": F.coalesce(F.col("_a"), F.lit(False)),
         "has_transcript": F.coalesce(F.col("_t"), F.lit(False)),
     }).drop("_fk", "_a", "_t")
 
 
+def cohort_downloads(status: DataFrame) -> DataFrame:
+    """Ids of the cohort's calls whose audio is not held: what to fetch, once each."""
+    return status.where(~F.col("has_audio") & F.col("call_id").isNotNull()).select("call_id").distinct()
+
+
+def one_language(results: DataFrame) -> DataFrame:
+    """One row per call id: the smallest detected language, NULL if none was."""
+    return results.groupBy(F.col("call_id").alias("_cid")).agg(F.min("language").alias("_lang"))
+
+
 def attach_language(new_rows: DataFrame, results: DataFrame,
                     sentinel: str = NULL_SENTINEL) -> DataFrame:
     """Attach the detected language by call id; ``sentinel`` when the
-    transcription produced none (JN-6, INF-2). Keyed, not positional.
-    ``results`` are the outputs of this run's transcription step -- as small
-    as the new rows themselves -- so they are joined directly."""
-    rid = new_rows["id"].cast("string")
-    res = results.select(F.col("call_id").alias("_cid"), F.col("language").alias("_lang"))
-    joined = new_rows.join(res, rid == res["_cid"], "left")
+    transcription produced none (JN-6, INF-2). Keyed, not positional; several
+    results for one id count once."""
+    res = one_language(results)
+    joined = new_rows.join(res, match_key(new_rows["id"], *_others(new_rows, "id")) == res["_cid"], "left")
     return joined.withColumn("language", F.coalesce(F.col("_lang"), F.lit(sentinel))) \
                  .drop("_cid", "_lang")
 
@@ -68,17 +77,26 @@ def append_history(history: DataFrame, new_rows: DataFrame,
     that overlaps the last one appends nothing twice.
     """
     if dedupe_on:
-        seen = restrict_to_keys(history.select(dedupe_on), dedupe_on, new_rows, dedupe_on)
-        new_rows = new_rows.join(seen, dedupe_on, "left_anti")
+        new_rows = new_rows.join(history.select(dedupe_on), dedupe_on, "left_anti")
     return history.unionByName(new_rows, allowMissingColumns=True)
 
 
+def merge_history(history: DataFrame, new_rows: DataFrame, sentinel: str = NULL_SENTINEL) -> DataFrame:
+    """Keyed append in which a retried call's language reaches its old row:
+    rows whose language is still ``sentinel`` take the one ``new_rows`` has."""
+    late = new_rows.where(F.col("language") != sentinel).groupBy(F.col("id").alias("_late")).agg(F.min("language").alias("_lang"))
+    # ids that are NULL can not be matched again and stay where they are
+    key = F.coalesce(history["id"], -1 - F.pmod(F.xxhash64(*_others(history, "id")), F.lit(1 << 62)))
+    known = history.join(late, key == late["_late"], "left")
+    language = F.when(F.col("language") == sentinel, F.coalesce(F.col("_lang"), F.col("language"))).otherwise(F.col("language"))
+    return append_history(known.withColumn("language", language).select(*history.columns), new_rows, "id")
+
+
 def run_counts(recorded: DataFrame, artifacts: DataFrame) -> DataFrame:
     """One row: recorded calls and how many of them need a download (AG-4)."""
-    rid = recorded["id"].cast("string")
-    audio = restrict_to_keys(artifacts, "call_id", recorded, rid)
-    held = held_keys(audio, "audio").withColumn("_held", F.lit(True))
-    flagged = recorded.join(held, rid == held["call_id"], "left")
+    held = held_keys(artifacts, "audio").distinct()
+    key = match_key(recorded["id"], *_others(recorded, "id"))
+    flagged = recorded.join(held, key == held["_held"], "left")
     return flagged.agg(
         F.count(F.lit(1)).alias("n_recorded"),
         F.count_if(F.col("_held").isNull()).alias("n_to_download"),

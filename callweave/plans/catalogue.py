@@ -1,7 +1,7 @@
 """Registered queries: one per operator group of the blueprint.
 
 Each entry takes ``(spark, sf_dir)``, reads the driver tables through the
-overlay and returns a lazy DataFrame. The same names are the keys of
+overlay and returns a lazy DataFrame: building one runs no job. The same names are the keys of
 ``callweave.plans.oracle.ORACLE_SQL``.
 """
 
@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 from callweave.constants import TEXT_EXT
 from callweave.functions.ids import artifact_path, extract_call_id
+from callweave.functions.text import normalize_newlines
 from callweave.functions.time import run_date_string
 from callweave.operators import bundle, cohort, inference, ingest, worklist
 from callweave.sources import overlay
+from callweave.sources.feed import parse_pages
 
 AUDIO_DIR = "/data/calls/audio"
 TEXT_DIR = "/data/calls/transcripts"
 SUMMARY_DIR = "summaries"
+# Part size of the queries whose accounts cross part boundaries.
+SMALL_PART = 4000
 RUN_DATE = overlay.RUN_DATE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +73,23 @@ def history_append_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    dedupe_on="id")
 
 
+def history_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed append in which a retried call's late language reaches its old row."""
+    return worklist.merge_history(overlay.history(spark, sf_dir), language_attach(spark, sf_dir))
+
+
+def retry_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcription requests of an ingest run: calls without audio, among
+    them those that failed before and are in the history already."""
+    return ingest.transcribe_requests(new_call_rows(spark, sf_dir), AUDIO_DIR)
+
+
+def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed parsed from pages landed as JSON text (SRC-1)."""
+    landed = overlay.feed_pages(spark, sf_dir).select(F.to_json(F.struct("calls", "meta")).alias("value"))
+    return ingest.flatten_calls(parse_pages(landed))
+
+
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.run_counts(recorded_calls(spark, sf_dir), overlay.artifacts(spark, sf_dir))
 
@@ -101,11 +122,6 @@ def call_id_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
                     extract_call_id("aircall__Call_Recording__c").alias("call_id"))
 
 
-def page_call_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = overlay.read_table(spark, sf_dir, "pages")
-    return pages.select("page_id", "url", extract_call_id("url").alias("call_id"))
-
-
 # ---------------------------------------------------------------- bundle
 def call_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.number_calls(_icp_with_ids(spark, sf_dir))
@@ -124,13 +140,25 @@ def call_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def account_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bundle.account_bundle(_headed(spark, sf_dir), overlay.transcripts(spark, sf_dir))
+    return bundle.account_bundle(_icp_with_ids(spark, sf_dir), overlay.transcripts(spark, sf_dir))
+
+
+def account_bundle_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bundles cut into parts that the data crosses (see the part contract)."""
+    return bundle.account_bundle(_icp_with_ids(spark, sf_dir), overlay.transcripts(spark, sf_dir),
+                                 part_chars=SMALL_PART)
 
 
 def account_bundle_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bundle with ``on_missing="drop"`` (D13): calls without a transcript
     are left out but keep their numbers."""
-    return bundle.account_bundle(_headed(spark, sf_dir), overlay.transcripts(spark, sf_dir), "drop")
+    return bundle.account_bundle(_icp_with_ids(spark, sf_dir), overlay.transcripts(spark, sf_dir), "drop")
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small parts of every account: some have no response."""
+    return bundle.account_parts(bundle.parted_calls(
+        _icp_with_ids(spark, sf_dir), overlay.transcripts(spark, sf_dir), SMALL_PART))
 
 
 def account_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,20 +189,28 @@ def artifact_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _status(spark, sf_dir).select("Id", "AccountId", "call_id", "has_audio", "has_transcript")
 
 
+def cohort_downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return worklist.cohort_downloads(_status(spark, sf_dir))
+
+
+def newline_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts landed with ``\\r\\n`` and ``\\r`` line ends, read as text (FN-11)."""
+    landed = overlay.read_table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.replace(F.col("text"), F.lit("\n"), F.lit("\r\n")), F.lit("\r")).alias("raw"))
+    return landed.select("doc_id", normalize_newlines("raw").alias("text"))
+
+
 # ------------------------------------------------------------- inference
 def transcribe_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inference.transcribe_requests(_status(spark, sf_dir), AUDIO_DIR)
 
 
 def translate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    headed = _headed(spark, sf_dir)
-    bundles = bundle.account_bundle(headed, overlay.transcripts(spark, sf_dir))
-    return inference.translate_requests(bundles, bundle.names_from_numbered(headed))
+    return inference.translate_requests(account_bundle(spark, sf_dir))
 
 
 def summary_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inference.summary_requests(overlay.responses(spark, sf_dir),
-                                      account_pairs(spark, sf_dir), RUN_DATE)
+    return inference.summary_requests(_parts(spark, sf_dir), overlay.responses(spark, sf_dir), RUN_DATE)
 
 
 def strip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,13 +222,13 @@ def run_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = overlay.responses(spark, sf_dir).where(F.col("kind") == "summary")
     day = run_date_string("run_date")
     return r.select("account_id", day.alias("run_dir"),
-                    F.concat(F.lit(SUMMARY_DIR + "/"), day, F.lit("/"),
-                             F.col("account_id"), F.lit(TEXT_EXT)).alias("path"))
+                    F.concat(F.lit(SUMMARY_DIR + "/"), day, F.lit("/"), F.col("account_id"),
+                             F.when(F.col("part_no") > 0, F.concat(F.lit("-"), F.col("part_no").cast("string")))
+                              .otherwise(F.lit("")), F.lit(TEXT_EXT)).alias("path"))
 
 
 def account_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inference.account_dim(account_pairs(spark, sf_dir), overlay.responses(spark, sf_dir),
-                                 RUN_DATE)
+    return inference.account_dim(_parts(spark, sf_dir), overlay.responses(spark, sf_dir), RUN_DATE)
 
 
 QUERIES: dict[str, Query] = {
@@ -205,23 +241,28 @@ QUERIES: dict[str, Query] = {
     "language_attach": language_attach,
     "history_append": history_append,
     "history_append_keyed": history_append_keyed,
+    "history_merge": history_merge,
+    "retry_requests": retry_requests,
+    "json_pages": json_pages,
     "run_counts": run_counts,
     "recorded_tasks": recorded_tasks,
     "inbound_accounts": inbound_accounts,
     "cohort_accounts": cohort_accounts,
     "icp_calls": icp_calls,
     "call_id_extract": call_id_extract,
-    "page_call_ids": page_call_ids,
     "call_numbers": call_numbers,
     "first_calls": first_calls,
     "call_headers": call_headers,
     "account_bundle": account_bundle,
     "account_bundle_drop": account_bundle_drop,
+    "account_bundle_parts": account_bundle_parts,
     "account_name": account_name,
     "account_pairs": account_pairs,
     "conversation_bundle": conversation_bundle,
     "artifact_paths": artifact_paths,
     "artifact_status": artifact_status,
+    "cohort_downloads": cohort_downloads,
+    "newline_texts": newline_texts,
     "transcribe_requests": transcribe_requests,
     "translate_requests": translate_requests,
     "summary_requests": summary_requests,

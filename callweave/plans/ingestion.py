@@ -4,23 +4,22 @@
 Split in two halves around the external step:
 
 ``prepare_ingestion`` replaces ``recorded_calls`` and returns the new
-history rows (calls without held audio) plus their transcription requests.
-``complete_ingestion`` merges the transcription results by call id and
-appends the new rows to the history table.
+history rows (calls without held audio) plus their transcription requests:
+a call whose audio is still missing is asked for again, whether or not an
+earlier run put it into the history. ``complete_ingestion`` merges the
+results by call id and brings the history up to date by key.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from callweave import sinks
-from callweave.constants import AUDIO_EXT, LOOKBACK_DAYS, TRANSCRIBE_FORMAT, TRANSCRIBE_MODEL
-from callweave.functions.ids import artifact_path
+from callweave.constants import LOOKBACK_DAYS
 from callweave.operators import ingest, worklist
-from callweave.operators.joins import restrict_to_keys
 from callweave.session import materialize
 from callweave.sources.feed import read_pages
 
@@ -29,12 +28,11 @@ from callweave.sources.feed import read_pages
 class Prepared:
     recorded: DataFrame       # the recorded calls of this pull, with *_ts columns
     new_rows: DataFrame       # history-shaped rows of calls still lacking audio
-    requests: DataFrame       # one transcription request per new call
+    requests: DataFrame       # one transcription request per such call, asked again until it succeeds
 
 
 def prepare_ingestion(spark: SparkSession, pages_path: str, artifacts: DataFrame,
-                      recorded_table: str, history_table: str | None = None,
-                      as_of: Column | None = None, days: int | None = LOOKBACK_DAYS,
+                      recorded_table: str, as_of: Column | None = None, days: int | None = LOOKBACK_DAYS,
                       audio_folder: str = "audio", fmt: str = "parquet",
                       dedupe_on_id: bool = False) -> Prepared:
     pages = read_pages(spark, pages_path)
@@ -47,48 +45,46 @@ def prepare_ingestion(spark: SparkSession, pages_path: str, artifacts: DataFrame
     sinks.replace_table(recorded, recorded_table, fmt)
     recorded = spark.table(recorded_table)
 
-    todo = worklist.download_worklist(recorded, artifacts)
-    new_rows = ingest.history_rows(todo)
-    if history_table and spark.catalog.tableExists(history_table):
-        # A call that stays inside the overlapping look-back window is not
-        # appended twice (D3): drop ids the history already has.
-        spark.catalog.refreshTable(history_table)
-        seen = restrict_to_keys(spark.table(history_table).select("id"), "id", new_rows, "id")
-        new_rows = new_rows.join(seen, "id", "left_anti")
-    new_rows = materialize(new_rows, "ingest-new-rows")
-    requests = new_rows.select(
-        F.col("id").cast("string").alias("call_id"),
-        artifact_path(audio_folder, F.col("id"), AUDIO_EXT).alias("audio_path"),
-        F.lit(TRANSCRIBE_MODEL).alias("model"), F.lit(TRANSCRIBE_FORMAT).alias("response_format"),
-        F.lit(0.0).alias("temperature"))
+    # written once: the requests and the append must see the same rows
+    new_rows = materialize(ingest.history_rows(worklist.download_worklist(recorded, artifacts)), "ingest-new-rows")
+    requests = ingest.transcribe_requests(new_rows, audio_folder)
     return Prepared(recorded, new_rows, requests)
 
 
 def complete_ingestion(spark: SparkSession, new_rows: DataFrame, results: DataFrame,
                        history_table: str, fmt: str = "parquet") -> DataFrame:
-    """Attach languages (``'null'`` when a transcription failed) and append.
+    """Attach languages (``'null'`` when a transcription failed) and bring the
+    history up to date: ids it does not have are appended, and a call that
+    failed before and has a language now gets it in its old row.
 
     ``results`` is ``(call_id, language, ...)`` from the transcription step.
-    Returns the appended rows.
+    Returns the rows of this run.
     """
-    rows = worklist.attach_language(new_rows, results)
-    sinks.append_table(rows, history_table, fmt)
+    rows = materialize(worklist.attach_language(new_rows, results), "ingest-rows")
+    if not spark.catalog.tableExists(history_table):
+        sinks.append_table(rows.dropDuplicates(["id"]), history_table, fmt)
+        return rows
+    spark.catalog.refreshTable(history_table)
+    # the table is read by the plan that replaces it, so the result is written first
+    merged = materialize(worklist.merge_history(spark.table(history_table), rows.dropDuplicates(["id"])), "ingest-history")
+    sinks.replace_table(merged, history_table, fmt)
     return rows
 
 
 def store_transcripts(spark: SparkSession, results: DataFrame, table: str,
                       fmt: str = "parquet") -> DataFrame:
     """Keep transcription results per call (SNK-4): ``(call_id, text,
-    language)`` rows for calls not stored yet, appended -- a retried call
-    whose transcript is already held is not written twice. Returns the
-    appended rows."""
-    rows = results.select("call_id", "text", "language").where(F.col("text").isNotNull())
+    language, n_chars)``. The last write of a call wins: a transcript that is
+    already stored is replaced. Two different results for one call stop the
+    job. Returns the rows written."""
+    n = F.count(F.lit(1)).over(Window.partitionBy("call_id"))
+    once = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("two transcripts for call "), F.col("call_id")))).otherwise(F.col("text"))
+    rows = results.select("call_id", "text", "language").where(F.col("text").isNotNull()).distinct().withColumn("_n", n).select("call_id", once.alias("text"), "language")
+    rows = materialize(rows.withColumn("n_chars", F.length("text").cast("bigint")), "transcripts-new")
     if spark.catalog.tableExists(table):
         spark.catalog.refreshTable(table)
-        held = restrict_to_keys(spark.table(table).select("call_id"), "call_id", rows, "call_id")
-        rows = rows.join(held, "call_id", "left_anti")
-    # written first: the returned rows must not be re-derived from the
-    # table they are appended to
-    rows = materialize(rows.dropDuplicates(["call_id"]), "transcripts-new")
-    sinks.append_table(rows, table, fmt)
+        kept = spark.table(table).join(rows.select("call_id"), "call_id", "left_anti")
+        sinks.replace_table(materialize(kept.unionByName(rows), "transcripts"), table, fmt)
+    else:
+        sinks.append_table(rows, table, fmt)
     return rows

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from callweave.constants import (CHAT_MODEL, CHAT_SEED, SUMMARY_TEMPLATE, TRANSCRIBE_FORMAT,
                                  TRANSCRIBE_MODEL, TRANSLATE_TEMPLATE)
-from callweave.operators.bundle import CALLS_PER_PART
 from callweave.plans.catalogue import AUDIO_DIR, RUN_DATE, SUMMARY_DIR, TEXT_DIR
 
 
@@ -20,6 +19,8 @@ def _lit(text: str) -> str:
 
 NL2 = "chr(10) || chr(10)"
 DAY = f"DATE '{RUN_DATE.isoformat()}'"
+# A part holds 64 million characters unless a query says 4000; a call counts 64 and its transcript.
+PART, SMALL = 67108864, 4000
 CUT = "TIMESTAMP '2024-07-01 00:00:00'"
 
 _FEED = """
@@ -36,6 +37,7 @@ feed AS (
          CASE WHEN event_type = 'error' THEN 'null' ELSE CAST(user_id AS VARCHAR) END AS user_id,
          CASE WHEN event_type = 'error' THEN 'null' ELSE 'Agent ' || CAST(user_id AS VARCHAR) END AS user_name,
          CASE WHEN event_type = 'error' THEN 'null'
+              WHEN event_type = 'signup' AND user_id % 10 = 0 THEN NULL
               ELSE 'agent' || CAST(user_id AS VARCHAR) || '@host.example' END AS user_email,
          CASE WHEN event_type = 'error' THEN 'null' ELSE CAST(value >= 50.0 AS VARCHAR) END AS user_available
   FROM events),
@@ -63,7 +65,9 @@ old_hist AS (
          r.started_at_ts AS started_at, r.answered_at_ts AS answered_at, r.ended_at_ts AS ended_at,
          r.direction, r.user_available AS available, coalesce(tx.language, 'null') AS language
   FROM rec_ts r LEFT JOIN tx ON tx.call_id = CAST(r.id AS VARCHAR)
-  WHERE CAST(r.id AS VARCHAR) IN (SELECT call_id FROM held_audio))
+  WHERE CAST(r.id AS VARCHAR) IN (SELECT call_id FROM held_audio)
+  UNION ALL
+  SELECT n.*, 'null' FROM new_rows n WHERE n.id % 7 = 0)
 """
 
 _CRM = f"""
@@ -127,12 +131,21 @@ headed AS (
             || ', duration ' || coalesce(CAST(CallDurationInSeconds AS VARCHAR), 'nan')
             || ' seconds with ' || coalesce(ds_full_name, 'None') AS header
   FROM numbered),
+laid AS (
+  SELECT h.*, d.text AS body, d.doc_id AS found, least(64 + coalesce(d.n_chars, 0), {PART}) AS chars, least(64 + coalesce(d.n_chars, 0), {SMALL}) AS small_chars
+  FROM headed h LEFT JOIN documents d ON h.call_id = CAST(d.doc_id AS VARCHAR)),
+placed AS (
+  SELECT *, CAST(sum(chars) OVER w - chars AS BIGINT) // {PART} AS part_no, CAST(sum(small_chars) OVER w - small_chars AS BIGINT) // {SMALL} AS small_no
+  FROM laid WINDOW w AS (PARTITION BY AccountId ORDER BY call_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+cut_up AS (SELECT *, max(part_no) OVER (PARTITION BY AccountId) + 1 AS n_parts, max(small_no) OVER (PARTITION BY AccountId) + 1 AS n_small FROM placed),
 bundles AS (
-  SELECT h.AccountId AS account_id, (h.call_no - 1) // {CALLS_PER_PART} AS part_no,
-         count(*) AS n_calls,
-         string_agg(h.header || {NL2} || coalesce(d.text, '') || {NL2}, '' ORDER BY h.call_no) AS bundle
-  FROM headed h LEFT JOIN documents d ON h.call_id = CAST(d.doc_id AS VARCHAR)
-  GROUP BY 1, 2),
+  SELECT AccountId AS account_id, part_no, n_parts, count(*) AS n_calls,
+         string_agg(header || {NL2} || coalesce(body, '') || {NL2}, '' ORDER BY call_no) AS bundle, min(ds_account) AS ds_account
+  FROM cut_up GROUP BY ALL),
+small_bundles AS (
+  SELECT AccountId AS account_id, small_no AS part_no, n_small AS n_parts, count(*) AS n_calls,
+         string_agg(header || {NL2} || coalesce(body, '') || {NL2}, '' ORDER BY call_no) AS bundle, min(ds_account) AS ds_account
+  FROM cut_up GROUP BY ALL),
 names AS (
   SELECT AccountId, ds_account FROM (
     SELECT AccountId, ds_account,
@@ -140,19 +153,20 @@ names AS (
                               ORDER BY CreatedDate ASC NULLS LAST, Id ASC NULLS LAST) AS rn
     FROM icp) WHERE rn = 1),
 pairs AS (SELECT DISTINCT AccountId, ds_account FROM icp),
+answered AS (SELECT *, 0 AS part_no FROM documents UNION ALL SELECT *, 1 FROM documents WHERE doc_id % 2 = 0),
 resp AS (
-  SELECT CAST(doc_id AS VARCHAR) AS account_id, CAST(0 AS BIGINT) AS part_no,
+  SELECT CAST(doc_id AS VARCHAR) AS account_id, CAST(part_no AS BIGINT) AS part_no,
          'translation' AS kind, {DAY} AS run_date,
          chr(10) || chr(9) || ' ' || text || ' ' || chr(10) || chr(10) AS text
-  FROM documents
+  FROM answered
   UNION ALL
-  SELECT CAST(doc_id AS VARCHAR), 0, 'summary', {DAY},
+  SELECT CAST(doc_id AS VARCHAR), part_no, 'summary', {DAY},
          '  ' || lang || ' summary, ' || CAST(n_chars AS VARCHAR) || ' chars' || chr(9) || chr(10)
-  FROM documents
+  FROM answered
   UNION ALL
-  SELECT CAST(doc_id AS VARCHAR), 0, 'summary', {DAY} - INTERVAL 1 DAY,
+  SELECT CAST(doc_id AS VARCHAR), part_no, 'summary', {DAY} - INTERVAL 1 DAY,
          chr(9) || 'stale summary' || chr(10)
-  FROM documents),
+  FROM answered),
 resp_clean AS (
   SELECT account_id, part_no, kind, CAST(run_date AS DATE) AS run_date,
          regexp_replace(regexp_replace(text, '^\\s+', ''), '\\s+$', '') AS text
@@ -199,31 +213,41 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT Id, aircall__Call_Recording__c, "
         "NULLIF(regexp_extract(aircall__Call_Recording__c, 'calls/(\\d+)', 1), '') AS call_id "
         "FROM rec_tasks"),
-    "page_call_ids": (
-        "SELECT page_id, url, NULLIF(regexp_extract(url, 'calls/(\\d+)', 1), '') AS call_id "
-        "FROM pages"),
     "call_numbers": _crm("SELECT * FROM numbered"),
     "first_calls": _crm(
         "SELECT * FROM icp_ids "
         "ORDER BY AccountId ASC NULLS LAST, CreatedDate ASC NULLS LAST, Id ASC NULLS LAST LIMIT 5"),
     "call_headers": _crm("SELECT AccountId, Id, call_id, call_no, header FROM headed"),
     "account_bundle": _crm("SELECT * FROM bundles"),
+    "account_bundle_parts": _crm("SELECT * FROM small_bundles"),
     "account_bundle_drop": _crm(
-        f"SELECT h.AccountId AS account_id, (h.call_no - 1) // {CALLS_PER_PART} AS part_no, "
-        "count(*) AS n_calls, "
-        f"string_agg(h.header || {NL2} || d.text || {NL2}, '' ORDER BY h.call_no) AS bundle "
-        "FROM headed h JOIN documents d ON h.call_id = CAST(d.doc_id AS VARCHAR) GROUP BY 1, 2"),
+        "SELECT AccountId AS account_id, part_no, n_parts, count(*) AS n_calls, "
+        f"string_agg(header || {NL2} || body || {NL2}, '' ORDER BY call_no) AS bundle, min(ds_account) AS ds_account "
+        "FROM cut_up WHERE found IS NOT NULL GROUP BY ALL"),
     "account_name": _crm("SELECT * FROM names"),
     "account_pairs": _crm("SELECT * FROM pairs"),
     "conversation_bundle": f"""
         WITH t AS (
-          SELECT conv_id, role, text,
-                 row_number() OVER (PARTITION BY conv_id ORDER BY turn ASC NULLS LAST) AS turn_no
-          FROM conversations)
-        SELECT conv_id, (turn_no - 1) // {CALLS_PER_PART} AS part_no, count(*) AS n_turns,
+          SELECT *, row_number() OVER w AS turn_no, sum(least(64 + coalesce(length(text), 0), {PART})) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - least(64 + coalesce(length(text), 0), {PART}) AS before
+          FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ASC NULLS LAST, role ASC NULLS LAST, text ASC NULLS LAST)),
+        p AS (SELECT *, CAST(before AS BIGINT) // {PART} AS part_no, max(CAST(before AS BIGINT) // {PART}) OVER (PARTITION BY conv_id) + 1 AS n_parts FROM t)
+        SELECT conv_id, part_no, n_parts, count(*) AS n_turns,
                string_agg('Turn #' || CAST(turn_no AS VARCHAR) || ' - ' || coalesce(role, 'None')
                           || {NL2} || coalesce(text, '') || {NL2}, '' ORDER BY turn_no) AS bundle
-        FROM t GROUP BY 1, 2""",
+        FROM p GROUP BY ALL""",
+    "newline_texts": (
+        "SELECT doc_id, regexp_replace(replace(text, chr(10), chr(13) || chr(10)) || chr(13), '\\r\\n?', chr(10), 'g') AS text FROM documents"),
+    "cohort_downloads": _crm(
+        "SELECT DISTINCT call_id FROM icp_ids i WHERE call_id IS NOT NULL "
+        "AND NOT EXISTS (SELECT 1 FROM labels l WHERE CAST(l.doc_id AS VARCHAR) = i.call_id)"),
+    "json_pages": _feed("SELECT * FROM feed"),
+    "retry_requests": _feed(
+        f"SELECT CAST(id AS VARCHAR) AS call_id, '{AUDIO_DIR}/' || CAST(id AS VARCHAR) || '.mp3' AS audio_path, "
+        f"'{TRANSCRIBE_MODEL}' AS model, '{TRANSCRIBE_FORMAT}' AS response_format, CAST(0.0 AS DOUBLE) AS temperature FROM worklist"),
+    "history_merge": _feed(
+        "SELECT o.* EXCLUDE (language), CASE WHEN o.language = 'null' THEN coalesce((SELECT min(w.language) FROM with_lang w "
+        "WHERE w.id = o.id AND w.language <> 'null'), 'null') ELSE o.language END AS language FROM old_hist o "
+        "UNION ALL SELECT * FROM with_lang w WHERE NOT EXISTS (SELECT 1 FROM old_hist o WHERE o.id = w.id)"),
     "artifact_paths": _crm(
         "SELECT Id, call_id, "
         f"'{AUDIO_DIR}/' || coalesce(call_id, 'None') || '.mp3' AS audio_path, "
@@ -242,26 +266,22 @@ ORACLE_SQL: dict[str, str] = {
         "FROM icp_ids i WHERE call_id IS NOT NULL "
         "AND NOT EXISTS (SELECT 1 FROM documents d WHERE CAST(d.doc_id AS VARCHAR) = i.call_id)"),
     "translate_requests": _crm(
-        f"SELECT b.account_id, b.part_no, '{CHAT_MODEL}' AS model, CAST({CHAT_SEED} AS BIGINT) AS seed, "
-        f"replace({_lit(TRANSLATE_TEMPLATE)}, '{{account_name}}', coalesce(n.ds_account, 'None')) AS system, "
-        "b.bundle AS user "
-        "FROM bundles b LEFT JOIN names n ON b.account_id = n.AccountId"),
+        f"SELECT account_id, part_no, n_parts, '{CHAT_MODEL}' AS model, CAST({CHAT_SEED} AS BIGINT) AS seed, "
+        f"replace({_lit(TRANSLATE_TEMPLATE)}, '{{account_name}}', coalesce(ds_account, 'None')) AS system, "
+        "bundle AS user FROM bundles"),
     "summary_requests": _crm(
-        f"SELECT account_id, part_no, '{CHAT_MODEL}' AS model, CAST({CHAT_SEED} AS BIGINT) AS seed, "
-        f"{_lit(SUMMARY_TEMPLATE)} AS system, text AS user "
-        f"FROM resp_clean WHERE kind = 'translation' AND run_date = {DAY} "
-        "AND account_id IN (SELECT AccountId FROM pairs)"),
+        f"SELECT b.account_id, b.part_no, b.n_parts, '{CHAT_MODEL}' AS model, CAST({CHAT_SEED} AS BIGINT) AS seed, "
+        f"{_lit(SUMMARY_TEMPLATE)} AS system, r.text AS user "
+        f"FROM small_bundles b LEFT JOIN resp_clean r ON r.account_id = b.account_id AND r.part_no = b.part_no "
+        f"AND r.kind = 'translation' AND r.run_date = {DAY}"),
     "strip_text": _crm("SELECT account_id, part_no, kind, text FROM resp_clean"),
     "run_date": _crm(
         "SELECT account_id, strftime(run_date, '%Y-%m-%d') AS run_dir, "
-        f"'{SUMMARY_DIR}/' || strftime(run_date, '%Y-%m-%d') || '/' || account_id || '.txt' AS path "
+        f"'{SUMMARY_DIR}/' || strftime(run_date, '%Y-%m-%d') || '/' || account_id || CASE WHEN part_no > 0 THEN '-' || CAST(part_no AS VARCHAR) ELSE '' END || '.txt' AS path "
         "FROM resp_clean WHERE kind = 'summary'"),
     "account_dim": _crm(
-        "SELECT p.AccountId, x.part_no, p.ds_account, x.translation, x.summary "
-        "FROM pairs p LEFT JOIN ("
-        "  SELECT account_id, part_no, "
-        "         max(CASE WHEN kind = 'translation' THEN text END) AS translation, "
-        "         max(CASE WHEN kind = 'summary' THEN text END) AS summary "
-        f"  FROM resp_clean WHERE run_date = {DAY} GROUP BY account_id, part_no) x "
-        "ON x.account_id = p.AccountId"),
+        "SELECT b.account_id AS AccountId, b.part_no, b.n_parts, b.ds_account, t.text AS translation, s.text AS summary "
+        "FROM small_bundles b "
+        f"LEFT JOIN resp_clean t ON t.account_id = b.account_id AND t.part_no = b.part_no AND t.kind = 'translation' AND t.run_date = {DAY} "
+        f"LEFT JOIN resp_clean s ON s.account_id = b.account_id AND s.part_no = b.part_no AND s.kind = 'summary' AND s.run_date = {DAY}"),
 }

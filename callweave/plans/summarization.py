@@ -19,53 +19,62 @@ from callweave.session import materialize
 
 @dataclass
 class Bundled:
-    calls: DataFrame          # cohort calls with call_id (materialized)
+    calls: DataFrame          # cohort calls with call_id (written once)
     status: DataFrame         # calls with has_audio / has_transcript
+    downloads: DataFrame      # call ids whose audio is to be fetched
     transcribe: DataFrame     # transcription requests for calls lacking text
-    bundles: DataFrame        # (account_id, part_no, n_calls, bundle)
+    bundles: DataFrame        # (account_id, part_no, n_parts, n_calls, bundle, ds_account)
     translate: DataFrame      # translation requests per bundle part
 
 
 def build_bundles(tasks: DataFrame, opportunities: DataFrame, accounts: DataFrame,
                   users: DataFrame, transcripts: DataFrame, artifacts: DataFrame,
-                  cutoff: str = COHORT_CUTOFF, per_part: int = bundle.CALLS_PER_PART,
+                  cutoff: str = COHORT_CUTOFF, part_chars: int = bundle.PART_CHARS,
                   on_missing: str = "empty", audio_folder: str = "audio") -> Bundled:
-    """The cohort calls (read by numbering, artifact status and the account
-    pairs) and the bundles (read by the translation requests and by
-    ``save_bundles``) are each written once and read back, so neither the
-    cohort joins nor the numbering and ordered concatenation run twice."""
+    """The cohort calls (read by the bundles and the artifact status) and the
+    bundles (read by the requests of both stages and by ``save_bundles``) are
+    each written once and read back, so nothing above them runs twice."""
     accs = cohort.cohort_accounts(accounts, opportunities, cutoff)
     calls = materialize(bundle.with_call_id(cohort.icp_calls(tasks, users, accs)), "icp-calls")
     status = worklist.artifact_status(calls, artifacts)
-    headed = bundle.call_headers(bundle.number_calls(calls))
-    bundles = materialize(bundle.account_bundle(headed, transcripts, on_missing, per_part),
-                          "bundles")
-    names = bundle.names_from_numbered(headed)
-    return Bundled(calls, status, inference.transcribe_requests(status, audio_folder),
-                   bundles, inference.translate_requests(bundles, names))
+    bundles = materialize(bundle.account_bundle(calls, transcripts, on_missing, part_chars), "bundles")
+    return Bundled(calls, status, worklist.cohort_downloads(status), inference.transcribe_requests(status, audio_folder),
+                   bundles, inference.translate_requests(bundles))
 
 
 def save_bundles(b: Bundled, texts_path: str, run_date: _dt.date) -> None:
     """Store bundles in the keyed text table (kind ``bundle``, SNK-5)."""
-    rows = b.bundles.select(
-        "account_id", "part_no", F.lit("bundle").alias("kind"),
-        F.lit(run_date).alias("run_date"), F.col("bundle").alias("text"))
+    save_texts(b.bundles.withColumnRenamed("bundle", "text"), "bundle", texts_path, run_date)
+
+
+def save_texts(texts: DataFrame, kind: str, texts_path: str, run_date: _dt.date) -> None:
+    """Store texts of one kind (``bundle``, ``translation`` or ``summary``)
+    keyed by account and part under their run date (SNK-5..7)."""
+    rows = texts.select("account_id", "part_no", F.lit(kind).alias("kind"), F.lit(run_date).alias("run_date"), "text")
     sinks.write_keyed_texts(rows, texts_path)
 
 
-def account_dim(calls: DataFrame, responses: DataFrame, run_date: _dt.date,
+def save_responses(responses: DataFrame, texts_path: str, run_date: _dt.date) -> None:
+    """Store the run's translations and summaries (SNK-6, SNK-7)."""
+    for kind in ("translation", "summary"):
+        save_texts(inference.current_texts(responses, kind, run_date), kind, texts_path, run_date)
+
+
+def account_dim(bundles: DataFrame, responses: DataFrame, run_date: _dt.date,
                 strict: bool = False) -> DataFrame:
-    """The account dimension of the cohort calls from this run's responses."""
-    return inference.account_dim(bundle.account_pairs(calls), responses, run_date, strict)
+    """The account dimension of the bundles' accounts from this run's responses."""
+    parts = bundles.select("account_id", "part_no", "n_parts", "ds_account")
+    return inference.account_dim(parts, responses, run_date, strict)
 
 
-def publish_dim(calls: DataFrame, responses: DataFrame, run_date: _dt.date, table: str,
+def publish_dim(bundles: DataFrame, responses: DataFrame, run_date: _dt.date, table: str,
                 strict: bool = False, fmt: str = "parquet") -> DataFrame:
     """Replace the account dimension table (SNK-3)."""
-    dim = account_dim(calls, responses, run_date, strict)
+    dim = account_dim(bundles, responses, run_date, strict)
     sinks.replace_table(dim, table, fmt)
     return dim
 
 
-def summary_requests(calls: DataFrame, responses: DataFrame, run_date: _dt.date) -> DataFrame:
-    return inference.summary_requests(responses, bundle.account_pairs(calls), run_date)
+def summary_requests(bundles: DataFrame, responses: DataFrame, run_date: _dt.date,
+                     strict: bool = False) -> DataFrame:
+    return inference.summary_requests(bundles.select("account_id", "part_no", "n_parts"), responses, run_date, strict=strict)

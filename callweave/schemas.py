@@ -76,11 +76,8 @@ RESPONSE = T.StructType([
 ])
 
 # Outputs.
-ACCOUNT_BUNDLE = T.StructType([
-    _f("account_id", _S), _f("part_no", _L), _f("n_calls", _L), _f("bundle", _S),
-])
 ACCOUNT_DIM = T.StructType([
-    _f("AccountId", _S), _f("part_no", _L), _f("ds_account", _S), _f("translation", _S),
+    _f("AccountId", _S), _f("part_no", _L), _f("n_parts", _L), _f("ds_account", _S), _f("translation", _S),
     _f("summary", _S),
 ])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -81,7 +82,6 @@ def build_session(master: str = "local[*]", app: str = "callweave",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -91,25 +91,24 @@ _PRIVATE_DIRS: dict[str, str] = {}
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is only read here.
-    Only when it is unset (local tests) is a private folder used, one per
-    application; the setting itself is a startup option and is not changed.
+    On a cluster the setting names shared storage and is only read here; if
+    it is unset there, this raises, because a folder of the driver's machine
+    would leave executors reading files that other machines wrote. Only a
+    ``local`` master gets a private folder, one per application; the setting
+    itself is a startup option and is not changed.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        try:
-            app = spark.sparkContext.applicationId
-        except Exception:  # noqa: BLE001  (no SparkContext over Spark Connect)
-            app = str(id(spark))
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
+        app = spark.sparkContext.applicationId
         if app not in _PRIVATE_DIRS:
             _PRIVATE_DIRS[app] = tempfile.mkdtemp(prefix="callweave-ckpt-")
         path = _PRIVATE_DIRS[app]
-    try:
-        # lets callers use DataFrame.checkpoint(); the library itself writes
-        # parquet there (materialize). Not available over Spark Connect.
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001
-        pass
+    # lets callers use DataFrame.checkpoint(); the library itself writes
+    # parquet there (materialize)
+    spark.sparkContext.setCheckpointDir(path)
     return path
 
 

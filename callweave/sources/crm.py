@@ -21,7 +21,3 @@ def read_accounts(spark: SparkSession, table: str) -> DataFrame:
 
 def read_users(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).select("pk_user", "ds_full_name")
-
-
-def read_history(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from callweave.schemas import PAGE
 
@@ -21,6 +22,11 @@ def read_pages(spark: SparkSession, path: str, multiline: bool = True) -> DataFr
             .json(path))
 
 
+def parse_pages(landed: DataFrame, column: str = "value") -> DataFrame:
+    """Pages held as JSON text in a column, with the declared page schema."""
+    return landed.select(F.from_json(column, PAGE, {"mode": "FAILFAST"}).alias("p")).select("p.*")
+
+
 def read_pages_stream(spark: SparkSession, path: str, multiline: bool = True,
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """The same scan as a file stream: each new landed page is read once."""

@@ -7,7 +7,8 @@ the DuckDB oracle). Every formula is a narrow projection except the feed,
 which nests ``events`` into pages of ``PAGE_SIZE`` calls.
 
   feed          <- events     (user NULL for 'error', recording NULL for 'view',
-                               answered_at NULL for 'click')
+                               answered_at NULL for 'click', a present user's
+                               email NULL for 'signup' of every tenth user)
   tasks         <- orders     (recording 'null' for status P, NULL for F,
                                no call id for priority 5-LOW)
   opportunities <- orders     (flag = priority 1-URGENT)
@@ -16,9 +17,11 @@ which nests ``events`` into pages of ``PAGE_SIZE`` calls.
   users         <- supplier
   transcripts   <- documents  (call_id = doc_id, language = lang)
   artifacts     <- labels (audio) and documents (transcript)
-  history       <- feed calls whose audio is held
-  responses     <- documents  (padded translation / summary texts, plus a
-                               stale summary of the previous run date)
+  history       <- feed calls whose audio is held, and calls that failed
+                               before (id % 7 = 0, no audio, language 'null')
+  responses     <- documents  (padded translation / summary texts for part 0,
+                               for part 1 of even accounts too, plus a stale
+                               summary of the previous run date)
 """
 
 from __future__ import annotations
@@ -59,7 +62,8 @@ def feed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.struct(
         F.col("user_id").alias("id"),
         F.concat(F.lit("Agent "), _s("user_id")).alias("name"),
-        F.concat(F.lit("agent"), _s("user_id"), F.lit("@host.example")).alias("email"),
+        F.when(~((F.col("event_type") == "signup") & (F.col("user_id") % 10 == 0)),
+               F.concat(F.lit("agent"), _s("user_id"), F.lit("@host.example"))).alias("email"),
         (F.col("value") >= 50.0).alias("available"),
     ))
     call = F.struct(
@@ -145,7 +149,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------- keyed stores
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents")
-    return d.select(_s("doc_id").alias("call_id"), F.col("text"), F.col("lang").alias("language"))
+    return d.select(_s("doc_id").alias("call_id"), F.col("text"), F.col("lang").alias("language"), F.col("n_chars"))
 
 
 def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,26 +164,28 @@ def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The previous run's history: feed calls whose audio is already held."""
+    """The previous runs' history: feed calls whose audio is already held,
+    and calls whose transcription failed (no audio, language ``'null'``)."""
     from callweave.operators import ingest, worklist  # local: operators import sources
 
     recorded = ingest.call_timestamps(ingest.recorded_calls(ingest.flatten_calls(
         feed_pages(spark, sf_dir))))
-    held_audio = artifacts(spark, sf_dir).where(F.col("kind") == "audio")
-    done = recorded.join(held_audio.select("call_id"),
-                         recorded["id"].cast("string") == F.col("call_id"), "left_semi")
-    return worklist.attach_language(ingest.history_rows(done), transcripts(spark, sf_dir))
+    held = worklist.held_keys(artifacts(spark, sf_dir), "audio")
+    done = recorded.join(held, recorded["id"].cast("string") == held["_held"], "left_semi")
+    failed = worklist.download_worklist(recorded.where(F.col("id") % 7 == 0), artifacts(spark, sf_dir))
+    return worklist.attach_language(ingest.history_rows(done), transcripts(spark, sf_dir)).unionByName(
+        ingest.history_rows(failed).withColumn("language", F.lit("null")))
 
 
 def responses(spark: SparkSession, sf_dir: str, run_date: _dt.date = RUN_DATE) -> DataFrame:
     """Stand-in model responses keyed by (account, part), padded with
     whitespace so that stripping matters; summaries also exist for the
-    previous run date. Every account has one part (0)."""
+    previous run date. Every account has part 0, even ones part 1 too."""
     d = read_table(spark, sf_dir, "documents")
     key = _s("doc_id")
     today = F.lit(run_date)
     yesterday = F.lit(run_date - _dt.timedelta(days=1))
-    part = F.lit(0).cast("bigint").alias("part_no")
+    part = F.explode(F.when(F.col("doc_id") % 2 == 0, F.expr("array(0L, 1L)")).otherwise(F.expr("array(0L)"))).alias("part_no")
     translation = d.select(key.alias("account_id"), part, F.lit("translation").alias("kind"),
                            today.alias("run_date"),
                            F.concat(F.lit("\n\t "), F.col("text"), F.lit(" \n\n")).alias("text"))

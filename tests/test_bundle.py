@@ -54,10 +54,8 @@ def test_cohort_and_numbering(spark, crm):
     assert sorted(r.pk_account for r in accs.collect()) == ["A", "B"]   # A once despite 2 opps
     calls = bundle.with_call_id(cohort.icp_calls(tasks, users, accs))
     assert calls.count() == 5
-    headed = bundle.call_headers(bundle.number_calls(calls, num_partitions=3))
+    headed = bundle.call_headers(bundle.number_calls(calls))
     got = {r.Id: (r.call_no, r.call_id, r.header) for r in headed.collect()}
-    split = bundle.call_headers(bundle.number_calls(calls, num_partitions=3, max_group_rows=1))
-    assert {r.Id: (r.call_no, r.call_id, r.header) for r in split.collect()} == got
     assert [got[i][0] for i in ("t3", "t0", "t1", "t2")] == [1, 2, 3, 4]
     assert got["t3"][1] is None                                     # no calls/<digits>
     assert got["t0"][2] == "Call #2 - 2024-08-02 00:00:00, duration 60 seconds with Uma"
@@ -66,16 +64,16 @@ def test_cohort_and_numbering(spark, crm):
 
     texts = spark.createDataFrame([("100", "hallo", "de"), ("101", "bye\n", "en")],
                                   schemas.TRANSCRIPT)
-    b = {r.account_id: r for r in bundle.account_bundle(headed, texts).collect()}
+    b = {r.account_id: r for r in bundle.account_bundle(calls, texts).collect()}
     a = b["A"].bundle
     assert b["A"].n_calls == 4 and a.count("Call #") == 4
     assert a.index("Call #1") < a.index("hallo") < a.index("Call #3") < a.index("bye")
     assert a.startswith(got["t3"][2] + "\n\n\n\n")                   # empty body, no id
 
-    dropped = {r.account_id: r.n_calls for r in bundle.account_bundle(headed, texts, "drop").collect()}
+    dropped = {r.account_id: r.n_calls for r in bundle.account_bundle(calls, texts, "drop").collect()}
     assert dropped == {"A": 2}
     with pytest.raises(Exception):
-        bundle.account_bundle(headed, texts, "fail").collect()
+        bundle.account_bundle(calls, texts, "fail").collect()
 
     names = {r.AccountId: r.ds_account for r in bundle.account_name(calls).collect()}
     assert names == {"A": "Acme", "B": "Beta"}
@@ -89,27 +87,37 @@ def test_numbering_hot_key_matches_row_number(spark):
              rnd.randrange(1000) if rnd.random() > 0.05 else None, i) for i in range(3000)]
     rows += [(None, 5, 3000 + i) for i in range(20)]                   # NULL key group
     df = spark.createDataFrame(rows, "k string, ts int, id int")
-    order = [F.col("ts").asc_nulls_last(), F.col("id").asc()]
-    ours = number_within(df, "k", order, "n", num_partitions=8, max_group_rows=100)
-    plan = ours._jdf.queryExecution().executedPlan().toString()
-    assert "numbered-n-" in plan                  # split path: reads the written, tagged table
-    ref = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
-    as_map = lambda d: {r.id: (r.k, r.n) for r in d.collect()}        # noqa: E731
+    ours = number_within(df, "k", ["ts ASC NULLS LAST", "id ASC"],
+                         "struct(ts IS NULL AS a, coalesce(ts div 50, 0) AS b)", "n", weight="id")
+    w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_last(), F.col("id"))
+    before = F.sum("id").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("id")
+    ref = df.withColumn("n", F.row_number().over(w)).withColumn("n_before", before)
+    ref = ref.withColumn("n_before_last", F.max("n_before").over(Window.partitionBy("k")))
+    as_map = lambda d: {r.id: tuple(r) for r in d.collect()}          # noqa: E731
     assert as_map(ours) == as_map(ref)
-    # the hot key really was split over several range partitions
-    spread = (df.repartitionByRange(8, F.col("k").asc_nulls_first(), *order)
-              .where(F.col("k") == "hot").select(F.spark_partition_id()).distinct().count())
-    assert spread > 1
+
+
+def test_numbering_of_nothing(spark):
+    none = spark.createDataFrame([], "k string, ts int, id int")
+    assert number_within(none, "k", ["id ASC"], "0", "n").collect() == []
 
 
 def test_bundle_parts_concatenate_to_whole(spark):
-    pieces = spark.createDataFrame([("A", n, f"<{n}>") for n in range(1, 8)] + [("B", 1, "<b>")],
-                                   "k string, seq bigint, p string")
-    parts = bundle.ordered_bundle(pieces, "k", "seq", "p", per_part=3).collect()
-    a = sorted((r.part_no, r.n_calls, r.bundle) for r in parts if r.k == "A")
-    assert a == [(0, 3, "<1><2><3>"), (1, 3, "<4><5><6>"), (2, 1, "<7>")]
-    whole = bundle.ordered_bundle(pieces, "k", "seq", "p").where("k = 'A'").first().bundle
-    assert "".join(x[2] for x in a) == whole
+    turns = spark.createDataFrame([("A", n, "user", "x" * 36) for n in range(1, 8)] + [("B", 1, None, None)],
+                                  "conv_id string, turn bigint, role string, text string")
+    parts = bundle.turn_bundle(turns, part_chars=300).collect()       # 100 characters a turn
+    a = sorted((r.part_no, r.n_parts, r.n_turns) for r in parts if r.conv_id == "A")
+    assert a == [(0, 3, 3), (1, 3, 3), (2, 3, 1)]
+    whole = bundle.turn_bundle(turns).where("conv_id = 'A'").first()
+    text = "".join(r.bundle for r in sorted(parts, key=lambda r: r.part_no) if r.conv_id == "A")
+    assert whole.n_parts == 1 and whole.bundle == text
+
+
+def test_a_call_longer_than_a_part_leaves_no_gap(spark):
+    turns = spark.createDataFrame([("A", n, "user", "x" * (5000 if n == 2 else 1)) for n in range(1, 5)],
+                                  "conv_id string, turn bigint, role string, text string")
+    got = sorted((r.part_no, r.n_parts) for r in bundle.turn_bundle(turns, part_chars=100).collect())
+    assert got == [(i, len(got)) for i in range(len(got))]
 
 
 def test_keyed_texts_normalise_newlines(spark, tmp_path):
@@ -133,22 +141,28 @@ def test_responses_strip_and_run_date(spark):
         ("A", 1, "translation", day, "part two "),
         ("B", 0, "translation", day, "only translation"),
     ], schemas.RESPONSE)
-    pairs = spark.createDataFrame([("A", "Acme"), ("B", "Beta"), ("C", "Gamma")],
-                                  "AccountId string, ds_account string")
+    parts = spark.createDataFrame([("A", 0, 2, "Acme"), ("A", 1, 2, "Acme"), ("B", 0, 1, "Beta"), ("C", 0, 1, "Gamma"), (None, 0, 1, None)],
+                                  "account_id string, part_no bigint, n_parts bigint, ds_account string")
     dim = {(r.AccountId, r.part_no): (r.translation, r.summary)
-           for r in inference.account_dim(pairs, resp, day).collect()}
+           for r in inference.account_dim(parts, resp, day).collect()}
     assert dim == {("A", 0): ("hello world", "key points"), ("A", 1): ("part two", None),
-                   ("B", 0): ("only translation", None), ("C", None): (None, None)}
-    with pytest.raises(Exception):
-        inference.account_dim(pairs, resp, day, strict=True).collect()
+                   ("B", 0): ("only translation", None), ("C", 0): (None, None), (None, 0): (None, None)}
+    # a missing part is seen even where the account's other part is answered
+    with pytest.raises(Exception, match="missing summary for account A, part 1"):
+        inference.account_dim(parts.where("account_id = 'A'"), resp, day, strict=True).collect()
     req = {(r.account_id, r.part_no): r.user
-           for r in inference.summary_requests(resp, pairs, day).collect()}
-    assert req == {("A", 0): "hello world", ("A", 1): "part two", ("B", 0): "only translation"}
+           for r in inference.summary_requests(parts, resp, day).collect()}
+    assert req == {("A", 0): "hello world", ("A", 1): "part two", ("B", 0): "only translation", ("C", 0): None, (None, 0): None}
+    with pytest.raises(Exception, match="missing translation"):
+        inference.summary_requests(parts, resp, day, strict=True).collect()
+    twice = resp.unionByName(resp.where("account_id = 'B'"))
+    with pytest.raises(Exception, match="more than one translation"):
+        inference.account_dim(parts, twice, day).collect()
 
 
 def test_hot_account_bundle_matches_brute_force(spark):
-    """One account with 3,000 calls (plus small ones), split numbering path,
-    parts of 256: the parts in order equal the whole bundle built in Python."""
+    """One account with 3,000 calls (plus small ones), in parts of 20,000
+    characters: the parts in order equal the whole bundle built in Python."""
     rnd = random.Random(3)
     rows = []
     for i in range(3000):
@@ -161,11 +175,10 @@ def test_hot_account_bundle_matches_brute_force(spark):
                                 .withColumn("ds_account", F.lit("Acme")))
     texts = spark.createDataFrame([(str(i), f"text {i}", "de") for i in range(0, 3000, 3)],
                                   schemas.TRANSCRIPT)
-    headed = bundle.call_headers(bundle.number_calls(calls, num_partitions=6, max_group_rows=500))
-    parts = sorted((r.part_no, r.n_calls, r.bundle)
-                   for r in bundle.account_bundle(headed, texts).collect() if r.account_id == "HOT")
-    assert [p[0] for p in parts] == list(range(12)) and sum(p[1] for p in parts) == 3000
-    assert max(p[1] for p in parts) == 256
+    parts = sorted((r.part_no, r.n_calls, r.bundle, r.n_parts)
+                   for r in bundle.account_bundle(calls, texts, part_chars=20_000).collect() if r.account_id == "HOT")
+    assert [p[0] for p in parts] == list(range(len(parts))) and sum(p[1] for p in parts) == 3000
+    assert len(parts) > 5 and {p[3] for p in parts} == {len(parts)}
 
     order = sorted(rows[:3000], key=lambda t: (t[15], t[0]))          # CreatedDate, Id
     body = {str(i): f"text {i}" for i in range(0, 3000, 3)}

@@ -9,9 +9,8 @@ from compare import diff, duck, duck_rows, spark_rows
 from conftest import SF_ORACLE
 
 import __spark_entry__ as entry_mod
-
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+from callweave.plans.catalogue import QUERIES
+from callweave.plans.oracle import ORACLE_SQL as ORACLE
 
 
 SF = os.environ.get("ORACLE_SF_DIR", SF_ORACLE)
@@ -39,5 +38,5 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
-    assert df.columns == ["account_id", "part_no", "n_calls", "bundle"]
+    assert df.columns == ["account_id", "part_no", "n_parts", "n_calls", "bundle", "ds_account"]
     assert df.count() > 0

@@ -31,7 +31,7 @@ def test_ingestion_run_appends_once(spark, tmp_path):
     page(land, 1, [4], user=None)
     arts = spark.createDataFrame([("audio", "2.mp3", "2")], schemas.ARTIFACT)
 
-    prep = ingestion.prepare_ingestion(spark, str(land), arts, "t_recorded", "t_history", days=None)
+    prep = ingestion.prepare_ingestion(spark, str(land), arts, "t_recorded", days=None)
     assert spark.table("t_recorded").count() == 4
     assert sorted(r.call_id for r in prep.requests.collect()) == ["1", "3", "4"]
     results = spark.createDataFrame([("1", "hi", "de"), ("3", "yo", "en")], schemas.TRANSCRIPT)
@@ -40,12 +40,43 @@ def test_ingestion_run_appends_once(spark, tmp_path):
     assert hist == {1: "de", 3: "en", 4: "null"}
     assert spark.table("t_history").where("id = 4").first().user_id == "null"
 
-    # the next pull overlaps the last one: nothing is appended twice
+    # the next pull overlaps the last one: nothing is appended twice, the call
+    # that failed is asked for again, and its language reaches its old row
     page(land, 2, [5])
-    prep2 = ingestion.prepare_ingestion(spark, str(land), arts, "t_recorded", "t_history", days=None)
-    assert [r.id for r in prep2.new_rows.collect()] == [5]
+    prep2 = ingestion.prepare_ingestion(spark, str(land), arts, "t_recorded", days=None)
+    assert sorted(r.call_id for r in prep2.requests.collect()) == ["1", "3", "4", "5"]
+    results = spark.createDataFrame([("4", "na", "fr"), ("4", "na", None), ("5", "oi", "es")], schemas.TRANSCRIPT)
     ingestion.complete_ingestion(spark, prep2.new_rows, results, "t_history")
-    assert spark.table("t_history").count() == 4
+    hist = sorted((r.id, r.language) for r in spark.table("t_history").collect())
+    assert hist == [(1, "de"), (3, "en"), (4, "fr"), (5, "es")]
+
+
+def test_last_transcript_wins(spark):
+    first = spark.createDataFrame([("1", "old", "de"), ("2", "two", "en")], schemas.TRANSCRIPT)
+    again = spark.createDataFrame([("1", "new", "de"), ("3", None, "en")], schemas.TRANSCRIPT)
+    ingestion.store_transcripts(spark, first, "t_transcripts")
+    ingestion.store_transcripts(spark, again, "t_transcripts")
+    got = {r.call_id: (r.text, r.n_chars) for r in spark.table("t_transcripts").collect()}
+    assert got == {"1": ("new", 3), "2": ("two", 3)}
+    with pytest.raises(Exception, match="two transcripts"):
+        ingestion.store_transcripts(spark, first.unionByName(again.where("call_id = '1'")), "t_transcripts")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_building_a_query_runs_no_job(spark, name):
+    spark.sparkContext.setJobGroup(f"build-{name}", name)
+    try:
+        QUERIES[name](spark, SF_SMALL)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", ["account_bundle", "translate_requests"])
+def test_orders_are_scanned_twice_in_total(spark, name):
+    """Once for the tasks, once for the opportunities: numbering shares its input."""
+    plan = _final_plan(QUERIES[name](spark, SF_SMALL))
+    assert plan.count("orders.parquet") == 2
 
 
 def test_summarization_run(spark, tmp_path):
@@ -61,7 +92,7 @@ def test_summarization_run(spark, tmp_path):
     stored = spark.read.parquet(texts)
     assert stored.where("kind = 'bundle'").count() == n_accounts
 
-    dim = summarization.publish_dim(b.calls, overlay.responses(spark, sf), overlay.RUN_DATE,
+    dim = summarization.publish_dim(b.bundles, overlay.responses(spark, sf), overlay.RUN_DATE,
                                     "t_dim_icp_account")
     assert spark.table("t_dim_icp_account").count() == dim.count() == n_accounts
     assert spark.table("t_dim_icp_account").schema.names == schemas.ACCOUNT_DIM.names
@@ -115,19 +146,6 @@ def _final_plan(df):
     return qe.executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-def test_bundle_final_plan_shape(spark):
-    from conftest import SF_ORACLE
-
-    plan = _final_plan(QUERIES["account_bundle"](spark, SF_ORACLE))
-    # one account-keyed exchange: the window's partitioning also serves the aggregation
-    assert plan.count("Exchange hashpartitioning(AccountId") == 1
-    # the transcript store is filtered by broadcast keys inside its scan stage, not shuffled
-    lines = plan.splitlines()
-    semi = next(i for i, ln in enumerate(lines) if "LeftSemi" in ln and "_rk" in ln)
-    scan = next(i for i in range(semi, len(lines)) if "documents" in lines[i])
-    assert not any("Exchange hashpartitioning" in ln for ln in lines[semi:scan])
-
-
 def test_hot_account_join_is_split(spark):
     """A cohort join where one account holds 40% of the calls: with the skew
     thresholds scaled down to this data, AQE splits the hot partition."""
@@ -166,7 +184,6 @@ def test_hot_account_join_is_split(spark):
     ("inbound_accounts", "orders", {"o_custkey", "o_orderpriority"},
      "EqualTo(o_orderpriority,1-URGENT)"),
     ("cohort_accounts", "customer", {"c_custkey", "c_name"}, None),
-    ("page_call_ids", "pages", {"page_id", "url"}, None),
     ("run_counts", "labels", {"doc_id"}, None),
 ])
 def test_scans_read_only_used_columns(spark, name, table, columns, pushed):

@@ -1,5 +1,7 @@
 """Intermediate tables go to the folder the session names in spark.checkpoint.dir."""
 
+import pytest
+
 from callweave import session
 from callweave.session import ensure_checkpoint_dir, materialize
 
@@ -31,13 +33,16 @@ class _Conf:
 class _Ctx:
     applicationId = "app-test"
 
+    def __init__(self, master="local[2]"):
+        self.master = master
+
     def setCheckpointDir(self, path):
         self.path = path
 
 
 class _Session:
-    def __init__(self):
-        self.conf, self.sparkContext = _Conf(), _Ctx()
+    def __init__(self, master="local[2]"):
+        self.conf, self.sparkContext = _Conf(), _Ctx(master)
 
 
 def test_unset_checkpoint_dir_uses_a_private_folder_without_changing_config():
@@ -48,30 +53,10 @@ def test_unset_checkpoint_dir_uses_a_private_folder_without_changing_config():
     session._PRIVATE_DIRS.pop("app-test", None)
 
 
-def test_split_numbering_runs_when_checkpoint_dir_is_unset(tmp_path):
-    """A fresh Spark without any spark-defaults (so spark.checkpoint.dir is
-    unset) still runs the paths that write intermediate tables."""
-    import os
-    import subprocess
-    import sys
-
-    conf_dir = tmp_path / "empty-conf"
-    conf_dir.mkdir()
-    script = (
-        "import sys; sys.path.insert(0, %r)\n"
-        "from pyspark.sql import SparkSession, functions as F\n"
-        "from callweave.operators.numbering import number_within\n"
-        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
-        ".getOrCreate()\n"
-        "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
-        "df = s.range(0, 500).select((F.col('id') %% 3).alias('k'), F.col('id').alias('o'))\n"
-        "out = number_within(df, 'k', [F.col('o').asc()], 'n', num_partitions=4, max_group_rows=1)\n"
-        "assert out.agg(F.max('n')).first()[0] == 167\n"
-        "print('ok')\n" % os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = dict(os.environ, SPARK_CONF_DIR=str(conf_dir))
-    res = subprocess.run([sys.executable, "-c", script], env=env, capture_output=True, text=True,
-                         timeout=300)
-    assert res.returncode == 0 and res.stdout.strip().endswith("ok"), res.stderr[-2000:]
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_a_shared_folder_is_an_error(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_Session(master))
 
 
 def test_sizing_conf_targets_partition_size():

@@ -20,12 +20,12 @@ def test_list_artifacts_reads_names_only(spark, tmp_path):
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]   # bytes pruned
 
 
-def test_store_transcripts_appends_once(spark):
+def test_store_transcripts_keeps_one_per_call(spark):
     res = spark.createDataFrame([("1", "hallo", "de"), ("2", None, None), ("1", "hallo", "de")],
                                 schemas.TRANSCRIPT)
     first = ingestion.store_transcripts(spark, res, "t_transcripts")
     again = ingestion.store_transcripts(spark, res, "t_transcripts")
-    assert first.count() == 1 and again.count() == 0
+    assert first.count() == 1 and again.count() == 1
     spark.catalog.refreshTable("t_transcripts")
     assert [(r.call_id, r.text) for r in spark.table("t_transcripts").collect()] == [("1", "hallo")]
 
@@ -36,8 +36,8 @@ def test_bucketed_transcripts_shuffle_only_the_call_side(spark):
     sinks.save_bucketed(texts, "t_tx_bucketed", "call_id", 8)
     calls = spark.range(0, 500).select(
         (F.col("id") % 7).cast("string").alias("AccountId"), F.col("id").cast("string").alias("Id"),
-        F.col("id").cast("string").alias("call_id"), (F.col("id") + 1).alias("call_no"),
-        F.lit("Call").alias("header"))
+        F.col("id").cast("string").alias("call_id"), F.lit("Acme").alias("ds_account"), F.lit("Uma").alias("ds_full_name"),
+        F.lit(None).cast("timestamp_ntz").alias("CreatedDate"), F.lit(5).cast("bigint").alias("CallDurationInSeconds"))
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
