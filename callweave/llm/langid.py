@@ -23,6 +23,7 @@ in its hash. Repeated rows and further columns pass through unchanged.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,11 +41,11 @@ from .words import words
 
 VOCABULARY = "piece_bpe_32k.model"
 LONGEST = 10
-FIT_DOCS = 2000
-ROUNDS = 3
+FIT_DOCS = 500
+ROUNDS = 2
 UNKNOWN = 1e-9
 SMOOTH = 0.05
-KEEP = 400_000
+KEEP = 1_000_000
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MARK = "▁"
@@ -92,18 +93,26 @@ def _hits(word: str, known: dict[str, int]) -> list[tuple[list[int], list[int]]]
     return out
 
 
-def forward(word: str, known: dict[str, int], prob: np.ndarray) -> np.ndarray:
-    """Log of the sum over all segmentations, per language. ``prob``: pieces x languages, last row for unknown letters."""
-    alpha = [np.ones(prob.shape[1])]
-    shift = np.zeros(prob.shape[1])
-    for starts, ids in _hits(word, known):
-        a = np.einsum("ij,ij->j", np.array([alpha[s - len(alpha)] for s in starts]) if len(starts) > 1 else alpha[starts[0] - len(alpha)][None], prob[ids])
+def forward(word: str, known: dict[str, int], prob: list[list[float]]) -> list[float]:
+    """Log of the sum over all segmentations, per language. ``prob``: a row per piece, a column per language, last row for unknown letters."""
+    marked, each = _MARK + word, range(len(prob[-1]))
+    alpha, shift = [[1.0] * len(each)], [0.0] * len(each)
+    for end in range(1, len(marked) + 1):
+        a = [0.0] * len(each)
+        for start in range(max(0, end - LONGEST), end):
+            k = known.get(marked[start:end])
+            if k is not None or start == end - 1:
+                row, before = prob[-1 if k is None else k], alpha[start]
+                for j in each:
+                    a[j] += before[j] * row[j]
         alpha.append(a)
-        if a.min() < 1e-150:
-            scale = np.maximum(a, 1e-300)
-            shift += np.log(scale)
-            alpha = [x / scale for x in alpha[-LONGEST:]] if len(alpha) > LONGEST else [x / scale for x in alpha]
-    return np.log(np.maximum(alpha[-1], 1e-300)) + shift
+        if min(a, default=1.0) < 1e-150:  # keep the values that are still needed in range
+            for j in each:
+                scale = max(a[j], 1e-300)
+                shift[j] += math.log(scale)
+                for x in alpha[-LONGEST - 1:]:
+                    x[j] /= scale
+    return [math.log(max(x, 1e-300)) + y for x, y in zip(alpha[-1], shift, strict=True)]
 
 
 def expected(word: str, known: dict[str, int], prob: np.ndarray) -> dict[int, float]:
@@ -177,9 +186,10 @@ def fit(docs: DataFrame, vocabulary_path: str | None = None, fit_docs: int = FIT
     sample = rows.where(F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit("")), F.octet_length("text")), every[F.col("lang")]) == 0)
     counts = sample.select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = materialize(counts, "word-counts")
+    tasks = max(1, -(-counts.count() // 5000))
     prob: dict[str, np.ndarray] | None = None
     for _ in range(rounds):
-        n = counts.repartition("lang", "word").mapInArrow(_expectation(path, prob), "lang string, piece int, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
+        n = counts.repartition(tasks, "lang", "word").mapInArrow(_expectation(path, prob), "lang string, piece int, n double").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
         prob = {lang: np.full(len(known) + 1, SMOOTH) for lang in sizes}
         for r in n.collect():  # at most pieces x languages rows
             prob[r["lang"]][r["piece"]] += r["n"]
@@ -197,22 +207,18 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.known = model, pieces(model.path)
-        self.runs: dict[str, np.ndarray] = {}
+        self.prob = model.prob.tolist()
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.scores = np.zeros((0, len(self.model.languages) + 1))
-        self.runs.clear()
 
     def _score(self, text: str) -> np.ndarray:
         """Sum over the runs of letters, and their number."""
         out = np.zeros(len(self.model.languages) + 1)
         for run in letter_runs(text):
-            got = self.runs.get(run)
-            if got is None:
-                got = self.runs[run] = forward(run, self.known, self.model.prob)
-            out[:-1] += got
+            out[:-1] += forward(run, self.known, self.prob)
             out[-1] += 1
         return out
 
