@@ -52,6 +52,7 @@ T = 0.75
 FREQUENT = 1 << 18
 FREQUENT_FROM = 8
 WINDOW_SHINGLES = 4 << 20
+FILTER_BITS = 1 << 26
 _STEP = [pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(SHINGLE)]
 
 
@@ -169,26 +170,53 @@ def _cells(hot: np.ndarray, hot_n: np.ndarray):
     return cells
 
 
-def _sets(batches):
-    for batch in batches:
-        names, sizes, sets = [], [], []
-        for _, s in shingle_sets(batch.column(0)):
-            if len(s):
-                names.append(_signed(point(s)))
-                sizes.append(len(s))
-                sets.append(s.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary())], names=["point", "n", "s"])
+def _slots(ids: np.ndarray) -> np.ndarray:
+    """The places of ids in the filter, one row each."""
+    return np.stack([mix(ids ^ np.uint64(_STEP[k])) & np.uint64(FILTER_BITS - 1) for k in range(3)], axis=1)
 
 
-def _overlaps(batches):
-    """Overlap of the two sets of a pair."""
+def _marks(batches):
     for batch in batches:
-        out = []
-        for a, b in zip(batch.column(4), batch.column(5), strict=True):
-            both = np.concatenate([np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)])
-            both.sort(kind="stable")
-            out.append(int(np.count_nonzero(both[1:] == both[:-1])))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.int64())], names=["a", "na", "b", "nb", "both"])
+        slots = _slots(batch.column(0).to_numpy().view(np.uint64)).ravel().view(np.int64)
+        words, at = np.unique(slots >> 6, return_inverse=True)
+        bits = np.zeros(len(words), np.int64)
+        np.bitwise_or.at(bits, at, np.int64(1) << (slots & 63))
+        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(bits)], names=["word", "bits"])
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of ``FILTER_BITS`` bits, whatever the number of ids: it can only let too much pass."""
+    rows = ids.mapInArrow(_marks, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS >> 6, np.int64)
+    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return out
+
+
+def _sets(marks: np.ndarray):
+    def sets(batches):
+        for batch in batches:
+            slots = _slots(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)
+            wanted = (marks[slots >> 6] >> (slots & 63) & 1).all(1)
+            if not wanted.any():
+                continue
+            names, found = [], []
+            for _, s in shingle_sets(batch.column(1).filter(pa.array(wanted))):
+                if len(s):
+                    names.append(_signed(point(s)))
+                    found.append(s.view(np.int64))
+                if len(found) >= 256:
+                    yield _set_rows(names, found)
+                    names, found = [], []
+            if found:
+                yield _set_rows(names, found)
+
+    return sets
+
+
+def _set_rows(names: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
+    sizes = [len(s) for s in found]
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.concatenate(found)))
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), lists], names=["point", "n", "s"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -215,10 +243,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    one = sets.select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
-    two = sets.select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
+    """``pairs`` with the overlap of their sets; only the sets of these pairs move."""
+    pairs = materialize(pairs, "pairs")
+    ends = materialize(pairs.select(F.col("a").alias("point"), F.col("na").alias("n")).unionByName(pairs.select(F.col("b").alias("point"), F.col("nb").alias("n"))).distinct(), "ends")
+    some = sets.join(ends, ["point", "n"], "left_semi")
+    one = some.select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    two = some.select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
     rows = pairs.join(one, ["a", "na"]).join(two, ["b", "nb"]).select("a", "na", "b", "nb", "sa", "sb")
-    return rows.mapInArrow(_overlaps, "a long, na long, b long, nb long, both long")
+    return rows.select("a", "na", "b", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("both")).distinct()
 
 
 def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -231,19 +263,29 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     points = materialize(texts_only.mapInArrow(_points, "doc_id long, n long, point long"), "points")
     hot, hot_n = frequent(texts_only)
     rows = texts_only.select("text").mapInArrow(_cells(hot, hot_n), "h long, point long, size long")
+    # in a cell by size: a small point may link to the next larger one, any point to the largest small one before it
+    by_size = Window.partitionBy("h").orderBy(F.floor(F.col("size") / 2), "point")
+    n, small = F.floor(F.col("size") / 2), F.col("size") % 2 == 1
+    after = F.lead(n).over(by_size)
+    before = F.max(F.when(small, n)).over(by_size.rowsBetween(Window.unboundedPreceding, -1))
+    shared = rows.withColumn("_after", after).withColumn("_before", before).where((small & (3 * F.col("_after") <= 4 * n)) | (4 * F.col("_before") >= 3 * n))
+    members = shared.select("h", "point", n.cast("long").alias("n"), small.alias("small")).distinct()
     cell = Window.partitionBy("h")
-    shared = rows.withColumn("_lo", F.min("point").over(cell)).withColumn("_hi", F.max("point").over(cell)).where("_lo <> _hi")
-    members = materialize(shared.select("h", "point", F.floor(F.col("size") / 2).alias("n"), (F.col("size") % 2 == 1).alias("small")).distinct(), "cells")
-    named = members.select("point", "n").distinct().join(points, ["point", "n"]).groupBy("point", "n").agg(F.min("doc_id").alias("doc_id"))
-    sets = materialize(texts_only.join(named.select("doc_id"), "doc_id", "left_semi").select("text").mapInArrow(_sets, "point long, n long, s binary").dropDuplicates(["point", "n"]), "sets")
+    members = members.withColumn("_lo", F.min("point").over(cell)).withColumn("_hi", F.max("point").over(cell)).where("_lo <> _hi").drop("_lo", "_hi")
+    # the first pivot of a cell never changes, so ranks are fixed
+    first = Window.partitionBy("h").orderBy(F.desc("small"), "n", "point")
+    node = F.xxhash64("point", "n")
+    ranked = materialize(members.withColumn("node", node).withColumn("rank", F.row_number().over(first)).withColumn("p0", F.first("node").over(first)), "cells")
+    # of equal sets one document's is fetched, by the smallest id; ids that are null share a mark
+    some = ranked.select("point", "n").distinct()
+    no_id = F.lit(-(1 << 63)).cast("long")
+    owners = materialize(points.where("n > 0").join(some, ["point", "n"]).groupBy("point", "n").agg(F.coalesce(F.min("doc_id"), no_id).alias("owner")), "candidates")
+    sets = texts_only.select(F.coalesce("doc_id", no_id).alias("owner"), "text").mapInArrow(_sets(id_filter(owners.select("owner"))), "point long, n long, s array<bigint>")
+    sets = materialize(sets.join(owners, ["point", "n"], "left_semi").dropDuplicates(["point", "n"]), "sets")
     spark = docs.sparkSession
     roots = spark.createDataFrame([], "node long, root long")
     links = spark.createDataFrame([], "a long, b long")
     tested = spark.createDataFrame([], "a long, na long, b long, nb long, both long")
-    node = F.xxhash64("point", "n")
-    first = Window.partitionBy("h").orderBy(F.desc("small"), "n", "point")
-    # the first pivot of a cell never changes, so ranks are fixed
-    ranked = materialize(members.withColumn("node", node).withColumn("rank", F.row_number().over(first)).withColumn("p0", F.first("node").over(first)), "ranks")
     low, width = 0, 1
     while True:
         state = ranked.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -283,14 +325,41 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return joined.unionByName(points.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
+def _marked(marks: np.ndarray, at: int, inside: bool):
+    """Rows whose id (column ``at``) is in the filter, or is not; a null id is not."""
+
+    def choose(batches):
+        for batch in batches:
+            ids = batch.column(at).cast(pa.int64())
+            slots = _slots(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)).view(np.int64)
+            hit = (marks[slots >> 6] >> (slots & 63) & 1).all(1) & ids.is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit if inside else ~hit))
+
+    return choose
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, the smallest ``doc_id``; columns unchanged.
 
     Rows without a ``doc_id`` stay. Of repeated rows of a kept id one stays.
+    Texts that stay are not shuffled: the ids to drop are found in a filter
+    of fixed size, and the ids it takes by mistake, as a rule none, are
+    joined back.
     """
-    found = materialize(jaccard_components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-duplicates")
-    left = docs.join(found, docs["doc_id"].cast("long") == found["_gone"], "left_anti")
-    return left.where("doc_id is null").unionByName(left.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    found = materialize(jaccard_components(docs), "components")
+    gone = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "dropped-ids")
+    marks, at = id_filter(gone), docs.columns.index("doc_id")
+    stay = found.where("doc_id = component_id").select("doc_id")
+    mistaken = materialize(stay.mapInArrow(_marked(marks, 0, True), "doc_id long").distinct().select(F.col("doc_id").alias("_id")), "mistaken-ids")
+    repeated = materialize(stay.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_id")), "repeated-ids")
+    inside = docs.mapInArrow(_marked(marks, at, True), docs.schema)
+    outside = docs.mapInArrow(_marked(marks, at, False), docs.schema)
+
+    def pick(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        return rows.join(ids, rows["doc_id"].cast("long") == ids["_id"], how)
+
+    kept = outside.unionByName(pick(inside, mistaken, "left_semi"))
+    return pick(kept, repeated, "left_anti").unionByName(pick(kept, repeated, "left_semi").dropDuplicates(["doc_id"]))
 
 
 ORACLE = r"""
