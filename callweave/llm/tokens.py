@@ -3,7 +3,9 @@
 The vocabulary lower-cases, and its pre-tokenizer never joins characters
 across ASCII white space nor a letter or digit with an ASCII mark (a
 contraction begins at its apostrophe), so the ids of a text are the ids of
-its pieces, one after another. A worker
+its pieces, one after another. The vocabulary's added tokens
+(``<|endoftext|>``) are found in the raw text before that, case included; a
+text is cut at them first, and each stands for its own id. A worker
 keeps the ids of the pieces it has met (at most ``KEEP``, then it starts
 afresh), and numpy gathers them; ``tests/llm`` holds this against encoding
 the whole text.
@@ -12,10 +14,12 @@ the whole text.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .words import Words, words
 
@@ -37,6 +41,12 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values()):
+            raise ValueError(f"{path}: an added token that is not matched as plain text")
+        self.added = {t.content: k for k, t in added.items()}
+        # at one place the longest wins
+        self.added_at = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.clear()
 
     def clear(self) -> None:
@@ -61,6 +71,28 @@ class Encoder:
         put = np.searchsorted(self.keys, keys)
         self.keys, self.at, self.n = (np.insert(a, put, b) for a, b in ((self.keys, keys), (self.at, at), (self.n, n)))
 
+    def parts(self, column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """``column`` cut at the added tokens: the texts between them, their rows, and the id of the
+        added token before each (-1: the row begins there)."""
+        held = np.zeros(len(column), bool)
+        for content in self.added:
+            held |= pc.fill_null(pc.match_substring(column, content), False).to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(held)
+        if not len(at):
+            return column, np.arange(len(column)), np.full(len(column), -1, np.int32)
+        out, rows, before, last = [], [], [], 0
+        for k in [*at.tolist(), len(column)]:
+            out.append(column.slice(last, k - last))
+            rows.append(np.arange(last, k))
+            before.append(np.full(k - last, -1, np.int32))
+            if k < len(column):
+                cut = self.added_at.split(column[k].as_py())
+                out.append(pa.array(cut[::2], column.type))
+                rows.append(np.full(len(cut[::2]), k))
+                before.append(np.array([-1, *(self.added[x] for x in cut[1::2])], np.int32))
+            last = k + 1
+        return pa.concat_arrays(out), np.concatenate(rows), np.concatenate(before)
+
     def encode(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in order, and the number of ids of each text (part) of ``w``."""
         if not len(w.hash):
@@ -95,15 +127,19 @@ def encode(column: pa.Array, path: str, end_id: int | None = END_ID) -> Iterator
     """(row, ids) of every text of ``column``, null as empty, ``end_id`` appended."""
     enc = encoder(path)
     tail = np.array([] if end_id is None else [end_id], np.int32)
-    row, held = -1, []
-    for w in words(column, lower=True, pieces=True):
+    parts, rows, before = enc.parts(column)
+    row, part, held = -1, -1, []
+    for w in words(parts, lower=True, pieces=True):
         ids, n = enc.encode(w)
         at = 0
-        for k, m in enumerate(n.tolist()):
-            if w.row + k != row:
+        for k, m in enumerate(n.tolist(), w.row):
+            if rows[k] != row:
                 if held:
                     yield row, np.concatenate([*held, tail])
-                row, held = w.row + k, []
+                row, held = int(rows[k]), []
+            if k != part and before[k] >= 0:
+                held.append(before[k:k + 1])
+            part = k
             held.append(ids[at:at + m])
             at += m
     if held:

@@ -29,6 +29,38 @@ def test_ids_equal_the_whole_text_s(rows):
     assert got == {k: [*whole(t), tokens.END_ID] for k, t in enumerate(rows)}
 
 
+MARKED = st.lists(st.one_of(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "'s", "\u0301", " "]), TEXT), max_size=8).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), MARKED), max_size=6))
+def test_ids_equal_the_whole_text_s_with_added_tokens(rows):
+    for column in (pa.array(rows, pa.string()), pa.array(["<|endoftext|>", *rows], pa.string())[1:]):
+        got = {k: ids.tolist() for k, ids in tokens.encode(column, tokens.vocabulary())}
+        assert got == {k: [*whole(t), tokens.END_ID] for k, t in enumerate(rows)}
+
+
+def test_added_tokens_keep_their_id(monkeypatch):
+    monkeypatch.setattr(words, "SLICE", 20)
+    rows = ["see <|endoftext|> here", "<|startoftext|>" * 3 + "word " * 30 + "<|endoftext|>", "plain"]
+    got = [ids.tolist() for _, ids in tokens.encode(pa.array(rows), tokens.vocabulary())]
+    assert got == [[*whole(t), 2] for t in rows]
+    assert got[0] == [862, 49407, 763, 2]
+
+
+def test_op1_and_op9_read_added_tokens(spark, docs_of, tmp_path):
+    rows = [(1, "a <|endoftext|> b"), (2, "c<|startoftext|>"), (3, "<|endoftext|>"), (4, "d")]
+    check_packing(packing.pack_documents(docs_of(rows)).collect(), rows)
+    manifest = token_files.write_token_files(docs_of(rows), f"{tmp_path}/ids")
+    got = [tuple(r) for r in token_files.read_token_files(spark, manifest).orderBy("start").collect()]
+    want, at = [], 0
+    for d, t in rows:
+        ids = [*whole(t), 2]
+        want.append((d, at, len(ids), crc(ids)))
+        at += len(ids)
+    assert got == want
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet="ab \n\t.'é", max_size=30), max_size=8))
 def test_words_equal_split(rows):
