@@ -6,16 +6,18 @@ pages is held as its number of pages and two sums of hashed (page, count)
 pairs, so it forms by partial aggregation and no task sees a host. Tokens
 with equal vectors form an equivalence class; a class of at least
 ``CLASS_TOKENS`` tokens on at least ``SUPPORT`` of ``PAGES`` or more pages is
-valid. The classes that occur once per page nest into the template: their
-paths are its frame, and their text blocks are constant text. Of the frame's
-paths that do not lie in an excluded region, the deepest that still holds
-most of the host's free, unlinked words is the main slot.
-
-A page gives the blocks that lie in its ``article`` or ``main`` elements, else in
-its host's main slot, else anywhere; without excluded regions (``DROP_TAGS``,
-``DROP_ROLES``, ``DROP_NAMES``) and without constant text. Constant text inside
-an article goes only where it is no paragraph, heading, item or quotation,
-and copies of one page count once, so that repeated articles stay.
+valid. The paths of the valid classes nest into the template, one below the
+other as on the pages; their text blocks are constant text. The text of a
+block belongs to the slot of the deepest template path around it. A slot
+whose text is all constant is part of the template; the others are free.
+
+A page gives the blocks of its host's free slots, in page order, without excluded
+regions (``DROP_TAGS``, ``DROP_ROLES``, ``DROP_NAMES``) and without constant
+text. ``article`` and ``main`` elements decide only where the template does
+not: on a page without a template, or for a slot that holds the page's
+article and other text too. Constant text in a free slot inside an article goes
+only where it is no paragraph, heading, item or quotation, and copies of one
+page count once, so that repeated articles stay.
 
 An excluded element that is never closed excludes nothing. Null or empty
 html: empty text. Null url: the pages without a host share one. Null
@@ -42,7 +44,6 @@ CLASS_TOKENS = 2
 SUPPORT = 0.6
 PAGES = 8
 CONSTANT_WORDS = 40
-MAIN_SHARE = 0.6
 
 # Element and attribute names of HTML.
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -66,7 +67,7 @@ class Block:
     paths: tuple[str, ...]
     tag: str
     dropped: bool
-    main: bool
+    main: str  # path of the outermost article or main around it, or empty
     linked: int
 
 
@@ -101,7 +102,7 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
     ends = {v: k for k, v in closed.items()}
     out: list[Block] = []
     paths: dict[str, int] = {}
-    stack: list[tuple[int, str, str, bool, bool]] = []  # token, path, tag, dropped, main
+    stack: list[tuple[int, str, str, bool, str]] = []  # token, path, tag, dropped, main
     parts: list[str] = []
     linked = links = 0
 
@@ -110,7 +111,7 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
         if parts:
             text = " ".join(html_lib.unescape("".join(parts)).split())
             if text:
-                top = stack[-1] if stack else (-1, "", "", False, False)
+                top = stack[-1] if stack else (-1, "", "", False, "")
                 out.append(Block(text, top[1], tuple(s[1] for s in stack), top[2], top[3], top[4], linked))
             parts.clear()
         linked = 0
@@ -146,13 +147,13 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
             continue
         while stack and stack[-1][0] not in closed and (tag == stack[-1][2] or stack[-1][2] == "p"):
             stack.pop()
-        up = stack[-1] if stack else (-1, "", "", False, False)
+        up = stack[-1] if stack else (-1, "", "", False, "")
         name = (attrs.get("class", "").split() or [""])[0]
-        path = f"{up[1]}/{tag}{'.' + name if name else ''}"
+        path = f"{up[1]}/{tag}{'.' + name.replace('/', '|') if name else ''}"
         is_main = tag in MAIN_TAGS or attrs.get("role", "").lower() == "main"
         drop = up[3] or dropped or (tag == "header" and k in closed and not up[4])
         paths[path] = paths.get(path, 0) + 1
-        stack.append((k, path, tag, drop, up[4] or (is_main and k in closed)))
+        stack.append((k, path, tag, drop, up[4] or (path if is_main and k in closed else "")))
         if tag in DROP_TAGS or not block:
             links = 0
     if last < len(page):
@@ -170,7 +171,8 @@ def _hash(s: str) -> int:
 
 
 def _statistics(batches):
-    """(host, kind, token, name, pages, x, y, words) of every token: kind 0 the page itself, 1 a path, 2 a text block."""
+    """(host, kind, token, name, pages, x, y, words) of every token: kind 0 the page itself, 1 a path, 2 a text
+    block, named by its path. Words of a path: in blocks that are not excluded."""
     for batch in batches:
         sums: dict[tuple[str, int, int], list] = {}
         for h, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -181,12 +183,13 @@ def _statistics(batches):
                 tokens[1, _hash(p)] = [n, p, 0]
             for b in found:
                 words = len(b.text.split())
-                t = tokens.setdefault((2, _hash(b.path + "\n" + b.text)), [0, "", 0])
+                t = tokens.setdefault((2, _hash(b.path + "\n" + b.text)), [0, b.path, 0])
                 t[0] += 1
-                t[2] = words
                 if not b.dropped:
+                    if words <= CONSTANT_WORDS:  # longer text is never constant
+                        t[2] += words
                     for p in set(b.paths):
-                        tokens[1, _hash(p)][2] += words - 2 * min(b.linked, words)
+                        tokens[1, _hash(p)][2] += words
             for (kind, token), (n, name, words) in tokens.items():
                 mixed = xxhash.xxh64_intdigest(f"{page_hash} {n}".encode())
                 s = sums.setdefault((h, kind, token), [name, 0, 0, 0, 0])
@@ -199,8 +202,45 @@ def _statistics(batches):
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["host", "kind", "token", "name", "pages", "x", "y", "words"])
 
 
+def _slot(paths: tuple[str, ...], frame: frozenset[str]) -> str:
+    """The deepest path of the template around a block."""
+    return next((p for p in reversed(paths) if p in frame), "")
+
+
+def _chain(path: str, frame: frozenset[str]) -> str:
+    """The deepest path of the template that is ``path`` or lies around it."""
+    while path and path not in frame:
+        path = path[:path.rindex("/")]
+    return path
+
+
+def _closed(tokens: list[dict]) -> tuple[list[str], list[str], list[int]]:
+    """Of a host's valid tokens: the template's paths, those whose slot gives no text, and the constant text."""
+    paths = {t["name"]: t for t in tokens if t["kind"] == 1}
+    frame = frozenset(paths)
+    own = {p: t["words"] for p, t in paths.items()}
+    constant = dict.fromkeys(frame, 0)
+    for p, t in paths.items():
+        up = _chain(p[:p.rindex("/")], frame)
+        if up:
+            own[up] -= t["words"]
+    for t in tokens:
+        slot = _chain(t["name"], frame) if t["kind"] == 2 else ""
+        if slot:
+            constant[slot] += t["words"]
+    skip = [p for p in frame if constant[p] and own[p] <= constant[p]]
+    return sorted(frame), sorted(skip), sorted(t["token"] for t in tokens if t["kind"] == 2)
+
+
+def _deduced(batches):
+    for batch in batches:
+        found = [_closed(tokens) for tokens in batch.column(1).to_pylist()]
+        strings = pa.list_(pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], strings), pa.array([f[1] for f in found], strings), pa.array([f[2] for f in found], pa.list_(pa.int64()))], names=["host", "frame", "skip", "constant"])
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """One row per host of ``pages`` (host, html): host, main (path of the main slot or null), constant (hashes of constant text)."""
+    """One row per host of ``pages`` (host, html) with a template: host, frame (its paths), skip (those whose slot gives no text), constant (hashes of constant text)."""
     distinct = pages.where("html <> ''").select("host", "html", F.xxhash64("host", "html").alias("key"))
     repeated = materialize(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("key"), "repeated-pages")
     # copies of a page count once: unrepeated pages go as they are, of each repeated one a single text
@@ -212,25 +252,25 @@ def templates(pages: DataFrame) -> DataFrame:
     sizes = tokens.where("kind = 0").select("host", F.col("pages").alias("n"), F.col("x").alias("rx"), F.col("y").alias("ry"))
     frequent = tokens.where("kind > 0").join(sizes, "host").where((F.col("n") >= PAGES) & (F.col("pages") >= SUPPORT * F.col("n")))
     # frequent tokens of a host: at most 1 / SUPPORT times what one page holds
-    classes = frequent.groupBy("host", "pages", "x", "y").agg(
-        F.count(F.lit(1)).alias("size"), F.collect_list(F.struct("kind", "token", "name", "words")).alias("tokens"), F.first("n").alias("n"), F.first("rx").alias("rx"), F.first("ry").alias("ry"))
-    valid = classes.where(F.col("size") >= CLASS_TOKENS).withColumn("once", (F.col("pages") == F.col("n")) & (F.col("x") == F.col("rx")) & (F.col("y") == F.col("ry")))
-    each = valid.select("host", "once", F.explode("tokens").alias("t")).select("host", "once", "t.*")
-    free = F.when((F.col("kind") == 1) & F.col("once") & (F.col("words") > 0), F.struct(F.length("name").alias("depth"), "name", "words"))
-    by_host = each.groupBy("host").agg(F.collect_list(free).alias("frame"), F.collect_list(F.when(F.col("kind") == 2, F.col("token"))).alias("constant"))
-    most = F.expr(f"filter(frame, f -> f.words >= {MAIN_SHARE} * array_max(transform(frame, g -> g.words)))")
-    return materialize(by_host.select("host", F.array_max(most)["name"].alias("main"), "constant"), "templates")
+    classes = frequent.groupBy("host", "pages", "x", "y").agg(F.count(F.lit(1)).alias("size"), F.collect_list(F.struct("kind", "token", "name", "words")).alias("tokens"))
+    by_host = classes.where(F.col("size") >= CLASS_TOKENS).groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
+    return materialize(by_host.mapInArrow(_deduced, "host string, frame array<string>, skip array<string>, constant array<long>"), "templates")
 
 
-def main_text(page: str, main: str | None, constant: frozenset[int]) -> str:
+def main_text(page: str, frame: frozenset[str], skip: frozenset[str], constant: frozenset[int]) -> str:
     found, _ = blocks(page)
-    kept = [b for b in found if not b.dropped]
-    if any(b.main for b in kept):
-        kept = [b for b in kept if b.main]
-    elif main and any(main in b.paths for b in kept):
-        kept = [b for b in kept if main in b.paths]
-    if not any(b.main for b in kept):
-        kept = [b for b in kept if 2 * b.linked <= len(b.text.split())]
+    seen = [b for b in found if not b.dropped]
+    mains = {b.main for b in seen if b.main}
+    if frame:
+        kept = []
+        for b in seen:
+            slot = _slot(b.paths, frame)
+            if b.main if any(m.startswith(slot + "/") for m in mains) else slot not in skip:
+                kept.append(b)
+        kept = kept or [b for b in seen if b.main]
+    else:
+        kept = [b for b in seen if b.main] if mains else seen
+    kept = [b for b in kept if b.main or 2 * b.linked <= len(b.text.split())]
     if constant:
         kept = [b for b in kept if (b.main and b.tag in PROSE_TAGS) or len(b.text.split()) > CONSTANT_WORDS or _hash(b.path + "\n" + b.text) not in constant]
     return "\n\n".join(b.text for b in kept)
@@ -239,10 +279,10 @@ def main_text(page: str, main: str | None, constant: frozenset[int]) -> str:
 def _extract(batches):
     for batch in batches:
         texts, known = [], {}
-        for page, main, constant in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), strict=True):
-            key = constant.as_py() or []
-            held = known.setdefault(tuple(key), frozenset(key))
-            texts.append(main_text(page or "", main, held))
+        for page, *lists in zip(batch.column(2).to_pylist(), *(batch.column(i) for i in (3, 4, 5)), strict=True):
+            key = tuple(tuple(x.as_py() or ()) for x in lists)
+            held = known.setdefault(key, tuple(map(frozenset, key)))
+            texts.append(main_text(page or "", *held))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(np.array([len(t) for t in texts], np.int64))], names=["page_id", "url", "text", "n_chars"])
 
 
@@ -251,5 +291,5 @@ def extract(pages: DataFrame) -> DataFrame:
     workers_import(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host(F.col("url").cast("string")).alias("host"))
     known = templates(rows.select("host", "html"))
-    joined = rows.join(known, "host", "left").select("page_id", "url", "html", "main", "constant")
+    joined = rows.join(known, "host", "left").select("page_id", "url", "html", "frame", "skip", "constant")
     return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

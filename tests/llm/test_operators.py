@@ -451,3 +451,28 @@ def test_repeated_articles_stay(spark):
     rows = [(i, "http://h.example/", html.format(f"page {i}")) for i in range(20)]
     got = {r.page_id: r.text for r in template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {i: f"The very same notice in every page.\n\npage {i}" for i in range(20)}
+
+
+def some_words(rng, n):
+    return " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randrange(99)) for _ in range(n))
+
+
+def texts_of(spark, pages):
+    rows = [(i, f"http://h.example/{i}", page) for i, page in enumerate(pages)]
+    return {r.page_id: r.text for r in template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_the_template_decides_on_pages_with_an_article(spark):
+    """Prose that the template holds goes although it lies in the article; a free slot stays although it lies outside."""
+    rng, pages, want = random.Random(10), [], {}
+    for i in range(20):
+        body = [some_words(rng, 20 + k) for k in range(1 + i % 3)]
+        lead = some_words(rng, 12)
+        pages.append(f"<body><div class=x1><p>{lead}</p></div><article><h1>t{i}</h1>{''.join(f'<p>{b}</p>' for b in body)}<div class=x2><p>Tell your friends about it</p></div><h3>Read also</h3></article></body>")
+        want[i] = "\n\n".join([lead, f"t{i}", *body])
+    assert texts_of(spark, pages) == want
+
+
+def test_an_article_of_constant_text_stays(spark):
+    pages = [f"<body><nav>{i}</nav><article><h1>Notice</h1><p>The same in every page.</p></article></body>" for i in range(20)]
+    assert texts_of(spark, pages) == {i: "Notice\n\nThe same in every page." for i in range(20)}
