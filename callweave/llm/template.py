@@ -9,13 +9,17 @@ with equal vectors form an equivalence class; a class of at least
 valid. The paths of the valid classes nest into the template, one below the
 other as on the pages; their text blocks are constant text. The text of a
 block belongs to the slot of the deepest template path around it. A slot
-whose text is all constant is part of the template; the others are free.
+whose text is all constant is part of the template; one whose other text is by
+more than half of its words linked, over all pages of the host, is navigation
+(an ``h1`` of an article or main is not); the others are free.
 
 A page gives the blocks of its host's free slots, in page order, without excluded
 regions (``DROP_TAGS``, ``DROP_ROLES``, ``DROP_NAMES``) and without constant
 text. ``article`` and ``main`` elements decide only where the template does
 not: on a page without a template, or for a slot that holds the page's
-article and other text too. Constant text in a free slot inside an article goes
+article and other text too; there, what lies outside the article gives no
+text, and without an article the slots are the element paths of the page.
+Constant text in a free slot inside an article goes
 only where it is no paragraph, heading, item or quotation, and copies of one
 page count once, so that repeated articles stay.
 
@@ -171,35 +175,36 @@ def _hash(s: str) -> int:
 
 
 def _statistics(batches):
-    """(host, kind, token, name, pages, x, y, words) of every token: kind 0 the page itself, 1 a path, 2 a text
+    """(host, kind, token, name, pages, x, y, words, linked) of every token: kind 0 the page itself, 1 a path, 2 a text
     block, named by its path. Words of a path: in blocks that are not excluded."""
     for batch in batches:
         sums: dict[tuple[str, int, int], list] = {}
         for h, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found, paths = blocks(page)
             page_hash = _hash(page)
-            tokens: dict[tuple[int, int], list] = {(0, 0): [1, "", 0]}
+            tokens: dict[tuple[int, int], list] = {(0, 0): [1, "", 0, 0]}
             for p, n in paths.items():
-                tokens[1, _hash(p)] = [n, p, 0]
+                tokens[1, _hash(p)] = [n, p, 0, 0]
             for b in found:
                 words = len(b.text.split())
-                t = tokens.setdefault((2, _hash(b.path + "\n" + b.text)), [0, b.path, 0])
+                t = tokens.setdefault((2, _hash(b.path + "\n" + b.text)), [0, b.path, 0, 0])
                 t[0] += 1
                 if not b.dropped:
-                    if words <= CONSTANT_WORDS:  # longer text is never constant
+                    linked = 0 if b.main and b.tag == "h1" else min(b.linked, words)
+                    for t in ([t] if words <= CONSTANT_WORDS else []) + [tokens[1, _hash(p)] for p in set(b.paths)]:  # longer text is never constant
                         t[2] += words
-                    for p in set(b.paths):
-                        tokens[1, _hash(p)][2] += words
-            for (kind, token), (n, name, words) in tokens.items():
+                        t[3] += linked
+            for (kind, token), (n, name, words, linked) in tokens.items():
                 mixed = xxhash.xxh64_intdigest(f"{page_hash} {n}".encode())
-                s = sums.setdefault((h, kind, token), [name, 0, 0, 0, 0])
+                s = sums.setdefault((h, kind, token), [name, 0, 0, 0, 0, 0])
                 s[1] += 1
                 s[2] += mixed & 0x7FFFFFFF
                 s[3] += mixed >> 33
                 s[4] += words
+                s[5] += linked
         rows = [(*key, *s) for key, s in sums.items()]
-        kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), *[pa.int64()] * 4]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["host", "kind", "token", "name", "pages", "x", "y", "words"])
+        kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), *[pa.int64()] * 5]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["host", "kind", "token", "name", "pages", "x", "y", "words", "linked"])
 
 
 def _slot(paths: tuple[str, ...], frame: frozenset[str]) -> str:
@@ -218,17 +223,17 @@ def _closed(tokens: list[dict]) -> tuple[list[str], list[str], list[int]]:
     """Of a host's valid tokens: the template's paths, those whose slot gives no text, and the constant text."""
     paths = {t["name"]: t for t in tokens if t["kind"] == 1}
     frame = frozenset(paths)
-    own = {p: t["words"] for p, t in paths.items()}
+    # words and linked words of each slot that are not constant, and constant words
+    free = {p: [t["words"], t["linked"]] for p, t in paths.items()}
     constant = dict.fromkeys(frame, 0)
-    for p, t in paths.items():
-        up = _chain(p[:p.rindex("/")], frame)
-        if up:
-            own[up] -= t["words"]
     for t in tokens:
-        slot = _chain(t["name"], frame) if t["kind"] == 2 else ""
+        path = t["name"]
+        slot = _chain(path[:path.rindex("/")] if t["kind"] == 1 else path, frame)
         if slot:
-            constant[slot] += t["words"]
-    skip = [p for p in frame if constant[p] and own[p] <= constant[p]]
+            free[slot][0] -= t["words"]
+            free[slot][1] -= t["linked"]
+            constant[slot] += t["words"] if t["kind"] == 2 else 0
+    skip = [p for p, (words, linked) in free.items() if (constant[p] and words <= 0) or 2 * linked > words > 0]
     return sorted(frame), sorted(skip), sorted(t["token"] for t in tokens if t["kind"] == 2)
 
 
@@ -246,17 +251,26 @@ def templates(pages: DataFrame) -> DataFrame:
     # copies of a page count once: unrepeated pages go as they are, of each repeated one a single text
     once = distinct.join(repeated, "key", "left_anti").select("host", "html").unionByName(
         distinct.join(repeated, "key", "left_semi").groupBy("key").agg(F.first("host").alias("host"), F.first("html").alias("html")).select("host", "html"))
-    tokens = once.mapInArrow(_statistics, "host string, kind int, token long, name string, pages long, x long, y long, words long")
-    tokens = tokens.groupBy("host", "kind", "token").agg(F.max("name").alias("name"), *[F.sum(c).alias(c) for c in ("pages", "x", "y", "words")]).where("pages > 1")
+    tokens = once.mapInArrow(_statistics, "host string, kind int, token long, name string, pages long, x long, y long, words long, linked long")
+    tokens = tokens.groupBy("host", "kind", "token").agg(F.max("name").alias("name"), *[F.sum(c).alias(c) for c in ("pages", "x", "y", "words", "linked")]).where("pages > 1")
     tokens = materialize(tokens, "page-tokens")
     sizes = tokens.where("kind = 0").select("host", F.col("pages").alias("n"), F.col("x").alias("rx"), F.col("y").alias("ry"))
     frequent = tokens.where("kind > 0").join(sizes, "host").where((F.col("n") >= PAGES) & (F.col("pages") >= SUPPORT * F.col("n")))
     # frequent tokens of a host: at most 1 / SUPPORT times what one page holds
-    classes = frequent.groupBy("host", "pages", "x", "y").agg(F.count(F.lit(1)).alias("size"), F.collect_list(F.struct("kind", "token", "name", "words")).alias("tokens"))
+    classes = frequent.groupBy("host", "pages", "x", "y").agg(F.count(F.lit(1)).alias("size"), F.collect_list(F.struct("kind", "token", "name", "words", "linked")).alias("tokens"))
     by_host = classes.where(F.col("size") >= CLASS_TOKENS).groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
     return materialize(by_host.mapInArrow(_deduced, "host string, frame array<string>, skip array<string>, constant array<long>"), "templates")
 
 
+def _unlinked(found: list[Block]) -> list[Block]:
+    """Blocks of the element paths of which at most half of the words on the page are linked."""
+    sums: dict[str, int] = {}
+    for b in found:
+        words = len(b.text.split())
+        sums[b.path] = sums.get(b.path, 0) + words - 2 * min(b.linked, words)
+    return [b for b in found if sums[b.path] >= 0]
+
+
 def main_text(page: str, frame: frozenset[str], skip: frozenset[str], constant: frozenset[int]) -> str:
     found, _ = blocks(page)
     seen = [b for b in found if not b.dropped]
@@ -269,8 +283,7 @@ def main_text(page: str, frame: frozenset[str], skip: frozenset[str], constant:
                 kept.append(b)
         kept = kept or [b for b in seen if b.main]
     else:
-        kept = [b for b in seen if b.main] if mains else seen
-    kept = [b for b in kept if b.main or 2 * b.linked <= len(b.text.split())]
+        kept = [b for b in seen if b.main] if mains else _unlinked(seen)
     if constant:
         kept = [b for b in kept if (b.main and b.tag in PROSE_TAGS) or len(b.text.split()) > CONSTANT_WORDS or _hash(b.path + "\n" + b.text) not in constant]
     return "\n\n".join(b.text for b in kept)

@@ -476,3 +476,16 @@ def test_the_template_decides_on_pages_with_an_article(spark):
 def test_an_article_of_constant_text_stays(spark):
     pages = [f"<body><nav>{i}</nav><article><h1>Notice</h1><p>The same in every page.</p></article></body>" for i in range(20)]
     assert texts_of(spark, pages) == {i: "Notice\n\nThe same in every page." for i in range(20)}
+
+
+def test_all_free_slots_are_kept_in_page_order(spark):
+    """An article in sibling slots stays whole; whether a slot is navigation is decided over the host, not per block."""
+    rng, pages, want = random.Random(11), [], {}
+    for i in range(20):
+        title, lead, body, credit = f"t{i}", some_words(rng, 14), [some_words(rng, 8 + k) for k in range(1 + i % 4)], some_words(rng, 5)
+        linked = some_words(rng, 9)
+        menu = "".join(f"<li><a href=/>{some_words(rng, 3)}</a></li>" for _ in range(2 + i % 3))
+        pages.append(f"<body><div class=x0><ul>{menu}</ul><p>by</p></div><div class=x1><h2>{title}</h2></div><div class=x2>{lead}</div>"
+                     f"<div class=x3>{''.join(f'<p>{b}</p>' for b in body)}<p><a href=/>{linked}</a></p></div><div class=x4>{credit}</div></body>")
+        want[i] = "\n\n".join([title, lead, *body, linked, credit])
+    assert texts_of(spark, pages) == want
