@@ -23,6 +23,10 @@ Constant text in a free slot inside an article goes
 only where it is no paragraph, heading, item or quotation, and copies of one
 page count once, so that repeated articles stay.
 
+``DROP_NAMES`` are whole class or id names. They exclude no element that holds
+the page's article or main or, over the host, ``MAIN_SHARE`` of the free
+words, and ``header`` excludes nothing inside an article.
+
 An excluded element that is never closed excludes nothing. Null or empty
 html: empty text. Null url: the pages without a host share one. Null
 ``page_id`` and repeated rows are kept. Other columns are not read.
@@ -48,6 +52,9 @@ CLASS_TOKENS = 2
 SUPPORT = 0.6
 PAGES = 8
 CONSTANT_WORDS = 40
+MAIN_SHARE = 0.6
+
+SUMS = ("words", "linked", "hidden", "hidden_linked", "named")
 
 # Element and attribute names of HTML.
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -56,7 +63,7 @@ DROP_TAGS = frozenset("head title nav footer aside form button select textarea n
 MAIN_TAGS = frozenset("article main".split())
 PROSE_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td dd".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
-DROP_NAMES = re.compile(r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|sidebar|aside|rail|ads?|advert\w*|adsbygoogle|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|alert|newsletter|subscribe|subscription|signup|login|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|widget|pagination|pager|skip-link|toolbar|form|search)(?:$|[\s_-])", re.I)
+DROP_NAMES = re.compile(r"(?:^|(?<=\s))(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|sidebar|aside|rail|ads?|advert\w*|adsbygoogle|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|alert|newsletter|subscribe|subscription|signup|login|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|widget|pagination|pager|skip-link|toolbar|form|search)(?:$|(?=\s))", re.I)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?</\1\s*>|<[!?][^>]*>"
@@ -73,6 +80,7 @@ class Block:
     dropped: bool
     main: str  # path of the outermost article or main around it, or empty
     linked: int
+    named: tuple[str, ...]  # paths around it that DROP_NAMES tells of
 
 
 def _attributes(s: str) -> dict[str, str]:
@@ -87,10 +95,16 @@ def _drops(tag: str, attrs: dict[str, str], raw: str) -> bool:
     if tag in BLOCK_TAGS or tag in ("span", "a"):
         if re.search(r"\bhidden\b(?!=)", raw) and "aria-hidden" not in raw or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", ""), re.I):
             return True
-        return bool(DROP_NAMES.search(attrs.get("class", "")) or DROP_NAMES.search(attrs.get("id", "")))
     return False
 
 
+def _named(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
+    if tag in ("html", "body") or tag in MAIN_TAGS or tag not in BLOCK_TAGS and tag not in ("span", "a"):
+        return False
+    names = {m[0].lower() for x in ("class", "id") for m in DROP_NAMES.finditer(attrs.get(x, ""))}
+    return bool(names - {"header"} if in_main else names)
+
+
 def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
     """Text blocks in page order, and how often each element path occurs."""
     found, opened, closed = [], {}, {}
@@ -104,9 +118,18 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
             elif opened.get(tag):
                 closed[opened[tag].pop()] = k
     ends = {v: k for k, v in closed.items()}
+    mains = [k for k in closed if found[k][2] in MAIN_TAGS or "role" in found[k][4].lower() and _attributes(found[k][4]).get("role", "").lower() == "main"]
+    articles = [k for k in mains if found[k][2] == "article"]
+    widest = max((found[closed[k]][1] - found[k][0] for k in mains), default=0)
+
+    def holds_main(k: int) -> bool:
+        """Whether the element holds all article and main elements, or all articles and most of what is in main."""
+        inside = lambda those: bool(those) and k < min(those) and closed[k] > max(closed[x] for x in those)
+        return inside(mains) or inside(articles) and 2 * (found[closed[k]][1] - found[k][0]) > widest
+
     out: list[Block] = []
     paths: dict[str, int] = {}
-    stack: list[tuple[int, str, str, bool, str]] = []  # token, path, tag, dropped, main
+    stack: list[tuple[int, str, str, bool, str, tuple[str, ...]]] = []  # token, path, tag, dropped, main, named
     parts: list[str] = []
     linked = links = 0
 
@@ -115,8 +138,8 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
         if parts:
             text = " ".join(html_lib.unescape("".join(parts)).split())
             if text:
-                top = stack[-1] if stack else (-1, "", "", False, "")
-                out.append(Block(text, top[1], tuple(s[1] for s in stack), top[2], top[3], top[4], linked))
+                top = stack[-1] if stack else (-1, "", "", False, "", ())
+                out.append(Block(text, top[1], tuple(s[1] for s in stack), top[2], top[3], top[4], linked, top[5]))
             parts.clear()
         linked = 0
 
@@ -144,20 +167,21 @@ def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
             continue
         attrs = _attributes(raw) if raw else {}
         dropped = k in closed and _drops(tag, attrs, raw)
-        if not block and not dropped and not (k in closed and tag in MAIN_TAGS):
+        named = k in closed and not dropped and _named(tag, attrs, bool(stack and stack[-1][4])) and not holds_main(k)
+        if not block and not dropped and not named and not (k in closed and tag in MAIN_TAGS):
             continue
         flush()
         if tag in VOID_TAGS:
             continue
         while stack and stack[-1][0] not in closed and (tag == stack[-1][2] or stack[-1][2] == "p"):
             stack.pop()
-        up = stack[-1] if stack else (-1, "", "", False, "")
+        up = stack[-1] if stack else (-1, "", "", False, "", ())
         name = (attrs.get("class", "").split() or [""])[0]
         path = f"{up[1]}/{tag}{'.' + name.replace('/', '|') if name else ''}"
         is_main = tag in MAIN_TAGS or attrs.get("role", "").lower() == "main"
         drop = up[3] or dropped or (tag == "header" and k in closed and not up[4])
         paths[path] = paths.get(path, 0) + 1
-        stack.append((k, path, tag, drop, up[4] or (path if is_main and k in closed else "")))
+        stack.append((k, path, tag, drop, up[4] or (path if is_main and k in closed else ""), (*up[5], path) if named else up[5]))
         if tag in DROP_TAGS or not block:
             links = 0
     if last < len(page):
@@ -175,36 +199,39 @@ def _hash(s: str) -> int:
 
 
 def _statistics(batches):
-    """(host, kind, token, name, pages, x, y, words, linked) of every token: kind 0 the page itself, 1 a path, 2 a text
-    block, named by its path. Words of a path: in blocks that are not excluded."""
+    """(host, kind, token, name, pages, x, y, words, linked, hidden, hidden_linked, named) of every token: kind 0 the page itself, 1 a path, 2 a text
+    block, named by its path. Words of a path: in blocks that are not
+    excluded, and (hidden) that only a name excludes; a path is named if a name excludes it."""
     for batch in batches:
         sums: dict[tuple[str, int, int], list] = {}
         for h, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             found, paths = blocks(page)
             page_hash = _hash(page)
-            tokens: dict[tuple[int, int], list] = {(0, 0): [1, "", 0, 0]}
+            tokens: dict[tuple[int, int], list] = {(0, 0): [1, "", 0, 0, 0, 0, 0]}
             for p, n in paths.items():
-                tokens[1, _hash(p)] = [n, p, 0, 0]
+                tokens[1, _hash(p)] = [n, p, 0, 0, 0, 0, 0]
             for b in found:
                 words = len(b.text.split())
-                t = tokens.setdefault((2, _hash(b.path + "\n" + b.text)), [0, b.path, 0, 0])
+                t = tokens.setdefault((2, _hash(b.path + "\n" + b.text)), [0, b.path, 0, 0, 0, 0, 0])
                 t[0] += 1
                 if not b.dropped:
                     linked = 0 if b.main and b.tag == "h1" else min(b.linked, words)
-                    for t in ([t] if words <= CONSTANT_WORDS else []) + [tokens[1, _hash(p)] for p in set(b.paths)]:  # longer text is never constant
-                        t[2] += words
-                        t[3] += linked
-            for (kind, token), (n, name, words, linked) in tokens.items():
+                    for t in ([t] if words <= CONSTANT_WORDS else []) + [tokens[1, _hash(p)] for p in set(b.paths)] + [tokens[0, 0]]:  # longer text is never constant
+                        t[4 if b.named else 2] += words
+                        t[5 if b.named else 3] += linked
+                    for p in b.named:
+                        tokens[1, _hash(p)][6] = 1
+            for (kind, token), (n, name, *sums_of_page) in tokens.items():
                 mixed = xxhash.xxh64_intdigest(f"{page_hash} {n}".encode())
-                s = sums.setdefault((h, kind, token), [name, 0, 0, 0, 0, 0])
+                s = sums.setdefault((h, kind, token), [name, *[0] * 8])
                 s[1] += 1
                 s[2] += mixed & 0x7FFFFFFF
                 s[3] += mixed >> 33
-                s[4] += words
-                s[5] += linked
+                for i, x in enumerate(sums_of_page, 4):
+                    s[i] += x
         rows = [(*key, *s) for key, s in sums.items()]
-        kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), *[pa.int64()] * 5]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["host", "kind", "token", "name", "pages", "x", "y", "words", "linked"])
+        kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), *[pa.int64()] * 8]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["host", "kind", "token", "name", "pages", "x", "y", *SUMS])
 
 
 def _slot(paths: tuple[str, ...], frame: frozenset[str]) -> str:
@@ -219,47 +246,63 @@ def _chain(path: str, frame: frozenset[str]) -> str:
     return path
 
 
-def _closed(tokens: list[dict]) -> tuple[list[str], list[str], list[int]]:
-    """Of a host's valid tokens: the template's paths, those whose slot gives no text, and the constant text."""
+def _closed(tokens: list[dict], total: int) -> tuple[list[str], list[str], list[str], list[int]]:
+    """Of a host's valid tokens: the template's paths, those whose slot gives no text, those that their name does not
+    exclude, and the constant text. ``total``: words of the host's blocks that no tag excludes."""
     paths = {t["name"]: t for t in tokens if t["kind"] == 1}
+    texts = [t for t in tokens if t["kind"] == 2]
     frame = frozenset(paths)
+    total -= sum(t["words"] + t["hidden"] for t in texts)
+    lifted = []
+    for p, t in paths.items():
+        if t["named"]:
+            hidden = t["hidden"] - sum(x["hidden"] for x in texts if (x["name"] + "/").startswith(p + "/"))
+            if hidden > 0 and hidden >= MAIN_SHARE * total:
+                lifted.append(p)
     # words and linked words of each slot that are not constant, and constant words
-    free = {p: [t["words"], t["linked"]] for p, t in paths.items()}
-    constant = dict.fromkeys(frame, 0)
+    free = {p: [t[c] for c in SUMS[:4]] for p, t in paths.items()}
+    constant = {p: [0, 0] for p in frame}
     for t in tokens:
         path = t["name"]
         slot = _chain(path[:path.rindex("/")] if t["kind"] == 1 else path, frame)
         if slot:
-            free[slot][0] -= t["words"]
-            free[slot][1] -= t["linked"]
-            constant[slot] += t["words"] if t["kind"] == 2 else 0
-    skip = [p for p, (words, linked) in free.items() if (constant[p] and words <= 0) or 2 * linked > words > 0]
-    return sorted(frame), sorted(skip), sorted(t["token"] for t in tokens if t["kind"] == 2)
+            for i, c in enumerate(SUMS[:4]):
+                free[slot][i] -= t[c]
+            if t["kind"] == 2:
+                constant[slot][0] += t["words"]
+                constant[slot][1] += t["hidden"]
+    skip = []
+    for p, (words, linked, hidden, hidden_linked) in free.items():
+        shown = any((p + "/").startswith(x + "/") for x in lifted)
+        words, linked = (words + hidden, linked + hidden_linked) if shown else (words, linked)
+        if (constant[p][0] + shown * constant[p][1] and words <= 0) or 2 * linked > words > 0:
+            skip.append(p)
+    return sorted(frame), sorted(skip), sorted(lifted), sorted(t["token"] for t in texts)
 
 
 def _deduced(batches):
     for batch in batches:
-        found = [_closed(tokens) for tokens in batch.column(1).to_pylist()]
-        strings = pa.list_(pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], strings), pa.array([f[1] for f in found], strings), pa.array([f[2] for f in found], pa.list_(pa.int64()))], names=["host", "frame", "skip", "constant"])
+        found = [_closed(*x) for x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        kinds = [*[pa.list_(pa.string())] * 3, pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([f[i] for f in found], t) for i, t in enumerate(kinds)]], names=["host", "frame", "skip", "lifted", "constant"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """One row per host of ``pages`` (host, html) with a template: host, frame (its paths), skip (those whose slot gives no text), constant (hashes of constant text)."""
+    """One row per host of ``pages`` (host, html) with a template: host, frame (its paths), skip (those whose slot gives no text), lifted (those that their name does not exclude), constant (hashes of constant text)."""
     distinct = pages.where("html <> ''").select("host", "html", F.xxhash64("host", "html").alias("key"))
     repeated = materialize(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("key"), "repeated-pages")
     # copies of a page count once: unrepeated pages go as they are, of each repeated one a single text
     once = distinct.join(repeated, "key", "left_anti").select("host", "html").unionByName(
         distinct.join(repeated, "key", "left_semi").groupBy("key").agg(F.first("host").alias("host"), F.first("html").alias("html")).select("host", "html"))
-    tokens = once.mapInArrow(_statistics, "host string, kind int, token long, name string, pages long, x long, y long, words long, linked long")
-    tokens = tokens.groupBy("host", "kind", "token").agg(F.max("name").alias("name"), *[F.sum(c).alias(c) for c in ("pages", "x", "y", "words", "linked")]).where("pages > 1")
+    tokens = once.mapInArrow(_statistics, "host string, kind int, token long, name string, pages long, x long, y long, " + ", ".join(f"{c} long" for c in SUMS))
+    tokens = tokens.groupBy("host", "kind", "token").agg(F.max("name").alias("name"), *[F.sum(c).alias(c) for c in ("pages", "x", "y", *SUMS)]).where("pages > 1")
     tokens = materialize(tokens, "page-tokens")
-    sizes = tokens.where("kind = 0").select("host", F.col("pages").alias("n"), F.col("x").alias("rx"), F.col("y").alias("ry"))
+    sizes = tokens.where("kind = 0").select("host", F.col("pages").alias("n"), (F.col("words") + F.col("hidden")).alias("all"))
     frequent = tokens.where("kind > 0").join(sizes, "host").where((F.col("n") >= PAGES) & (F.col("pages") >= SUPPORT * F.col("n")))
     # frequent tokens of a host: at most 1 / SUPPORT times what one page holds
-    classes = frequent.groupBy("host", "pages", "x", "y").agg(F.count(F.lit(1)).alias("size"), F.collect_list(F.struct("kind", "token", "name", "words", "linked")).alias("tokens"))
-    by_host = classes.where(F.col("size") >= CLASS_TOKENS).groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
-    return materialize(by_host.mapInArrow(_deduced, "host string, frame array<string>, skip array<string>, constant array<long>"), "templates")
+    classes = frequent.groupBy("host", "pages", "x", "y").agg(F.first("all").alias("all"), F.count(F.lit(1)).alias("size"), F.collect_list(F.struct("kind", "token", "name", *SUMS)).alias("tokens"))
+    by_host = classes.where(F.col("size") >= CLASS_TOKENS).groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"), F.first("all").alias("all"))
+    return materialize(by_host.mapInArrow(_deduced, "host string, frame array<string>, skip array<string>, lifted array<string>, constant array<long>"), "templates")
 
 
 def _unlinked(found: list[Block]) -> list[Block]:
@@ -271,9 +314,9 @@ def _unlinked(found: list[Block]) -> list[Block]:
     return [b for b in found if sums[b.path] >= 0]
 
 
-def main_text(page: str, frame: frozenset[str], skip: frozenset[str], constant: frozenset[int]) -> str:
+def main_text(page: str, frame: frozenset[str], skip: frozenset[str], lifted: frozenset[str], constant: frozenset[int]) -> str:
     found, _ = blocks(page)
-    seen = [b for b in found if not b.dropped]
+    seen = [b for b in found if not b.dropped and lifted.issuperset(b.named)]
     mains = {b.main for b in seen if b.main}
     if frame:
         kept = []
@@ -292,7 +335,7 @@ def main_text(page: str, frame: frozenset[str], skip: frozenset[str], constant:
 def _extract(batches):
     for batch in batches:
         texts, known = [], {}
-        for page, *lists in zip(batch.column(2).to_pylist(), *(batch.column(i) for i in (3, 4, 5)), strict=True):
+        for page, *lists in zip(batch.column(2).to_pylist(), *(batch.column(i) for i in (3, 4, 5, 6)), strict=True):
             key = tuple(tuple(x.as_py() or ()) for x in lists)
             held = known.setdefault(key, tuple(map(frozenset, key)))
             texts.append(main_text(page or "", *held))
@@ -304,5 +347,5 @@ def extract(pages: DataFrame) -> DataFrame:
     workers_import(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"), host(F.col("url").cast("string")).alias("host"))
     known = templates(rows.select("host", "html"))
-    joined = rows.join(known, "host", "left").select("page_id", "url", "html", "frame", "skip", "constant")
+    joined = rows.join(known, "host", "left").select("page_id", "url", "html", "frame", "skip", "lifted", "constant")
     return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -489,3 +489,12 @@ def test_all_free_slots_are_kept_in_page_order(spark):
                      f"<div class=x3>{''.join(f'<p>{b}</p>' for b in body)}<p><a href=/>{linked}</a></p></div><div class=x4>{credit}</div></body>")
         want[i] = "\n\n".join([title, lead, *body, linked, credit])
     assert texts_of(spark, pages) == want
+
+
+def test_names_exclude_only_whole_and_never_the_main_text(spark):
+    page = "<body><div class='site-content has-sidebar sidebar'><article><header class=entry-header><h1>t</h1></header><div class='article-header header'>by me</div><p class=share-price>up</p><div class=comments><article>nice</article></div></article><div class=sidebar><article>teaser</article></div></div></body>"
+    assert texts_of(spark, [page]) == {0: "t\n\nby me\n\nup"}
+    rng = random.Random(12)
+    body = [[some_words(rng, 20 + k) for k in range(1 + i % 3)] for i in range(20)]
+    pages = [f"<body><h2>Our site</h2><div class=search><div class=related><p>r{i}</p></div><div class=x1>{''.join(f'<p>{x}</p>' for x in b)}</div></div><div class=x2>end {i}</div></body>" for i, b in enumerate(body)]
+    assert texts_of(spark, pages) == {i: "\n\n".join([*b, f"end {i}"]) for i, b in enumerate(body)}
