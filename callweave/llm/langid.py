@@ -40,9 +40,8 @@ from .common import workers_import
 from .words import words
 
 VOCABULARY = "piece_bpe_32k.model"
-LONGEST = 10
-FIT_DOCS = 500
-ROUNDS = 2
+FIT_DOCS = 2000
+ROUNDS = 3
 UNKNOWN = 1e-9
 SMOOTH = 0.05
 KEEP = 1_000_000
@@ -66,7 +65,7 @@ def pieces(path: str) -> dict[str, int]:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        names = sorted({p for p in map(model.id_to_piece, range(model.get_piece_size())) if (x := p.removeprefix(_MARK)).isalpha() and x == x.lower() and len(p) <= LONGEST} | {_MARK})
+        names = sorted({p for p in map(model.id_to_piece, range(model.get_piece_size())) if (x := p.removeprefix(_MARK)).isalpha() and x == x.lower()} | {_MARK})
         _pieces[path] = {p: k for k, p in enumerate(names)}
     return _pieces[path]
 
@@ -76,61 +75,97 @@ def letter_runs(text: str) -> list[str]:
     return [x.lower() for x in runs if x]
 
 
-def _hits(word: str, known: dict[str, int]) -> list[tuple[list[int], list[int]]]:
-    """For each end in the marked word: the starts and numbers of pieces that end there (-1: unknown letter)."""
-    marked, out = _MARK + word, []
-    for end in range(1, len(marked) + 1):
-        starts, ids = [], []
-        for start in range(max(0, end - LONGEST), end):
-            k = known.get(marked[start:end])
-            if k is not None:
-                starts.append(start)
-                ids.append(k)
-            elif start == end - 1:
-                starts.append(start)
-                ids.append(-1)
-        out.append((starts, ids))
+_starts: dict[str, tuple[frozenset[str], int]] = {}
+
+
+def beginnings(known: dict[str, int], path: str | None = None) -> tuple[frozenset[str], int]:
+    """All beginnings of the pieces, and the length of the longest; kept by ``path``."""
+    if path in _starts:
+        return _starts[path]
+    found = frozenset(p[:i] for p in known for i in range(1, len(p) + 1)), max(map(len, known), default=1)
+    if path is not None:
+        _starts[path] = found
+    return found
+
+
+def _hits(marked: str, known: dict[str, int], begins: frozenset[str]) -> list[list[tuple[int, int]]]:
+    """For each end in the marked word: start and number of the pieces that end there (-1: unknown letter)."""
+    n = len(marked)
+    out: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+    for start in range(n):
+        k = known.get(marked[start])
+        out[start].append((start, -1 if k is None else k))
+        end = start + 1
+        while end <= n and (x := marked[start:end]) in begins:
+            if end > start + 1 and (k := known.get(x)) is not None:
+                out[end - 1].append((start, k))
+            end += 1
     return out
 
 
-def forward(word: str, known: dict[str, int], prob: list[list[float]]) -> list[float]:
+def forward(word: str, known: dict[str, int], prob: list[list[float]], path: str | None = None) -> list[float]:
     """Log of the sum over all segmentations, per language. ``prob``: a row per piece, a column per language, last row for unknown letters."""
-    marked, each = _MARK + word, range(len(prob[-1]))
+    begins, longest = beginnings(known, path)
+    each = range(len(prob[-1]))
     alpha, shift = [[1.0] * len(each)], [0.0] * len(each)
-    for end in range(1, len(marked) + 1):
+    for hits in _hits(_MARK + word, known, begins):
         a = [0.0] * len(each)
-        for start in range(max(0, end - LONGEST), end):
-            k = known.get(marked[start:end])
-            if k is not None or start == end - 1:
-                row, before = prob[-1 if k is None else k], alpha[start]
-                for j in each:
-                    a[j] += before[j] * row[j]
+        for start, k in hits:
+            row, before = prob[k], alpha[start]
+            for j in each:
+                a[j] += before[j] * row[j]
         alpha.append(a)
         if min(a, default=1.0) < 1e-150:  # keep the values that are still needed in range
             for j in each:
                 scale = max(a[j], 1e-300)
                 shift[j] += math.log(scale)
-                for x in alpha[-LONGEST - 1:]:
+                for x in alpha[-longest - 1:]:
                     x[j] /= scale
     return [math.log(max(x, 1e-300)) + y for x, y in zip(alpha[-1], shift, strict=True)]
 
 
-def expected(word: str, known: dict[str, int], prob: np.ndarray) -> dict[int, float]:
+def expected(word: str, known: dict[str, int], prob: list[float] | np.ndarray, path: str | None = None) -> dict[int, float]:
     """Expected number of each piece over all segmentations of ``word`` for one language."""
-    hits = _hits(word, known)
-    alpha, beta = np.zeros(len(hits) + 1), np.zeros(len(hits) + 1)
-    alpha[0] = beta[-1] = 1.0
-    for end, (starts, ids) in enumerate(hits, 1):
-        alpha[end] = sum(alpha[s] * prob[k] for s, k in zip(starts, ids, strict=True))
-    for end in range(len(hits), 0, -1):
-        for s, k in zip(*hits[end - 1], strict=True):
-            beta[s] += prob[k] * beta[end]
+    ends = _hits(_MARK + word, known, beginnings(known, path)[0])
+    alpha, beta = [1.0] + [0.0] * len(ends), [0.0] * len(ends) + [1.0]
+    for end, hits in enumerate(ends, 1):
+        alpha[end] = sum([alpha[s] * prob[k] for s, k in hits])
+    if alpha[-1] < 1e-250:
+        return _expected_in_logs(ends, prob)
+    for end in range(len(ends), 0, -1):
+        after = beta[end] / alpha[-1] if end == len(ends) else beta[end]
+        for s, k in ends[end - 1]:
+            beta[s] += prob[k] * after
+    beta[-1] /= alpha[-1]
+    out: dict[int, float] = {}
+    for end, hits in enumerate(ends, 1):
+        for s, k in hits:
+            if k >= 0:
+                out[k] = out.get(k, 0.0) + alpha[s] * prob[k] * beta[end]
+    return out
+
+
+def _expected_in_logs(ends: list[list[tuple[int, int]]], prob: list[float] | np.ndarray) -> dict[int, float]:
+    """The same for words whose probability is too small for a float."""
+
+    def add(x: float, y: float) -> float:
+        top, low = max(x, y), min(x, y)
+        return top if low == -math.inf else top + math.log1p(math.exp(low - top))
+
+    logs = {k: math.log(prob[k]) if prob[k] > 0 else -math.inf for hits in ends for _, k in hits}
+    alpha, beta = [0.0] + [-math.inf] * len(ends), [-math.inf] * len(ends) + [0.0]
+    for end, hits in enumerate(ends, 1):
+        for s, k in hits:
+            alpha[end] = add(alpha[end], alpha[s] + logs[k])
+    for end in range(len(ends), 0, -1):
+        for s, k in ends[end - 1]:
+            beta[s] = add(beta[s], logs[k] + beta[end])
     out: dict[int, float] = {}
-    if alpha[-1] > 0:
-        for end, (starts, ids) in enumerate(hits, 1):
-            for s, k in zip(starts, ids, strict=True):
+    if alpha[-1] > -math.inf:
+        for end, hits in enumerate(ends, 1):
+            for s, k in hits:
                 if k >= 0:
-                    out[k] = out.get(k, 0.0) + alpha[s] * prob[k] * beta[end] / alpha[-1]
+                    out[k] = out.get(k, 0.0) + math.exp(alpha[s] + logs[k] + beta[end] - alpha[-1])
     return out
 
 
@@ -152,8 +187,7 @@ def _word_counts(batches):
         counts: dict[tuple[str, str], int] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             for w in letter_runs(text):
-                if len(w) <= 64:
-                    counts[lang, w] = counts.get((lang, w), 0) + 1
+                counts[lang, w] = counts.get((lang, w), 0) + 1
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(counts.values(), pa.int64())], names=["lang", "word", "n"])
 
 
@@ -162,10 +196,12 @@ def _expectation(path: str, prob: dict[str, np.ndarray] | None):
         known, sums = pieces(path), {}
         uniform = np.full(len(known) + 1, 1.0 / len(known))
         uniform[-1] = UNKNOWN
+        start = uniform.tolist()
+        plain = {lang: p.tolist() for lang, p in (prob or {}).items()}
         for batch in batches:
             for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 into = sums.setdefault(lang, np.zeros(len(known)))
-                for k, x in expected(word, known, uniform if prob is None else prob[lang]).items():
+                for k, x in expected(word, known, start if prob is None else plain[lang], path).items():
                     into[k] += n * x
         rows = [(lang, int(k), float(v[k])) for lang, v in sums.items() for k in np.flatnonzero(v)]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.float64())], names=["lang", "piece", "n"])
@@ -218,7 +254,7 @@ class Scorer:
         """Sum over the runs of letters, and their number."""
         out = np.zeros(len(self.model.languages) + 1)
         for run in letter_runs(text):
-            out[:-1] += forward(run, self.known, self.prob)
+            out[:-1] += forward(run, self.known, self.prob, self.model.path)
             out[-1] += 1
         return out
 

@@ -126,6 +126,22 @@ def test_forward_of_a_very_long_word_stays_finite():
     assert np.isfinite(got).all() and got[0] != got[1]
 
 
+def test_the_fit_reads_every_piece_and_word():
+    """Pieces of any length count, and words of any length: expected letters add up to the word's."""
+    assert langid.FIT_DOCS == 2000 and langid.ROUNDS == 3
+    known = langid.pieces(langid.vocabulary())
+    assert "▁government" in known
+    names = {k: p for p, k in known.items()}
+    prob = np.full(len(known) + 1, 1 / len(known))
+    prob[-1] = langid.UNKNOWN
+    for word in ("government", "government" * 7, "government" * 300):
+        counts = langid.expected(word, known, prob)
+        assert sum(n * len(names[k]) for k, n in counts.items()) == pytest.approx(len(word) + 1)
+        assert word != "government" or counts[known["▁government"]] > 0.9
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array(["a" * 65 + " b"])], names=["lang", "text"])
+    assert next(iter(langid._word_counts([batch]))).column(1).to_pylist() == ["a" * 65, "b"]
+
+
 def test_language_rows_and_edges(spark, docs_of):
     en = ["the cat and the dog were thinking of things", "this is the weather that they like"]
     fr = ["le chat et le chien pensent à des choses", "une belle journée pour les enfants"]
