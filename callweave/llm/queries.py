@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert, jaccard, langid, mixing, pii, quality, template, warc
+from . import alignment, factorization, hilbert, jaccard, langid, mixing, pii, quality, squares, template, warc
 from .common import table
 
 
@@ -56,6 +56,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op11_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op12_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return squares.report(table(spark, sf_dir, "documents"))
+
+
+def op13_factorization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factorization.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_hilbert": op2_hilbert,
@@ -67,6 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_token_files": op9_token_files,
     "op10_pii": op10_pii,
+    "op11_pair_bitmaps": op11_pair_bitmaps,
+    "op12_squares": op12_squares,
+    "op13_factorization": op13_factorization,
 }
 
 ORACLE_SQL: dict[str, str] = {

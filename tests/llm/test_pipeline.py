@@ -19,7 +19,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_names_and_stages():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "personal_data", "mix", "pack"]
 
 
