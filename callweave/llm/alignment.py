@@ -42,18 +42,21 @@ from pyspark.sql import functions as F
 
 from callweave.session import materialize
 
-from .common import workers_import
+from .common import worker_cache, workers_import
 
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_DOCS = 1 << 16
-BLOCK_LINKS = 4_000_000  # links taken into a block's index at once
+BLOCK_LINKS = 1_500_000  # links taken into a block's index at once
 BLOCK_ENTRIES = 3_000_000  # a block closes beyond so many (pair, document) entries
-KEEP_BYTES = 96 << 20  # of a worker's cache of segments
+KEEP_BYTES = 128 << 20  # of a worker's cache of segments
 LONG_SEGMENT = 4096  # longer ones are not kept
-GROUP_CHARS = 8 << 20  # characters of documents whose segments are looked up together
+CHUNK_CHARS = 1 << 16  # characters of new segments encoded as one text
+FRONT = " a"  # a segment in front of them that both vocabularies cover
+GROUP_CHARS = 2 << 20  # characters of documents whose segments are looked up together
 SLICE = 100_000  # segments of a long text at once
 BITS = BLOCK_DOCS // 8
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\s*\S)")
+_UNEVEN = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z|\x00")
 
 DOC = "block long, slot int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 POSTING = "a int, b int, plane int, n long, bits binary"
@@ -85,7 +88,7 @@ class _Table:
 
 
 class Aligner:
-    """Aligns segments and keeps what it has aligned, by number, up to ``KEEP_BYTES``."""
+    """Aligns segments and keeps what it has aligned, by number, up to about ``KEEP_BYTES``."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -101,7 +104,8 @@ class Aligner:
         if any("▁" in p.lstrip("▁") or "\n" in p for p in pieces):
             raise ValueError(f"{path_b}: a piece with white space behind another character")
         self.table_b = _Table({k: bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)})
-        self.space = self.b.piece_to_id("▁")
+        if not self._encode([])[2]:
+            raise ValueError(f"{path_a}, {path_b}: {FRONT!r} is not covered")
         self.clear()
 
     def clear(self) -> None:
@@ -113,57 +117,75 @@ class Aligner:
         self.at = np.zeros(1, np.int64)
         self.bytes = 0
 
-    def _encode(self, segments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)]
-        # B puts a space in front: a segment's own is left out, and what it put before a line feed is taken off
-        b = self.b.encode([s[1:] if s[0] == " " else s for s in segments], num_threads=1)
-        return a, [ids if s[0] == " " else ids[1:] if ids[:1] == [self.space] else [] for s, ids in zip(segments, b, strict=True)]
-
-    def align(self, segments: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of each segment: groups line, sizes, whether its bytes differ, and its links as ``a << 32 | b`` with their ends."""
-        a, b = self._encode(segments)
-        bad = np.array([(self.table_a.join(x) != (raw := s.encode())) or (self.table_b.join(y) != raw) for s, x, y in zip(segments, a, b, strict=True)], bool)
-        for k in np.flatnonzero(bad).tolist():
-            a[k], b[k] = [], []
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-        flat_a, flat_b = (np.fromiter((i for ids in x for i in ids), np.int64, int(n.sum())) for x, n in ((a, n_a), (b, n_b)))
-        end_a, end_b = np.cumsum(self.table_a.length[flat_a]), np.cumsum(self.table_b.length[flat_b])
-        ends = np.union1d(end_a, end_b)
-        link = (flat_a[np.searchsorted(end_a, ends)] << 32) | flat_b[np.searchsorted(end_b, ends)]
+    def _encode(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, bool]:
+        """A ids and B ids of some segments behind ``FRONT``, as one text, and whether the bytes of both are its bytes."""
+        text = FRONT + "".join(segments)
+        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        b = self.b.encode(text[1:])  # B puts a space in front itself
+        raw = text.encode()
+        same = self.table_a.join(a) == raw and self.table_b.join(b) == raw
+        return np.array(a, np.int64), np.array(b, np.int64), same
+
+    def align(self, segments: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Of each segment: groups line, sizes, whether its bytes differ; and all links as ``a << 32 | b``."""
+        found, at, size = [], 0, 0
+        for k, s in enumerate(segments):  # a text's last segment may end in white space: nothing may follow it
+            size += len(s)
+            if size >= CHUNK_CHARS or s[-1].isspace() or k == len(segments) - 1:
+                found += self._chunk(segments[at:k + 1])
+                at, size = k + 1, 0
+        lines, sizes, bad, link = zip(*found, strict=True)
+        return [x for part in lines for x in part], np.concatenate(sizes), np.concatenate(bad), np.concatenate(link)
+
+    def _chunk(self, segments: list[str]) -> list[tuple]:
+        a, b, same = self._encode(segments)
+        if not same:
+            if len(segments) == 1:
+                return [([""], np.zeros((1, 4), np.int64), np.ones(1, bool), np.zeros(0, np.int64))]
+            half = len(segments) // 2
+            return [*self._chunk(segments[:half]), *self._chunk(segments[half:])]
+        end_a, end_b = np.cumsum(self.table_a.length[a]), np.cumsum(self.table_b.length[b])
+        stop = len(FRONT) + np.cumsum([len(s) if s.isascii() else len(s.encode()) for s in segments])
+        # tokens of FRONT end at its end in both, and so do those of every segment
+        a, b = a[end_a > len(FRONT)], b[end_b > len(FRONT)]
+        end_a, end_b = end_a[end_a > len(FRONT)], end_b[end_b > len(FRONT)]
         both = np.intersect1d(end_a, end_b, assume_unique=True)
-        stop = np.cumsum(n_a) - 1  # segments end where their last A token ends
-        last = np.where(stop >= 0, end_a[stop] if len(end_a) else 0, 0)
-        links, groups = np.searchsorted(ends, last, side="right"), np.searchsorted(both, last, side="right")
-        first_a, first_b = np.searchsorted(end_a, both, side="right").tolist(), np.searchsorted(end_b, both, side="right").tolist()
-        list_a, list_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
+        ends = np.union1d(end_a, end_b)
+        link = (a[np.searchsorted(end_a, ends)] << 32) | b[np.searchsorted(end_b, ends)]
+        sizes = np.stack([np.diff(np.searchsorted(x, stop, side="right"), prepend=0) for x in (end_a, end_b, both, ends)], 1)
+        cut_a, cut_b = (np.searchsorted(x, both, side="right").tolist() for x in (end_a, end_b))
+        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
         text, i, j = [], 0, 0
-        for x, y in zip(first_a, first_b, strict=True):
-            text.append(",".join(list_a[i:x]) + "|" + ",".join(list_b[j:y]))
+        for x, y in zip(cut_a, cut_b, strict=True):
+            if x - i == 1 == y - j:
+                text.append(f"{names_a[i]}|{names_b[j]}")
+            else:
+                text.append(",".join(names_a[i:x]) + "|" + ",".join(names_b[j:y]))
             i, j = x, y
         lines, at = [], 0
-        for to in groups.tolist():
-            lines.append(";".join(text[at:to]))
-            at = to
-        sizes = np.stack([n_a, n_b, np.diff(groups, prepend=0), np.diff(links, prepend=0)], 1)
-        return lines, sizes, bad, link, links
+        for n in sizes[:, 2].tolist():
+            lines.append(text[at] if n == 1 else ";".join(text[at:at + n]))
+            at += n
+        return [(lines, sizes, np.zeros(len(segments), bool), link)]
 
-    def learn(self, segments: list[str]) -> None:
+    def numbers(self, segments: list[str]) -> np.ndarray:
+        """Numbers of the segments, new ones aligned."""
         known = self.number
-        if self.bytes > KEEP_BYTES and any(s not in known for s in segments):
+        distinct = set(segments)
+        new = sorted(s for s in distinct if s not in known)
+        if new and self.bytes > KEEP_BYTES:
             self.clear()
-            known = {}
-        new = sorted({s for s in segments if s not in known and len(s) <= LONG_SEGMENT})
-        if not new:
-            return
-        lines, sizes, bad, link, _ = self.align(new)
-        for s in new:
-            self.number[s] = len(self.number)
-        self.groups += lines
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.bad = np.append(self.bad, bad)
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes[:, 3])])
-        self.pairs = np.append(self.pairs, link)
-        self.bytes += sum(map(len, new)) * 4 + sum(map(len, lines)) + 8 * len(link) + 400 * len(new)
+            known, new = self.number, sorted(distinct)
+        if new:
+            lines, sizes, bad, link = self.align(new)
+            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+            self.groups += lines
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.bad = np.append(self.bad, bad)
+            self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes[:, 3])])
+            self.pairs = np.append(self.pairs, link)
+            self.bytes += sum(map(len, new)) + sum(map(len, lines)) + 8 * len(link) + 300 * len(new)
+        return np.fromiter(map(known.__getitem__, segments), np.int64, len(segments))
 
     def links(self, numbers: np.ndarray) -> np.ndarray:
         n = self.sizes[numbers, 3]
@@ -171,50 +193,53 @@ class Aligner:
 
 
 def segments(text: str) -> list[str]:
-    return _CUT.split(" " + text)
+    if _UNEVEN.search(text):
+        return _CUT.split(" " + text)
+    return (" " + text).replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")[1:]  # the same, faster
 
 
 class _Block:
-    """Links of some documents, inverted: sorted keys (pair, place) and how often."""
+    """Links of some documents, inverted: sorted keys of pair and place, and how often."""
 
     def __init__(self, block: int):
         self.block, self.docs = block, 0
-        self.pair, self.slot, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.key, self.times = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.waiting: list[np.ndarray] = []
         self.n_waiting = 0
 
     def add(self, pairs: np.ndarray, slot: int) -> None:
-        self.waiting.append((pairs, np.full(len(pairs), slot, np.int64)))
-        self.n_waiting += len(pairs)
-        if self.n_waiting >= BLOCK_LINKS:
-            self.merge()
+        """``pairs`` as ``a << 32 | b``; a key holds A's id, 24 bits of B's and 16 of the place."""
+        for at in range(0, len(pairs), BLOCK_LINKS):
+            part = pairs[at:at + BLOCK_LINKS]
+            self.waiting.append(((part >> 32) << 40) | ((part & 0xFFFFFF) << 16) | slot)
+            self.n_waiting += len(part)
+            if self.n_waiting >= BLOCK_LINKS:
+                self.merge()
 
     def merge(self) -> None:
         """OR the waiting links in; places met again add up."""
         if not self.waiting:
             return
-        pair = np.concatenate([self.pair, *[p for p, _ in self.waiting]])
-        slot = np.concatenate([self.slot, *[s for _, s in self.waiting]])
-        times = np.concatenate([self.times, np.ones(self.n_waiting, np.int64)])
+        key, times = np.unique(np.concatenate(self.waiting), return_counts=True)
         self.waiting, self.n_waiting = [], 0
-        # A ids take the bits from 32 on, B ids those below: with 16 bits of place a key has at most 63 bits
-        key = ((pair >> 32) << 40) | ((pair & 0xFFFFFFFF) << 16) | slot
-        order = np.argsort(key)
-        key, times = key[order], times[order]
-        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        key = key[first]
-        self.pair, self.slot = ((key >> 40) << 32) | ((key >> 16) & 0xFFFFFF), key & 0xFFFF
-        self.times = np.add.reduceat(times, first)
+        if not len(self.key):
+            self.key, self.times = key, times.astype(np.int32)
+            return
+        at = np.searchsorted(self.key, key)
+        again = self.key[np.minimum(at, len(self.key) - 1)] == key
+        self.times[at[again]] += times[again].astype(np.int32)
+        self.key = np.insert(self.key, at[~again], key[~again])
+        self.times = np.insert(self.times, at[~again], times[~again].astype(np.int32))
 
     def postings(self) -> pa.RecordBatch:
         """One row per pair and plane; plane 0 marks the documents, plane j those with bit j-1 of the times beyond once."""
         self.merge()
         more, parts = self.times - 1, []
-        planes = [(0, np.arange(len(self.slot)))] + [(j + 1, np.flatnonzero(more >> j & 1)) for j in range(int(more.max(initial=0)).bit_length())]
+        planes = [(0, np.arange(len(self.key)))] + [(j + 1, np.flatnonzero(more >> j & 1)) for j in range(int(more.max(initial=0)).bit_length())]
         for plane, rows in planes:
             if not len(rows):
                 continue
-            pair, slot = self.pair[rows], self.slot[rows].astype("<u2")
+            pair, slot = self.key[rows] >> 16, (self.key[rows] & 0xFFFF).astype("<u2")
             first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
             n = np.diff(np.append(first, len(pair)))
             dense = np.flatnonzero(2 * n >= BITS)
@@ -225,7 +250,7 @@ class _Block:
                 ends = np.concatenate([[0], np.cumsum(2 * n)]).astype(np.int32)
                 held = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(slot.tobytes())])
             key = pair[first]
-            parts.append(pa.RecordBatch.from_arrays([pa.array((key >> 32).astype(np.int32)), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(np.full(len(n), plane, np.int32)), pa.array(n), held],
+            parts.append(pa.RecordBatch.from_arrays([pa.array((key >> 24).astype(np.int32)), pa.array((key & 0xFFFFFF).astype(np.int32)), pa.array(np.full(len(n), plane, np.int32)), pa.array(n), held],
                                                     names=["a", "b", "plane", "n", "bits"]))
         return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if parts else None
 
@@ -241,8 +266,6 @@ def slots(bits: bytes) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")) if len(bits) == BITS else np.frombuffer(bits, "<u2").astype(np.int64)
 
 
-_aligners: dict[tuple[str, str], Aligner] = {}
-
 _DOC_TYPES = [pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.string()]
 _POSTING_TYPES = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 _NAMES = ["kind", *[c.split()[0] for c in f"{DOC}, {POSTING}".split(", ")]]
@@ -265,9 +288,10 @@ def _index(path_a: str, path_b: str):
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        if (path_a, path_b) not in _aligners:
-            _aligners[path_a, path_b] = Aligner(path_a, path_b)
-        aligner = _aligners[path_a, path_b]
+        kept = worker_cache("alignment")
+        if (path_a, path_b) not in kept:
+            kept[path_a, path_b] = Aligner(path_a, path_b)
+        aligner = kept[path_a, path_b]
         block = _Block((context.partitionId() if context else 0) << 32)
         for batch in batches:
             for ids, texts in _groups(batch):
@@ -277,7 +301,7 @@ def _index(path_a: str, path_b: str):
                     for part in links:
                         block.add(part, block.docs)
                     block.docs += 1
-                    if block.docs == BLOCK_DOCS or len(block.pair) + block.n_waiting // 2 > BLOCK_ENTRIES:
+                    if block.docs == BLOCK_DOCS or len(block.key) + block.n_waiting // 2 > BLOCK_ENTRIES:
                         yield from _postings(block)
                         block = _Block(block.block + 1)
                 yield _documents(rows)
@@ -307,9 +331,15 @@ def _aligned(aligner: Aligner, texts: list[str]) -> Iterator[tuple[list[int], st
         yield _one(aligner, _slices(texts[0]))
         return
     parts = [segments(t) if t else [] for t in texts]
-    aligner.learn([s for p in parts for s in p])
-    for p in parts:
-        yield _one(aligner, iter([p] if p else []))
+    plain = [k for k, p in enumerate(parts) if p and max(map(len, p)) <= LONG_SEGMENT]
+    flat = [s for k in plain for s in parts[k]]
+    numbers = aligner.numbers(flat) if flat else np.zeros(0, np.int64)
+    held, at = {}, 0
+    for k in plain:
+        held[k] = numbers[at:at + len(parts[k])]
+        at += len(parts[k])
+    for k, p in enumerate(parts):
+        yield _one(aligner, iter([p] if p else []), held.get(k))
 
 
 def _slices(text: str) -> Iterator[list[str]]:
@@ -324,15 +354,15 @@ def _slices(text: str) -> Iterator[list[str]]:
     yield [*held, text[at:]]
 
 
-def _one(aligner: Aligner, slices: Iterator[list[str]]) -> tuple[list[int], str, list[np.ndarray]]:
+def _one(aligner: Aligner, slices: Iterator[list[str]], known: np.ndarray | None = None) -> tuple[list[int], str, list[np.ndarray]]:
+    """``known``: the numbers of the only slice's segments."""
     total, digest, links, some = np.zeros(4, np.int64), hashlib.sha256(), [], False
     for few in slices:
-        if any(len(s) > LONG_SEGMENT for s in few):  # not kept
-            lines, sizes, bad, link, _ = aligner.align(few)
+        if known is None and max(map(len, few)) > LONG_SEGMENT:  # not kept
+            lines, sizes, bad, link = aligner.align(few)
         else:
-            aligner.learn(few)
-            numbers = np.fromiter(map(aligner.number.__getitem__, few), np.int64, len(few))
-            lines, sizes, bad = [aligner.groups[k] for k in numbers.tolist()], aligner.sizes[numbers], aligner.bad[numbers]
+            numbers = aligner.numbers(few) if known is None else known
+            lines, sizes, bad = map(aligner.groups.__getitem__, numbers.tolist()), aligner.sizes[numbers], aligner.bad[numbers]
             link = aligner.links(numbers)
         if bad.any():
             return [0] * 4, "", []

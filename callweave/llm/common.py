@@ -32,6 +32,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/callweave/{name}-{uuid.uuid4().hex}"
 
 
+_held: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What this worker process keeps for one operator between tasks. Python workers outlive a
+    stage, so what another operator kept is dropped first."""
+    if owner not in _held:
+        _held.clear()
+        _held[owner] = {}
+    return _held[owner]
+
+
 def filesystem(path: str):
     """(file system, path there) of a URI or an absolute path, for use in tasks."""
     from pyarrow import fs

@@ -91,7 +91,7 @@ def test_alignment_parts_and_blocks_do_not_matter(spark, docs_of, monkeypatch):
     rows = [(k, " ".join(rng.choice(["alpha", "beta", "Gamma", "delta's", "x", "the"]) for _ in range(rng.randrange(1, 400)))) for k in range(50)]
     want = sorted(WholeTexts().rows(rows))
     docs = docs_of(rows).repartition(3)
-    for name, value in {"BLOCK_LINKS": 50, "BLOCK_ENTRIES": 20, "GROUP_CHARS": 300, "SLICE": 7, "KEEP_BYTES": 2000, "LONG_SEGMENT": 5}.items():
+    for name, value in {"BLOCK_LINKS": 50, "BLOCK_ENTRIES": 20, "GROUP_CHARS": 300, "SLICE": 7, "KEEP_BYTES": 2000, "LONG_SEGMENT": 5, "CHUNK_CHARS": 30}.items():
         monkeypatch.setattr(alignment, name, value)
     aligner = alignment.Aligner(alignment.vocabulary(alignment.BYTE_BPE), alignment.vocabulary(alignment.PIECE_BPE))
     blocks = []
