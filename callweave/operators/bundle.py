@@ -77,10 +77,23 @@ def parted_calls(calls: DataFrame, transcripts: DataFrame, part_chars: int = PAR
             .drop("_chars", "call_no_before", "call_no_before_last"))
 
 
-def account_parts(parted: DataFrame) -> DataFrame:
-    """One row per (account, part) without the texts: what must be answered."""
-    return parted.groupBy(F.col("AccountId").alias("account_id"), "part_no", "n_parts").agg(
-        F.min_by("ds_account", "call_no").alias("ds_account"))
+def account_parts(calls: DataFrame, transcripts: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
+    """One row per (account, part) without the texts: what must be answered.
+
+    An account's last part is the one its last call begins in, and parts
+    have no gaps, so the characters of its calls and those of its last call
+    tell how many parts there are: one aggregate, no numbering. The name is
+    that of the account's first call.
+    """
+    size = transcripts.select(F.col("call_id").alias("_sid"), _chars(transcripts).alias("_chars"))
+    sized = calls.join(size, match_key(calls["call_id"], calls["Id"]) == size["_sid"], "left")
+    weight = F.least(F.lit(CALL_CHARS) + F.coalesce("_chars", F.lit(0)), F.lit(int(part_chars))).cast("long")
+    at = F.struct(F.col("CreatedDate").isNull(), "CreatedDate", F.col("Id").isNull(), "Id")
+    sums = sized.withColumn("_weight", weight).groupBy(F.col("AccountId").alias("account_id")).agg(
+        (F.sum("_weight") - F.max_by("_weight", at)).alias("_before_last"), F.min_by("ds_account", at).alias("ds_account"))
+    n_parts = F.expr(f"_before_last div {int(part_chars)} + 1")
+    return sums.withColumn("n_parts", n_parts).select(
+        "account_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_parts") - 1)).alias("part_no"), "n_parts", "ds_account")
 
 
 def ordered_bundle(pieces: DataFrame, keys: list[str], seq: str, piece: str, *carried: Column) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from callweave.constants import COHORT_CUTOFF, NULL_SENTINEL
 from callweave.operators.joins import match_key
+from callweave.operators.keyed import unique_key
 from callweave.schemas import TASK_COLUMNS
 
 
@@ -38,7 +39,7 @@ def cohort_accounts(accounts: DataFrame, opportunities: DataFrame,
             .select("pk_account", "ds_account"))
 
 
-def icp_calls(tasks: DataFrame, users: DataFrame, cohort: DataFrame) -> DataFrame:
+def icp_calls(tasks: DataFrame, users: DataFrame, cohort: DataFrame, on_duplicate: str = "keep") -> DataFrame:
     """Recorded calls of cohort accounts with owner name and account name
     (JN-2, JN-3, PRJ-5, PRJ-6).
 
@@ -47,10 +48,15 @@ def icp_calls(tasks: DataFrame, users: DataFrame, cohort: DataFrame) -> DataFram
     and users), and the inner join goes first because it is the one that
     shrinks the calls. Strategy is left to AQE: a side measured under the
     broadcast threshold is broadcast, otherwise sort-merge with skew split.
+
+    ``on_duplicate``: a user or account that its table holds twice stops the
+    job (``fail``), counts once (``first``), or multiplies its calls as a
+    plain join does (``keep``); the check is an aggregate of the two small
+    tables inside the same plan.
     """
     calls = recorded_tasks(tasks)
-    acc = cohort.select(F.col("pk_account"), F.col("ds_account"))
-    usr = users.select(F.col("pk_user"), F.col("ds_full_name"))
+    acc = unique_key(cohort.select(F.col("pk_account"), F.col("ds_account")), "pk_account", on_duplicate)
+    usr = unique_key(users.select(F.col("pk_user"), F.col("ds_full_name")), "pk_user", on_duplicate)
     with_acc = calls.join(acc, calls["AccountId"] == acc["pk_account"], "inner")
     with_usr = with_acc.join(usr, match_key(with_acc["OwnerId"], with_acc["Id"]) == usr["pk_user"], "left")
     return with_usr.select(*[calls[c] for c in TASK_COLUMNS], usr["ds_full_name"], acc["ds_account"])

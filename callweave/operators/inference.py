@@ -10,6 +10,7 @@ part the request was made for.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,3 +100,36 @@ def account_dim(parts: DataFrame, responses: DataFrame, run_date: _dt.date,
     as a missing file did in the original workflow."""
     both = _answers(_answers(parts, responses, "translation", run_date, strict), responses, "summary", run_date, strict)
     return both.select(F.col("account_id").alias("AccountId"), "part_no", "n_parts", "ds_account", "translation", "summary")
+
+
+def texts_as_of(responses: DataFrame, kind: str, run_dates: Sequence[_dt.date]) -> DataFrame:
+    """(account_id, part_no, as_of, text, text_date): for each of some run
+    dates the stripped response of the latest run on or before it.
+
+    One aggregate with a filtered maximum per run date, so a key costs one
+    row per task whatever its history; run dates before a key's first
+    response give no text. Of several responses of one run the largest text
+    is taken.
+    """
+    rows = responses.where(F.col("kind") == kind)
+    if "part_no" not in rows.columns:
+        rows = rows.withColumn("part_no", F.lit(0).cast("bigint"))
+    latest = [F.expr(f"max(struct(run_date, text)) FILTER (WHERE run_date <= DATE'{d.isoformat()}')").alias(f"_{i}") for i, d in enumerate(run_dates)]
+    wide = rows.groupBy("account_id", "part_no").agg(*latest)
+    found = F.explode(F.array(*[F.struct(F.lit(d).alias("as_of"), F.col(f"_{i}").alias("found")) for i, d in enumerate(run_dates)])).alias("_f")
+    return wide.select("account_id", "part_no", found).select(
+        "account_id", "part_no", "_f.as_of", strip_whitespace("_f.found.text").alias("text"), F.col("_f.found.run_date").alias("text_date"))
+
+
+def account_dim_as_of(parts: DataFrame, responses: DataFrame, run_dates: Sequence[_dt.date]) -> DataFrame:
+    """The account dimension at each of some run dates, with the texts of the
+    latest runs on or before it and the dates of those (D2): a run without a
+    summary of its own shows the last one there was."""
+    wanted = parts.withColumn("as_of", F.explode(F.array(*[F.lit(d) for d in run_dates])))
+    for kind in ("translation", "summary"):
+        rows = texts_as_of(responses, kind, run_dates).withColumnsRenamed(
+            {"account_id": "_aid", "part_no": "_part", "as_of": "_on", "text": kind, "text_date": f"{kind}_date"})
+        same = (match_key(wanted["account_id"], wanted["part_no"]) == rows["_aid"]) & (wanted["part_no"] == rows["_part"]) & (wanted["as_of"] == rows["_on"])
+        wanted = wanted.join(rows, same, "left").drop("_aid", "_part", "_on")
+    return wanted.select(F.col("account_id").alias("AccountId"), "part_no", "n_parts", "ds_account", "as_of",
+                         "translation", "translation_date", "summary", "summary_date")

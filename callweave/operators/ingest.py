@@ -9,6 +9,7 @@ from callweave.constants import (AUDIO_EXT, LOOKBACK_DAYS, NULL_SENTINEL, TRANSC
                                  TRANSCRIBE_MODEL, TRANSCRIBE_TEMPERATURE)
 from callweave.functions.ids import artifact_path
 from callweave.functions.time import epoch_to_timestamp, lookback_start_epoch
+from callweave.operators.keyed import one_per_key
 
 _USER_FIELDS = [("id", "user_id"), ("name", "user_name"), ("email", "user_email"),
                 ("available", "user_available")]
@@ -22,7 +23,8 @@ def flatten_calls(pages: DataFrame, null_sentinel: str | None = NULL_SENTINEL,
     fields; a present user with a missing field keeps NULL there, as the
     reference does. ``null_sentinel=None`` keeps real NULLs instead.
     ``user_id``/``user_available`` are strings because the sentinel shares
-    their column. Duplicate ids across pages are kept unless ``dedupe_on_id``.
+    their column. Duplicate ids across pages are kept unless ``dedupe_on_id``;
+    calls without an id are never duplicates of one another.
     """
     c = pages.select(F.explode("calls").alias("c"))
     no_user = F.col("c.user").isNull()
@@ -44,7 +46,7 @@ def flatten_calls(pages: DataFrame, null_sentinel: str | None = NULL_SENTINEL,
         F.col("c.recording").alias("recording"),
         *[user_field(src).alias(dst) for src, dst in _USER_FIELDS],
     )
-    return flat.dropDuplicates(["id"]) if dedupe_on_id else flat
+    return one_per_key(flat, "id") if dedupe_on_id else flat
 
 
 def recent_pages(pages: DataFrame, as_of: Column | None = None,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from callweave.constants import NULL_SENTINEL
+from callweave.operators.attempts import latest_language
 from callweave.operators.joins import match_key
 
 
@@ -52,17 +53,12 @@ def cohort_downloads(status: DataFrame) -> DataFrame:
     return status.where(~F.col("has_audio") & F.col("call_id").isNotNull()).select("call_id").distinct()
 
 
-def one_language(results: DataFrame) -> DataFrame:
-    """One row per call id: the smallest detected language, NULL if none was."""
-    return results.groupBy(F.col("call_id").alias("_cid")).agg(F.min("language").alias("_lang"))
-
-
 def attach_language(new_rows: DataFrame, results: DataFrame,
                     sentinel: str = NULL_SENTINEL) -> DataFrame:
     """Attach the detected language by call id; ``sentinel`` when the
-    transcription produced none (JN-6, INF-2). Keyed, not positional; several
-    results for one id count once."""
-    res = one_language(results)
+    transcription produced none (JN-6, INF-2). Keyed, not positional; of
+    several results for one id the latest success counts."""
+    res = latest_language(results)
     joined = new_rows.join(res, match_key(new_rows["id"], *_others(new_rows, "id")) == res["_cid"], "left")
     return joined.withColumn("language", F.coalesce(F.col("_lang"), F.lit(sentinel))) \
                  .drop("_cid", "_lang")
@@ -74,24 +70,37 @@ def append_history(history: DataFrame, new_rows: DataFrame,
 
     Bag union by default, like the reference. ``dedupe_on="id"`` first drops
     new rows whose key is already in the history, so re-running a window
-    that overlaps the last one appends nothing twice.
+    that overlaps the last one appends nothing twice. A new row without a
+    key is dropped if the history has the same row, languages aside.
     """
     if dedupe_on:
-        new_rows = new_rows.join(history.select(dedupe_on), dedupe_on, "left_anti")
+        known = history.select(row_identity(history, dedupe_on).alias("_known"))
+        new_rows = new_rows.withColumn("_mine", row_identity(new_rows, dedupe_on)).join(
+            known, F.col("_mine") == F.col("_known"), "left_anti").drop("_mine")
     return history.unionByName(new_rows, allowMissingColumns=True)
 
 
+def row_identity(rows: DataFrame, key: str, aside: str = "language") -> Column:
+    """``key`` as a string; where it is NULL, a text no key equals, of the row's other columns but ``aside``."""
+    others = F.to_json(F.struct(*[F.col(c) for c in sorted(rows.columns) if c not in (key, aside)]))
+    return F.coalesce(F.col(key).cast("string"), F.concat(F.lit("\x00"), others))
+
+
 def merge_history(history: DataFrame, new_rows: DataFrame, sentinel: str = NULL_SENTINEL) -> DataFrame:
     """Keyed append in which a retried call's language reaches its old row:
     rows whose language is still ``sentinel`` take the one ``new_rows`` has."""
-    late = new_rows.where(F.col("language") != sentinel).groupBy(F.col("id").alias("_late")).agg(F.min("language").alias("_lang"))
-    # ids that are NULL can not be matched again and stay where they are
-    key = F.coalesce(history["id"], -1 - F.pmod(F.xxhash64(*_others(history, "id")), F.lit(1 << 62)))
-    known = history.join(late, key == late["_late"], "left")
+    late = (new_rows.where(F.col("language") != sentinel).groupBy(row_identity(new_rows, "id").alias("_late"))
+            .agg(F.max("language").alias("_lang")))
+    known = history.withColumn("_mine", row_identity(history, "id")).join(late, F.col("_mine") == F.col("_late"), "left")
     language = F.when(F.col("language") == sentinel, F.coalesce(F.col("_lang"), F.col("language"))).otherwise(F.col("language"))
     return append_history(known.withColumn("language", language).select(*history.columns), new_rows, "id")
 
 
+def counted(rows: DataFrame, into: Observation, name: str) -> DataFrame:
+    """``rows``, counted by the job that writes them (AG-4): ``into.get[name]`` afterwards."""
+    return rows.observe(into, F.count(F.lit(1)).alias(name))
+
+
 def run_counts(recorded: DataFrame, artifacts: DataFrame) -> DataFrame:
     """One row: recorded calls and how many of them need a download (AG-4)."""
     held = held_keys(artifacts, "audio").distinct()

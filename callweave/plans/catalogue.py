@@ -7,6 +7,7 @@ overlay and returns a lazy DataFrame: building one runs no job. The same names a
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 
 from callweave.constants import TEXT_EXT
 from callweave.functions.ids import artifact_path, extract_call_id
-from callweave.functions.text import normalize_newlines
+from callweave.functions.text import normalize_newlines, strip_whitespace
 from callweave.functions.time import run_date_string
-from callweave.operators import bundle, cohort, inference, ingest, worklist
-from callweave.sources import overlay
+from callweave.operators import attempts, bundle, cohort, inference, ingest, worklist
+from callweave.sources import feed, overlay
 from callweave.sources.feed import parse_pages
 
 AUDIO_DIR = "/data/calls/audio"
@@ -26,6 +27,8 @@ SUMMARY_DIR = "summaries"
 # Part size of the queries whose accounts cross part boundaries.
 SMALL_PART = 4000
 RUN_DATE = overlay.RUN_DATE
+# Run dates of the as-of dimension, in days from RUN_DATE; responses exist for -1 and 0.
+AS_OF_DAYS = (-2, -1, 0, 3)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +93,39 @@ def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.flatten_calls(parse_pages(landed))
 
 
+def landed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calls of a damaged landing's readable pages (SRC-1)."""
+    return ingest.flatten_calls(feed.whole_pages(feed.parse_landed(overlay.landed_feed(spark, sf_dir))))
+
+
+def page_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the landed pages form a whole chain of links (SRC-1, SET-2)."""
+    return feed.page_report(feed.parse_landed(overlay.landed_feed(spark, sf_dir)))
+
+
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed.dead_letters(feed.parse_landed(overlay.landed_feed(spark, sf_dir)))
+
+
+def missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed.missing_links(feed.parse_landed(overlay.landed_feed(spark, sf_dir)))
+
+
+def call_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text, language, error and next attempt of each call from the attempt log (INF-2)."""
+    return attempts.call_states(overlay.attempts(spark, sf_dir))
+
+
+def late_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages by the latest successful attempt (JN-6)."""
+    return worklist.attach_language(new_call_rows(spark, sf_dir), overlay.attempts(spark, sf_dir))
+
+
+def due_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    newest = overlay.read_table(spark, sf_dir, "events").select(F.max("ts")).scalar()
+    return attempts.due_calls(call_states(spark, sf_dir), newest)
+
+
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return worklist.run_counts(recorded_calls(spark, sf_dir), overlay.artifacts(spark, sf_dir))
 
@@ -112,6 +148,12 @@ def icp_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
                             cohort_accounts(spark, sf_dir))
 
 
+def icp_calls_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cohort calls over a user table that holds users twice, each counted once (D8)."""
+    return cohort.icp_calls(overlay.tasks(spark, sf_dir), overlay.repeated_users(spark, sf_dir),
+                            cohort_accounts(spark, sf_dir), on_duplicate="first")
+
+
 def _icp_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bundle.with_call_id(icp_calls(spark, sf_dir))
 
@@ -157,8 +199,7 @@ def account_bundle_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The small parts of every account: some have no response."""
-    return bundle.account_parts(bundle.parted_calls(
-        _icp_with_ids(spark, sf_dir), overlay.transcripts(spark, sf_dir), SMALL_PART))
+    return bundle.account_parts(_icp_with_ids(spark, sf_dir), overlay.transcripts(spark, sf_dir), SMALL_PART)
 
 
 def account_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,6 +259,12 @@ def strip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stripped.select("account_id", "part_no", "kind", "text")
 
 
+def strip_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses between Unicode spaces, stripped as ``str.strip`` does (FN-7)."""
+    wide = F.concat(F.lit("\u2003\u00a0"), F.col("text"), F.lit("\u3000\u2028 "))
+    return overlay.responses(spark, sf_dir).select("account_id", "part_no", "kind", "run_date", strip_whitespace(wide, unicode=True).alias("text"))
+
+
 def run_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = overlay.responses(spark, sf_dir).where(F.col("kind") == "summary")
     day = run_date_string("run_date")
@@ -231,6 +278,12 @@ def account_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inference.account_dim(_parts(spark, sf_dir), overlay.responses(spark, sf_dir), RUN_DATE)
 
 
+def account_dim_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension at run dates before, at, between and after those with responses (SNK-7, JN-8)."""
+    days = [RUN_DATE + dt.timedelta(days=n) for n in AS_OF_DAYS]
+    return inference.account_dim_as_of(_parts(spark, sf_dir), overlay.responses(spark, sf_dir), days)
+
+
 QUERIES: dict[str, Query] = {
     "flatten_calls": flatten_calls,
     "recorded_calls": recorded_calls,
@@ -244,11 +297,19 @@ QUERIES: dict[str, Query] = {
     "history_merge": history_merge,
     "retry_requests": retry_requests,
     "json_pages": json_pages,
+    "landed_calls": landed_calls,
+    "page_report": page_report,
+    "dead_letters": dead_letters,
+    "missing_pages": missing_pages,
+    "call_states": call_states,
+    "late_languages": late_languages,
+    "due_calls": due_calls,
     "run_counts": run_counts,
     "recorded_tasks": recorded_tasks,
     "inbound_accounts": inbound_accounts,
     "cohort_accounts": cohort_accounts,
     "icp_calls": icp_calls,
+    "icp_calls_unique": icp_calls_unique,
     "call_id_extract": call_id_extract,
     "call_numbers": call_numbers,
     "first_calls": first_calls,
@@ -267,6 +328,8 @@ QUERIES: dict[str, Query] = {
     "translate_requests": translate_requests,
     "summary_requests": summary_requests,
     "strip_text": strip_text,
+    "strip_unicode": strip_unicode,
     "run_date": run_date,
     "account_dim": account_dim,
+    "account_dim_as_of": account_dim_as_of,
 }

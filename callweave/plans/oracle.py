@@ -8,9 +8,11 @@ names as its Spark twin.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from callweave.constants import (CHAT_MODEL, CHAT_SEED, SUMMARY_TEMPLATE, TRANSCRIBE_FORMAT,
                                  TRANSCRIBE_MODEL, TRANSLATE_TEMPLATE)
-from callweave.plans.catalogue import AUDIO_DIR, RUN_DATE, SUMMARY_DIR, TEXT_DIR
+from callweave.plans.catalogue import AS_OF_DAYS, AUDIO_DIR, RUN_DATE, SUMMARY_DIR, TEXT_DIR
 
 
 def _lit(text: str) -> str:
@@ -70,6 +72,38 @@ old_hist AS (
   SELECT n.*, 'null' FROM new_rows n WHERE n.id % 7 = 0)
 """
 
+# The feed as landed: damage by page number, see overlay.landed_feed.
+_LANDED = _FEED + """,
+page_nos AS (SELECT event_id // 50 AS no, count(*) AS n_calls, max(event_id // 50) OVER () AS last_no FROM events GROUP BY 1),
+landed AS (
+  SELECT no, n_calls, 'https://host.example/v1/calls?page=' || CAST(no AS VARCHAR) AS page_link,
+         CASE WHEN no < last_no THEN 'https://host.example/v1/calls?page=' || CAST(no + 1 AS VARCHAR) END AS next_link,
+         no % 17 = 3 OR no % 29 = 6 AS is_bad
+  FROM page_nos, (VALUES (1), (2)) t(copy) WHERE no % 23 <> 5 AND (copy = 1 OR no % 19 = 4)),
+links AS (
+  SELECT link, sum(landed) AS landed, sum(good) AS good, sum(named) AS named, sum(ends) AS ends FROM (
+    SELECT page_link AS link, 1 AS landed, CAST(NOT is_bad AS INT) AS good, 0 AS named, CAST(NOT is_bad AND next_link IS NULL AS INT) AS ends FROM landed
+    UNION ALL SELECT next_link, 0, 0, 1, 0 FROM landed WHERE NOT is_bad AND next_link IS NOT NULL) GROUP BY link)
+"""
+
+# The state of each call by its log of attempts.
+_ATTEMPTS = _FEED + """,
+log AS (
+  SELECT CAST(event_id // 3 AS VARCHAR) AS call_id, ts AS attempted_at, event_type IN ('purchase', 'signup', 'click') AS ok,
+         CASE WHEN event_type IN ('purchase', 'signup', 'click') THEN 'text of ' || CAST(event_id AS VARCHAR) END AS text,
+         CASE WHEN event_type IN ('purchase', 'signup', 'click') THEN CASE WHEN user_id % 2 = 0 THEN 'de' ELSE 'en' END END AS language,
+         CASE WHEN event_type NOT IN ('purchase', 'signup', 'click') THEN 'service: ' || event_type END AS error
+  FROM events),
+last_ok AS (SELECT * FROM log WHERE ok QUALIFY row_number() OVER (PARTITION BY call_id ORDER BY attempted_at DESC, language DESC, text DESC) = 1),
+last_any AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY call_id ORDER BY attempted_at DESC, ok DESC, error DESC) = 1),
+states AS (
+  SELECT a.call_id, (SELECT count(*) FROM log l WHERE l.call_id = a.call_id) AS n_attempts,
+         (SELECT count(*) FROM log l WHERE l.call_id = a.call_id AND NOT l.ok AND (o.attempted_at IS NULL OR l.attempted_at > o.attempted_at)) AS n_failures,
+         a.attempted_at, o.text, o.language, a.error
+  FROM last_any a LEFT JOIN last_ok o USING (call_id)),
+due AS (SELECT *, CASE WHEN error IS NOT NULL THEN attempted_at + to_minutes(CAST(15 * pow(2, least(n_failures - 1, 10)) AS BIGINT)) END AS next_due_at FROM states)
+"""
+
 _CRM = f"""
 tasks AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS Id,
@@ -186,7 +220,40 @@ def _crm(select: str) -> str:
     return _with(_CRM) + select
 
 
+def _landed(select: str) -> str:
+    return _with(_LANDED) + select
+
+
+def _tried(select: str) -> str:
+    return _with(_ATTEMPTS) + select
+
+
+AS_OF = ", ".join(f"(DATE '{(RUN_DATE + dt.timedelta(days=n)).isoformat()}')" for n in AS_OF_DAYS)
+
 ORACLE_SQL: dict[str, str] = {
+    "landed_calls": _landed("SELECT feed.* FROM feed JOIN landed ON landed.no = feed.id // 50 WHERE NOT landed.is_bad"),
+    "page_report": _landed(
+        "SELECT *, n_bad = 0 AND n_repeated = 0 AND n_missing = 0 AND n_starts = 1 AND n_ends = 1 AS is_whole FROM ("
+        "SELECT CAST(sum(landed) AS BIGINT) AS n_pages, CAST(sum(landed - good) AS BIGINT) AS n_bad, "
+        "(SELECT CAST(sum(n_calls) AS BIGINT) FROM landed WHERE NOT is_bad) AS n_calls, CAST(sum(greatest(good - 1, 0)) AS BIGINT) AS n_repeated, "
+        "count(*) FILTER (named > 0 AND good = 0) AS n_missing, count(*) FILTER (good > 0 AND named = 0) AS n_starts, CAST(sum(ends) AS BIGINT) AS n_ends FROM links)"),
+    "dead_letters": _landed(
+        "SELECT page_link, CASE WHEN no % 17 = 3 THEN left(raw, 10) ELSE raw END AS raw FROM (SELECT *, CASE WHEN no % 29 = 6 "
+        "THEN '{\"meta\":{' || coalesce('\"next_page_link\":\"' || next_link || '\"', '') || '}}' ELSE '{\"calls\":[' END AS raw FROM landed WHERE is_bad)"),
+    "missing_pages": _landed("SELECT link AS page_link FROM links WHERE named > 0 AND good = 0"),
+    "call_states": _tried("SELECT * FROM due"),
+    "late_languages": _tried("SELECT n.*, coalesce(o.language, 'null') AS language FROM new_rows n LEFT JOIN last_ok o ON o.call_id = CAST(n.id AS VARCHAR)"),
+    "due_calls": _tried("SELECT call_id FROM due WHERE error IS NOT NULL AND next_due_at <= (SELECT max(ts) FROM events)"),
+    "icp_calls_unique": _crm("SELECT * FROM icp"),
+    "strip_unicode": _crm(
+        "SELECT account_id, part_no, kind, CAST(run_date AS DATE) AS run_date, "
+        "regexp_replace(regexp_replace(chr(8195) || chr(160) || text || chr(12288) || chr(8232) || ' ', '^[\\s\\x{0B}\\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+', ''), "
+        "'[\\s\\x{0B}\\x{1C}-\\x{1F}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+$', '') AS text FROM resp"),
+    "account_dim_as_of": _crm(
+        "SELECT b.account_id AS AccountId, b.part_no, b.n_parts, b.ds_account, d.as_of, t.text AS translation, t.run_date AS translation_date, s.text AS summary, s.run_date AS summary_date "
+        f"FROM (SELECT * FROM small_bundles, (VALUES {AS_OF}) v(as_of)) b JOIN (VALUES {AS_OF}) d(as_of) ON d.as_of = b.as_of "
+        "ASOF LEFT JOIN (SELECT * FROM resp_clean WHERE kind = 'translation') t ON t.account_id = b.account_id AND t.part_no = b.part_no AND b.as_of >= t.run_date "
+        "ASOF LEFT JOIN (SELECT * FROM resp_clean WHERE kind = 'summary') s ON s.account_id = b.account_id AND s.part_no = b.part_no AND b.as_of >= s.run_date"),
     "flatten_calls": _feed("SELECT * FROM feed"),
     "recorded_calls": _feed("SELECT * FROM recorded"),
     "lookback_calls": _feed(

@@ -32,6 +32,9 @@ PAGE = T.StructType([
     _f("meta", T.StructType([_f("next_page_link", _S)])),
 ])
 
+# A page as it was landed: the link it was fetched by, and its text where it is no whole page.
+LANDED_PAGE = T.StructType([*PAGE.fields, _f("page_link", _S), _f("_corrupt_record", _S)])
+
 # Flattened feed rows (12 fields, in feed order).
 FLAT_CALL = T.StructType([
     _f("id", _L), _f("number_id", _L), _f("number_name", _S),
@@ -70,6 +73,7 @@ USER_DIM = T.StructType([_f("pk_user", _S), _f("ds_full_name", _S)])
 # Keyed stores that replace the reference's file-per-key folders.
 ARTIFACT = T.StructType([_f("kind", _S), _f("name", _S), _f("call_id", _S)])
 TRANSCRIPT = T.StructType([_f("call_id", _S), _f("text", _S), _f("language", _S)])
+ATTEMPT = T.StructType([_f("call_id", _S), _f("attempted_at", _TS), _f("text", _S), _f("language", _S), _f("error", _S)])
 RESPONSE = T.StructType([
     _f("account_id", _S), _f("part_no", _L), _f("kind", _S), _f("run_date", T.DateType()),
     _f("text", _S),

@@ -1,15 +1,13 @@
-"""Table writes (SNK-1..7).
-
-The reference replaces whole tables with CREATE OR REPLACE ... AS SELECT and
-writes one text file per key. Here:
-
-* a derived table is replaced with an overwrite (SNK-1, SNK-3);
-* the history only ever receives *appends* of new rows (SNK-2) -- it is
-  read by the same plan, and overwriting a table that is being read fails;
-* per-key texts (transcripts, bundles, translations, summaries; SNK-4..7)
-  go to one keyed table partitioned by ``kind`` and ``run_date`` with dynamic
-  partition overwrite, so a run replaces only its own partitions and keeps
-  earlier dates.
+"""Plain table and folder writes beside the versioned stores.
+
+The tables of the end-to-end runs (SNK-1..7) are versioned stores, see
+``callweave.stores``. Here:
+
+* an append to a catalog table;
+* a keyed text folder partitioned by ``kind`` and ``run_date`` with dynamic
+  partition overwrite, for consumers that read such folders: a run replaces
+  its own partitions and keeps earlier dates, but not in one commit;
+* a bucketed catalog table, for joins that then move one side only.
 """
 
 from __future__ import annotations
@@ -19,21 +17,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def _writer(df: DataFrame, mode: str, fmt: str, partition_by: Sequence[str] | None):
-    w = df.write.format(fmt).mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    return w
-
-
-def replace_table(df: DataFrame, table: str, fmt: str = "parquet",
-                  partition_by: Sequence[str] | None = None) -> None:
-    _writer(df, "overwrite", fmt, partition_by).saveAsTable(table)
-
-
 def append_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     """Append rows; creates the table on first use."""
-    _writer(df, "append", fmt, None).saveAsTable(table)
+    df.write.format(fmt).mode("append").saveAsTable(table)
 
 
 def write_keyed_texts(df: DataFrame, path: str, fmt: str = "parquet",

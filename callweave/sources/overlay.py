@@ -17,6 +17,8 @@ which nests ``events`` into pages of ``PAGE_SIZE`` calls.
   users         <- supplier
   transcripts   <- documents  (call_id = doc_id, language = lang)
   artifacts     <- labels (audio) and documents (transcript)
+  landed feed   <- the feed as JSON texts, damaged by page number
+  attempts      <- events (three in a row are the attempts of one call)
   history       <- feed calls whose audio is held, and calls that failed
                                before (id % 7 = 0, no audio, language 'null')
   responses     <- documents  (padded translation / summary texts for part 0,
@@ -91,8 +93,27 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     A page holds at most ``PAGE_SIZE`` calls, so each group is bounded.
     """
     pages = feed_calls(spark, sf_dir).groupBy("page_no").agg(F.collect_list("call").alias("calls"))
-    link = F.concat(F.lit(URL_HOST + "/v1/calls?page="), (F.col("page_no") + 1).cast("string"))
-    return pages.select("calls", F.struct(link.alias("next_page_link")).alias("meta"))
+    return pages.select("calls", F.struct(_page_link(F.col("page_no") + 1).alias("next_page_link")).alias("meta"))
+
+
+def _page_link(page_no: Column) -> Column:
+    return F.concat(F.lit(URL_HOST + "/v1/calls?page="), page_no.cast("string"))
+
+
+def landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as a lander left it, ``(page_link, value)``: JSON texts, the
+    last page with a null link. Damage is planted by page number: 3 of every
+    17 is cut off, 5 of every 23 was never landed, 4 of every 19 came twice,
+    6 of every 29 has no calls field."""
+    feed = feed_calls(spark, sf_dir)
+    last = feed.select(F.max("page_no")).scalar()
+    pages = feed.groupBy("page_no").agg(F.collect_list("call").alias("calls"))
+    no = F.col("page_no")
+    meta = F.struct(F.when(no < last, _page_link(no + 1)).alias("next_page_link")).alias("meta")
+    text = F.when(no % 29 == 6, F.to_json(F.struct(meta))).otherwise(F.to_json(F.struct(F.col("calls"), meta)))
+    text = F.when(no % 17 == 3, F.substring(text, 1, 10)).otherwise(text)
+    times = F.when(no % 23 == 5, F.expr("array()")).when(no % 19 == 4, F.expr("array(1, 2)")).otherwise(F.expr("array(1)"))
+    return pages.select(_page_link(no).alias("page_link"), text.alias("value"), F.explode(times.cast("array<int>"))).drop("col")
 
 
 # ---------------------------------------------------------------------- CRM
@@ -152,6 +173,24 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(_s("doc_id").alias("call_id"), F.col("text"), F.col("lang").alias("language"), F.col("n_chars"))
 
 
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of transcription attempts: three events in a row are the
+    attempts of one call; purchases, signups and clicks succeed."""
+    ev = read_table(spark, sf_dir, "events")
+    ok = F.col("event_type").isin("purchase", "signup", "click")
+    return ev.select(
+        F.expr("event_id div 3").cast("string").alias("call_id"), F.col("ts").alias("attempted_at"),
+        F.when(ok, F.concat(F.lit("text of "), _s("event_id"))).alias("text"),
+        F.when(ok, F.when(F.col("user_id") % 2 == 0, F.lit("de")).otherwise(F.lit("en"))).alias("language"),
+        F.when(~ok, F.concat(F.lit("service: "), F.col("event_type"))).alias("error"))
+
+
+def repeated_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users with every third one there twice, under another name."""
+    u = users(spark, sf_dir)
+    return u.unionByName(u.where(F.col("pk_user").cast("long") % 3 == 0).withColumn("ds_full_name", F.concat(F.lit("~"), F.col("ds_full_name"))))
+
+
 def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of held files: audio <- labels, transcripts <- documents."""
     audio = read_table(spark, sf_dir, "labels").select(

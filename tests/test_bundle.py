@@ -97,6 +97,42 @@ def test_numbering_hot_key_matches_row_number(spark):
     assert as_map(ours) == as_map(ref)
 
 
+def test_a_hot_bucket_is_split(spark):
+    """40 % of the rows on one key and one day, all at one time or not: the parts stay near
+    ``split_rows``, no task is twice the median, and the numbers are those of row_number."""
+    rnd = random.Random(9)
+    for times in (1, 500):
+        rows = [("hot", 1, rnd.randrange(times), f"00T{i * 7919 % 100003:08d}") if i % 5 < 2 else (f"k{i % 997}", i % 7, 0, f"id{i}") for i in range(40000)]
+        rows += [("hot", 1, 0, None), ("hot", 1, None, "x"), ("hot", 1, 0, "00T00000007"), ("hot", 1, 0, "00T00000007")]
+        df = spark.createDataFrame(rows, "k string, day int, ts int, id string").repartition(6)
+        try:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            ours = number_within(df, "k", ["day ASC", "ts ASC NULLS LAST", "id ASC NULLS LAST"], "day", "n", split_rows=400)
+            sizes = sorted(r[0] for r in ours.groupBy(F.spark_partition_id()).count().select("count").collect())
+            assert len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
+            w = Window.partitionBy("k").orderBy("day", F.col("ts").asc_nulls_last(), F.col("id").asc_nulls_last())
+            ref = df.withColumn("n", F.row_number().over(w))
+            assert sorted(map(str, ours.collect())) == sorted(map(str, ref.collect()))
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_numbering_needs_an_ascending_order(spark):
+    with pytest.raises(ValueError):
+        number_within(spark.createDataFrame([], "k string, id int"), "k", ["id DESC"], "0", "n")
+
+
+def test_account_parts_are_those_of_the_bundles(spark):
+    rnd = random.Random(5)
+    rows = [task(f"t{i:04d}", f"A{rnd.randrange(6)}", f"https://h/calls/{i}/r" if i % 9 else "https://h/none", TS(2024, 8, rnd.randrange(1, 28)) if i % 11 else None) for i in range(400)]
+    calls = bundle.with_call_id(spark.createDataFrame(rows, schemas.TASK).withColumn("ds_full_name", F.lit("Uma")).withColumn("ds_account", F.lit("Acme")))
+    texts = spark.createDataFrame([(str(i), "x" * (rnd.randrange(0, 900) if i % 50 else 20000), "de") for i in range(0, 400, 2)], schemas.TRANSCRIPT)
+    for part_chars in (100, 3000, 1 << 26):
+        want = {(r.account_id, r.part_no, r.n_parts, r.ds_account) for r in bundle.account_bundle(calls, texts, part_chars=part_chars).collect()}
+        got = [tuple(r) for r in bundle.account_parts(calls, texts, part_chars).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
 def test_numbering_of_nothing(spark):
     none = spark.createDataFrame([], "k string, ts int, id int")
     assert number_within(none, "k", ["id ASC"], "0", "n").collect() == []

@@ -23,11 +23,11 @@ def test_list_artifacts_reads_names_only(spark, tmp_path):
 def test_store_transcripts_keeps_one_per_call(spark):
     res = spark.createDataFrame([("1", "hallo", "de"), ("2", None, None), ("1", "hallo", "de")],
                                 schemas.TRANSCRIPT)
-    first = ingestion.store_transcripts(spark, res, "t_transcripts")
-    again = ingestion.store_transcripts(spark, res, "t_transcripts")
+    first = ingestion.store_transcripts(spark, res, "t_transcripts_once")
+    again = ingestion.store_transcripts(spark, res, "t_transcripts_once")
     assert first.count() == 1 and again.count() == 1
-    spark.catalog.refreshTable("t_transcripts")
-    assert [(r.call_id, r.text) for r in spark.table("t_transcripts").collect()] == [("1", "hallo")]
+    spark.catalog.refreshTable("t_transcripts_once")
+    assert [(r.call_id, r.text) for r in spark.table("t_transcripts_once").collect()] == [("1", "hallo")]
 
 
 def test_bucketed_transcripts_shuffle_only_the_call_side(spark):
