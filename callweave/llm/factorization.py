@@ -22,9 +22,10 @@ dealt to ``FIT_PARTS`` groups; in each of ``ROUNDS`` rounds every group takes
 averages the groups' parameters, whose size is fixed.
 
 Null text counts as empty; an empty text has structure and metadata only.
-Null ids and null labels are not learned from, an id with several labels
-counts once for each; without a labelled row every score is 0.5. Repeated
-rows get equal scores; further columns pass through.
+Null ids and null labels are not learned from; an id with several labels
+counts once for each, an id with several texts by the largest. Without a
+labelled row every score is 0.5. Repeated rows get equal scores; further
+columns pass through.
 """
 
 from __future__ import annotations
@@ -244,15 +245,17 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fit_rows: int = FIT_ROWS, parts: int = FIT_PARTS, rounds: int = ROUNDS) -> Model | None:
     """Fit on the labelled rows of ``docs``; the caller leaves out what must not be learned from."""
     workers_import(docs.sparkSession)
-    marks = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).select(F.col("doc_id").cast("long").alias("_id"), (F.col(label) > 0).cast("double").alias("_y"))
+    marks = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).select(
+        F.col("doc_id").cast("long").alias("_id"), (F.col(label) > 0).cast("double").alias("_y")).distinct()
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text"), _length(docs).alias("_n"))
     n = marks.count()
     if not n:
         return None
-    # the labels decide the sample, so texts outside it are never gathered
+    # the labels decide the sample, less than twice ``fit_rows`` pairs of id and label, so that the documents stay where they are
     few = marks.where(F.pmod(F.xxhash64("_id", "_y"), F.lit(max(1, n // fit_rows))) == 0)
     mine = F.pmod(F.xxhash64("_id", "_y", F.octet_length(F.coalesce("_text", F.lit("")))), F.lit(parts)).cast("int")
-    given = rows.join(few, "_id").select("_text", "_n", mine.alias("_part"), "_y")
+    one = rows.join(F.broadcast(few), "_id").groupBy("_id", "_y").agg(F.max(F.struct("_text", "_n")).alias("_d")).select("_id", "_y", "_d._text", "_d._n")
+    given = one.select("_text", "_n", mine.alias("_part"), "_y")
     table = materialize(given.mapInArrow(_rows, "part int, y double, index array<int>, value array<float>"), "fm-features")
     share = table.agg(F.count("y"), F.sum("y")).first()
     if not share[0]:
