@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +37,7 @@ from pyspark.sql import types as T
 
 from callweave.session import materialize
 
-from .common import workers_import
+from .common import worker_cache, workers_import
 from .words import words
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -44,7 +45,8 @@ FIT_DOCS = 2000
 ROUNDS = 3
 UNKNOWN = 1e-9
 SMOOTH = 0.05
-KEEP = 1_000_000
+KEEP = 300_000
+LONG_RUN = 4096
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MARK = "▁"
@@ -56,18 +58,16 @@ def vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-_pieces: dict[str, dict[str, int]] = {}
-
-
 def pieces(path: str) -> dict[str, int]:
     """Lower-case pieces of letters (with or without the word mark) and their numbers."""
-    if path not in _pieces:
+    kept = worker_cache("langid")
+    if ("pieces", path) not in kept:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = sorted({p for p in map(model.id_to_piece, range(model.get_piece_size())) if (x := p.removeprefix(_MARK)).isalpha() and x == x.lower()} | {_MARK})
-        _pieces[path] = {p: k for k, p in enumerate(names)}
-    return _pieces[path]
+        kept["pieces", path] = {p: k for k, p in enumerate(names)}
+    return kept["pieces", path]
 
 
 def letter_runs(text: str) -> list[str]:
@@ -75,17 +75,12 @@ def letter_runs(text: str) -> list[str]:
     return [x.lower() for x in runs if x]
 
 
-_starts: dict[str, tuple[frozenset[str], int]] = {}
-
-
 def beginnings(known: dict[str, int], path: str | None = None) -> tuple[frozenset[str], int]:
     """All beginnings of the pieces, and the length of the longest; kept by ``path``."""
-    if path in _starts:
-        return _starts[path]
-    found = frozenset(p[:i] for p in known for i in range(1, len(p) + 1)), max(map(len, known), default=1)
-    if path is not None:
-        _starts[path] = found
-    return found
+    kept = worker_cache("langid") if path is not None else {}
+    if ("starts", path) not in kept:
+        kept["starts", path] = frozenset(p[:i] for p in known for i in range(1, len(p) + 1)), max(map(len, known), default=1)
+    return kept["starts", path]
 
 
 def _hits(marked: str, known: dict[str, int], begins: frozenset[str]) -> list[list[tuple[int, int]]]:
@@ -106,6 +101,8 @@ def _hits(marked: str, known: dict[str, int], begins: frozenset[str]) -> list[li
 def forward(word: str, known: dict[str, int], prob: list[list[float]], path: str | None = None) -> list[float]:
     """Log of the sum over all segmentations, per language. ``prob``: a row per piece, a column per language, last row for unknown letters."""
     begins, longest = beginnings(known, path)
+    if len(word) > LONG_RUN:
+        return _forward_ahead(word, known, prob, begins, longest)
     each = range(len(prob[-1]))
     alpha, shift = [[1.0] * len(each)], [0.0] * len(each)
     for hits in _hits(_MARK + word, known, begins):
@@ -124,6 +121,35 @@ def forward(word: str, known: dict[str, int], prob: list[list[float]], path: str
     return [math.log(max(x, 1e-300)) + y for x, y in zip(alpha[-1], shift, strict=True)]
 
 
+def _forward_ahead(word: str, known: dict[str, int], prob: list[list[float]], begins: frozenset[str], longest: int) -> list[float]:
+    """The same with only the sums that pieces can still reach held, for runs of any length."""
+    marked, each = _MARK + word, range(len(prob[-1]))
+    ahead = deque([[1.0] * len(each)] + [[0.0] * len(each) for _ in range(longest)])
+    shift, n = [0.0] * len(each), len(_MARK) + len(word)
+    for start in range(n):
+        now = ahead.popleft()
+        ahead.append([0.0] * len(each))
+        low = min(now, default=1.0)
+        if low < 1e-150:
+            for j in each:
+                scale = max(now[j], 1e-300)
+                shift[j] += math.log(scale)
+                now[j] /= scale
+                for x in ahead:
+                    x[j] /= scale
+        k, end = known.get(marked[start]), start + 1
+        row, into = prob[-1 if k is None else k], ahead[0]
+        for j in each:
+            into[j] += now[j] * row[j]
+        while end <= n and (x := marked[start:end]) in begins:
+            if end > start + 1 and (k := known.get(x)) is not None:
+                row, into = prob[k], ahead[end - start - 1]
+                for j in each:
+                    into[j] += now[j] * row[j]
+            end += 1
+    return [math.log(max(x, 1e-300)) + y for x, y in zip(ahead[0], shift, strict=True)]
+
+
 def expected(word: str, known: dict[str, int], prob: list[float] | np.ndarray, path: str | None = None) -> dict[int, float]:
     """Expected number of each piece over all segmentations of ``word`` for one language."""
     ends = _hits(_MARK + word, known, beginnings(known, path)[0])
@@ -282,14 +308,11 @@ class Scorer:
         return total
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def scorer(model: Model) -> Scorer:
-    if model.name not in _scorers:
-        _scorers.clear()
-        _scorers[model.name] = Scorer(model)
-    return _scorers[model.name]
+    kept = worker_cache("langid")
+    if kept.get("model") != model.name:
+        kept["model"], kept["scorer"] = model.name, Scorer(model)
+    return kept["scorer"]
 
 
 def _predict(model: Model, text_at: int):

@@ -11,7 +11,14 @@ are held as one vector with a count; among equal scores the larger vector
 wins, and equal vectors are taken in order of ``order``.
 
 A piece larger than a limit in any dimension raises an error. Rows may
-repeat; null counts count as 0. An empty table gives no rows.
+repeat; null counts count as 0; ids pass through as they are, null or large.
+An empty table gives no rows.
+
+Documents are packed under three limits that all bind: ``SEQUENCE`` tokens,
+``SEGMENTS`` pieces (short documents reach it), and ``LOSS_TOKENS``
+loss-bearing tokens, all but the first of a document (sequences of a few
+long pieces reach it, and pieces are cut to it). The last costs a sequence
+8 tokens of 4096 at most.
 """
 
 from __future__ import annotations
@@ -20,8 +27,8 @@ import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +39,8 @@ from .common import workers_import
 from .tokens import END_ID, encode, vocabulary
 
 SEQUENCE = 4096
-SEGMENTS = 512
+SEGMENTS = 64
+LOSS_TOKENS = 4088
 GROUP_ROWS = 16384
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, segments long, loss_tokens long, salt long"
 
@@ -85,19 +93,18 @@ def pack(pieces: DataFrame, limits: dict[str, int], order: Sequence[str], salt:
     dims, room = list(limits), np.array(list(limits.values()), dtype=np.float64)
     by = [*order, *([salt] if salt else [])]
 
-    def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(by, kind="stable", na_position="first").reset_index(drop=True)
-        v = rows[dims].fillna(0).to_numpy(np.float64)
-        seq, off = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+    def place(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[(c, "ascending") for c in by], null_placement="at_start"))
+        v = np.stack([rows[c].fill_null(0).to_numpy() for c in dims], 1).astype(np.float64)
+        seq, off = np.zeros(len(v), np.int64), np.zeros(len(v), np.int64)
         for n, used in enumerate(fill(v, room)):
-            seq[used] = (int(key[0]) << 32) + n
+            seq[used] = (key[0].as_py() << 32) + n
             off[used] = np.cumsum(v[used, 0]) - v[used, 0]
-        rows["sequence_id"], rows["offset"] = seq, off
-        return rows.drop(columns="_group")
+        return rows.drop_columns("_group").append_column("sequence_id", pa.array(seq)).append_column("offset", pa.array(off))
 
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     group = F.pmod(F.xxhash64(*by), F.lit(groups)).cast("long")
-    return pieces.withColumn("_group", group).groupBy("_group").applyInPandas(place, schema)
+    return pieces.withColumn("_group", group).groupBy("_group").applyInArrow(place, schema)
 
 
 def _cut(vocabulary_path: str, end_id: int | None, length: int):
@@ -127,8 +134,8 @@ def cut_documents(docs: DataFrame, vocabulary_path: str | None = None, end_id: i
     return rows.mapInArrow(_cut(vocabulary_path or vocabulary(), end_id, length), PIECES)
 
 
-def pack_documents(docs: DataFrame, vocabulary_path: str | None = None, length: int = SEQUENCE, segments: int = SEGMENTS, loss_tokens: int = SEQUENCE, group_rows: int = GROUP_ROWS) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary_path: str | None = None, length: int = SEQUENCE, segments: int = SEGMENTS, loss_tokens: int = LOSS_TOKENS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Cut ``docs`` and pack the pieces; one row per piece with its sequence and offset."""
-    pieces = materialize(cut_documents(docs, vocabulary_path, length=length), "pieces")
+    pieces = materialize(cut_documents(docs, vocabulary_path, length=min(length, loss_tokens)), "pieces")
     packed = pack(pieces, {"length": length, "segments": segments, "loss_tokens": loss_tokens}, ("doc_id", "start"), "salt", group_rows)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")

@@ -6,9 +6,13 @@ contraction begins at its apostrophe), so the ids of a text are the ids of
 its pieces, one after another. The vocabulary's added tokens
 (``<|endoftext|>``) are found in the raw text before that, case included; a
 text is cut at them first, and each stands for its own id. A worker
-keeps the ids of the pieces it has met (at most ``KEEP``, then it starts
+keeps the ids of the pieces it has met (up to ``KEEP_BYTES``, then it starts
 afresh), and numpy gathers them; ``tests/llm`` holds this against encoding
-the whole text.
+the whole text. Pieces over ``LONG_PIECE`` bytes are not kept. Text without
+ASCII white space or marks is one piece; such a piece is encoded in parts of
+about ``PART_CHARS``, cut behind a letter or digit and before a digit, mark
+or symbol, where the pre-tokenizer ends a word too. A run of letters alone
+is one word of the vocabulary and is encoded whole.
 """
 
 from __future__ import annotations
@@ -21,9 +25,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import worker_cache
 from .words import Words, words
 
-KEEP = 1_500_000
+KEEP_BYTES = 64 << 20
+LONG_PIECE = 512
+PART_CHARS = 1 << 16
 END_ID = 2
 WORD_BPE = "word_bpe_49k.json"
 
@@ -56,6 +63,20 @@ class Encoder:
         self.ids = np.zeros(1 << 16, np.int32)
         self.used = 0
 
+    def _long_piece(self, text: str) -> np.ndarray:
+        """Ids of a piece that is not kept."""
+        import regex
+
+        parts, at = [], 0
+        while len(text) - at > PART_CHARS:
+            cut = regex.compile(r"(?<=[\p{L}\p{N}])(?=[\p{N}\p{P}\p{S}])").search(text, at + PART_CHARS)
+            if cut is None:
+                break
+            parts.append(text[at:cut.start()])
+            at = cut.start()
+        parts.append(text[at:])
+        return np.concatenate([np.array(self.tokenizer.encode_batch_fast([p], add_special_tokens=False)[0].ids, np.int32) for p in parts])
+
     def _learn(self, w: Words, keys: np.ndarray, where: np.ndarray) -> None:
         found = self.tokenizer.encode_batch_fast([w.word(i).decode("utf-8", "replace") for i in where], add_special_tokens=False)
         got = [e.ids for e in found]
@@ -98,29 +119,38 @@ class Encoder:
         if not len(w.hash):
             return np.zeros(0, np.int32), np.zeros(len(w.count), np.int64)
         keys, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > KEEP:
+        long = w.length[first] > LONG_PIECE
+        if 20 * (len(self.keys) + len(keys)) + 4 * self.used > KEEP_BYTES:
             self.clear()
-        at = np.searchsorted(self.keys, keys)
-        new = np.ones(len(keys), bool)
-        if len(self.keys):
-            new = self.keys[np.minimum(at, len(self.keys) - 1)] != keys
-        if new.any():
-            self._learn(w, keys[new], first[new])
-            at = np.searchsorted(self.keys, keys)
-        n, begin = self.n[at][back], self.at[at][back]
+        n, begin = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        pool = self.ids
+        short = np.flatnonzero(~long)
+        if len(short):
+            at = np.searchsorted(self.keys, keys[short])
+            new = np.ones(len(short), bool)
+            if len(self.keys):
+                new = self.keys[np.minimum(at, len(self.keys) - 1)] != keys[short]
+            if new.any():
+                self._learn(w, keys[short][new], first[short][new])
+                at = np.searchsorted(self.keys, keys[short])
+            n[short], begin[short], pool = self.n[at], self.at[at], self.ids
+        if long.any():
+            parts = [self._long_piece(w.word(i).decode("utf-8", "replace")) for i in first[long]]
+            size = np.array([len(p) for p in parts])
+            n[long], begin[long] = size, self.used + np.cumsum(size) - size
+            pool = np.concatenate([self.ids[:self.used], *parts])
+        n, begin = n[back], begin[back]
         end = np.cumsum(n)
-        ids = self.ids[np.arange(int(end[-1])) + np.repeat(begin - (end - n), n)]
+        ids = pool[np.arange(int(end[-1])) + np.repeat(begin - (end - n), n)]
         ends = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(w.count)))]
         return ids, np.diff(ends)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    mine = worker_cache("tokens")
+    if path not in mine:
+        mine[path] = Encoder(path)
+    return mine[path]
 
 
 def encode(column: pa.Array, path: str, end_id: int | None = END_ID) -> Iterator[tuple[int, np.ndarray]]:

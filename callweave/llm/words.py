@@ -1,8 +1,10 @@
 """Vectorised word splitting over Arrow string columns.
 
 Words are the maximal runs of bytes other than space and ``\\x09-\\x0D``.
-Work runs over slices of at most ``SLICE`` bytes, cut only between words, so
-memory does not follow the length of a text or of an Arrow batch.
+Work runs over slices of at most ``SLICE`` bytes, cut only between words (or
+pieces), so memory does not follow the length of a text or of an Arrow
+batch. A single word longer than that is hashed in slices too and comes by
+itself; its bytes are a view of the text's.
 """
 
 from __future__ import annotations
@@ -104,18 +106,47 @@ def _split(row: int, data: np.ndarray, offsets: np.ndarray, pieces: bool = False
     return Words(row, np.diff(np.searchsorted(start, offsets)), hashed, data, start, length)
 
 
+def _hash(data: np.ndarray) -> np.uint64:
+    """The hash of one word, slice by slice."""
+    total = 0
+    for at in range(0, len(data), SLICE):
+        part = data[at:at + SLICE]
+        total += pow(_BASE, at, 1 << 64) * int((_BYTE[part] * _power(len(part))[:len(part)]).sum())
+    return mix(np.array([(total ^ (len(data) << 48)) & ((1 << 64) - 1)], np.uint64))[0]
+
+
+def _next_cut(data: np.ndarray, at: int, pieces: bool) -> int:
+    """Where the word (or piece) ends that fills the slice before ``at``."""
+    while at < len(data):
+        part = data[max(0, at - 2):at + SLICE]
+        ends = _SPACE[part]
+        if pieces:
+            ends = ends | _marks(part)
+        found = np.flatnonzero(ends[min(at, 2):])
+        if len(found):
+            return at + int(found[0])
+        at += SLICE
+    return len(data)
+
+
 def _long(row: int, data: np.ndarray, pieces: bool) -> Iterator[Words]:
-    """One text over SLICE bytes, cut where words end."""
+    """One text over SLICE bytes, cut where words or pieces end."""
     at = 0
     while at < len(data):
         end = min(at + SLICE, len(data))
         if end < len(data):
-            gaps = np.flatnonzero(_SPACE[data[at:end]])
+            part = data[at:end]
+            gaps = np.flatnonzero(_SPACE[part])
+            if not len(gaps) and pieces:
+                gaps = np.flatnonzero(_marks(part)) - 1  # the cut is before the byte that begins a piece
             if len(gaps):
                 end = at + int(gaps[-1]) + 1
-            else:  # a word longer than a slice
-                while end < len(data) and not _SPACE[data[end]]:
-                    end += 1
+            else:
+                end = _next_cut(data, end, pieces)
+                word = data[at:end]
+                yield Words(row, np.ones(1, np.int64), np.array([_hash(word)], np.uint64), word, np.zeros(1, np.int64), np.array([len(word)]))
+                at = end
+                continue
         yield _split(row, data[at:end], np.array([0, end - at]), pieces)
         at = end
 

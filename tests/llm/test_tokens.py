@@ -87,7 +87,7 @@ def test_long_texts_are_cut_between_words(monkeypatch):
 
 
 def test_the_cache_starts_afresh(monkeypatch):
-    monkeypatch.setattr(tokens, "KEEP", 3)
+    monkeypatch.setattr(tokens, "KEEP_BYTES", 60)
     monkeypatch.setattr(words, "SLICE", 8)
     rows = [" ".join(f"w{i}" for i in range(40))]
     assert [ids.tolist() for _, ids in tokens.encode(pa.array(rows), tokens.vocabulary())] == [[*whole(rows[0]), 2]]
@@ -155,7 +155,8 @@ def check_packing(rows, texts, length=packing.SEQUENCE):
     want = []
     for d, t in texts:
         ids = [*whole(t), 2]
-        want += [(-1 if d is None else d, k, len(ids[k:k + length]), crc(ids[k:k + length]), len(ids)) for k in range(0, len(ids), length)]
+        cut = min(length, packing.LOSS_TOKENS)
+        want += [(-1 if d is None else d, k, len(ids[k:k + cut]), crc(ids[k:k + cut]), len(ids)) for k in range(0, len(ids), cut)]
     assert pieces == sorted(want)
     return by_seq
 
@@ -170,6 +171,87 @@ def test_op1_matches_brute_force(spark):
     assert padding <= 0.03 * sum(used) + packing.SEQUENCE
 
 
+def test_each_limit_binds_in_documents(spark, docs_of):
+    """Short documents fill the segments, long pieces the loss-bearing tokens, others the tokens."""
+    rng = random.Random(6)
+    words_of = lambda n: " ".join(rng.choice(["cat", "dog", "sun"]) for _ in range(n))
+    full = []
+    for sizes in ([1] * 400, [200] * 200, [rng.randrange(60, 90) for _ in range(300)]):
+        rows = [(k, words_of(n)) for k, n in enumerate(sizes)]
+        got = packing.pack_documents(docs_of(rows)).collect()
+        check_packing(got, rows)
+        sums = {}
+        for r in got:
+            t = sums.setdefault(r.sequence_id, [0, 0, 0])
+            t[0], t[1], t[2] = t[0] + r.length, t[1] + 1, t[2] + r.loss_tokens
+        assert all(a <= packing.SEQUENCE and b <= packing.SEGMENTS and c <= packing.LOSS_TOKENS for a, b, c in sums.values())
+        full.append([max(t[i] for t in sums.values()) for i in range(3)])
+    assert full[0][1] == packing.SEGMENTS and full[0][0] < packing.SEQUENCE / 2
+    long = packing.pack_documents(docs_of([(1, words_of(20000))])).collect()
+    assert max(r.loss_tokens for r in long) == packing.LOSS_TOKENS and max(r.length for r in long) < packing.SEQUENCE
+    assert max(f[0] for f in full) > packing.SEQUENCE - 90
+
+
+def test_ids_stay_as_they_are(spark, docs_of):
+    rows = [(None, "a"), (2**60 + 1, "b c"), (2**60 + 3, "d e f"), (2**63 - 1, "g"), (-(2**63), "h"), (None, None)]
+    got = packing.pack_documents(docs_of(rows)).collect()
+    check_packing(got, rows)
+    assert sorted((r.doc_id for r in got), key=str) == sorted((d for d, _ in rows), key=str)
+
+
+UNSPACED = ["中文，标点。" * 700, "a" * 3000 + "1" * 900 + "," + "é" * 800, "x'sy-" * 900, "日本語" * 900 + "\u0301!" * 40, "１２３，" * 300 + "b"]
+
+
+def test_long_pieces_are_not_kept(monkeypatch):
+    monkeypatch.setattr(tokens, "PART_CHARS", 64)
+    for size in (words.SLICE, 100):
+        monkeypatch.setattr(words, "SLICE", size)
+        rows = [*UNSPACED, "short words", UNSPACED[0] + " short " + UNSPACED[1]]
+        enc = tokens.encoder(tokens.vocabulary())
+        enc.clear()
+        got = [ids.tolist() for _, ids in tokens.encode(pa.array(rows), tokens.vocabulary())]
+        assert got == [[*whole(t), 2] for t in rows]
+        assert enc.used < 200
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab中é,'-1² \n\u0301"), max_size=80), st.integers(1, 12))
+def test_words_longer_than_a_slice(text, size):
+    """The same words, pieces and hashes whatever the slices."""
+    column = pa.array([text, "x"])
+    for pieces in (False, True):
+        want = [(w.word(i), int(h)) for w in words.words(column, lower=True, pieces=pieces) for i, h in enumerate(w.hash)]
+        old = words.SLICE
+        try:
+            words.SLICE = size
+            got = [(w.word(i), int(h)) for w in words.words(column, lower=True, pieces=pieces) for i, h in enumerate(w.hash)]
+        finally:
+            words.SLICE = old
+        assert got == want
+
+
+def test_memory_of_a_long_text_without_spaces():
+    """50 MB without white space, under a limit of 1.5 GB on top of what importing takes."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = """
+import resource
+import pyarrow as pa
+from callweave.llm import tokens, words
+text = pa.array(["中文，标点。" * (50_000_000 // 18)])
+list(tokens.encode(pa.array(["warm up"]), tokens.vocabulary()))
+now = int(open("/proc/self/statm").read().split()[0]) * resource.getpagesize()
+resource.setrlimit(resource.RLIMIT_AS, (now + (3 << 29), now + (3 << 29)))
+assert sum(len(w.hash) for w in words.words(text)) == 1
+(_, ids), = tokens.encode(text, tokens.vocabulary())
+print(len(ids))
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0 and int(done.stdout) > 10_000_000, done.stderr[-2000:]
+
+
 def test_packing_edge_rows(spark, docs_of):
     rows = [(1, None), (2, ""), (None, "x"), (3, "same"), (3, "same"), (4, "word " * 9000)]
     check_packing(packing.pack_documents(docs_of(rows)).collect(), rows)
