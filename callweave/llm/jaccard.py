@@ -194,6 +194,10 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
 def _sets(marks: np.ndarray):
     def sets(batches):
+        from pyspark import TaskContext
+
+        context, seen = TaskContext.get(), set()
+        task = context.partitionId() if context else 0
         for batch in batches:
             slots = _slots(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)
             wanted = (marks[slots >> 6] >> (slots & 63) & 1).all(1)
@@ -201,22 +205,24 @@ def _sets(marks: np.ndarray):
                 continue
             names, found = [], []
             for _, s in shingle_sets(batch.column(1).filter(pa.array(wanted))):
-                if len(s):
-                    names.append(_signed(point(s)))
+                name = point(s)
+                if len(s) and (name, len(s)) not in seen:
+                    seen.add((name, len(s)))
+                    names.append(_signed(name))
                     found.append(s.view(np.int64))
                 if len(found) >= 256:
-                    yield _set_rows(names, found)
+                    yield _set_rows(names, found, task)
                     names, found = [], []
             if found:
-                yield _set_rows(names, found)
+                yield _set_rows(names, found, task)
 
     return sets
 
 
-def _set_rows(names: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
+def _set_rows(names: list[int], found: list[np.ndarray], task: int) -> pa.RecordBatch:
     sizes = [len(s) for s in found]
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.concatenate(found)))
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), lists], names=["point", "n", "s"])
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(np.full(len(names), task, np.int64)), lists], names=["point", "n", "task", "s"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -242,15 +248,25 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def merged_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after more links (a, b): only the components that these join are looked at."""
+    of_a = roots.select(F.col("node").alias("a"), F.col("root").alias("_ra"))
+    of_b = roots.select(F.col("node").alias("b"), F.col("root").alias("_rb"))
+    between = links.join(of_a, "a", "left").join(of_b, "b", "left").select(F.coalesce("_ra", "a").alias("u"), F.coalesce("_rb", "b").alias("v"))
+    joined = components(between)
+    moved = joined.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+    old = roots.join(moved, "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
+    return materialize(old.unionByName(joined), "roots")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` with the overlap of their sets; only the sets of these pairs move."""
+    """``pairs`` with the overlap of their sets: a pivot's set moves once, another's once per pair."""
     pairs = materialize(pairs, "pairs")
-    ends = materialize(pairs.select(F.col("a").alias("point"), F.col("na").alias("n")).unionByName(pairs.select(F.col("b").alias("point"), F.col("nb").alias("n"))).distinct(), "ends")
-    some = sets.join(ends, ["point", "n"], "left_semi")
-    one = some.select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
-    two = some.select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    rows = pairs.join(one, ["a", "na"]).join(two, ["b", "nb"]).select("a", "na", "b", "nb", "sa", "sb")
-    return rows.select("a", "na", "b", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("both")).distinct()
+    pivots = pairs.select(F.col("a").alias("point"), F.col("na").alias("n")).distinct()
+    one = sets.join(pivots, ["point", "n"], "left_semi").select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    two = sets.select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
+    rows = pairs.join(two, ["b", "nb"]).join(one, ["a", "na"]).select("a", "na", "b", "nb", "sa", "sb")
+    return rows.select("a", "na", "b", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("both"))
 
 
 def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -280,8 +296,15 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     some = ranked.select("point", "n").distinct()
     no_id = F.lit(-(1 << 63)).cast("long")
     owners = materialize(points.where("n > 0").join(some, ["point", "n"]).groupBy("point", "n").agg(F.coalesce(F.min("doc_id"), no_id).alias("owner")), "candidates")
-    sets = texts_only.select(F.coalesce("doc_id", no_id).alias("owner"), "text").mapInArrow(_sets(id_filter(owners.select("owner"))), "point long, n long, s array<bigint>")
-    sets = materialize(sets.join(owners, ["point", "n"], "left_semi").dropDuplicates(["point", "n"]), "sets")
+    sets = texts_only.select(F.coalesce("doc_id", no_id).alias("owner"), "text").mapInArrow(_sets(id_filter(owners.select("owner"))), "point long, n long, task long, s array<bigint>")
+    sets = materialize(sets.join(owners, ["point", "n"], "left_semi"), "sets")
+    # rows that share an id can bring a set once per task; what comes again is found without moving the sets
+    again = sets.groupBy("point", "n").agg(F.min("task").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    again = materialize(again, "repeated-sets")
+    if not again.isEmpty():
+        first = sets.join(again, ["point", "n"], "left").where("_first is null or task = _first").drop("_first")
+        sets = materialize(first, "sets")
+    sets = sets.drop("task")
     spark = docs.sparkSession
     roots = spark.createDataFrame([], "node long, root long")
     links = spark.createDataFrame([], "a long, b long")
@@ -295,9 +318,11 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             state = state.join(away, ["p0", "node"], "left")
         else:
             state = state.withColumn("d", F.lit(None).cast("double"))
-        state = materialize(state.join(alive, "h", "left_semi").select("h", "point", "n", "small", "rank", "root", "d"), "regions")
+        state = materialize(state.join(alive, "h", "left_semi").select("h", "point", "n", "small", "node", "rank", "p0", "root", "d"), "regions")
         if state.isEmpty():
             break
+        # components only merge and ranks only grow: a cell that is done stays done, so rounds read ever less
+        ranked = state.drop("root", "d")
         p = state.where(F.col("small") & (F.col("rank") > low) & (F.col("rank") <= low + width)).select("h", F.col("point").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("d").alias("da"))
         m = state.select("h", F.col("point").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("d").alias("db"))
         near = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
@@ -306,13 +331,11 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         if low:
             pairs = pairs.join(tested, ["a", "na", "b", "nb"], "left_anti")
         found = materialize(_verified(pairs, sets), "overlaps")
-        tested = found if not low else materialize(tested.unionByName(found), "tested")
         new = found.where(100 * F.col("both") >= 75 * (F.col("na") + F.col("nb") - F.col("both"))).select(F.xxhash64("a", "na").alias("a"), F.xxhash64("b", "nb").alias("b"))
-        links = new if not low else links.unionByName(new)
+        tested, links = (tested.unionByName(found), links.unionByName(new)) if low else (found, new)
         low, width = low + width, 2 * width
-        if new.isEmpty():
-            continue
-        roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        if not new.isEmpty():
+            roots = merged_roots(roots, new)
     return points.withColumn("node", node), links, roots
 
 
