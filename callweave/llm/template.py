@@ -23,11 +23,14 @@ Constant text in a free slot inside an article goes
 only where it is no paragraph, heading, item or quotation, and copies of one
 page count once, so that repeated articles stay.
 
-``DROP_NAMES`` are whole class or id names. They exclude no element that holds
+``DROP_NAMES`` are whole class or id names; of names of several words those
+count that are made of ``DROP_HEADS`` and ``DROP_TAILS`` (comment-list,
+ad-slot) or of ``DROP_OWNERS`` and ``DROP_THINGS`` (post-comments). They exclude no element that holds
 the page's article or main or, over the host, ``MAIN_SHARE`` of the free
 words, and ``header`` excludes nothing inside an article.
 
-An excluded element that is never closed excludes nothing. Null or empty
+An excluded element that is never closed excludes nothing, but a script or
+style that is never closed reaches to the end of the page. Null or empty
 html: empty text. Null url: the pages without a host share one. Null
 ``page_id`` and repeated rows are kept. Other columns are not read.
 """
@@ -36,6 +39,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,11 +67,17 @@ DROP_TAGS = frozenset("head title nav footer aside form button select textarea n
 MAIN_TAGS = frozenset("article main".split())
 PROSE_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td dd".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
-DROP_NAMES = re.compile(r"(?:^|(?<=\s))(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|sidebar|aside|rail|ads?|advert\w*|adsbygoogle|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|alert|newsletter|subscribe|subscription|signup|login|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|widget|pagination|pager|skip-link|toolbar|form|search)(?:$|(?=\s))", re.I)
+DROP_NAMES = re.compile(r"(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|topbar|footer|sidebar|aside|rail|ads?|advert\w*|adsbygoogle|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|alert|newsletter|subscribe|subscription|signup|login|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|widget|pagination|pager|skip-link|toolbar|form|search)")
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?</\1\s*>|<[!?][^>]*>"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^<>]*)>", re.S | re.I)
+#: Names made of two or more words: what they begin with and what may follow, or what they are about and what it is.
+DROP_HEADS = frozenset("comment comments commentlist reply replies ad ads advert adverts advertisement adsense sponsor sponsored promo cookie cookies consent gdpr privacy related recommended newsletter subscribe share sharing social disqus popup modal".split())
+DROP_TAILS = frozenset("area list section box block slot unit banner bar posts post articles article links link buttons button icons widget wrap wrapper container form thread notice popup modal overlay signup body content contents text author item items holder space zone label top bottom left right inner outer tools news stories comment comments count title wide small large".split())
+DROP_OWNERS = frozenset("post article entry page story user reader site blog".split())
+DROP_THINGS = frozenset("comments replies share sharing social related ads nav navigation sidebar footer menu cookies newsletter".split())
+
+_TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^<>]*)>")
+_RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in ("script", "style")}
+_RAW_OPEN = re.compile(r"<(script|style)(?=[\s/>]|\Z)", re.I)
 _ATTR = re.compile(r"([A-Za-z:_-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 
@@ -101,17 +111,53 @@ def _drops(tag: str, attrs: dict[str, str], raw: str) -> bool:
 def _named(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
     if tag in ("html", "body") or tag in MAIN_TAGS or tag not in BLOCK_TAGS and tag not in ("span", "a"):
         return False
-    names = {m[0].lower() for x in ("class", "id") for m in DROP_NAMES.finditer(attrs.get(x, ""))}
-    return bool(names - {"header"} if in_main else names)
+    for attribute in ("class", "id"):
+        for name in attrs.get(attribute, "").lower().split():
+            if DROP_NAMES.fullmatch(name) and not (in_main and name == "header"):
+                return True
+            head, *tail = re.split(r"[-_]+", name.strip("-_"))
+            if tail and (head in DROP_HEADS and all(t in DROP_TAILS or t.isdigit() for t in tail) or len(tail) == 1 and head in DROP_OWNERS and tail[0] in DROP_THINGS):
+                return True
+    return False
+
+
+def _tokens(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, tag, whether it closes, attributes) of the markup in order; comments, scripts and styles have
+    no tag. One pass: where no closing mark lies ahead, nothing more is looked for. A script, style or comment
+    that is never closed reaches to the end of the page, as in HTML."""
+    at, n = 0, len(page)
+    while True:
+        at = page.find("<", at)
+        if at < 0:
+            return
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = n if end < 0 else end + 3
+            yield at, end, "", False, ""
+        elif page.startswith(("<!", "<?"), at):
+            end = page.find(">", at) + 1
+            if not end:
+                return
+            yield at, end, "", False, ""
+        elif raw := _RAW_OPEN.match(page, at):
+            opened = page.find(">", at)
+            closing = _RAW[raw[1].lower()].search(page, opened) if opened >= 0 else None
+            end = closing.end() if closing else n
+            yield at, end, "", False, ""
+        elif m := _TAG.match(page, at):
+            end = m.end()
+            yield at, end, (m[2] or m[5]).lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
+        else:
+            end = at + 1
+        at = end
 
 
 def blocks(page: str) -> tuple[list[Block], dict[str, int]]:
     """Text blocks in page order, and how often each element path occurs."""
     found, opened, closed = [], {}, {}
-    for m in _TOKEN.finditer(page):
-        tag = (m[3] or m[6] or "").lower()
-        found.append((m.start(), m.end(), tag, bool(m[2] or m[5]), m[4] or m[7] or ""))
-        k = len(found) - 1
+    for token in _tokens(page):
+        found.append(token)
+        tag, k = token[2], len(found) - 1
         if tag and tag not in VOID_TAGS:
             if not found[k][3]:
                 opened.setdefault(tag, []).append(k)
