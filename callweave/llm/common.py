@@ -6,9 +6,10 @@ import os
 import uuid
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from callweave.session import ensure_checkpoint_dir
 
@@ -51,19 +52,59 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def range_shards(df: DataFrame, key: str, weight: Column, target: int, cells: int = 4096) -> tuple[DataFrame, int]:
-    """``df`` with ``shard`` (int), and the number of shards: ascending ranges of the integer ``key`` of about ``target`` weight.
+SAMPLES = 16
+MAX_SHARDS = 50_000
 
-    The key's span is cut into ``cells`` equal cells; their weights, at most
-    ``cells + 1`` rows, give the shards, so the same rows always get the same
-    shards. Null keys come first. A single cell is never divided.
+
+def _place(key_cuts: np.ndarray, tie_cuts: np.ndarray, n_null: int, is_null: np.ndarray, key: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """How many cuts lie before each (key, tie); the first ``n_null`` cuts have a null key."""
+    out = n_null + np.searchsorted(key_cuts[n_null:], key, side="left")
+    end = n_null + np.searchsorted(key_cuts[n_null:], key, side="right")
+    for k in np.unique(key[(end > out) & ~is_null]):  # keys that are cut by their ties
+        at = np.flatnonzero((key == k) & ~is_null)
+        out[at] += np.searchsorted(tie_cuts[out[at[0]]:end[at[0]]], tie[at], side="left")
+    out[is_null] = np.searchsorted(tie_cuts[:n_null], tie[is_null], side="left")
+    return out
+
+
+def range_shards(df: DataFrame, key: str, weight: Column, target: int, tie: Column | None = None) -> tuple[DataFrame, int]:
+    """``df`` with ``shard`` (int), and the number of shards: ascending ranges of (integer ``key``, ``tie``) of about ``target`` weight.
+
+    The cuts are weighted quantiles of a sample by a hash of key and tie,
+    some ``SAMPLES`` per shard, so the same rows always get the same shards,
+    whatever the spread of the keys; a key that many rows share is cut by
+    its ties (a hash of the row). Null keys come first. There are at most
+    ``MAX_SHARDS`` shards, beyond which they grow: that bounds the cuts that
+    every task holds, 16 bytes each.
     """
-    lo, hi, total = df.agg(F.min(key), F.max(key), F.sum(weight.cast("long"))).first()
-    if lo is None:
-        return df.withColumn("shard", F.lit(0)), 1
-    width = max(1.0, (int(hi) - int(lo) + 1) / cells)
-    cell = F.coalesce(F.floor((F.col(key).cast("double") - F.lit(float(lo))) / F.lit(width)), F.lit(-1)).cast("long")
-    weights = df.groupBy(cell.alias("_cell")).agg(F.sum(weight.cast("long")).alias("_w"))
-    before = F.sum("_w").over(Window.orderBy("_cell")) - F.col("_w")
-    shards = weights.select("_cell", F.floor(before / F.lit(target)).cast("int").alias("shard"))
-    return df.withColumn("_cell", cell).join(F.broadcast(shards), "_cell").drop("_cell"), int(total) // target + 1
+    tie = F.lit(0).cast("long") if tie is None else tie.cast("long")
+    rows = df.withColumn("_tie", tie)
+    n, total = rows.agg(F.count(F.lit(1)), F.sum(weight.cast("long"))).first()
+    shards = min(MAX_SHARDS, int(total or 0) // target + 1)
+    if shards == 1:
+        return rows.withColumn("shard", F.lit(0)).drop("_tie"), 1
+    rate = max(1, n // (SAMPLES * shards))
+    some = rows.where(F.pmod(F.xxhash64(F.col(key), "_tie"), F.lit(rate)) == 0)
+    points = some.groupBy(F.col(key).cast("long").alias("k"), F.col("_tie").alias("t")).agg(F.sum(weight.cast("long")).alias("w")).orderBy(F.asc_nulls_first("k"), "t").collect()
+    before = np.cumsum([p["w"] for p in points])
+    step = before[-1] / shards if len(points) else 1
+    last = np.flatnonzero(np.diff(before // step)) if len(points) else np.zeros(0, np.int64)
+    cuts = [points[i] for i in last.tolist()]
+    n_null = sum(c["k"] is None for c in cuts)
+    key_cuts, tie_cuts = np.array([c["k"] or 0 for c in cuts], np.int64), np.array([c["t"] for c in cuts], np.int64)
+
+    @F.pandas_udf("int")
+    def shard(is_null: pd.Series, k: pd.Series, t: pd.Series) -> pd.Series:
+        return pd.Series(_place(key_cuts, tie_cuts, n_null, is_null.to_numpy(bool), k.to_numpy(np.int64), t.to_numpy(np.int64)))
+
+    own = F.col(key).cast("long")
+    return rows.withColumn("shard", shard(own.isNull(), F.coalesce(own, F.lit(0)), F.col("_tie"))).drop("_tie"), len(cuts) + 1
+
+
+def commit_file(fs, temp: str, final: str) -> None:
+    """Give a complete file its name. A second attempt of the task wrote the same bytes, so where
+    the name is taken the file stays, and readers never find it missing."""
+    if fs.get_file_info(final).type.name == "NotFound":
+        fs.move(temp, final)
+    else:
+        fs.delete_file(temp)

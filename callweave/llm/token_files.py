@@ -7,15 +7,16 @@ length of the percentile among ``PERCENTILES`` that gives the smallest
 block. The footer lists where blocks start and each document's id and
 length, so one document can be read without the rest.
 
-Documents are dealt to shards by ranges of ``doc_id`` (:func:`range_shards`),
-sorted inside, and written by one task per shard under a temporary name that
-is renamed when complete; the manifest (a table in the shared folder) names
-the files that count, so a task that is run again replaces its own file and
-readers never see a part of one.
+Documents are dealt to shards by ranges of ``doc_id`` and a hash of the text
+(:func:`range_shards`), sorted inside, and written by one task per shard
+under a temporary name that is renamed when complete; the manifest (a table
+in the shared folder) names the files that count. A task that is run again
+writes the same bytes, so a file that is complete stays, and readers never
+see a part of one.
 
 Nulls: a null text has no ids but the end id; a null ``doc_id`` sorts first
 and is read back as null. Rows with equal ``doc_id`` follow one another,
-ordered by text. An empty table gives no files and no rows. Other columns
+ordered by a hash of the text. An empty table gives no files and no rows. Other columns
 are not read.
 """
 
@@ -34,7 +35,7 @@ from pyspark.sql.window import Window
 
 from callweave.session import materialize
 
-from .common import filesystem, range_shards, shared_folder, workers_import
+from .common import commit_file, filesystem, range_shards, shared_folder, workers_import
 from .tokens import END_ID, encode, vocabulary
 
 MAGIC = b"PFR1"
@@ -128,9 +129,7 @@ class TokenFile:
         foot = np.array([*self.starts, self.at], "<u8").tobytes() + null.tobytes() + np.array([d or 0 for d in self.docs], "<i8").tobytes() + np.array(self.lengths, "<u8").tobytes()
         self.out.write(foot + struct.pack("<QQQ", len(self.starts), len(self.docs), self.at) + MAGIC)
         self.out.close()
-        if self.fs.get_file_info(self.final).type.name != "NotFound":
-            self.fs.delete_file(self.final)
-        self.fs.move(self.temp, self.final)
+        commit_file(self.fs, self.temp, self.final)
         return self.path, len(self.docs), self.n_ids, self.at + len(foot) + 28
 
 
@@ -194,8 +193,9 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocabulary_pat
     spark = docs.sparkSession
     workers_import(spark)
     folder = folder or shared_folder(spark, "token-files")
-    rows, shards = range_shards(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)) + 16, shard_bytes)
-    dealt = rows.select("shard", "doc_id", "text").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
+    tie = F.xxhash64("text")
+    rows, shards = range_shards(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)) + 16, shard_bytes, tie)
+    dealt = rows.select("shard", "doc_id", "text").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), tie, F.asc_nulls_first("text"))
     return materialize(dealt.mapInArrow(_writer(folder, vocabulary_path or vocabulary(), end_id, file_ids), MANIFEST), "token-manifest")
 
 

@@ -1,14 +1,16 @@
 """WARC: deterministic sharded writer, and a reader of what it wrote.
 
-Records are dealt to shards by ranges of their id (:func:`range_shards`),
-sorted inside a shard and written as one gzip member each. A file is rolled
+Records are dealt to shards by ranges of their id and a hash of their payload
+(:func:`range_shards`), sorted inside a shard and written as one gzip member each. A file is rolled
 when its compressed size passes ``file_bytes``. Headers are written anew:
 record id (from the page id), target, date (fixed parameter), lengths, and
 SHA-1 digests of payload and block. Of records with equal payloads of at
 least ``min_revisit`` bytes the one with the largest id is the response, the
 others are revisits that refer to it and have no payload. A file has a
 temporary name until it is complete; the manifest table in the shared folder
-lists the files that count. Equal inputs give equal files byte for byte.
+lists the files that count and how many records they hold, which the reader
+checks. Equal inputs give equal files byte for byte, so a file that a second
+attempt of a task finds complete stays.
 
 Nulls: a null payload is empty, a null url is written as an empty target, a
 null id sorts first and keeps its own record without being referred to.
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 
 from callweave.session import materialize
 
-from .common import filesystem, range_shards, shared_folder, workers_import
+from .common import commit_file, filesystem, range_shards, shared_folder, workers_import
 
 SHARD_BYTES = 16 << 20
 FILE_BYTES = 32 << 20
@@ -88,9 +90,7 @@ class Archive:
 
     def close(self) -> tuple[str, int, int]:
         self.out.close()
-        if self.fs.get_file_info(self.final).type.name != "NotFound":
-            self.fs.delete_file(self.final)
-        self.fs.move(self.temp, self.final)
+        commit_file(self.fs, self.temp, self.final)
         return self.path, self.n, self.size
 
 
@@ -145,8 +145,12 @@ def write_warc(pages: DataFrame, folder: str | None = None, min_revisit: int = 0
     none = F.lit(None)
     both = rows.select("page_id", F.lit(True).alias("is_record"), "url", "html", none.cast("long").alias("refers_to")).unionByName(
         notes.select("page_id", F.lit(False).alias("is_record"), F.col("sha").alias("url"), none.cast("string").alias("html"), "refers_to"))
-    cut, shards = range_shards(both, "page_id", F.coalesce(F.octet_length("html"), F.lit(0)) + 64, shard_bytes)
-    dealt = cut.select("shard", "page_id", "is_record", "url", "html", "refers_to").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "is_record", "url", "html", "refers_to")
+    # a note has the tie of its records, so a page's payload and what it refers to are in one shard
+    sha = F.when(F.col("is_record"), F.sha1(F.col("html").cast("binary"))).otherwise(F.col("url"))
+    tie = F.conv(F.substring(sha, 1, 15), 16, 10).cast("long")
+    cut, shards = range_shards(both, "page_id", F.coalesce(F.octet_length("html"), F.lit(0)) + 64, shard_bytes, tie)
+    cut = cut.select("shard", "page_id", tie.alias("tie"), "is_record", "url", "html", "refers_to").repartitionById(shards, F.col("shard"))
+    dealt = cut.sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "tie", "is_record", "url", "html", "refers_to").drop("tie")
     return materialize(dealt.mapInArrow(_writer(folder, file_bytes, date), MANIFEST), "warc-manifest")
 
 
@@ -161,6 +165,8 @@ def members(src, chunk: int = 1 << 20) -> Iterator[bytes]:
             if data:
                 continue
         data = src.read(chunk)
+    if parts:
+        raise ValueError("the last member is cut off")
 
 
 def parse(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -173,7 +179,7 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
 
 def _reader(batches):
     for batch in batches:
-        for path in batch.column(0).to_pylist():
+        for path, n_records in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             fs, at = filesystem(path)
             out = []
             with fs.open_input_stream(at, compression=None) as src:
@@ -187,14 +193,16 @@ def _reader(batches):
                         payload = block.partition(b"\r\n\r\n")[2]
                         size, sha = len(payload), digest(payload)
                     out.append((int(fields["X-Page-Id"]) if fields["X-Page-Id"] else None, fields["WARC-Target-URI"], size, sha, kind, int(fields["X-Refers-To-Page-Id"]) if kind == "revisit" else None))
+            if len(out) != n_records:
+                raise ValueError(f"{path} holds {len(out)} records of {n_records}")
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kinds[i]) for i in range(6)], names=[c.split()[0] for c in RECORDS.split(", ")])
 
 
 def read_warc(spark: SparkSession, manifest: DataFrame) -> DataFrame:
-    """Per record of the manifest's files: ``RECORDS``. Every block's digest is checked."""
+    """Per record of the manifest's files: ``RECORDS``. Every block's digest and every file's number of records are checked."""
     workers_import(spark)
-    return manifest.select("path").repartition(max(1, manifest.count()), "path").mapInArrow(_reader, RECORDS)
+    return manifest.select("path", "n_records").repartition(max(1, manifest.count()), "path").mapInArrow(_reader, RECORDS)
 
 
 ORACLE = r"""
