@@ -1,17 +1,21 @@
 """Personal data: base patterns, and bootstrapped contextual extraction.
 
 Seeds are the entities that four fixed patterns find (email, ip, card,
-phone). The one and the two words before an entity are its lexical patterns.
-Candidates are strings of an identifier's shape that the fixed patterns miss
-(numbers swallowed by a longer run, phone numbers without a plus, written-out
-at signs). Spark scores the graph of patterns and identifier values:
+phone). The one and the two words before an entity, and the word after it,
+are its lexical patterns. Candidates are strings of an identifier's shape
+that the fixed patterns miss (numbers swallowed by a longer run, phone
+numbers without a plus, written-out at signs, addresses with written-out or
+bracketed dots, IPv6). Spark scores the graph of patterns and identifier values:
 
     confidence(p, kind) = sum of the scores of p's values of that kind / number of p's values
     score(v, kind)      = 1 - product over p of (1 - confidence(p, kind))
 
 seeds keep score 1, values of another kind count against a pattern, and the
-two lines alternate for ``ROUNDS`` rounds. A pattern is trusted with at least
-``SUPPORT`` distinct seeds and ``CONFIDENCE``; a candidate becomes a span if
+two lines alternate for ``ROUNDS`` rounds. A pattern takes part with at least
+``SUPPORT`` distinct values that are seeds or were accepted in the round
+before, so what one generation of patterns finds supports the next, and is
+trusted if its confidence reaches ``CONFIDENCE``; a candidate is accepted if
+its score does and a trusted pattern holds it. In the end a candidate becomes a span if
 its value is a seed elsewhere, or if its score reaches ``CONFIDENCE`` and one
 of its patterns is trusted. Base spans always stay; an added span never
 overlaps one. Distinct (pattern, value) pairs are formed before anything is
@@ -35,7 +39,7 @@ from callweave.session import materialize
 from .common import workers_import
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+ROUNDS = 4
 SUPPORT = 5
 CONFIDENCE = 0.9
 
@@ -48,7 +52,11 @@ _NUMBER = re.compile(r"(?<![0-9A-Za-z])[0-9][0-9./-]{5,30}[0-9](?![0-9A-Za-z])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9A-Za-z+])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _AT = re.compile(r"[A-Za-z0-9_%+-][A-Za-z0-9._%+-]{0,63} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]{1,63}){1,4}")
 
-_EDGE = "struct<kind:string,value:string,start:bigint,end:bigint,p1:string,p2:string>"
+_DOT = r"(?: ?[\[(]dot[\])] ?|\[\.\]|\(\.\))"
+_WRITTEN_IP = re.compile(rf"(?<![0-9A-Za-z.])[0-9]{{1,3}}(?:{_DOT}|\.)[0-9]{{1,3}}(?:{_DOT}|\.)[0-9]{{1,3}}(?:{_DOT}|\.)[0-9]{{1,3}}(?![0-9A-Za-z])")
+_IPV6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
+
+_EDGE = "struct<kind:string,value:string,start:bigint,end:bigint,p1:string,p2:string,p3:string>"
 EXTRACTED = f"doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base string, base_sha256 string, seeds array<{_EDGE}>, candidates array<{_EDGE}>"
 
 
@@ -112,6 +120,10 @@ def candidate_spans(t: str, taken: list[tuple[str, int, int]]) -> list[tuple[str
     found += [("phone", m.start(), m.end()) for m in _LOCAL_PHONE.finditer(t)]
     if "at" in t and ("[at]" in t or "(at)" in t):
         found += [("email", m.start(), m.end()) for m in _AT.finditer(t)]
+    if "." in t or "dot" in t:
+        found += [("ip", m.start(), m.end()) for m in _WRITTEN_IP.finditer(t) if all(int(x) <= 255 for x in re.findall("[0-9]+", m.group()))]
+    if ":" in t:
+        found += [("ip", m.start(), m.end()) for m in _IPV6.finditer(t)]
     out, end = [], -1
     for kind, a, b in sorted(found, key=lambda s: (s[1], -s[2])):
         if a >= end and not any(x < b and a < y for _, x, y in taken):
@@ -126,16 +138,17 @@ def value(kind: str, s: str) -> str:
         return _digits(s)
     if kind == "email":
         s = re.sub(r" ?[\[(]dot[\])] ?", ".", re.sub(r" ?[\[(]at[\])] ?", "@", s))
+    if kind == "ip":
+        s = re.sub(_DOT, ".", s)
     return s.lower()
 
 
-def contexts(t: str, start: int) -> tuple[str | None, str | None]:
-    """The word and the two words before a span, lower-cased, if they hold a letter."""
-    left = t[max(0, start - 64):start].split()[-2:]
-    if not left or not any(c.isalpha() for c in left[-1]):
-        return None, None
-    one = left[-1].lower()
-    return "1 " + one, ("2 " + left[0].lower() + " " + one if len(left) == 2 else None)
+def contexts(t: str, start: int, end: int) -> tuple[str | None, str | None, str | None]:
+    """The word and the two words before a span and the word after it, lower-cased, if they hold a letter."""
+    left, right = t[max(0, start - 64):start].split()[-2:], t[end:end + 64].split()[:1]
+    one = left[-1].lower() if left and any(c.isalpha() for c in left[-1]) else None
+    after = "r " + right[0].lower() if right and any(c.isalpha() for c in right[0]) else None
+    return one and "1 " + one, "2 " + left[0].lower() + " " + one if one and len(left) == 2 else None, after
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
@@ -143,14 +156,14 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def _extract(batches):
-    edge = pa.struct([("kind", pa.string()), ("value", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("p1", pa.string()), ("p2", pa.string())])
+    edge = pa.struct([("kind", pa.string()), ("value", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("p1", pa.string()), ("p2", pa.string()), ("p3", pa.string())])
     kinds = [pa.int64(), pa.int64(), *[pa.int64()] * 4, pa.string(), pa.string(), pa.list_(edge), pa.list_(edge)]
 
     def edges(t: str, spans: list[tuple[str, int, int]]) -> list[dict]:
         out = []
         for k, a, b in spans:
-            p1, p2 = contexts(t, a)
-            out.append({"kind": k, "value": value(k, t[a:b]), "start": a, "end": b, "p1": p1, "p2": p2})
+            p1, p2, p3 = contexts(t, a, b)
+            out.append({"kind": k, "value": value(k, t[a:b]), "start": a, "end": b, "p1": p1, "p2": p2, "p3": p3})
         return out
 
     for batch in batches:
@@ -177,7 +190,7 @@ def text_key(text: str):
 
 def _edges(found: DataFrame, column: str, seed: bool) -> DataFrame:
     each = found.select(F.explode(column).alias("e"))
-    return each.select("e.kind", "e.value", F.explode(F.array("e.p1", "e.p2")).alias("pattern")).where("pattern is not null").select("pattern", "kind", "value", F.lit(seed).alias("seed"))
+    return each.select("e.kind", "e.value", F.explode(F.array("e.p1", "e.p2", "e.p3")).alias("pattern")).where("pattern is not null").select("pattern", "kind", "value", F.lit(seed).alias("seed"))
 
 
 def bootstrap(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE) -> tuple[DataFrame, DataFrame]:
@@ -188,14 +201,19 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, co
     edges = edges.join(known.withColumn("known", F.lit(True)), ["kind", "value"], "left").withColumn("seed", F.coalesce("known", F.lit(False))).drop("known")
     edges = materialize(edges, "seeded-edges")
     sizes = edges.groupBy("pattern").agg(F.count_distinct("value").alias("n_values"))
-    scores = None
+    scores = accepted = None
     for _ in range(rounds):
-        scored = edges.withColumn("score", F.col("seed").cast("double")) if scores is None else edges.join(scores, ["kind", "value"], "left").withColumn(
-            "score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0))))
-        patterns = scored.groupBy("pattern", "kind").agg(F.sum("score").alias("total"), F.count_if("seed").alias("support")).join(sizes, "pattern")
+        scored = edges.withColumn("score", F.col("seed").cast("double")).withColumn("counts", F.col("seed"))
+        if scores is not None:
+            scored = edges.join(scores, ["kind", "value"], "left").join(accepted.withColumn("accepted", F.lit(True)), ["kind", "value"], "left")
+            scored = scored.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0)))).withColumn("counts", F.col("seed") | F.col("accepted").isNotNull())
+        patterns = scored.groupBy("pattern", "kind").agg(F.sum("score").alias("total"), F.count_if("counts").alias("support")).join(sizes, "pattern")
         patterns = materialize(patterns.where(F.col("support") >= support).select("pattern", "kind", (F.col("total") / F.col("n_values")).alias("confidence")), "patterns")
-        scores = edges.where(~F.col("seed")).join(patterns, ["pattern", "kind"]).groupBy("kind", "value").agg((1 - F.exp(F.sum(F.log(1 - F.least(F.col("confidence"), F.lit(1 - 1e-12)))))).alias("score"))
-        scores = materialize(scores, "scores")
+        held = edges.where(~F.col("seed")).join(patterns, ["pattern", "kind"])
+        scores = materialize(held.groupBy("kind", "value").agg(
+            (1 - F.exp(F.sum(F.log(1 - F.least(F.col("confidence"), F.lit(1 - 1e-12)))))).alias("score"), F.max("confidence").alias("best")), "scores")
+        accepted = scores.where((F.col("score") >= confidence) & (F.col("best") >= confidence)).select("kind", "value")
+        scores = scores.drop("best")
     good = known.withColumn("score", F.lit(1.0)).unionByName(scores.join(known, ["kind", "value"], "left_anti"))
     return patterns.where(F.col("confidence") >= confidence), good.where(F.col("score") >= confidence)
 
@@ -208,7 +226,7 @@ def added_spans(found: DataFrame, **options) -> DataFrame:
     here = each.join(values, ["kind", "value"]).join(known.withColumn("known", F.lit(True)), ["kind", "value"], "left")
     sure = here.where("known")
     trusted = patterns.select("pattern", "kind")
-    rest = here.where("known is null").withColumn("pattern", F.explode(F.array("p1", "p2"))).join(trusted, ["pattern", "kind"], "left_semi")
+    rest = here.where("known is null").withColumn("pattern", F.explode(F.array("p1", "p2", "p3"))).join(trusted, ["pattern", "kind"], "left_semi")
     columns = ["doc_id", "text_key", "kind", "start", "end"]
     return sure.select(columns).unionByName(rest.select(columns)).distinct()
 

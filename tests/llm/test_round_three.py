@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from callweave.llm import alignment, factorization, squares
+from callweave.llm import alignment, factorization, pii, squares, template
 from callweave.llm.queries import QUERIES
 
 from llm_helpers import SF_SMALL, docs_of  # noqa: F401
@@ -304,3 +304,105 @@ def test_quality_edges(spark, docs_of):
     assert factorization.judge(docs_of([]), labels).collect() == []
     scored = factorization.score(docs, factorization.fit(docs, labels), "fm")
     assert scored.columns == [*docs.columns, "fm"]
+
+
+# ------------------------------------------------------------ main text of pages
+def texts_of(page):
+    return [b.text for b in template.blocks(page)[0] if not b.dropped and not b.named]
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><p>hello</p><script>var x=1;</article>", ["hello"]),
+    ("<p>a</p><style>p{}", ["a"]),
+    ("<p>a</p><SCRIPT src=x>if (a<b) {}</Script ><p>b</p>", ["a", "b"]),
+    ("<p>a</p><script>s = '</scripty>'</script><p>b</p>", ["a", "b"]),
+    ("<p>a</p><!-- never closed <p>b</p>", ["a"]),
+    ("<p>a <! b</p>", ["a"]),
+    ("<p>1 < 2</p><p>x</p>", ["1 < 2", "x"]),
+    ("<scripted>text</scripted>", ["text"]),
+    ("<p>a</p><script", ["a"]),
+])
+def test_markup_that_is_never_closed(page, want):
+    assert texts_of(page) == want
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    for piece in ("<script>", "<!", "<style", "<!--", "<a \"", "<a '", "<p class=\"", "</", "<div>"):
+        start = time.perf_counter()
+        template.blocks(piece * 20_000)
+        assert time.perf_counter() - start < 3, piece
+
+
+def test_names_of_several_words():
+    drops = lambda name: not texts_of(f'<div><div class="{name}"><p>x</p></div></div>')
+    for name in ("comments-area", "comment-list", "ad-slot", "ad_slot_2", "related-posts", "cookie-banner", "share-buttons", "post-comments", "newsletter-signup", "comments", "big ads"):
+        assert drops(name), name
+    for name in ("has-sidebar", "entry-header", "article-header", "search-results", "share-price", "post-content", "ad-hoc-story", "commentary", "site-content", "relationship", "cookie-recipe", "social-policy"):
+        assert not drops(name), name
+
+
+# ------------------------------------------------------------ personal data
+def brute_bootstrap(found, rounds, support, confidence):
+    """(trusted patterns, scores of values) of rows of seeds and candidates, by dictionaries."""
+    edges, known = {}, set()
+    for r in found:
+        known |= {(e.kind, e.value) for e in r.seeds}
+        for e in [*r.seeds, *r.candidates]:
+            for p in (e.p1, e.p2, e.p3):
+                if p is not None:
+                    edges.setdefault(p, set()).add((e.kind, e.value))
+    score, accepted = {}, set()
+    for _ in range(rounds):
+        value = lambda v: 1.0 if v in known else score.get(v, 0.0)  # noqa: B023, E731
+        patterns = {}
+        for p, values in edges.items():
+            for kind in {k for k, _ in values}:
+                mine = [v for v in values if v[0] == kind]
+                if sum(v in known or v in accepted for v in mine) >= support:
+                    patterns[p, kind] = sum(map(value, mine)) / len({v for _, v in values})
+        score, best = {}, {}
+        for v in {v for values in edges.values() for v in values} - known:
+            held = [c for (p, kind), c in patterns.items() if v in edges[p] and kind == v[0]]
+            if held:
+                score[v], best[v] = 1 - np.prod([1 - min(c, 1 - 1e-12) for c in held]), max(held)
+        accepted = {v for v in score if score[v] >= confidence and best[v] >= confidence}
+    return {k for k, c in patterns.items() if c >= confidence}, {**{v: s for v, s in score.items() if s >= confidence}, **dict.fromkeys(known, 1.0)}
+
+
+def planted(rng):
+    """Seeds teach "reach me at"; candidates found there teach "hotline", where no seed ever stands; "item" teaches nothing."""
+    phones = [f"0{rng.randrange(100, 999)} {rng.randrange(100, 999)} {rng.randrange(1000, 9999)}" for _ in range(30)]
+    rows = [(k, f"please reach me at +49 30 {rng.randrange(1000000, 9999999)} today") for k in range(60)]
+    rows += [(100 + k, f"please reach me at {p} today") for k, p in enumerate(phones[:5])]
+    rows += [(200 + k, f"our hotline {p} night") for k, p in enumerate(phones[:5])]
+    rows += [(300 + k, f"our hotline {p} or not") for k, p in enumerate(phones[5:6])]
+    rows += [(400 + k, f"an item {rng.randrange(10**7, 10**9)} in stock") for k in range(30)]
+    rows += [(500 + k, f"the server 10.0.{k}.{k} answers slowly") for k in range(60)]
+    rows += [(600, "the server 10[.]9[.]8[.]7 answers slowly"), (601, "the server fe80:0:0:0:0:0:0:1 answers slowly"), (602, "score 10[.]9[.]8[.]9 twice")]
+    return rows
+
+
+def test_a_second_generation_of_patterns(spark, docs_of):
+    rows = planted(random.Random(4))
+    got = {r.doc_id: r.spans for r in pii.find(docs_of(rows)).collect()}
+    assert all(got[100 + k].startswith("phone:") for k in range(5)), "first generation"
+    assert got[300].startswith("phone:12:"), "found by a pattern that only found values support"
+    assert not any(got[400 + k] for k in range(30))
+    assert got[600].startswith("ip:11:") and got[601].startswith("ip:11:") and got[602] == ""
+    one = {r.doc_id: r.spans for r in pii.find(docs_of(rows), rounds=1).collect()}
+    assert one[100] and not one[300]
+
+
+def test_the_graph_is_scored_as_by_brute_force(spark, docs_of):
+    rng = random.Random(9)
+    rows = planted(rng)
+    rows += [(1000 + k, " ".join(rng.choice(["reach me at", "hotline", "item", "call", "+1 202 555 0100", "555 123 4567", "a@b.example", "a (at) b.example", "10.1.1.1", "x"]) for _ in range(12))) for k in range(80)]
+    found = pii.extract(docs_of(rows))
+    for options in ({"rounds": 1, "support": 5, "confidence": 0.9}, {"rounds": 4, "support": 5, "confidence": 0.9}, {"rounds": 3, "support": 2, "confidence": 0.3}):
+        patterns, values = pii.bootstrap(found, **options)
+        want_patterns, want_values = brute_bootstrap(found.collect(), **options)
+        assert {(r.pattern, r.kind) for r in patterns.collect()} == want_patterns
+        got = {(r.kind, r.value): r.score for r in values.collect()}
+        assert got.keys() == want_values.keys() and all(abs(got[v] - want_values[v]) < 1e-9 for v in got)
