@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callweave.session import ensure_checkpoint_dir
+from callweave.session import ensure_checkpoint_dir, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -52,6 +52,17 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+def once_written(df: DataFrame, name: str) -> DataFrame:
+    """:func:`materialize` for a plan that is run this once: Spark removes its shuffle files when the table is written."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        conf.set(key, before)
+
+
 SAMPLES = 16
 MAX_SHARDS = 50_000
 

@@ -37,12 +37,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from callweave.session import materialize
-
+from .common import once_written as materialize
 from .common import workers_import
 from .words import mix, texts
 
@@ -99,7 +98,7 @@ def _points(batches):
         docs, out = batch.column(0), []
         for _, s in shingle_sets(batch.column(1)):
             out.append((len(s), _signed(point(s)) if len(s) else None))
-        yield pa.RecordBatch.from_arrays([docs, pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())], names=["doc_id", "n", "point"])
+        yield pa.RecordBatch.from_arrays([docs, pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), batch.column(2)], names=["doc_id", "n", "point", "key"])
 
 
 def _frequent(batches):
@@ -260,23 +259,29 @@ def merged_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` with the overlap of their sets: a pivot's set moves once, another's once per pair."""
+    """``pairs`` with the overlap of their sets; only the sets of these pairs move."""
     pairs = materialize(pairs, "pairs")
-    pivots = pairs.select(F.col("a").alias("point"), F.col("na").alias("n")).distinct()
-    one = sets.join(pivots, ["point", "n"], "left_semi").select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
-    two = sets.select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    rows = pairs.join(two, ["b", "nb"]).join(one, ["a", "na"]).select("a", "na", "b", "nb", "sa", "sb")
+    others = pairs.select(F.col("b").alias("point"), F.col("nb").alias("n")).distinct()
+    one = sets.select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    two = sets.join(others, ["point", "n"], "left_semi").select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
+    rows = pairs.join(one, ["a", "na"]).join(two, ["b", "nb"]).select("a", "na", "b", "nb", "sa", "sb")
     return rows.select("a", "na", "b", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("both"))
 
 
+def row_key(docs: DataFrame) -> Column:
+    """64 bits of hash of a row's id and text."""
+    doc_id = F.col("doc_id").cast("long")
+    return F.xxhash64(doc_id.isNull(), doc_id, F.col("text").isNull(), F.col("text").cast("string"))
+
+
 def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents as doc_id, n, point, node), (links a, b between nodes), (node, root of its component).
+    """(documents as doc_id, n, point, key, node), (links a, b between nodes), (node, root of its component).
 
     A node is a point's name and size in one long key, ``node = xxhash64(point, n)``.
     """
     workers_import(docs.sparkSession)
     texts_only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    points = materialize(texts_only.mapInArrow(_points, "doc_id long, n long, point long"), "points")
+    points = materialize(texts_only.withColumn("key", row_key(texts_only)).mapInArrow(_points, "doc_id long, n long, point long, key long"), "points")
     hot, hot_n = frequent(texts_only)
     rows = texts_only.select("text").mapInArrow(_cells(hot, hot_n), "h long, point long, size long")
     # in a cell by size: a small point may link to the next larger one, any point to the largest small one before it
@@ -302,8 +307,7 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     again = sets.groupBy("point", "n").agg(F.min("task").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     again = materialize(again, "repeated-sets")
     if not again.isEmpty():
-        first = sets.join(again, ["point", "n"], "left").where("_first is null or task = _first").drop("_first")
-        sets = materialize(first, "sets")
+        sets = sets.join(again, ["point", "n"], "left").where("_first is null or task = _first").drop("_first")
     sets = sets.drop("task")
     spark = docs.sparkSession
     roots = spark.createDataFrame([], "node long, root long")
@@ -349,40 +353,51 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def _marked(marks: np.ndarray, at: int, inside: bool):
-    """Rows whose id (column ``at``) is in the filter, or is not; a null id is not."""
+    """Rows whose key (column ``at``) is in the filter, or is not."""
 
     def choose(batches):
         for batch in batches:
-            ids = batch.column(at).cast(pa.int64())
-            slots = _slots(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)).view(np.int64)
-            hit = (marks[slots >> 6] >> (slots & 63) & 1).all(1) & ids.is_valid().to_numpy(zero_copy_only=False)
+            slots = _slots(batch.column(at).to_numpy().view(np.uint64)).view(np.int64)
+            hit = (marks[slots >> 6] >> (slots & 63) & 1).all(1)
             yield batch.filter(pa.array(hit if inside else ~hit))
 
     return choose
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, the smallest ``doc_id``; columns unchanged.
-
-    Rows without a ``doc_id`` stay. Of repeated rows of a kept id one stays.
-    Texts that stay are not shuffled: the ids to drop are found in a filter
-    of fixed size, and the ids it takes by mistake, as a rule none, are
-    joined back.
+    """``docs`` with one row of each component; columns unchanged.
+
+    The row with the smallest ``doc_id`` stays (null comes last), among rows
+    of that id the one with the smallest hash of id and text, and among rows
+    equal in both the one with the smallest hash of all columns. Rows without
+    words stay. What goes is decided per row, by id and text, so a row whose
+    id repeats elsewhere with another text is judged by its own. Texts that
+    stay are not shuffled: the keys to drop are found in a filter of fixed
+    size, and the keys it takes by mistake, as a rule none, are joined back.
     """
-    found = materialize(jaccard_components(docs), "components")
-    gone = materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "dropped-ids")
-    marks, at = id_filter(gone), docs.columns.index("doc_id")
-    stay = found.where("doc_id = component_id").select("doc_id")
-    mistaken = materialize(stay.mapInArrow(_marked(marks, 0, True), "doc_id long").distinct().select(F.col("doc_id").alias("_id")), "mistaken-ids")
-    repeated = materialize(stay.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_id")), "repeated-ids")
-    inside = docs.mapInArrow(_marked(marks, at, True), docs.schema)
-    outside = docs.mapInArrow(_marked(marks, at, False), docs.schema)
-
-    def pick(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-        return rows.join(ids, rows["doc_id"].cast("long") == ids["_id"], how)
+    points, _, roots = similar(docs)
+    rows = points.where("n > 0").join(roots, "node", "left").select("doc_id", "key", F.coalesce("root", "node").alias("root"))
+    rows = materialize(rows, "rows")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
+    stays = rows.groupBy("root").agg(F.min(order).getField("key").alias("stays"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    judged = materialize(rows.join(stays, "root"), "judged")
+    gone = materialize(judged.where("key <> stays").select("key").distinct(), "dropped-rows")
+    marks, name = id_filter(gone), "_key" + "_" * max((len(c) for c in docs.columns), default=0)
+    stay = rows.join(gone, "key", "left_anti").select("key").unionByName(points.where("n = 0").select("key"))
+    mistaken = materialize(stay.mapInArrow(_marked(marks, 0, True), "key long").distinct(), "mistaken-rows")
+    repeated = materialize(judged.where("key = stays").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "repeated-rows")
+    keyed = docs.withColumn(name, row_key(docs))
+    at = len(docs.columns)
+    inside = keyed.mapInArrow(_marked(marks, at, True), keyed.schema)
+    outside = keyed.mapInArrow(_marked(marks, at, False), keyed.schema)
+
+    def pick(of: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return of.join(keys, of[name] == keys["key"], how)
 
     kept = outside.unionByName(pick(inside, mistaken, "left_semi"))
-    return pick(kept, repeated, "left_anti").unionByName(pick(kept, repeated, "left_semi").dropDuplicates(["doc_id"]))
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    one = pick(kept, repeated, "left_semi").groupBy(name).agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("_row"))
+    return pick(kept, repeated, "left_anti").select(*docs.columns).unionByName(one.select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
 
 
 ORACLE = r"""

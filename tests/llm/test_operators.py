@@ -83,7 +83,28 @@ def test_jaccard_edge_tables(spark, docs_of):
     assert got == sorted([(None, 2, 4), (4, 2, 4), (4, 2, 4), (None, 0, None), (2, 4, 2)], key=str)
     kept = jaccard.keep_one(docs_of(rows))
     assert kept.columns == docs_of(rows).columns
-    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, -1, 2, 4]
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 2, 4]  # the row without text stays
+
+
+def test_keep_one_judges_rows_and_not_ids(spark, docs_of):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(3, 60))) for _ in range(25)]
+    rows = [(rng.choice([None, *range(12)]), rng.choice(texts)) for _ in range(150)]
+    rows += [(rng.choice([None, 3, 40]), t + " tail") for t in texts] + [(5, None), (5, ""), (None, " ")]
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                root = [root[j] if x == root[i] else x for x in root]
+    for n in (1, 5):
+        kept = [(r.doc_id, r.text) for r in jaccard.keep_one(docs_of(rows).repartition(n)).collect()]
+        assert len(kept) == len({root[i] for i in range(len(rows)) if sets[i]}) + 3
+        for c in set(root):
+            mine = [rows[i] for i in range(len(rows)) if root[i] == c and sets[i]]
+            if mine:
+                stays = [k for k in kept if k in mine]
+                assert len(stays) == 1 and (stays[0][0] is None, stays[0][0] or 0) == min((d is None, d or 0) for d, _ in mine)
 
 
 def test_components_of_a_long_chain(spark):
@@ -258,6 +279,55 @@ def test_range_shards_follow_the_key(spark):
     assert [s for _, s in rows] == sorted(s for _, s in rows) and rows[-1][1] < n and rows[-1][1] > 3
 
 
+@pytest.mark.parametrize("name,keys", [("outlier", [*range(10000), 2**60]), ("null", [None] * 8000), ("hot", [7] * 6000 + list(range(3000))), ("large", [2**60 + k // 3 for k in range(6000)] + [None] * 3000)])
+def test_range_shards_of_any_spread(spark, name, keys):
+    """No shard is over twice the target, the order is that of (key, tie), and reruns agree."""
+    df = spark.createDataFrame([(k, f"text {i}") for i, k in enumerate(keys)], "k long, t string")
+    tie = F.xxhash64("t")
+    cut, n = range_shards(df, "k", F.lit(10), 10 * len(keys) // 20, tie)
+    rows = cut.select("k", tie.alias("tie"), "shard").collect()
+    sizes = np.bincount([r.shard for r in rows], minlength=n)
+    assert 15 <= n <= 26 and len(rows) == len(keys) and sizes.max() <= 2 * len(keys) / 20
+    assert [r.shard for r in sorted(rows, key=lambda r: (r.k is not None, r.k or 0, r.tie))] == sorted(r.shard for r in rows)
+    again, _ = range_shards(df.repartition(5), "k", F.lit(10), 10 * len(keys) // 20, tie)
+    assert sorted(map(str, again.collect())) == sorted(map(str, cut.collect()))
+
+
+def test_a_hot_page_id_is_cut_and_keeps_its_revisits(spark):
+    rows = [(7, f"u{i}", f"<p>{i % 40}</p>" + "x" * 200) for i in range(400)] + [(i, "v", f"<p>{i % 40}</p>" + "x" * 200) for i in range(8, 60)]
+    manifest = warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), shard_bytes=8000)
+    assert manifest.count() >= 5
+    got = [(r.page_id, r.record_type, r.refers_to) for r in warc.read_warc(spark, manifest).collect()]
+    last = {}
+    for p, _, h in rows:
+        last[h] = max(last.get(h, 0), p)
+    assert sorted(got, key=str) == sorted(((p, "response" if last[h] == p else "revisit", None if last[h] == p else last[h]) for p, _, h in rows), key=str)
+
+
+def test_a_cut_off_archive_is_an_error(spark, tmp_path):
+    import io
+
+    whole = b"".join(gzip.compress(x, mtime=0) for x in (b"first" * 50, b"second" * 50))
+    assert [len(m) for m in warc.members(io.BytesIO(whole))] == [250, 300]
+    for n in (len(whole) - 3, len(whole) - 20, 10):
+        with pytest.raises(ValueError, match="cut off"):
+            list(warc.members(io.BytesIO(whole[:n])))
+    manifest = warc.write_warc(spark.createDataFrame([(1, "u", "a"), (2, "u", "b")], "page_id long, url string, html string"))
+    with pytest.raises(Exception, match="records of 3"):
+        warc.read_warc(spark, manifest.withColumn("n_records", F.lit(3).cast("long"))).collect()
+
+
+def test_a_second_attempt_keeps_the_complete_file(tmp_path):
+    one = warc.Archive(str(tmp_path), "a.warc.gz")
+    one.add(b"data")
+    path, n, size = one.close()
+    two = warc.Archive(str(tmp_path), "a.warc.gz")
+    two.add(b"data")
+    assert (tmp_path / "a.warc.gz").exists()
+    assert two.close() == (path, n, size)
+    assert [p.name for p in tmp_path.iterdir()] == ["a.warc.gz"]
+
+
 # ----------------------------------------------------------------- quality
 def brute_features(text):
     t = text or ""
