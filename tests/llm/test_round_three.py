@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from callweave.llm import alignment, factorization, pii, squares, template
+from callweave.llm import alignment, factorization, langid, pii, squares, template
 from callweave.llm.queries import QUERIES
 
 from llm_helpers import SF_SMALL, docs_of  # noqa: F401
@@ -406,3 +406,30 @@ def test_the_graph_is_scored_as_by_brute_force(spark, docs_of):
         assert {(r.pattern, r.kind) for r in patterns.collect()} == want_patterns
         got = {(r.kind, r.value): r.score for r in values.collect()}
         assert got.keys() == want_values.keys() and all(abs(got[v] - want_values[v]) < 1e-9 for v in got)
+
+
+# ------------------------------------------------------------ quality rules
+def test_quality_rules_match_sql_where_cutoffs_are_certified(spark):
+    """The small tables certify no cutoff; this one does, and its rows see the method."""
+    from callweave.llm.queries import ORACLE_SQL
+    from compare import diff, duck, duck_rows, spark_rows
+
+    large = "/root/testdata/sf0.1"
+    cols, rows = spark_rows(QUERIES["op5_quality"](spark, large))
+    d_cols, d_rows = duck_rows(duck(large), ORACLE_SQL["op5_quality"])
+    assert cols == d_cols and rows == d_rows, diff(rows, d_rows)
+    failed, kept = cols.index("base_failed"), cols.index("kept")
+    assert sum(not r[failed] and not r[kept] for r in rows) > 100
+
+
+# ------------------------------------------------------------ language ID
+@settings(max_examples=80, deadline=None)
+@given(st.text(alphabet="abcé中", min_size=1, max_size=40), st.integers(0, 99))
+def test_long_runs_are_summed_like_short_ones(word, seed):
+    known = {p: k for k, p in enumerate(["▁", "▁a", "a", "b", "ab", "ba", "abc", "c", "▁ab", "é"])}
+    prob = (np.random.default_rng(seed).random((len(known) + 1, 2)) / 5).tolist()
+    want = langid.forward(word, known, prob)
+    got = langid._forward_ahead(word, known, prob, *langid.beginnings(known))
+    assert np.allclose(got, want)
+    many = word * 300
+    assert np.allclose(langid._forward_ahead(many, known, prob, *langid.beginnings(known)), langid.forward(many[:4096], known, prob)) or len(many) > 4096
