@@ -16,7 +16,8 @@ named by a 64-bit hash of its set together with the set's size.
    documents (:func:`frequent`); any order gives the same links, and the
    list, at most ``FREQUENT`` hashes, is the only thing sent to every task.
 2. *Regions.* In a cell the smallest points become pivots in rounds of 1, 2,
-   4, ... Every other point of the cell that may link to a pivot is held
+   4, ... First of all each point is held against the smallest first pivot of
+   its cells, which joins large groups at one comparison a point. Every other point of the cell that may link to a pivot is held
    against it exactly. Points already known to be connected are not held
    against each other again, so thousands of near copies cost one comparison
    each; points whose distances to the cell's first pivot differ by more
@@ -193,10 +194,7 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
 def _sets(marks: np.ndarray):
     def sets(batches):
-        from pyspark import TaskContext
-
-        context, seen = TaskContext.get(), set()
-        task = context.partitionId() if context else 0
+        seen = set()
         for batch in batches:
             slots = _slots(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)
             wanted = (marks[slots >> 6] >> (slots & 63) & 1).all(1)
@@ -210,18 +208,18 @@ def _sets(marks: np.ndarray):
                     names.append(_signed(name))
                     found.append(s.view(np.int64))
                 if len(found) >= 256:
-                    yield _set_rows(names, found, task)
+                    yield _set_rows(names, found)
                     names, found = [], []
             if found:
-                yield _set_rows(names, found, task)
+                yield _set_rows(names, found)
 
     return sets
 
 
-def _set_rows(names: list[int], found: list[np.ndarray], task: int) -> pa.RecordBatch:
+def _set_rows(names: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
     sizes = [len(s) for s in found]
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.concatenate(found)))
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(np.full(len(names), task, np.int64)), lists], names=["point", "n", "task", "s"])
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), lists], names=["point", "n", "s"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -261,9 +259,10 @@ def merged_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` with the overlap of their sets; only the sets of these pairs move."""
     pairs = materialize(pairs, "pairs")
-    others = pairs.select(F.col("b").alias("point"), F.col("nb").alias("n")).distinct()
-    one = sets.select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
-    two = sets.join(others, ["point", "n"], "left_semi").select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
+    ends = materialize(pairs.select(F.col("a").alias("point"), F.col("na").alias("n")).unionByName(pairs.select(F.col("b").alias("point"), F.col("nb").alias("n"))).distinct(), "ends")
+    some = sets.join(ends, ["point", "n"], "left_semi")
+    one = some.select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    two = some.select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
     rows = pairs.join(one, ["a", "na"]).join(two, ["b", "nb"]).select("a", "na", "b", "nb", "sa", "sb")
     return rows.select("a", "na", "b", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("both"))
 
@@ -301,23 +300,17 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     some = ranked.select("point", "n").distinct()
     no_id = F.lit(-(1 << 63)).cast("long")
     owners = materialize(points.where("n > 0").join(some, ["point", "n"]).groupBy("point", "n").agg(F.coalesce(F.min("doc_id"), no_id).alias("owner")), "candidates")
-    sets = texts_only.select(F.coalesce("doc_id", no_id).alias("owner"), "text").mapInArrow(_sets(id_filter(owners.select("owner"))), "point long, n long, task long, s array<bigint>")
-    sets = materialize(sets.join(owners, ["point", "n"], "left_semi"), "sets")
-    # rows that share an id can bring a set once per task; what comes again is found without moving the sets
-    again = sets.groupBy("point", "n").agg(F.min("task").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    again = materialize(again, "repeated-sets")
-    if not again.isEmpty():
-        sets = sets.join(again, ["point", "n"], "left").where("_first is null or task = _first").drop("_first")
-    sets = sets.drop("task")
+    sets = texts_only.select(F.coalesce("doc_id", no_id).alias("owner"), "text").mapInArrow(_sets(id_filter(owners.select("owner"))), "point long, n long, s array<bigint>")
+    sets = materialize(sets.join(owners, ["point", "n"], "left_semi").dropDuplicates(["point", "n"]), "sets")
     spark = docs.sparkSession
     roots = spark.createDataFrame([], "node long, root long")
     links = spark.createDataFrame([], "a long, b long")
     tested = spark.createDataFrame([], "a long, na long, b long, nb long, both long")
-    low, width = 0, 1
+    low, width, first_pairs = 0, 1, True
     while True:
         state = ranked.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         alive = state.groupBy("h").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.max(F.when(F.col("small"), F.col("rank"))).alias("_last")).where((F.col("_lo") != F.col("_hi")) & (F.col("_last") > low)).select("h")
-        if low:
+        if not first_pairs:
             away = tested.select(F.xxhash64("a", "na").alias("p0"), F.xxhash64("b", "nb").alias("node"), (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("d"))
             state = state.join(away, ["p0", "node"], "left")
         else:
@@ -332,12 +325,17 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         near = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
         window = F.coalesce(F.abs(F.col("da") - F.col("db")) <= 1 - T + 1e-9, F.lit(True))
         pairs = p.join(m, "h").where(near & (F.col("ra") != F.col("rb")) & (4 * F.col("na") >= 3 * F.col("nb")) & window).select("a", "na", "b", "nb").distinct()
-        if low:
+        if first_pairs:  # each point against the smallest pivot of all its cells: a large group is one component before its cells are gone through
+            pairs = pairs.groupBy("b", "nb").agg(F.min(F.struct("na", "a")).alias("_p")).select(F.col("_p.a").alias("a"), F.col("_p.na").alias("na"), "b", "nb")
+        else:
             pairs = pairs.join(tested, ["a", "na", "b", "nb"], "left_anti")
         found = materialize(_verified(pairs, sets), "overlaps")
         new = found.where(100 * F.col("both") >= 75 * (F.col("na") + F.col("nb") - F.col("both"))).select(F.xxhash64("a", "na").alias("a"), F.xxhash64("b", "nb").alias("b"))
-        tested, links = (tested.unionByName(found), links.unionByName(new)) if low else (found, new)
-        low, width = low + width, 2 * width
+        tested, links = (found, new) if first_pairs else (tested.unionByName(found), links.unionByName(new))
+        if first_pairs:
+            first_pairs = False
+        else:
+            low, width = low + width, 2 * width
         if not new.isEmpty():
             roots = merged_roots(roots, new)
     return points.withColumn("node", node), links, roots
