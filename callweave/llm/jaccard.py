@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import lean
 from .common import once_written as materialize
 from .common import workers_import
 from .words import mix, texts
@@ -53,6 +54,7 @@ FREQUENT = 1 << 18
 FREQUENT_FROM = 8
 WINDOW_SHINGLES = 4 << 20
 FILTER_BITS = 1 << 26
+ROWS = 1 << 16  # rows of a batch that a task sends on, about
 _STEP = [pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(SHINGLE)]
 
 
@@ -102,15 +104,30 @@ def _points(batches):
         yield pa.RecordBatch.from_arrays([docs, pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), batch.column(2)], names=["doc_id", "n", "point", "key"])
 
 
+def _repeated(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values met more than once, ascending, and how often; ``values`` is sorted in place."""
+    values.sort()
+    same = np.zeros(len(values) + 1, bool)  # value i equals the one before it
+    np.equal(values[1:], values[:-1], out=same[1:-1])
+    first, last = np.flatnonzero(same[1:] & ~same[:-1]), np.flatnonzero(same[:-1] & ~same[1:])
+    return values[first], last - first + 1
+
+
 def _frequent(batches):
     held, size, seen = [], 0, set()
 
     def flush():
         nonlocal held, size, seen
-        values, n = np.unique(np.concatenate(held), return_counts=True)
-        many = n > 1
-        held, size, seen = [], 0, set()
-        return pa.RecordBatch.from_arrays([pa.array(values[many].view(np.int64)), pa.array(n[many].astype(np.int64))], names=["h", "n"])
+        values = np.empty(size, np.uint64)
+        at = 0
+        while held:
+            s = held.pop()
+            values[at:at + len(s)] = s
+            at += len(s)
+        size, seen = 0, set()
+        values, n = _repeated(values)
+        for at in range(0, len(values), ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(values[at:at + ROWS].view(np.int64)), pa.array(n[at:at + ROWS])], names=["h", "n"])
 
     for batch in batches:
         for _, s in shingle_sets(batch.column(0)):
@@ -120,9 +137,9 @@ def _frequent(batches):
                 held.append(s)
                 size += len(s)
                 if size >= WINDOW_SHINGLES:
-                    yield flush()
+                    yield from flush()
     if held:
-        yield flush()
+        yield from flush()
 
 
 def frequent(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +148,7 @@ def frequent(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.nda
     Each task counts the shingles of all its documents, window after window,
     and reports those met twice in one; the sums order the cells.
     """
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(_frequent, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counts = docs.select(F.col("text").cast("string")).mapInArrow(lean(_frequent), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     rows = counts.where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "h").limit(limit).toPandas()
     h = rows["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(h)
@@ -142,7 +159,7 @@ def _cells(hot: np.ndarray, hot_n: np.ndarray):
     def cells(batches):
         seen = set()
         for batch in batches:
-            hs, names, sizes = [], [], []
+            hs, names, sizes, held = [], [], [], 0
             for _, s in shingle_sets(batch.column(0)):
                 n = len(s)
                 name = point(s) if n else 0
@@ -164,12 +181,20 @@ def _cells(hot: np.ndarray, hot_n: np.ndarray):
                 hs.append(rare)
                 names.append(np.full(window, _signed(name), np.int64))
                 sizes.append(2 * n + (np.arange(window) < least))
+                held += window
+                if held >= ROWS:
+                    yield _cell_rows(hs, names, sizes)
+                    hs, names, sizes, held = [], [], [], 0
             if hs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(names)), pa.array(np.concatenate(sizes).astype(np.int64))], names=["h", "point", "size"])
+                yield _cell_rows(hs, names, sizes)
 
     return cells
 
 
+def _cell_rows(hs: list[np.ndarray], names: list[np.ndarray], sizes: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(names)), pa.array(np.concatenate(sizes).astype(np.int64))], names=["h", "point", "size"])
+
+
 def _slots(ids: np.ndarray) -> np.ndarray:
     """The places of ids in the filter, one row each."""
     return np.stack([mix(ids ^ np.uint64(_STEP[k])) & np.uint64(FILTER_BITS - 1) for k in range(3)], axis=1)
@@ -186,7 +211,7 @@ def _marks(batches):
 
 def id_filter(ids: DataFrame) -> np.ndarray:
     """A Bloom filter of ``FILTER_BITS`` bits, whatever the number of ids: it can only let too much pass."""
-    rows = ids.mapInArrow(_marks, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    rows = ids.mapInArrow(lean(_marks), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
     out = np.zeros(FILTER_BITS >> 6, np.int64)
     out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
     return out
@@ -280,9 +305,9 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """
     workers_import(docs.sparkSession)
     texts_only = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    points = materialize(texts_only.withColumn("key", row_key(texts_only)).mapInArrow(_points, "doc_id long, n long, point long, key long"), "points")
+    points = materialize(texts_only.withColumn("key", row_key(texts_only)).mapInArrow(lean(_points), "doc_id long, n long, point long, key long"), "points")
     hot, hot_n = frequent(texts_only)
-    rows = texts_only.select("text").mapInArrow(_cells(hot, hot_n), "h long, point long, size long")
+    rows = texts_only.select("text").mapInArrow(lean(_cells(hot, hot_n)), "h long, point long, size long")
     # in a cell by size: a small point may link to the next larger one, any point to the largest small one before it
     by_size = Window.partitionBy("h").orderBy(F.floor(F.col("size") / 2), "point")
     n, small = F.floor(F.col("size") / 2), F.col("size") % 2 == 1
@@ -300,7 +325,7 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     some = ranked.select("point", "n").distinct()
     no_id = F.lit(-(1 << 63)).cast("long")
     owners = materialize(points.where("n > 0").join(some, ["point", "n"]).groupBy("point", "n").agg(F.coalesce(F.min("doc_id"), no_id).alias("owner")), "candidates")
-    sets = texts_only.select(F.coalesce("doc_id", no_id).alias("owner"), "text").mapInArrow(_sets(id_filter(owners.select("owner"))), "point long, n long, s array<bigint>")
+    sets = texts_only.select(F.coalesce("doc_id", no_id).alias("owner"), "text").mapInArrow(lean(_sets(id_filter(owners.select("owner")))), "point long, n long, s array<bigint>")
     sets = materialize(sets.join(owners, ["point", "n"], "left_semi").dropDuplicates(["point", "n"]), "sets")
     spark = docs.sparkSession
     roots = spark.createDataFrame([], "node long, root long")
@@ -382,12 +407,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     gone = materialize(judged.where("key <> stays").select("key").distinct(), "dropped-rows")
     marks, name = id_filter(gone), "_key" + "_" * max((len(c) for c in docs.columns), default=0)
     stay = rows.join(gone, "key", "left_anti").select("key").unionByName(points.where("n = 0").select("key"))
-    mistaken = materialize(stay.mapInArrow(_marked(marks, 0, True), "key long").distinct(), "mistaken-rows")
+    mistaken = materialize(stay.mapInArrow(lean(_marked(marks, 0, True)), "key long").distinct(), "mistaken-rows")
     repeated = materialize(judged.where("key = stays").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "repeated-rows")
     keyed = docs.withColumn(name, row_key(docs))
     at = len(docs.columns)
-    inside = keyed.mapInArrow(_marked(marks, at, True), keyed.schema)
-    outside = keyed.mapInArrow(_marked(marks, at, False), keyed.schema)
+    inside = keyed.mapInArrow(lean(_marked(marks, at, True)), keyed.schema)
+    outside = keyed.mapInArrow(lean(_marked(marks, at, False)), keyed.schema)
 
     def pick(of: DataFrame, keys: DataFrame, how: str) -> DataFrame:
         return of.join(keys, of[name] == keys["key"], how)

@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from callweave.llm import alignment, factorization, langid, pii, squares, template
+from callweave.llm import alignment, factorization, jaccard, langid, pii, squares, template
 from callweave.llm.queries import QUERIES
 
 from llm_helpers import SF_SMALL, docs_of  # noqa: F401
@@ -433,3 +433,21 @@ def test_long_runs_are_summed_like_short_ones(word, seed):
     assert np.allclose(got, want)
     many = word * 300
     assert np.allclose(langid._forward_ahead(many, known, prob, *langid.beginnings(known)), langid.forward(many[:4096], known, prob)) or len(many) > 4096
+
+
+def test_tasks_of_the_jaccard_join_send_small_batches_and_keep_nothing(monkeypatch):
+    from callweave.llm import common
+
+    monkeypatch.setattr(jaccard, "ROWS", 64)
+    texts = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array([*texts, *texts])], names=["text"])
+    none = np.zeros(0, np.uint64)
+    common.worker_cache("langid")["model"] = bytes(10)
+    cells = list(common.lean(jaccard._cells(none, none))(iter([batch])))
+    assert common._held.keys() == {"lean"}  # what another operator cached is dropped
+    assert sum(b.num_rows for b in cells) == 30 * 10 and max(b.num_rows for b in cells) < 64 + 10
+    near = pa.RecordBatch.from_arrays([pa.array([texts[0], texts[0] + " end"])], names=["text"])
+    assert sum(b.num_rows for b in jaccard._frequent(iter([near]))) == 36
+    values = np.array([5, 1, 5, 2, 1, 5], np.uint64)
+    found, n = jaccard._repeated(values)
+    assert found.tolist() == [1, 5] and n.tolist() == [2, 3] and not len(jaccard._repeated(values[:0])[0])
