@@ -108,9 +108,9 @@ def text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcript files, one per call, written and read back as a keyed table (SRC-6)."""
     folder = _folder(spark, "text")
     rows = overlay.transcripts(spark, sf_dir).select(
-        F.concat("call_id", F.lit(TEXT_EXT)).alias("path"), F.replace(F.col("text"), F.lit("\n"), F.lit("\r\n")).alias("content"))
+        F.concat(listing.shard_of(F.col("call_id")), F.lit("/"), F.col("call_id"), F.lit(TEXT_EXT)).alias("path"), F.replace(F.col("text"), F.lit("\n"), F.lit("\r\n")).alias("content"))
     listing.write_files(rows, folder).write.format("noop").mode("overwrite").save()
-    return read_keyed_texts(spark, folder, "call_id")
+    return read_keyed_texts(spark, folder, "call_id", shards=listing.SHARDS)
 
 
 QUERIES: dict[str, catalogue.Query] = {f.__name__: f for f in (

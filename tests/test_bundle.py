@@ -168,6 +168,17 @@ def test_keyed_texts_normalise_newlines(spark, tmp_path):
     assert got.get("12", "") == ""
 
 
+def test_keyed_texts_of_shards_are_listed_and_read_by_tasks(spark, tmp_path):
+    for shard, name, text in (("00", "11.txt", b"a\r\nb"), ("00", "13.mp3", b"x"), ("07", "12.txt", "ü".encode()), ("07", "14.txt", b"")):
+        (tmp_path / shard).mkdir(exist_ok=True)
+        (tmp_path / shard / name).write_bytes(text)
+    rows = read_keyed_texts(spark, str(tmp_path), "call_id", shards=("00", "07", "99"))
+    assert rows.columns == ["call_id", "text"] and sorted(map(tuple, rows.collect())) == [("11", "a\nb"), ("12", "ü")]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FileScan" not in plan
+    assert rows.rdd.getNumPartitions() == 3
+
+
 def test_responses_strip_and_run_date(spark):
     day = dt.date(2025, 1, 6)
     resp = spark.createDataFrame([
