@@ -47,6 +47,8 @@ UNKNOWN = 1e-9
 SMOOTH = 0.05
 KEEP = 300_000
 LONG_RUN = 4096
+LONG_TOGETHER = 64
+TOGETHER = 4096
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MARK = "▁"
@@ -150,6 +152,85 @@ def _forward_ahead(word: str, known: dict[str, int], prob: list[list[float]], be
     return [math.log(max(x, 1e-300)) + y for x, y in zip(ahead[0], shift, strict=True)]
 
 
+class Trie:
+    """The pieces letter by letter: what node a letter leads to from another, and the piece that ends there (-1: none)."""
+
+    def __init__(self, known: dict[str, int]):
+        nodes, piece, steps = {"": 0}, [-1], []
+        letters = {c: i for i, c in enumerate(sorted({c for p in known for c in p}))}
+        for p, k in known.items():
+            for i in range(1, len(p) + 1):
+                if p[:i] not in nodes:
+                    steps.append((nodes[p[:i - 1]] * len(letters) + letters[p[i - 1]], len(piece)))
+                    nodes[p[:i]] = len(piece)
+                    piece.append(-1)
+            piece[nodes[p]] = k
+        steps.sort()
+        self.letters = np.array([ord(c) for c in letters], np.uint32)
+        self.piece = np.array(piece, np.int64)
+        self.step, self.to = np.array([x[0] for x in steps], np.int64), np.array([x[1] for x in steps], np.int64)
+
+    def codes(self, letters: np.ndarray) -> np.ndarray:
+        """Numbers of the letters, -1 where no piece holds one."""
+        at = np.minimum(np.searchsorted(self.letters, letters), len(self.letters) - 1)
+        return np.where(self.letters[at] == letters, at, -1)
+
+    def follow(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The nodes that the letters lead to, -1 where there is none."""
+        key = node * len(self.letters) + code
+        at = np.minimum(np.searchsorted(self.step, key), len(self.step) - 1)
+        return np.where((self.step[at] == key) & (code >= 0), self.to[at], -1)
+
+
+def trie(known: dict[str, int], path: str | None = None) -> Trie:
+    """Kept by ``path``."""
+    kept = worker_cache("langid") if path is not None else {}
+    if ("trie", path) not in kept:
+        kept["trie", path] = Trie(known)
+    return kept["trie", path]
+
+
+def forward_many(runs: list[str], known: dict[str, int], prob: np.ndarray, path: str | None = None) -> np.ndarray:
+    """:func:`forward` of each run, a row each: the same sums in the same order, over ``TOGETHER`` runs at
+    a time. Long runs and those whose sums leave the range of a float go one by one."""
+    out, tree, plain = np.zeros((len(runs), prob.shape[1])), trie(known, path), None
+    size = np.array([len(x) for x in runs], np.int64)
+    by_size = np.argsort(-size, kind="stable")
+    alone = by_size[size[by_size] > LONG_TOGETHER].tolist()
+    for low in range(len(alone), len(runs), TOGETHER):
+        some = by_size[low:low + TOGETHER]  # longest first: the runs that go on are the first ones
+        n = size[some] + len(_MARK)
+        codes = np.full((len(some), int(n[0])), -1)
+        codes[np.arange(codes.shape[1]) < n[:, None]] = tree.codes(np.frombuffer("".join([_MARK + runs[i] for i in some]).encode("utf-32-le"), np.uint32))
+        alpha = np.zeros((codes.shape[1] + 1, *out[some].shape))
+        alpha[0] = 1.0
+        for start in range(codes.shape[1]):
+            on = int(np.searchsorted(-n, -start, side="left"))  # runs longer than ``start``
+            now = alpha[start, :on]
+            node = tree.follow(np.zeros(on, np.int64), codes[:on, start])
+            k = np.where(node >= 0, tree.piece[node], -1)
+            alpha[start + 1, :on] += now * prob[k]
+            at, end = np.flatnonzero((node >= 0) & (n[:on] > start + 1)), start + 1
+            node = node[at]
+            while len(at):
+                node = tree.follow(node, codes[at, end])
+                at, node, end = at[node >= 0], node[node >= 0], end + 1
+                k = tree.piece[node]
+                hit = k >= 0
+                alpha[end, at[hit]] += now[at[hit]] * prob[k[hit]]
+                goes_on = n[at] > end
+                at, node = at[goes_on], node[goes_on]
+        small = (alpha.min(axis=2) < 1e-150) & (np.arange(len(alpha))[:, None] <= n)
+        alone += some[small.any(axis=0)].tolist()
+        last = alpha[n, np.arange(len(some))]
+        out[some] = np.array([math.log(max(x, 1e-300)) for x in last.ravel().tolist()]).reshape(last.shape)
+    if alone:
+        plain = prob.tolist()
+    for i in alone:
+        out[i] = forward(runs[i], known, plain, path)
+    return out
+
+
 def expected(word: str, known: dict[str, int], prob: list[float] | np.ndarray, path: str | None = None) -> dict[int, float]:
     """Expected number of each piece over all segmentations of ``word`` for one language."""
     ends = _hits(_MARK + word, known, beginnings(known, path)[0])
@@ -269,19 +350,22 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.known = model, pieces(model.path)
-        self.prob = model.prob.tolist()
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.scores = np.zeros((0, len(self.model.languages) + 1))
 
-    def _score(self, text: str) -> np.ndarray:
-        """Sum over the runs of letters, and their number."""
-        out = np.zeros(len(self.model.languages) + 1)
-        for run in letter_runs(text):
-            out[:-1] += forward(run, self.known, self.prob, self.model.path)
-            out[-1] += 1
+    def _score(self, texts: list[str]) -> np.ndarray:
+        """Per text: sum over the runs of letters, and their number."""
+        runs = [letter_runs(x) for x in texts]
+        number: dict[str, int] = {}
+        which = np.array([number.setdefault(x, len(number)) for each in runs for x in each], np.int64)
+        count = np.array([len(each) for each in runs])
+        out = np.zeros((len(texts), len(self.model.languages) + 1))
+        if number:
+            np.add.at(out[:, :-1], np.repeat(np.arange(len(texts)), count), forward_many([*number], self.known, self.model.prob, self.model.path)[which])
+        out[:, -1] = count
         return out
 
     def rows(self, column: pa.Array) -> np.ndarray:
@@ -298,7 +382,7 @@ class Scorer:
             if len(self.keys):
                 new = self.keys[np.minimum(at, len(self.keys) - 1)] != keys
             if new.any():
-                got = np.array([self._score(w.word(i).decode("utf-8", "replace")) for i in first[new]])
+                got = self._score([w.word(i).decode("utf-8", "replace") for i in first[new]])
                 self.keys, self.scores = np.insert(self.keys, at[new], keys[new]), np.insert(self.scores, at[new], got, axis=0)
                 at = np.searchsorted(self.keys, keys)
             each = self.scores[at][back]

@@ -451,3 +451,20 @@ def test_tasks_of_the_jaccard_join_send_small_batches_and_keep_nothing(monkeypat
     values = np.array([5, 1, 5, 2, 1, 5], np.uint64)
     found, n = jaccard._repeated(values)
     assert found.tolist() == [1, 5] and n.tolist() == [2, 3] and not len(jaccard._repeated(values[:0])[0])
+
+
+def test_runs_are_scored_together_as_one_by_one(monkeypatch):
+    path = langid.vocabulary()
+    known = langid.pieces(path)
+    prob = np.random.default_rng(5).random((len(known) + 1, 3)) ** 4 + 1e-7
+    prob /= prob.sum(0)
+    prob[-1] = langid.UNKNOWN
+    runs = ["the", "a", "é", "entionque", "verheitpfein", "\U00010428x", "ab" * 40, "\U00010428" * 30, "中" * 70, "q"]
+    want = np.array([langid.forward(x, known, prob.tolist(), path) for x in runs])
+    assert np.array_equal(langid.forward_many(runs, known, prob, path), want)
+    one_by_one = []
+    monkeypatch.setattr(langid, "forward", lambda run, *a: one_by_one.append(run) or want[0])
+    texts = pa.array(["the a12é entionque, verheitpfein the", None, "12 !", "q" * 20])
+    rows = langid.Scorer(langid.Model(path, ("x", "y", "z"), prob, "together")).rows(texts)
+    assert rows[:, -1].tolist() == [6, 0, 0, 1] and not one_by_one
+    assert np.allclose(rows[0, :-1], want[[0, 0, 1, 2, 3, 4]].sum(0)) and not rows[1:3].any()
