@@ -5,7 +5,8 @@ from __future__ import annotations
 import ctypes
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -79,13 +80,30 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path)
 
 
+TEXT_ROWS = 1024
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs here sends Python tasks at most ``TEXT_ROWS`` rows at once: a batch of texts is held by
+    the executor's JVM, beside its heap, and by the worker, several times over in each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(TEXT_ROWS, int(before)) if int(before) > 0 else TEXT_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def once_written(df: DataFrame, name: str) -> DataFrame:
-    """:func:`materialize` for a plan that is run this once: Spark removes its shuffle files when the table is written."""
+    """:func:`materialize` for a plan that is run this once, in small batches: Spark removes its shuffle files when the table is written."""
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(key, "false")
     conf.set(key, "true")
     try:
-        return materialize(df, name)
+        with small_batches(df.sparkSession):
+            return materialize(df, name)
     finally:
         conf.set(key, before)
 

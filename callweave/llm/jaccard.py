@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import lean
+from .common import lean, small_batches
 from .common import once_written as materialize
 from .common import workers_import
 from .words import mix, texts
@@ -54,6 +54,7 @@ FREQUENT = 1 << 18
 FREQUENT_FROM = 8
 WINDOW_SHINGLES = 4 << 20
 FILTER_BITS = 1 << 26
+SLICE = 1 << 18  # bytes of texts that a task splits into words at once, about
 ROWS = 1 << 16  # rows of a batch that a task sends on, about
 _STEP = [pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(SHINGLE)]
 
@@ -67,7 +68,7 @@ def _combine(parts: list[np.ndarray]) -> np.ndarray:
 
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """(row, ascending distinct shingle hashes) of each text."""
-    for row, count, h in texts(column, lower=True):
+    for row, count, h in texts(column, lower=True, size=SLICE):
         ends = np.cumsum(count)
         full = _combine([h[k:len(h) - SHINGLE + 1 + k] for k in range(SHINGLE)]) if len(h) >= SHINGLE else h[:0]
         for k, (n, end) in enumerate(zip(count.tolist(), ends.tolist(), strict=True)):
@@ -149,7 +150,8 @@ def frequent(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.nda
     and reports those met twice in one; the sums order the cells.
     """
     counts = docs.select(F.col("text").cast("string")).mapInArrow(lean(_frequent), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "h").limit(limit).toPandas()
+    with small_batches(docs.sparkSession):
+        rows = counts.where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "h").limit(limit).toPandas()
     h = rows["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(h)
     return h[order], rows["n"].to_numpy(np.int64)[order]

@@ -165,9 +165,9 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def words(column: pa.Array, lower: bool = False, pieces: bool = False) -> Iterator[Words]:
+def words(column: pa.Array, lower: bool = False, pieces: bool = False, size: int = SLICE) -> Iterator[Words]:
     """Words of every text of ``column`` in order. ``lower`` maps A-Z to a-z first; ``pieces`` also
-    cuts between letters or digits and ASCII marks."""
+    cuts between letters or digits and ASCII marks. Texts go together up to about ``size`` bytes."""
     data, at = buffers(column)
     if lower and len(data):
         data = _LOWER[data]
@@ -177,7 +177,7 @@ def words(column: pa.Array, lower: bool = False, pieces: bool = False) -> Iterat
             yield from _long(row, data[at[row]:at[row + 1]], pieces)
             row += 1
             continue
-        end = int(np.searchsorted(at, at[row] + SLICE, side="right")) - 1
+        end = int(np.searchsorted(at, at[row] + size, side="right")) - 1
         end = max(row + 1, min(end, n))
         part = data[at[row]:at[end]]
         if len(part):
@@ -188,10 +188,10 @@ def words(column: pa.Array, lower: bool = False, pieces: bool = False) -> Iterat
         row = end
 
 
-def texts(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def texts(column: pa.Array, lower: bool = False, size: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, words per text, word hashes) with the parts of a long text joined."""
     row, held = -1, []
-    for w in words(column, lower):
+    for w in words(column, lower, size=size):
         if held and (len(w.count) != 1 or w.row != row):
             h = np.concatenate(held)
             yield row, np.array([len(h)]), h
