@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from callweave.session import materialize
 
-from .common import workers_import
+from .common import lean, small_batches, workers_import
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 4
@@ -181,7 +181,8 @@ def extract(docs: DataFrame) -> DataFrame:
     """Base spans, seeds and candidates of each row, ``EXTRACTED``, as a written table without the texts."""
     workers_import(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_key("text"))
-    return materialize(rows.mapInArrow(_extract, EXTRACTED), "identifiers")
+    with small_batches(docs.sparkSession):
+        return materialize(rows.mapInArrow(lean(_extract), EXTRACTED), "identifiers")
 
 
 def text_key(text: str):

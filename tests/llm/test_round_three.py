@@ -468,3 +468,37 @@ def test_runs_are_scored_together_as_one_by_one(monkeypatch):
     rows = langid.Scorer(langid.Model(path, ("x", "y", "z"), prob, "together")).rows(texts)
     assert rows[:, -1].tolist() == [6, 0, 0, 1] and not one_by_one
     assert np.allclose(rows[0, :-1], want[[0, 0, 1, 2, 3, 4]].sum(0)) and not rows[1:3].any()
+
+
+def _bounded(work):
+    from callweave.llm.common import TEXT_ROWS
+
+    def run(batches):
+        def each():
+            for batch in batches:
+                if batch.num_rows > TEXT_ROWS:
+                    raise ValueError(f"{batch.num_rows} texts in one batch")
+                yield batch
+
+        yield from work(each())
+
+    return run
+
+
+def test_tasks_that_read_texts_get_small_batches(spark, docs_of, monkeypatch):
+    docs = docs_of([(i, f"call {i} me at a{i}@b.org or five more words here", "en") for i in range(5000)]).coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(pii, "_extract", _bounded(pii._extract))
+    assert pii.extract(docs).where("n_email = 1").count() == 5000
+    for name in ("_points", "_frequent"):
+        monkeypatch.setattr(jaccard, name, _bounded(getattr(jaccard, name)))
+    points, _, _ = jaccard.similar(docs)
+    assert points.where("n > 0").count() == 5000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_sets_do_not_depend_on_the_slice(monkeypatch):
+    texts = pa.array([" ".join(f"w{i * j % 97}" for i in range(j)) for j in range(60)] + [None, "", "x" * 900])
+    whole = [(r, s.tolist()) for r, s in jaccard.shingle_sets(texts)]
+    monkeypatch.setattr(jaccard, "SLICE", 64)
+    assert [(r, s.tolist()) for r, s in jaccard.shingle_sets(texts)] == whole and len(whole) == 63
