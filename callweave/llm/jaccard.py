@@ -15,6 +15,8 @@ named by a 64-bit hash of its set together with the set's size.
    in the order. Which shingles count as frequent is a statistic of all
    documents (:func:`frequent`); any order gives the same links, and the
    list, at most ``FREQUENT`` hashes, is the only thing sent to every task.
+   Shingles that the same points hold have equal cells, which are one region:
+   near copies share many of them.
 2. *Regions.* In a cell the smallest points become pivots in rounds of 1, 2,
    4, ... First of all each point is held against the smallest first pivot of
    its cells, which joins large groups at one comparison a point. Every other point of the cell that may link to a pivot is held
@@ -23,6 +25,9 @@ named by a 64-bit hash of its set together with the set's size.
    each; points whose distances to the cell's first pivot differ by more
    than the link distance are ruled out by the triangle inequality. A cell is
    joined again until its points are one component or all have been pivots.
+   Every point carries ``BITS`` bits, the parities of its set's hashes: two
+   sets differ in at least as many shingles as their bits do, so pairs whose
+   bits differ too much to link are never formed.
 3. *Components* of the links by large-star/small-star rounds.
 
 Every round works on written tables, so a lost executor repeats one step.
@@ -37,6 +42,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +60,8 @@ FREQUENT = 1 << 18
 FREQUENT_FROM = 8
 WINDOW_SHINGLES = 4 << 20
 FILTER_BITS = 1 << 26
+BITS = 512
+FEW_ENDS = 1 << 17  # names of sets that are sent to every task, at most: some 10 MB
 SLICE = 1 << 18  # bytes of texts that a task splits into words at once, about
 ROWS = 1 << 16  # rows of a batch that a task sends on, about
 _STEP = [pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(SHINGLE)]
@@ -219,6 +227,36 @@ def id_filter(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def in_filter(marks: np.ndarray, name: str) -> Column:
+    """Whether the filter takes a row's long column ``name``; nothing else of the row is sent to Python."""
+
+    @F.pandas_udf("boolean")
+    def inside(ids: pd.Series) -> pd.Series:
+        slots = _slots(ids.to_numpy(np.int64).view(np.uint64)).view(np.int64)
+        return pd.Series((marks[slots >> 6] >> (slots & 63) & 1).all(1))
+
+    return inside(F.col(name))
+
+
+BIT_COLUMNS = [f"bits{k}" for k in range(BITS // 64)]
+
+
+def parities(s: np.ndarray) -> np.ndarray:
+    """``BITS`` bits of a set, as signed longs: bit i says whether an odd number of its hashes fall on i.
+
+    A shingle that only one of two sets holds flips one bit, so two sets
+    differ in at least as many shingles as their bits differ.
+    """
+    odd = np.bincount((s & np.uint64(BITS - 1)).view(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def _may_link(na: str, nb: str, a: str, b: str) -> Column:
+    """Sets of these sizes link if they differ in at most a seventh of na + nb shingles."""
+    differ = sum((F.bit_count(F.col(a + c).bitwiseXOR(F.col(b + c))) for c in BIT_COLUMNS), F.lit(0))
+    return 7 * differ <= F.col(na) + F.col(nb)
+
+
 def _sets(marks: np.ndarray):
     def sets(batches):
         seen = set()
@@ -246,7 +284,8 @@ def _sets(marks: np.ndarray):
 def _set_rows(names: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
     sizes = [len(s) for s in found]
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.concatenate(found)))
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), lists], names=["point", "n", "s"])
+    bits = np.stack([parities(s.view(np.uint64)) for s in found])
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), lists, *[pa.array(bits[:, k]) for k in range(len(BIT_COLUMNS))]], names=["point", "n", "s", *BIT_COLUMNS])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -287,7 +326,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """``pairs`` with the overlap of their sets; only the sets of these pairs move."""
     pairs = materialize(pairs, "pairs")
     ends = materialize(pairs.select(F.col("a").alias("point"), F.col("na").alias("n")).unionByName(pairs.select(F.col("b").alias("point"), F.col("nb").alias("n"))).distinct(), "ends")
-    some = sets.join(ends, ["point", "n"], "left_semi")
+    some = sets.join(F.broadcast(ends) if ends.count() <= FEW_ENDS else ends, ["point", "n"], "left_semi")
     one = some.select(F.col("point").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
     two = some.select(F.col("point").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
     rows = pairs.join(one, ["a", "na"]).join(two, ["b", "nb"]).select("a", "na", "b", "nb", "sa", "sb")
@@ -318,7 +357,10 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     shared = rows.withColumn("_after", after).withColumn("_before", before).where((small & (3 * F.col("_after") <= 4 * n)) | (4 * F.col("_before") >= 3 * n))
     members = shared.select("h", "point", n.cast("long").alias("n"), small.alias("small")).distinct()
     cell = Window.partitionBy("h")
-    members = members.withColumn("_lo", F.min("point").over(cell)).withColumn("_hi", F.max("point").over(cell)).where("_lo <> _hi").drop("_lo", "_hi")
+    members = members.withColumn("_lo", F.min("point").over(cell)).withColumn("_hi", F.max("point").over(cell))
+    # cells of the same points are one region, named by two sums of their points; a point is small in it if it is in any
+    members = members.withColumn("_x", F.bit_xor(F.xxhash64("point", "n")).over(cell)).withColumn("_y", F.bit_xor(F.xxhash64("n", "point")).over(cell))
+    members = members.where("_lo <> _hi").groupBy(F.xxhash64("_x", "_y").alias("h"), "point", "n").agg(F.max("small").alias("small"))
     # the first pivot of a cell never changes, so ranks are fixed
     first = Window.partitionBy("h").orderBy(F.desc("small"), "n", "point")
     node = F.xxhash64("point", "n")
@@ -327,7 +369,7 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     some = ranked.select("point", "n").distinct()
     no_id = F.lit(-(1 << 63)).cast("long")
     owners = materialize(points.where("n > 0").join(some, ["point", "n"]).groupBy("point", "n").agg(F.coalesce(F.min("doc_id"), no_id).alias("owner")), "candidates")
-    sets = texts_only.select(F.coalesce("doc_id", no_id).alias("owner"), "text").mapInArrow(lean(_sets(id_filter(owners.select("owner")))), "point long, n long, s array<bigint>")
+    sets = texts_only.select(F.coalesce("doc_id", no_id).alias("owner"), "text").mapInArrow(lean(_sets(id_filter(owners.select("owner")))), "point long, n long, s array<bigint>, " + ", ".join(f"{c} long" for c in BIT_COLUMNS))
     sets = materialize(sets.join(owners, ["point", "n"], "left_semi").dropDuplicates(["point", "n"]), "sets")
     spark = docs.sparkSession
     roots = spark.createDataFrame([], "node long, root long")
@@ -342,16 +384,19 @@ def similar(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             state = state.join(away, ["p0", "node"], "left")
         else:
             state = state.withColumn("d", F.lit(None).cast("double"))
-        state = materialize(state.join(alive, "h", "left_semi").select("h", "point", "n", "small", "node", "rank", "p0", "root", "d"), "regions")
+        state = state.join(alive, "h", "left_semi")
+        if first_pairs:
+            state = state.join(sets.drop("s"), ["point", "n"])
+        state = materialize(state.select("h", "point", "n", "small", "node", "rank", "p0", "root", "d", *BIT_COLUMNS), "regions")
         if state.isEmpty():
             break
         # components only merge and ranks only grow: a cell that is done stays done, so rounds read ever less
         ranked = state.drop("root", "d")
-        p = state.where(F.col("small") & (F.col("rank") > low) & (F.col("rank") <= low + width)).select("h", F.col("point").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("d").alias("da"))
-        m = state.select("h", F.col("point").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("d").alias("db"))
+        p = state.where(F.col("small") & (F.col("rank") > low) & (F.col("rank") <= low + width)).select("h", F.col("point").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("d").alias("da"), *[F.col(c).alias("a" + c) for c in BIT_COLUMNS])
+        m = state.select("h", F.col("point").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("d").alias("db"), *[F.col(c).alias("b" + c) for c in BIT_COLUMNS])
         near = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
         window = F.coalesce(F.abs(F.col("da") - F.col("db")) <= 1 - T + 1e-9, F.lit(True))
-        pairs = p.join(m, "h").where(near & (F.col("ra") != F.col("rb")) & (4 * F.col("na") >= 3 * F.col("nb")) & window).select("a", "na", "b", "nb").distinct()
+        pairs = p.join(m, "h").where(near & (F.col("ra") != F.col("rb")) & (4 * F.col("na") >= 3 * F.col("nb")) & window & _may_link("na", "nb", "a", "b")).select("a", "na", "b", "nb").distinct()
         if first_pairs:  # each point against the smallest pivot of all its cells: a large group is one component before its cells are gone through
             pairs = pairs.groupBy("b", "nb").agg(F.min(F.struct("na", "a")).alias("_p")).select(F.col("_p.a").alias("a"), F.col("_p.na").alias("na"), "b", "nb")
         else:
@@ -377,18 +422,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return joined.unionByName(points.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
-def _marked(marks: np.ndarray, at: int, inside: bool):
-    """Rows whose key (column ``at``) is in the filter, or is not."""
-
-    def choose(batches):
-        for batch in batches:
-            slots = _slots(batch.column(at).to_numpy().view(np.uint64)).view(np.int64)
-            hit = (marks[slots >> 6] >> (slots & 63) & 1).all(1)
-            yield batch.filter(pa.array(hit if inside else ~hit))
-
-    return choose
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component; columns unchanged.
 
@@ -409,12 +442,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     gone = materialize(judged.where("key <> stays").select("key").distinct(), "dropped-rows")
     marks, name = id_filter(gone), "_key" + "_" * max((len(c) for c in docs.columns), default=0)
     stay = rows.join(gone, "key", "left_anti").select("key").unionByName(points.where("n = 0").select("key"))
-    mistaken = materialize(stay.mapInArrow(lean(_marked(marks, 0, True)), "key long").distinct(), "mistaken-rows")
+    mistaken = materialize(stay.where(in_filter(marks, "key")).distinct(), "mistaken-rows")
     repeated = materialize(judged.where("key = stays").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "repeated-rows")
     keyed = docs.withColumn(name, row_key(docs))
-    at = len(docs.columns)
-    inside = keyed.mapInArrow(lean(_marked(marks, at, True)), keyed.schema)
-    outside = keyed.mapInArrow(lean(_marked(marks, at, False)), keyed.schema)
+    inside, outside = keyed.where(in_filter(marks, name)), keyed.where(~in_filter(marks, name))
 
     def pick(of: DataFrame, keys: DataFrame, how: str) -> DataFrame:
         return of.join(keys, of[name] == keys["key"], how)

@@ -502,3 +502,52 @@ def test_sets_do_not_depend_on_the_slice(monkeypatch):
     whole = [(r, s.tolist()) for r, s in jaccard.shingle_sets(texts)]
     monkeypatch.setattr(jaccard, "SLICE", 64)
     assert [(r, s.tolist()) for r, s in jaccard.shingle_sets(texts)] == whole and len(whole) == 63
+
+
+def test_parities_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(7)
+    for k in range(200):
+        pool = rng.integers(0, 1 << 63, 40 * (1 + k % 20), dtype=np.uint64)
+        a, b = (np.sort(pool[rng.random(len(pool)) < 0.8]) for _ in range(2))
+        differ = sum(int(x).bit_count() for x in (jaccard.parities(a) ^ jaccard.parities(b)).view(np.uint64).tolist())
+        assert differ <= len(np.setxor1d(a, b)) and differ % 2 == len(np.setxor1d(a, b)) % 2
+
+
+def test_near_copies_meet_in_few_regions_and_pairs(spark, docs_of, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(base), "en"), (1, " ".join([*base[:-1], "end"]), "en")]
+    for i in range(2, 62):  # each alone is nearer to the first than to the others
+        words = list(base)
+        for at in rng.sample(range(150), 3):
+            words[at] = f"x{i}at{at}"
+        rows.append((i, " ".join(words), "en"))
+    made, keep = {}, jaccard.materialize
+
+    def counted(df, name):
+        out = keep(df, name)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    two = jaccard.jaccard_components(docs_of(rows[:2])).collect()
+    assert {r.component_id for r in two} == {0} and made["cells"] == 2  # one region, though they share many shingles
+    made.clear()
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs_of(rows)).collect()}
+    sets = {i: {tuple(w[k:k + 5]) for k in range(146)} for i, t, _ in rows for w in [t.split()]}
+    root = {i: i for i in sets}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    far = 0
+    for i in sets:
+        for j in sets:
+            if i < j:
+                if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                    a, b = sorted((find(i), find(j)))
+                    root[b] = a
+                else:
+                    far += 1
+    assert got == {i: find(i) for i in sets}
+    assert made["pairs"] < far / 4
