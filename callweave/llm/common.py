@@ -49,7 +49,7 @@ def worker_cache(owner: str) -> dict:
     return _held[owner]
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Hand the memory that this worker process has freed back to the system."""
     pa.default_memory_pool().release_unused()
     try:
@@ -68,7 +68,7 @@ def lean(work: Callable) -> Callable:
         try:
             yield from work(batches)
         finally:
-            _give_back()
+            give_back()
 
     return run
 

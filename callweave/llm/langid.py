@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from callweave.session import materialize
 
-from .common import worker_cache, workers_import
+from .common import give_back, worker_cache, workers_import
 from .words import words
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -401,20 +401,23 @@ def scorer(model: Model) -> Scorer:
 
 def _predict(model: Model, text_at: int):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, scores = [], []
-            if model.languages:
-                for row in scorer(model).rows(batch.column(text_at)):
-                    if row[-1] == 0:
-                        langs.append(UNDETERMINED)
-                        scores.append(0.0)
-                        continue
-                    best = int(np.argmax(row[:-1]))
-                    langs.append(model.languages[best])
-                    scores.append(1.0 / float(np.exp(np.clip(row[:-1] - row[best], -700, 0)).sum()))
-            else:
-                langs, scores = [UNDETERMINED] * batch.num_rows, [0.0] * batch.num_rows
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[f"c{i}" for i in range(batch.num_columns + 2)])
+        try:
+            for batch in batches:
+                langs, scores = [], []
+                if model.languages:
+                    for row in scorer(model).rows(batch.column(text_at)):
+                        if row[-1] == 0:
+                            langs.append(UNDETERMINED)
+                            scores.append(0.0)
+                            continue
+                        best = int(np.argmax(row[:-1]))
+                        langs.append(model.languages[best])
+                        scores.append(1.0 / float(np.exp(np.clip(row[:-1] - row[best], -700, 0)).sum()))
+                else:
+                    langs, scores = [UNDETERMINED] * batch.num_rows, [0.0] * batch.num_rows
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[f"c{i}" for i in range(batch.num_columns + 2)])
+        finally:
+            give_back()
 
     return predict
 

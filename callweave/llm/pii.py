@@ -29,14 +29,18 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callweave.session import materialize
 
 from .common import lean, small_batches, workers_import
+from .jaccard import id_filter, in_filter
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 4
@@ -246,32 +250,42 @@ def find(docs: DataFrame, **options) -> DataFrame:
     return both.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", F.expr(text).alias("spans"), "text_key")
 
 
-def _mask(text_at: int, spans_at: int):
-    def mask(batches):
-        for batch in batches:
-            out = []
-            for t, spans in zip(batch.column(text_at).to_pylist(), batch.column(spans_at).to_pylist(), strict=True):
-                if t and spans:
-                    parts, last = [], 0
-                    for s in spans.split(","):
-                        kind, a, b = s.split(":")
-                        if int(a) >= last:
-                            parts += [t[last:int(a)], f"<{kind}>"]
-                        last = max(last, int(b))
-                    t = "".join([*parts, t[last:]])
-                out.append(t)
-            columns = [pa.array(out, pa.string()) if i == text_at else c for i, c in enumerate(batch.columns) if i != spans_at]
-            yield pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
+def masked(t: str, spans: str) -> str:
+    """``t`` with ``<kind>`` for every span; of overlapping spans the first one's mark stays."""
+    parts, last = [], 0
+    for s in spans.split(","):
+        kind, a, b = s.split(":")
+        if int(a) >= last:
+            parts += [t[last:int(a)], f"<{kind}>"]
+        last = max(last, int(b))
+    return "".join([*parts, t[last:]])
 
-    return mask
+
+def _masks(batches):
+    for texts, spans in batches:
+        yield pd.Series([masked(t, s) if t and s else t for t, s in zip(texts, spans, strict=True)], dtype=object)
+
+
+@F.pandas_udf(T.StringType())
+def mask(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    yield from lean(_masks)(batches)
 
 
 def redact(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every span of ``text`` replaced by ``<kind>`` and ``n_chars``, where there, counted anew."""
+    """``docs`` with every span of ``text`` replaced by ``<kind>`` and ``n_chars``, where there, counted anew.
+
+    Only texts that have spans, and those that a filter of fixed size takes for such, are
+    shuffled, and only texts that have spans are sent to Python.
+    """
     names = docs.columns
     spans = find(docs, **options).where("spans <> ''").select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans")).distinct()
-    rows = docs.join(spans, docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_key")), "left").select(*[docs[c] for c in names], "_spans")
-    kinds = [f.dataType.simpleString() for f in docs.schema.fields]
-    plain = rows.toDF(*[f"c{i}" for i in range(len(names) + 1)])
-    masked = plain.mapInArrow(_mask(names.index("text"), len(names)), ", ".join(f"c{i} {k}" for i, k in enumerate(kinds))).toDF(*names)
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else masked
+    spans = materialize(spans, "spans")
+    own = "_own" + "_" * max((len(c) for c in names), default=0)
+    keyed = docs.withColumn(own, F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))))
+    marks = id_filter(spans.select("_key"))
+    some, rest = keyed.where(in_filter(marks, own)), keyed.where(~in_filter(marks, own)).select(*names)
+    rows = some.join(spans, some["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (some[own] == F.col("_key")), "left").select(*[some[c] for c in names], "_spans")
+    has = F.col("_spans").isNotNull()
+    text = F.when(has, mask(F.when(has, F.col("text")), F.col("_spans"))).otherwise(F.col("text"))
+    out = rows.withColumn("text", text).select(*names).unionByName(rest)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

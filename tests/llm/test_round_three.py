@@ -551,3 +551,22 @@ def test_near_copies_meet_in_few_regions_and_pairs(spark, docs_of, monkeypatch):
                     far += 1
     assert got == {i: find(i) for i in sets}
     assert made["pairs"] < far / 4
+
+
+def test_redaction_sends_only_texts_with_spans_to_python(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(pii, "SUPPORT", 1)
+    texts = [None, "", "nothing here", "write to a.b@c.org, card 4111 1111 1111 1111!", "é a@b.org +1 234 567 8901 a@b.org", "write to a.b@c.org, card 4111 1111 1111 1111!"]
+    rows = [(i % 4 if i % 3 else None, t, "en") for i, t in enumerate(texts * 3)]
+    out = pii.redact(docs_of(rows))
+    want = [None if t is None else pii.masked(t, pii.joined(pii.base_spans(t))) if pii.base_spans(t) else t for _, t, _ in rows]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(((d, t) for (d, _, _), t in zip(rows, want, strict=True)), key=str)
+    assert pii.masked(texts[3], pii.joined(pii.base_spans(texts[3]))) == "write to <email>, card <card>!"
+    assert "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prediction_gives_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(langid, "give_back", lambda: given.append(1))
+    model = langid.Model(*[[] if f == "languages" else None for f in langid.Model.__dataclass_fields__])
+    batch = pa.RecordBatch.from_arrays([pa.array(["one", None])], names=["c0"])
+    assert [b.column(1).to_pylist() for b in langid._predict(model, 0)([batch])] == [["und", "und"]] and given == [1]
