@@ -37,7 +37,8 @@ from pyspark.sql import types as T
 
 from callweave.session import materialize
 
-from .common import give_back, worker_cache, workers_import
+from .common import give_back, small_batches, worker_cache, workers_import
+from .jaccard import id_filter, in_filter
 from .words import words
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -439,9 +440,21 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """``docs`` whose language is determined with a posterior of at least ``least``; columns unchanged."""
+    """``docs`` whose language is determined with a posterior of at least ``least``; columns unchanged.
+
+    A verdict is of a text, so what goes is named by the texts' hashes; texts that a filter of
+    fixed size takes for such are looked up. Texts are predicted in small batches, and those that
+    stay are not sent to Python with their rows.
+    """
+    spark = docs.sparkSession
     model = fit(docs.where(~held_out(F.col("doc_id"))))
-    names = {"_lang_pred", "_lang_score"} & set(docs.columns)
-    lang_as, score_as = ("_lang_pred", "_lang_score") if not names else ("_lang_pred_2", "_lang_score_2")
-    found = predict(docs, model, lang_as=lang_as, score_as=score_as)
-    return found.where((F.col(lang_as) != UNDETERMINED) & (F.col(score_as) >= least)).drop(lang_as, score_as)
+    key = F.xxhash64(F.col("text").isNull(), F.col("text").cast("string"))
+    found = predict(docs.select(key.alias("key"), F.col("text").cast("string").alias("text")), model)
+    with small_batches(spark):
+        gone = materialize(found.where((F.col("lang_pred") == UNDETERMINED) | ~(F.col("score") >= least)).select("key"), "unidentified").distinct()
+        marks = id_filter(gone)
+    own = "_own" + "_" * max((len(c) for c in docs.columns), default=0)
+    keyed = docs.withColumn(own, key)
+    looked_up = keyed.where(in_filter(marks, own))
+    stay = looked_up.join(gone, looked_up[own] == gone["key"], "left_anti")
+    return keyed.where(~in_filter(marks, own)).unionByName(stay).drop(own)

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from callweave.session import materialize
 
-from .common import workers_import
+from .common import small_batches, workers_import
 from .tokens import END_ID, encode, vocabulary
 
 SEQUENCE = 4096
@@ -136,6 +136,7 @@ def cut_documents(docs: DataFrame, vocabulary_path: str | None = None, end_id: i
 
 def pack_documents(docs: DataFrame, vocabulary_path: str | None = None, length: int = SEQUENCE, segments: int = SEGMENTS, loss_tokens: int = LOSS_TOKENS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Cut ``docs`` and pack the pieces; one row per piece with its sequence and offset."""
-    pieces = materialize(cut_documents(docs, vocabulary_path, length=min(length, loss_tokens)), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = materialize(cut_documents(docs, vocabulary_path, length=min(length, loss_tokens)), "pieces")
     packed = pack(pieces, {"length": length, "segments": segments, "loss_tokens": loss_tokens}, ("doc_id", "start"), "salt", group_rows)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")

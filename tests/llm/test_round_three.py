@@ -570,3 +570,16 @@ def test_prediction_gives_memory_back(monkeypatch):
     model = langid.Model(*[[] if f == "languages" else None for f in langid.Model.__dataclass_fields__])
     batch = pa.RecordBatch.from_arrays([pa.array(["one", None])], names=["c0"])
     assert [b.column(1).to_pylist() for b in langid._predict(model, 0)([batch])] == [["und", "und"]] and given == [1]
+
+
+def test_texts_that_stay_are_not_sent_to_python_by_the_language_filter(spark, docs_of, monkeypatch):
+    texts = ["one two three four five six", "uno dos tres cuatro cinco seis", None, "", "123 456", "one two three four five six"]
+    docs = docs_of([(i if i % 5 else None, t, "en" if t and "one" in t else "es") for i, t in enumerate(texts * 8)]).coalesce(1)
+    predict = langid._predict
+    monkeypatch.setattr(langid, "_predict", lambda *a: _bounded(predict(*a)))
+    kept = langid.keep_identified(docs)
+    assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()
+    found = langid.predict(docs, langid.fit(docs.where(~langid.held_out(langid.F.col("doc_id")))))
+    want = found.where("lang_pred <> 'und' and score >= 0.5").select(*docs.columns)
+    rows = sorted(want.collect(), key=str)
+    assert rows and sorted(kept.collect(), key=str) == rows and kept.columns == docs.columns
