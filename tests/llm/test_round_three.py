@@ -579,7 +579,7 @@ def test_texts_that_stay_are_not_sent_to_python_by_the_language_filter(spark, do
     monkeypatch.setattr(langid, "_predict", lambda *a: _bounded(predict(*a)))
     kept = langid.keep_identified(docs)
     assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()
-    found = langid.predict(docs, langid.fit(docs.where(~langid.held_out(langid.F.col("doc_id")))))
-    want = found.where("lang_pred <> 'und' and score >= 0.5").select(*docs.columns)
+    found = langid.predict(docs, langid.fit(docs.where(~langid.held_out(langid.F.col("doc_id")))), lang_as="_l", score_as="_s")
+    want = found.where("_l <> 'und' and _s >= 0.5").select(*docs.columns)
     rows = sorted(want.collect(), key=str)
     assert rows and sorted(kept.collect(), key=str) == rows and kept.columns == docs.columns
